@@ -1,2 +1,555 @@
-def oracle_sql():
-    return {}
+"""SQL counterparts of the registered queries, for DuckDB."""
+
+from __future__ import annotations
+
+from glosswork.fixed_values import (
+    BM25_B,
+    BM25_K1,
+    PROMPT_HEAD,
+    PROMPT_MIDDLE,
+    PROMPT_TAIL,
+    STOP_WORDS,
+    TOPIC_KEYWORDS,
+)
+from glosswork.functions.text import SEGMENT
+
+SEG = SEGMENT.replace("\\n", "\n")
+STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
+TOPIC_MAP = TOPIC_KEYWORDS + [
+    ("ingor", "src1"), ("ention", "src2"), ("ouer", "src3"), ("tion", "src4"),
+    ("heit", "src6"), ("ment", "src7"),
+]
+TOPIC_CASE = (
+    "CASE "
+    + " ".join(f"WHEN contains(lower(query), '{k}') THEN '{v}'" for k, v in TOPIC_MAP)
+    + " ELSE NULL END"
+)
+WIDE = (
+    r"[\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+WORDS = r"regexp_extract_all(lower({0}), '[a-z0-9]+')"
+CLEAN = rf"regexp_replace(regexp_replace(query, '{WIDE}', ' ', 'g'), '[^a-zA-Z0-9\s]', '', 'g')"
+QWORDS = rf"regexp_split_to_array(lower({CLEAN}), '\s+')"
+
+
+def words(column: str) -> str:
+    return WORDS.format(column)
+
+
+def q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def chain(*parts: str) -> str:
+    """CTE parts joined; the last part is the final SELECT."""
+    return "WITH RECURSIVE " + ",\n".join(parts[:-1]) + "\n" + parts[-1]
+
+
+DOCS = """docs AS (
+  SELECT md5(text) AS abstract_id, min(text) AS abstract, min(doc_id) AS doc_id,
+         arg_min(source, doc_id) AS source
+  FROM documents WHERE text IS NOT NULL GROUP BY 1)"""
+
+KNOWN = """known AS (
+  SELECT DISTINCT md5(d.text) AS abstract_id
+  FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id))"""
+
+SUMMARIES = f"""lens AS (
+  SELECT *, len({words('abstract')}) AS n FROM docs),
+summaries AS (
+  SELECT abstract_id, abstract AS summary, n,
+         CASE WHEN n > 0 THEN 2 * least(n, 100) / (n + least(n, 100))::DOUBLE ELSE 0.0 END
+           AS rouge_score,
+         CAST(substr(source, 4) AS INTEGER) AS topic_id, source AS topic_label
+  FROM lens)"""
+
+QUERIES = f"""queries AS (
+  SELECT item_id * 1000 + i - 1 AS query_id, trim(parts[i]) AS query
+  FROM (SELECT item_id, regexp_extract_all(text, '{SEG}') AS parts FROM benchmark),
+       unnest(range(1, len(parts) + 1)) t(i))"""
+
+EXTRACT = f"""segs AS (
+  SELECT abstract_id, i - 1 AS pos, trim(parts[i]) AS seg
+  FROM (SELECT abstract_id, regexp_extract_all(abstract, '{SEG}') AS parts FROM docs),
+       unnest(range(1, len(parts) + 1)) t(i)),
+seg_words AS (
+  SELECT abstract_id, pos, unnest({words('seg')}) AS w FROM segs),
+seg_counts AS (
+  SELECT abstract_id, pos, CASE WHEN w IN ({STOPS}) THEN '' ELSE w END AS term, count(*) AS n
+  FROM seg_words GROUP BY ALL),
+seg_tf AS (
+  SELECT *, sum(n) OVER (PARTITION BY abstract_id, term) AS tf FROM seg_counts),
+seg_scores AS (
+  SELECT abstract_id, pos, sum(n) AS words,
+         sum(CASE WHEN term <> '' THEN n * tf ELSE 0 END)::DOUBLE / sum(n)::DOUBLE AS score
+  FROM seg_tf GROUP BY ALL),
+seg_lists AS (
+  SELECT abstract_id, list({{'n': words::BIGINT, 'p': [pos]}} ORDER BY score DESC, pos) AS l
+  FROM seg_scores GROUP BY 1),
+filled AS (
+  SELECT abstract_id, f.n AS m, f.p AS picks
+  FROM (SELECT abstract_id, list_reduce(l, lambda acc, x: CASE WHEN acc.n + x.n <= 100
+            THEN {{'n': acc.n + x.n, 'p': list_concat(acc.p, x.p)}} ELSE acc END,
+          {{'n': 0::BIGINT, 'p': []::BIGINT[]}}) AS f
+        FROM seg_lists)),
+chosen AS (
+  SELECT d.abstract_id, coalesce(any_value(f.m), 0) AS m,
+         coalesce(string_agg(s.seg, ' ' ORDER BY s.pos), '') AS summary
+  FROM docs d LEFT JOIN filled f USING (abstract_id) LEFT JOIN segs s
+    ON s.abstract_id = f.abstract_id AND list_contains(f.picks, s.pos)
+  GROUP BY 1)"""
+
+# A summary made of whole segments in text order is a subsequence of the text,
+# so its longest common subsequence with it is the summary itself.
+SCORED = f"""scored AS (
+  SELECT c.abstract_id, d.source, c.summary,
+         CASE WHEN c.m > 0 THEN CAST(2.0 * c.m::DOUBLE / (c.m + len({words('d.abstract')}))::DOUBLE AS FLOAT)
+              ELSE 0 END AS rouge_score
+  FROM chosen c JOIN docs d USING (abstract_id))"""
+
+PAIRS = f"""pairs AS (
+  SELECT u.conv_id, u.turn, {words('u.text')} AS a, {words('v.text')} AS b
+  FROM conversations u JOIN conversations v ON v.conv_id = u.conv_id AND v.turn = u.turn + 1
+  WHERE u.role = 'user' AND v.role = 'assistant')"""
+
+LCS = """lcs AS (
+  SELECT conv_id, turn, 0 AS i, list_transform(range(0, len(b) + 1), lambda j: 0) AS row
+  FROM pairs
+  UNION ALL
+  SELECT conv_id, turn, i + 1,
+         list_transform(range(1, len(step) + 1), lambda j: list_max(step[1:j]))
+  FROM (
+    SELECT l.conv_id, l.turn, l.i,
+           list_transform(range(0, len(p.b) + 1), lambda j: CASE
+             WHEN j > 0 AND p.a[l.i + 1] = p.b[j] THEN l.row[j] + 1 ELSE l.row[j + 1] END) AS step
+    FROM lcs l JOIN pairs p ON p.conv_id = l.conv_id AND p.turn = l.turn
+    WHERE l.i < len(p.a)))"""
+
+LCS_RESULT = """
+SELECT p.conv_id, p.turn,
+       round(CAST(CASE WHEN len(p.a) = 0 OR len(p.b) = 0 THEN 0
+         ELSE 2.0 * l.row[len(l.row)]::DOUBLE / (len(p.a) + len(p.b))::DOUBLE END AS FLOAT)::DOUBLE, 6)
+         AS rouge_score
+FROM pairs p JOIN lcs l ON l.conv_id = p.conv_id AND l.turn = p.turn AND l.i = len(p.a)"""
+
+POSTINGS = f"""postings AS (
+  SELECT term, abstract_id, count(*)::INTEGER AS tf, any_value(n)::INTEGER AS doc_len
+  FROM (SELECT abstract_id, n, unnest({words('summary')}) AS term FROM summaries)
+  WHERE term NOT IN ({STOPS}) GROUP BY term, abstract_id),
+terms AS (SELECT term, count(*) AS df FROM postings GROUP BY term),
+totals AS (SELECT count(*) AS n_docs, avg(n) AS mean_len FROM summaries)"""
+
+QTERMS = f"""qterms AS (
+  SELECT DISTINCT query_id, term
+  FROM (SELECT query_id, unnest({QWORDS}) AS term FROM queries)
+  WHERE length(term) > 2 AND term NOT IN ({STOPS}))"""
+
+HITS = f"""need AS (SELECT query_id, count(*) AS n_terms FROM qterms GROUP BY 1),
+hits AS (
+  SELECT q.query_id, p.abstract_id, count(*) AS n,
+         round(sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * ({BM25_K1} + 1)
+           / (tf + {BM25_K1} * (1 - {BM25_B} + {BM25_B} * doc_len / mean_len))), 6) AS relevance
+  FROM qterms q JOIN postings p USING (term) JOIN terms USING (term), totals
+  GROUP BY 1, 2),
+matches AS (
+  SELECT h.query_id, h.abstract_id, h.relevance, s.rouge_score, s.summary, s.topic_label
+  FROM hits h JOIN need USING (query_id) JOIN summaries s USING (abstract_id)
+  WHERE h.n = n_terms)"""
+
+FOUND = """found AS (
+  SELECT *, 1 AS stage FROM matches
+  QUALIFY row_number() OVER (PARTITION BY query_id
+    ORDER BY relevance DESC, rouge_score DESC NULLS LAST, abstract_id) <= 16)"""
+
+KEYWORDS = f"""qkeywords AS (
+  SELECT DISTINCT query_id, keyword
+  FROM (SELECT query_id, unnest({QWORDS}) AS keyword FROM queries) WHERE length(keyword) > 3),
+keyword_hits AS (
+  SELECT DISTINCT k.query_id, s.abstract_id, s.rouge_score
+  FROM qkeywords k JOIN summaries s ON contains(lower(s.summary), k.keyword)),
+keyword_top AS (
+  SELECT * FROM keyword_hits
+  QUALIFY row_number() OVER (PARTITION BY query_id
+    ORDER BY rouge_score DESC NULLS LAST, abstract_id) <= 16)"""
+
+CASCADE = """short1 AS (
+  SELECT query_id FROM queries LEFT JOIN found USING (query_id)
+  GROUP BY 1 HAVING count(abstract_id) < 4),
+added AS (
+  SELECT k.query_id, k.abstract_id, 2 AS stage, 0.1::DOUBLE AS relevance, k.rouge_score
+  FROM keyword_top k JOIN short1 USING (query_id)
+  WHERE NOT EXISTS (SELECT 1 FROM found f
+    WHERE f.query_id = k.query_id AND f.abstract_id = k.abstract_id)),
+two AS (
+  SELECT query_id, abstract_id, stage, relevance, rouge_score FROM found
+  UNION ALL SELECT query_id, abstract_id, stage, relevance, rouge_score FROM added),
+short2 AS (
+  SELECT query_id FROM queries LEFT JOIN two USING (query_id)
+  GROUP BY 1 HAVING count(abstract_id) < 4),
+best AS (
+  SELECT abstract_id, rouge_score FROM summaries
+  ORDER BY rouge_score DESC NULLS LAST, abstract_id LIMIT 8),
+cascade AS (
+  SELECT * FROM two
+  UNION ALL
+  SELECT s.query_id, b.abstract_id, 3, 0.05::DOUBLE, b.rouge_score FROM short2 s, best b
+  WHERE NOT EXISTS (SELECT 1 FROM two t
+    WHERE t.query_id = s.query_id AND t.abstract_id = b.abstract_id))"""
+
+RANKED = f"""hints AS (SELECT query_id, query, {TOPIC_CASE} AS topic_hint FROM queries),
+ordered AS (
+  SELECT c.query_id, c.abstract_id, s.summary, s.rouge_score, s.topic_label,
+         row_number() OVER (PARTITION BY c.query_id ORDER BY
+           CASE WHEN s.topic_label = h.topic_hint THEN 1 ELSE 0 END DESC,
+           s.rouge_score DESC NULLS LAST, c.abstract_id) AS rank
+  FROM cascade c JOIN summaries s USING (abstract_id) JOIN hints h USING (query_id)),
+ranked AS (SELECT * FROM ordered WHERE rank <= 8)"""
+
+CONTEXTS = """contexts AS (
+  SELECT query_id, count(*) AS sources,
+         string_agg('[Topic: ' || coalesce(nullif(topic_label, ''), 'general') || ' | ROUGE-L: '
+           || CAST(round(rouge_score, 3) AS VARCHAR) || ']' || chr(10) || summary,
+           chr(10) || chr(10) ORDER BY rank) AS context
+  FROM ranked GROUP BY 1)"""
+
+FTS = (DOCS, SUMMARIES, QUERIES, POSTINGS, QTERMS, HITS)
+RETRIEVAL = (*FTS, FOUND, KEYWORDS, CASCADE)
+
+MEANS = """parts AS (
+  SELECT label, i AS pos, embedding[i]::DOUBLE AS x
+  FROM embeddings, unnest(range(1, len(embedding) + 1)) t(i)),
+means AS (
+  SELECT label, list(x ORDER BY pos) AS centroid
+  FROM (SELECT label, pos, avg(x) AS x FROM parts GROUP BY 1, 2) GROUP BY 1)"""
+
+VECS = """vecs AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings)"""
+
+LABEL_TOP = """label_scores AS (
+  SELECT m.label AS query_id, e.vec_id AS abstract_id,
+         round(list_inner_product(e.v, m.centroid), 6) AS similarity
+  FROM means m, vecs e),
+label_ranks AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, abstract_id) AS rank
+  FROM label_scores)"""
+
+
+def micro(expr: str) -> str:
+    return (
+        f"array_to_string(list_transform({expr}, lambda x: CAST(round(x * 1e6) AS BIGINT)), ',')"
+    )
+
+
+def weights(name: str, source: str, key: str) -> str:
+    return f"""{name} AS (
+  SELECT abstract_id, ('0x' || h[1:6])::INTEGER % 384 AS bucket,
+         sum(CASE WHEN ('0x' || h[7:7])::INTEGER % 2 = 1 THEN -1 ELSE 1 END) AS tf
+  FROM (SELECT abstract_id, md5(term) AS h
+        FROM (SELECT {key} AS abstract_id, unnest({words('body')}) AS term FROM {source})
+        WHERE term NOT IN ({STOPS}))
+  GROUP BY 1, 2)"""
+
+
+def embedded(name: str, source: str) -> str:
+    return f"""{name}_raw AS (
+  SELECT abstract_id, bucket, tf * idf AS w FROM {source} JOIN idf USING (bucket)),
+{name} AS (
+  SELECT abstract_id, bucket, CASE WHEN s = 0 THEN 0 ELSE w / s END AS w
+  FROM (SELECT *, sqrt(sum(w * w) OVER (PARTITION BY abstract_id)) AS s FROM {name}_raw))"""
+
+
+EMBED = (
+    DOCS,
+    "bodies AS (SELECT abstract_id, abstract AS body FROM docs)",
+    weights("doc_weights", "bodies", "abstract_id"),
+    """idf AS (
+  SELECT bucket, ln((1 + n)::DOUBLE / (1 + df)::DOUBLE) + 1 AS idf
+  FROM (SELECT bucket, count(*) AS df FROM doc_weights GROUP BY 1),
+       (SELECT count(DISTINCT abstract_id) AS n FROM doc_weights))""",
+    embedded("doc_vectors", "doc_weights"),
+)
+
+NGRAMS = f"""kept AS (
+  SELECT abstract_id, topic_id,
+         list_filter({words('summary')}, lambda t: t NOT IN ({STOPS})) AS w
+  FROM summaries),
+grams AS (
+  SELECT abstract_id, topic_id, unnest(w) AS term FROM kept
+  UNION ALL
+  SELECT abstract_id, topic_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))
+  FROM kept WHERE len(w) > 1),
+counts AS (
+  SELECT topic_id, term, count(*) AS tf, count(DISTINCT abstract_id) AS n_docs
+  FROM grams GROUP BY 1, 2)"""
+
+CTFIDF = """tdf AS (
+  SELECT term, sum(n_docs) AS df, sum(tf) AS total FROM counts GROUP BY 1 HAVING sum(n_docs) >= 2),
+used AS (SELECT c.topic_id, c.term, c.tf, t.total FROM counts c JOIN tdf t USING (term)),
+sizes AS (SELECT topic_id, sum(tf) AS size FROM used GROUP BY 1),
+tterms AS (
+  SELECT u.topic_id, u.term,
+         u.tf::DOUBLE / s.size::DOUBLE * ln(1 + (SELECT avg(size) FROM sizes) / u.total::DOUBLE) AS weight
+  FROM used u JOIN sizes s USING (topic_id))"""
+
+NOISY = SUMMARIES.replace(
+    "CAST(substr(source, 4) AS INTEGER) AS topic_id",
+    "CASE WHEN CAST(substr(source, 4) AS INTEGER) < 2 THEN -1"
+    " ELSE CAST(substr(source, 4) AS INTEGER) END AS topic_id",
+)
+
+LABELS = """label_words AS (
+  SELECT topic_id, string_agg(term, '_' ORDER BY r) AS words
+  FROM (SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY round(weight, 9) DESC, term) AS r
+        FROM tterms) WHERE r <= 3 GROUP BY 1),
+labels_out AS (
+  SELECT topic_id, CASE WHEN topic_id = -1 THEN 'outlier'
+    ELSE coalesce(words, 'topic_' || topic_id) END AS topic_label
+  FROM (SELECT DISTINCT topic_id FROM summaries) LEFT JOIN label_words USING (topic_id))"""
+
+ASSIGN = """unit AS (
+  SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS v FROM vecs),
+unit_means AS (
+  SELECT label, list_transform(centroid, lambda x: x / sqrt(list_inner_product(centroid, centroid))) AS c
+  FROM means),
+cosines AS (
+  SELECT u.vec_id, m.label, round(list_inner_product(u.v, m.c), 6) AS similarity
+  FROM unit u, unit_means m)"""
+
+
+def oracle_sql() -> dict[str, str]:
+    sql = {}
+    sql["corpus_scan"] = "SELECT doc_id, text AS abstract FROM documents"
+    sql["content_ids"] = (
+        "SELECT doc_id, md5(text) AS abstract_id FROM documents WHERE text IS NOT NULL"
+    )
+    sql["distinct_documents"] = chain(DOCS, "SELECT abstract_id, abstract, doc_id, source FROM docs")
+    sql["incremental_new"] = chain(
+        DOCS, KNOWN,
+        "SELECT abstract_id, doc_id FROM docs WHERE abstract_id NOT IN (SELECT abstract_id FROM known)",
+    )
+    sql["ingest_accounting"] = chain(
+        KNOWN,
+        """SELECT count(*) AS loaded, count(k.abstract_id) AS skipped,
+  count(*) - count(k.abstract_id) AS new
+FROM documents d LEFT JOIN known k ON k.abstract_id = md5(d.text) WHERE d.text IS NOT NULL""",
+    )
+    sql["ingest_stream"] = "SELECT DISTINCT md5(text) AS abstract_id FROM documents"
+    sql["extractive_summary"] = chain(DOCS, EXTRACT, "SELECT abstract_id, summary FROM chosen")
+    scored = (DOCS, EXTRACT, SCORED)
+    sql["rouge_scores"] = chain(
+        *scored, "SELECT abstract_id, round(rouge_score::DOUBLE, 6) AS rouge_score FROM scored"
+    )
+    sql["quality_gate"] = chain(
+        *scored,
+        """SELECT abstract_id, round(rouge_score::DOUBLE, 6) AS rouge_score
+FROM scored WHERE rouge_score::DOUBLE >= 0.15::DOUBLE""",
+    )
+    sql["gate_accounting"] = chain(
+        *scored,
+        """SELECT count(*) AS total, count(*) FILTER (rouge_score::DOUBLE >= 0.15::DOUBLE) AS kept,
+  count(*) FILTER (rouge_score::DOUBLE < 0.15::DOUBLE) AS blocked FROM scored""",
+    )
+    sql["gated_topic_stats"] = chain(
+        *scored,
+        """SELECT CAST(substr(source, 4) AS INTEGER) AS topic_id, source AS topic_label,
+  count(*) AS count, round(avg(rouge_score::DOUBLE), 3) AS avg_rouge
+FROM scored WHERE rouge_score::DOUBLE >= 0.15::DOUBLE GROUP BY 1, 2""",
+    )
+    sql["rouge_l_pairs"] = chain(PAIRS, LCS, LCS_RESULT)
+
+    base = (DOCS, SUMMARIES)
+    sql["corpus_stats"] = chain(
+        *base,
+        "hist AS (SELECT topic_label, count(*) AS n FROM summaries GROUP BY 1)",
+        """SELECT count(*) AS count, coalesce(round(avg(rouge_score), 3), 0.0) AS avg_rouge,
+  (SELECT count(*) FROM embeddings) AS vectors,
+  (SELECT '{' || string_agg('"' || topic_label || '":' || n, ',' ORDER BY topic_label) || '}' FROM hist)
+    AS topics
+FROM summaries""",
+    )
+    sql["topic_histogram"] = chain(
+        *base, "SELECT topic_label, count(*) AS cnt FROM summaries GROUP BY 1"
+    )
+    sql["topic_stats"] = chain(
+        *base,
+        """SELECT topic_id, topic_label, count(*) AS count, round(avg(rouge_score), 3) AS avg_rouge
+FROM summaries GROUP BY 1, 2""",
+    )
+    sql["verify_report"] = chain(
+        *base,
+        """SELECT count(*) AS records, (SELECT count(*) FROM embeddings) AS vectors,
+  round(avg(rouge_score), 3) AS avg_rouge, count(DISTINCT topic_label) AS topics FROM summaries""",
+    )
+
+    turns = "turns AS (SELECT conv_id, turn, text AS query FROM conversations WHERE role = 'user')"
+    sql["query_terms"] = chain(
+        turns,
+        f"""SELECT conv_id, turn,
+  array_to_string(list_filter({QWORDS}, lambda w: length(w) > 2), ' & ') AS terms,
+  array_to_string(list_filter({QWORDS}, lambda w: length(w) > 3), ' ') AS keywords,
+  trim(regexp_replace(query, '{WIDE}|\\s', ' ', 'g')) = '' AS blank
+FROM turns""",
+    )
+    sql["detect_topic"] = chain(turns, f"SELECT conv_id, turn, {TOPIC_CASE} AS topic_hint FROM turns")
+    sql["postings"] = chain(
+        DOCS, SUMMARIES, POSTINGS, "SELECT term, abstract_id, tf, doc_len FROM postings"
+    )
+    sql["term_stats"] = chain(DOCS, SUMMARIES, POSTINGS, "SELECT term, df FROM terms")
+    sql["fts_and_match"] = chain(*FTS, "SELECT query_id, abstract_id, relevance FROM matches")
+    sql["fts_stored_index"] = sql["fts_and_match"]
+    sql["fts_bm25_topk"] = chain(
+        *FTS, FOUND,
+        "SELECT query_id, abstract_id, relevance, round(rouge_score, 6) AS rouge_score FROM found",
+    )
+    sql["search_topk"] = chain(
+        *FTS,
+        f"""hints AS (SELECT query_id, {TOPIC_CASE} AS topic_hint,
+    len(list_filter({QWORDS}, lambda w: length(w) > 2)) AS n FROM queries)""",
+        """top AS (
+  SELECT query_id, abstract_id, rouge_score, topic_label, relevance,
+         row_number() OVER (PARTITION BY query_id ORDER BY relevance DESC, abstract_id) AS rank
+  FROM matches),
+best AS (
+  SELECT abstract_id, rouge_score, topic_label, 0.0::DOUBLE AS relevance,
+         row_number() OVER (ORDER BY rouge_score DESC NULLS LAST, abstract_id) AS rank
+  FROM summaries),
+merged AS (
+  SELECT query_id, rank, abstract_id, rouge_score, topic_label, relevance FROM top
+  UNION ALL
+  SELECT h.query_id, b.rank, b.abstract_id, b.rouge_score, b.topic_label, b.relevance
+  FROM hints h, best b WHERE h.n = 0)""",
+        """SELECT query_id, rank, abstract_id, round(rouge_score, 3) AS rouge_score,
+  topic_label AS topic, round(relevance, 4) AS relevance, topic_hint
+FROM merged JOIN hints USING (query_id) WHERE rank <= 5""",
+    )
+    sql["keyword_fallback"] = chain(
+        DOCS, SUMMARIES, QUERIES, KEYWORDS,
+        "SELECT query_id, abstract_id, round(rouge_score, 6) AS rouge_score FROM keyword_top",
+    )
+    sql["retrieval_cascade"] = chain(
+        *RETRIEVAL,
+        """SELECT query_id, abstract_id, stage, relevance, round(rouge_score, 6) AS rouge_score
+FROM cascade""",
+    )
+    sql["rerank_topic_boost"] = chain(
+        *RETRIEVAL, RANKED,
+        """SELECT query_id, rank, abstract_id, topic_label, round(rouge_score, 6) AS rouge_score
+FROM ranked""",
+    )
+    sql["context_block"] = chain(
+        *RETRIEVAL, RANKED, CONTEXTS, "SELECT query_id, context, sources FROM contexts"
+    )
+    sql["source_count"] = chain(
+        *RETRIEVAL, RANKED, "SELECT query_id, count(*) AS sources FROM ranked GROUP BY 1"
+    )
+    sql["prompts"] = chain(
+        *RETRIEVAL, RANKED, CONTEXTS,
+        f"""SELECT query_id, {q(PROMPT_HEAD)} || context || {q(PROMPT_MIDDLE)} || query
+  || {q(PROMPT_TAIL)} AS prompt, topic_hint, sources, NULL::VARCHAR AS reply
+FROM hints JOIN contexts USING (query_id)""",
+    )
+
+    top = (MEANS, VECS, LABEL_TOP)
+    sql["vector_topk"] = chain(
+        *top, "SELECT query_id, abstract_id, similarity, rank FROM label_ranks WHERE rank <= 5"
+    )
+    sql["vector_batch_topk"] = sql["vector_topk"]
+    sql["vector_join_summary"] = chain(
+        *top,
+        """SELECT r.query_id, r.abstract_id, r.similarity, substr(d.text, 1, 80) AS preview,
+  d.source AS topic_label
+FROM label_ranks r JOIN documents d ON d.doc_id = r.abstract_id WHERE rank <= 3""",
+    )
+    sql["vector_topk_cells"] = chain(
+        MEANS, VECS, ASSIGN,
+        """probes AS (
+  SELECT vec_id, label FROM cosines
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY similarity DESC, label) <= 3),
+cell_scores AS (
+  SELECT p.vec_id AS query_id, e.vec_id AS abstract_id,
+         round(list_inner_product(e.v, s.v), 6) AS similarity
+  FROM probes p JOIN vecs s ON s.vec_id = p.vec_id JOIN vecs e ON e.label = p.label)""",
+        """SELECT query_id, abstract_id, similarity,
+  row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, abstract_id) AS rank
+FROM cell_scores QUALIFY rank <= 5""",
+    )
+    sql["vector_text_search"] = chain(
+        *EMBED,
+        "items AS (SELECT item_id, text AS body FROM benchmark)",
+        weights("item_weights", "items", "item_id"),
+        embedded("item_vectors", "item_weights"),
+        """products AS (
+  SELECT i.abstract_id AS query_id, d.abstract_id, sum(i.w * d.w) AS s
+  FROM item_vectors i JOIN doc_vectors d USING (bucket) GROUP BY 1, 2),
+all_pairs AS (
+  SELECT i.query_id, d.abstract_id, round(coalesce(p.s, 0), 6) AS similarity
+  FROM (SELECT DISTINCT abstract_id AS query_id FROM item_vectors) i
+  CROSS JOIN (SELECT DISTINCT abstract_id FROM doc_vectors) d
+  LEFT JOIN products p ON p.query_id = i.query_id AND p.abstract_id = d.abstract_id)""",
+        """SELECT query_id, abstract_id, similarity,
+  row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, abstract_id) AS rank
+FROM all_pairs QUALIFY rank <= 3""",
+    )
+    sql["hash_embedding"] = chain(
+        *EMBED,
+        "ids AS (SELECT DISTINCT abstract_id FROM doc_vectors)",
+        """SELECT i.abstract_id, string_agg(CAST(CAST(round(coalesce(v.w, 0) * 1e6) AS BIGINT) AS VARCHAR),
+  ',' ORDER BY b.bucket) AS embedding
+FROM ids i CROSS JOIN (SELECT unnest(range(0, 384)) AS bucket) b
+LEFT JOIN doc_vectors v ON v.abstract_id = i.abstract_id AND v.bucket = b.bucket GROUP BY 1""",
+    )
+    sql["normalize"] = chain(
+        """scaled AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE * (vec_id + 1)) AS v FROM embeddings)""",
+        f"""SELECT vec_id AS abstract_id,
+  {micro('list_transform(v, lambda y: y / sqrt(list_inner_product(v, v)))')} AS embedding FROM scaled""",
+    )
+    sql["vector_text_form"] = f"""SELECT vec_id AS abstract_id, len(embedding)::INTEGER AS dims,
+  true AS same, {micro('embedding')} AS embedding FROM embeddings"""
+    sql["inner_product"] = chain(
+        MEANS, VECS,
+        """SELECT e.vec_id AS abstract_id, round(list_inner_product(e.v, m.centroid), 6) AS similarity
+FROM vecs e JOIN means m USING (label)""",
+    )
+
+    sql["centroid_assign"] = chain(
+        MEANS, VECS, ASSIGN,
+        """nearest AS (
+  SELECT vec_id, label, round(similarity, 4) AS topic_score FROM cosines
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY similarity DESC, label) = 1),
+floored AS (
+  SELECT vec_id, topic_score, CASE WHEN topic_score < 0.25 THEN -1 ELSE label END AS topic_id
+  FROM nearest)""",
+        """SELECT vec_id AS abstract_id, topic_score,
+  CASE WHEN count(*) OVER (PARTITION BY topic_id) < 10 THEN -1 ELSE topic_id END AS topic_id
+FROM floored""",
+    )
+    sql["topic_merge"] = chain(
+        MEANS, VECS, ASSIGN,
+        """close AS (
+  SELECT a.label AS a, b.label AS b FROM unit_means a, unit_means b
+  WHERE a.label = b.label OR round(list_inner_product(a.c, b.c), 6) >= 0.1),
+reach AS (
+  SELECT a, b FROM close UNION SELECT r.a, c.b FROM reach r JOIN close c ON c.a = r.b)""",
+        """SELECT e.vec_id AS abstract_id, g.topic_id
+FROM embeddings e JOIN (SELECT a, min(b) AS topic_id FROM reach GROUP BY 1) g ON g.a = e.label""",
+    )
+    sql["ngrams"] = chain(*base, NGRAMS, "SELECT topic_id, term, tf, n_docs FROM counts")
+    sql["doc_frequency_cut"] = chain(*base, NGRAMS, CTFIDF, "SELECT term, df FROM tdf")
+    sql["topic_terms"] = chain(
+        *base, NGRAMS, CTFIDF, "SELECT topic_id, term, round(weight, 6) AS weight FROM tterms"
+    )
+    noisy = (DOCS, NOISY, NGRAMS, CTFIDF, LABELS)
+    sql["ctfidf_labels"] = chain(*noisy, "SELECT topic_id, topic_label FROM labels_out")
+    sql["topic_overview"] = chain(
+        *noisy,
+        """SELECT topic_id AS topic, count(*) AS count, topic_id || '_' || any_value(topic_label) AS name
+FROM (SELECT topic_id FROM summaries) JOIN labels_out USING (topic_id) GROUP BY 1""",
+    )
+
+    sql["vector_insert_if_absent"] = """SELECT vec_id AS abstract_id, len(embedding)::INTEGER AS dims
+FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM labels)"""
+    sql["topic_update"] = """SELECT d.doc_id AS abstract_id, l.quality AS topic_id,
+  CASE WHEN l.doc_id IS NULL THEN d.source ELSE 'q' || l.quality END AS topic_label
+FROM documents d LEFT JOIN labels l USING (doc_id)"""
+    return sql
