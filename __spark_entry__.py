@@ -29,7 +29,7 @@ from glosswork.operators import (  # noqa: E402
     upsert,
     vector_search as vs,
 )
-from glosswork.session import staging_root  # noqa: E402
+from glosswork.session import stage, staging_root  # noqa: E402
 from glosswork.streaming.ingest_stream import append_new, start_ingest  # noqa: E402
 from oracles import oracle_sql  # noqa: E402,F401
 
@@ -277,16 +277,20 @@ def term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fulltext.build_index(_summaries(spark, sf_dir)).terms
 
 
-def _stored_index(spark: SparkSession, sf_dir: str) -> fulltext.TermIndex:
+def _stored(
+    spark: SparkSession, sf_dir: str, stemmed: bool = False
+) -> tuple[DataFrame, fulltext.TermIndex]:
+    """The summaries and their index as written tables."""
     path = staging_root(spark) + f"/index-{os.urandom(8).hex()}"
-    fulltext.write_index(fulltext.build_index(_summaries(spark, sf_dir)), path)
-    return fulltext.read_index(spark, path)
+    docs = stage(_summaries(spark, sf_dir), "docs")
+    fulltext.write_index(fulltext.build_index(docs, stemmed), path, 8, 2)
+    return docs, fulltext.read_index(spark, path)
 
 
 def fts_stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-terms match on an index written to and read from Parquet."""
     terms = fulltext.analyzed_terms(_queries(spark, sf_dir))
-    return fulltext.match_all_terms(_stored_index(spark, sf_dir), terms)
+    return fulltext.match_all_terms(_stored(spark, sf_dir)[1], terms)
 
 
 def fts_and_match(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,19 +318,20 @@ def search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyword_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = fulltext.keyword_candidates(_summaries(spark, sf_dir), _queries(spark, sf_dir))
+    docs = stage(_summaries(spark, sf_dir), "docs")
+    hits = fulltext.keyword_candidates(docs, _queries(spark, sf_dir))
     return hits.select("query_id", "abstract_id", _r6("rouge_score"))
 
 
 def retrieval_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = retrieval.retrieval_cascade(_summaries(spark, sf_dir), _queries(spark, sf_dir))
+    docs, index = _stored(spark, sf_dir)
+    hits = retrieval.retrieval_cascade(docs, _queries(spark, sf_dir), index)
     return hits.select("query_id", "abstract_id", "stage", "relevance", _r6("rouge_score"))
 
 
 def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.retrieve(
-        _summaries(spark, sf_dir), _queries(spark, sf_dir), topic_map=TOPIC_MAP
-    )
+    docs, index = _stored(spark, sf_dir)
+    return retrieval.retrieve(docs, _queries(spark, sf_dir), index, TOPIC_MAP)
 
 
 def rerank_topic_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,9 +349,8 @@ def source_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.build_prompts(
-        _summaries(spark, sf_dir), _queries(spark, sf_dir), topic_map=TOPIC_MAP
-    )
+    docs, index = _stored(spark, sf_dir)
+    return retrieval.build_prompts(docs, _queries(spark, sf_dir), index, TOPIC_MAP)
 
 
 # --- vectors ----------------------------------------------------------------------
@@ -389,7 +393,7 @@ def vector_join_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vector_text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark texts embedded and matched with the embedded documents."""
     docs = _docs(spark, sf_dir).withColumnRenamed("abstract", "summary")
-    idf = embed.bucket_idf(embed.bucket_weights(docs))
+    idf = embed.bucket_idf(embed.bucket_weights(docs), docs)
     vectors = embed.hash_embedding(docs, idf=idf)
     items = _table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("abstract_id"), F.col("text").alias("summary")

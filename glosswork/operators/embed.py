@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from glosswork.fixed_values import EMBED_DIM
 from glosswork.functions.text import is_stop_word, tokens
-from glosswork.functions.vectors import l2_normalize
 
 
 def term_bucket_and_sign(term: Column, dim: int) -> tuple[Column, Column]:
@@ -37,9 +36,9 @@ def bucket_weights(docs: DataFrame, dim: int = EMBED_DIM) -> DataFrame:
     )
 
 
-def bucket_idf(weights: DataFrame) -> DataFrame:
+def bucket_idf(weights: DataFrame, docs: DataFrame) -> DataFrame:
     """Inverse document frequency per vector position: ``dim`` rows at most."""
-    n_docs = weights.agg(F.count_distinct("abstract_id").alias("n")).scalar()
+    n_docs = docs.agg(F.count("*").alias("n")).scalar()
     return weights.groupBy("bucket").agg(F.count("*").alias("df")).select(
         "bucket", (F.ln((1 + n_docs) / (1 + F.col("df"))) + 1).alias("idf")
     )
@@ -47,27 +46,32 @@ def bucket_idf(weights: DataFrame) -> DataFrame:
 
 def dense_vectors(weights: DataFrame, idf: DataFrame, dim: int = EMBED_DIM) -> DataFrame:
     """Unit vectors from position weights: ``abstract_id, embedding``."""
-    filled = F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda i: F.coalesce(F.try_element_at(F.col("cells"), i), F.lit(0.0)),
+    cells = F.sort_array(F.collect_list(F.struct("bucket", "w")))
+    # The positions are sorted; each value follows the zeros before it.
+    buckets = F.transform(F.col("cells"), lambda c: c["bucket"])
+    before = F.concat(F.array(F.lit(-1)), buckets)
+    zero = F.lit(0.0)
+    value = lambda c: F.when(F.col("norm") == 0, zero).otherwise(c["w"] / F.col("norm"))
+    runs = F.zip_with(
+        F.col("cells"),
+        F.slice(before, 1, F.size("cells")),
+        lambda c, p: F.concat(F.array_repeat(zero, c["bucket"] - p - 1), F.array(value(c))),
     )
-    cells = F.map_from_entries(
-        F.collect_list(F.struct("bucket", (F.col("tf") * F.col("idf")).alias("w")))
-    )
-    # At most dim rows, whatever the corpus.
+    tail = F.array_repeat(zero, dim - 1 - F.element_at("cells", -1)["bucket"])
+    # The broadcast side has at most dim rows, whatever the corpus.
     return (
         weights.join(F.broadcast(idf), "bucket")
+        .withColumn("w", F.col("tf") * F.col("idf"))
         .groupBy("abstract_id")
-        .agg(cells.alias("cells"))
-        .select("abstract_id", filled.alias("embedding"))
-        .withColumn("embedding", l2_normalize(F.col("embedding")))
+        .agg(cells.alias("cells"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+        .select("abstract_id", F.concat(F.flatten(runs), tail).alias("embedding"))
     )
 
 
 def hash_embedding(docs: DataFrame, dim: int = EMBED_DIM, idf: DataFrame | None = None) -> DataFrame:
     """Embed ``abstract_id, summary``; pass the corpus ``idf`` to embed queries."""
     weights = bucket_weights(docs, dim)
-    return dense_vectors(weights, bucket_idf(weights) if idf is None else idf, dim)
+    return dense_vectors(weights, bucket_idf(weights, docs) if idf is None else idf, dim)
 
 
 def model_embedding(

@@ -18,6 +18,7 @@ from glosswork.functions.text import (
     query_terms,
     tokens,
 )
+from glosswork.session import stage
 
 TERM_BUCKETS = 64
 FILES_PER_BUCKET = 8
@@ -30,6 +31,11 @@ class TermIndex:
     postings: DataFrame  # term, abstract_id, tf, doc_len
     terms: DataFrame  # term, df
     totals: DataFrame  # one row: n_docs, mean_len
+    words: DataFrame  # term, abstract_id, rouge_score: whole words, stop words too
+
+
+def document_frequencies(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("term").agg(F.count("*").alias("df"))
 
 
 def build_index(docs: DataFrame, stemmed: bool = False) -> TermIndex:
@@ -53,39 +59,47 @@ def build_index(docs: DataFrame, stemmed: bool = False) -> TermIndex:
     )
     return TermIndex(
         postings,
-        postings.groupBy("term").agg(F.count("*").alias("df")),
+        document_frequencies(postings),
         words.agg(F.count("*").alias("n_docs"), F.avg(F.size("words")).alias("mean_len")),
+        doc_words(docs),
     )
 
 
-def term_bucket(term: Column) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
+def term_bucket(term: Column, buckets: Column) -> Column:
+    return F.pmod(F.xxhash64(term), buckets).cast("int")
 
 
-def write_index(index: TermIndex, path: str) -> None:
+def write_index(
+    index: TermIndex,
+    path: str,
+    buckets: int = TERM_BUCKETS,
+    files_per_bucket: int = FILES_PER_BUCKET,
+) -> None:
     """Store the index; a term's postings are spread over several files.
 
     The salt in the shuffle key keeps a term that occurs in a third of the
     documents from landing in one task.
     """
-    salt = F.pmod(F.xxhash64("abstract_id"), F.lit(FILES_PER_BUCKET))
-    (
-        index.postings.withColumn("term_bucket", term_bucket(F.col("term")))
-        .repartition(F.col("term_bucket"), salt)
-        .sortWithinPartitions("term_bucket", "term")
-        .write.mode("overwrite")
-        .partitionBy("term_bucket")
-        .parquet(f"{path}/postings")
-    )
-    index.terms.write.mode("overwrite").parquet(f"{path}/terms")
-    index.totals.write.mode("overwrite").parquet(f"{path}/totals")
+    salt = F.pmod(F.xxhash64("abstract_id"), F.lit(files_per_bucket))
+    bucket = term_bucket(F.col("term"), F.lit(buckets))
+    for name, rows in (("postings", index.postings), ("words", index.words)):
+        (
+            rows.withColumn("term_bucket", bucket)
+            .repartition(F.col("term_bucket"), salt)
+            .sortWithinPartitions("term_bucket", "term")
+            .write.mode("overwrite")
+            .partitionBy("term_bucket")
+            .parquet(f"{path}/{name}")
+        )
+    written = index.postings.sparkSession.read.parquet(f"{path}/postings")
+    document_frequencies(written).write.mode("overwrite").parquet(f"{path}/terms")
+    totals = index.totals.withColumn("buckets", F.lit(buckets))
+    totals.write.mode("overwrite").parquet(f"{path}/totals")
 
 
 def read_index(spark: SparkSession, path: str) -> TermIndex:
-    postings = spark.read.parquet(f"{path}/postings")
-    return TermIndex(
-        postings, spark.read.parquet(f"{path}/terms"), spark.read.parquet(f"{path}/totals")
-    )
+    parts = ("postings", "terms", "totals", "words")
+    return TermIndex(*[spark.read.parquet(f"{path}/{part}") for part in parts])
 
 
 def analyzed_terms(queries: DataFrame, stemmed: bool = False) -> DataFrame:
@@ -124,7 +138,8 @@ def match_all_terms(index: TermIndex, terms: DataFrame) -> DataFrame:
     part = bm25(F.col("tf"), F.col("df"), F.col("doc_len"), n_docs, mean_len)
     postings = index.postings
     if "term_bucket" in postings.columns:
-        found = found.withColumn("term_bucket", term_bucket(F.col("term")))
+        buckets = index.totals.select("buckets").scalar()
+        found = found.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
     keys = [c for c in ("term_bucket", "term") if c in postings.columns]
     return (
         postings.join(found, keys)
@@ -172,6 +187,16 @@ def _grams(term: Column) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.substring(term, i, F.lit(width))))
 
 
+def doc_words(docs: DataFrame) -> DataFrame:
+    """Distinct words of each document, stop words too: ``term, abstract_id,
+    rouge_score``."""
+    return docs.select(
+        F.explode(F.array_distinct(tokens(F.col("summary")))).alias("term"),
+        "abstract_id",
+        "rouge_score",
+    ).filter(F.length("term") >= KEYWORD_MIN_LENGTH)
+
+
 def keyword_terms(vocabulary: DataFrame, queries: DataFrame) -> DataFrame:
     """Distinct ``query_id, term``: vocabulary words that contain a keyword.
 
@@ -182,9 +207,8 @@ def keyword_terms(vocabulary: DataFrame, queries: DataFrame) -> DataFrame:
     keywords = queries.select(
         "query_id", F.explode(F.array_distinct(fallback_keywords(F.col("query")))).alias("keyword")
     ).withColumn("gram", F.substring("keyword", 1, KEYWORD_MIN_LENGTH))
-    long_words = vocabulary.filter(F.length("term") >= KEYWORD_MIN_LENGTH)
     return (
-        long_words.select("term", F.explode(_grams(F.col("term"))).alias("gram"))
+        vocabulary.select("term", F.explode(_grams(F.col("term"))).alias("gram"))
         .join(keywords, "gram")
         .filter(F.contains(F.col("term"), F.col("keyword")))
         .select("query_id", "term")
@@ -192,16 +216,15 @@ def keyword_terms(vocabulary: DataFrame, queries: DataFrame) -> DataFrame:
     )
 
 
-def keyword_matches(docs: DataFrame, queries: DataFrame) -> DataFrame:
+def keyword_matches(words: DataFrame, queries: DataFrame) -> DataFrame:
     """Documents that contain any fallback keyword of a query, any case."""
-    doc_terms = docs.select(
-        "abstract_id", F.explode(F.array_distinct(tokens(F.col("summary")))).alias("term")
-    )
-    wanted = keyword_terms(doc_terms.select("term").distinct(), queries)
-    return doc_terms.join(wanted, "term").select("query_id", "abstract_id").distinct()
+    wanted = keyword_terms(words.select("term").distinct(), queries)
+    return words.join(wanted, "term").select("query_id", "abstract_id", "rouge_score").distinct()
 
 
-def keyword_candidates(docs: DataFrame, queries: DataFrame, k: int = CANDIDATES) -> DataFrame:
+def keyword_candidates(
+    docs: DataFrame, queries: DataFrame, k: int = CANDIDATES, words: DataFrame | None = None
+) -> DataFrame:
     """Best ``k`` keyword matches per query by quality.
 
     Only quality orders the result, so the best documents are searched first:
@@ -209,18 +232,16 @@ def keyword_candidates(docs: DataFrame, queries: DataFrame, k: int = CANDIDATES)
     is searched for the others only. Frequent keywords, which would match most
     of the corpus, never leave the first band.
     """
-    quality = docs.select("rouge_score")
-    cut = quality.agg(F.percentile_approx("rouge_score", 0.95, 1000)).scalar()
+    words = words if words is not None else doc_words(docs)
+    cut = docs.agg(F.percentile_approx("rouge_score", 0.95, 1000)).scalar()
     in_band = F.coalesce(F.col("rouge_score") >= cut, F.lit(False))
-    scores = docs.select("abstract_id", "rouge_score")
 
     def best(part: DataFrame, asked: DataFrame) -> DataFrame:
-        hits = keyword_matches(part, asked).join(scores, "abstract_id")
-        return first_per_query(hits, k, *by_quality()).drop("rank")
+        return first_per_query(keyword_matches(part, asked), k, *by_quality()).drop("rank")
 
-    band = best(docs.filter(in_band), queries)
+    band = stage(best(words.filter(in_band), queries), "band")
     done = band.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= k)
-    rest = best(docs.filter(~in_band), queries.join(done, "query_id", "left_anti"))
+    rest = best(words.filter(~in_band), queries.join(done, "query_id", "left_anti"))
     return first_per_query(band.unionByName(rest), k, *by_quality()).drop("rank")
 
 

@@ -17,8 +17,14 @@ def normalize_corpus(df: DataFrame, text_column: str = "content") -> DataFrame:
 
 
 def with_content_id(df: DataFrame) -> DataFrame:
-    """Drop NULL texts and add the content hash as ``abstract_id``."""
-    return df.na.drop(subset=["abstract"]).withColumn("abstract_id", content_id(F.col("abstract")))
+    """Drop NULL texts and add the content hash as ``abstract_id``.
+
+    The filter on the id drops nothing more. It is the one a join on the id
+    would add to one of its sides, and lets both sides share a shuffle.
+    """
+    rows = df.na.drop(subset=["abstract"])
+    rows = rows.withColumn("abstract_id", content_id(F.col("abstract")))
+    return rows.filter(F.col("abstract_id").isNotNull())
 
 
 def distinct_documents(

@@ -32,6 +32,7 @@ from glosswork.operators.fulltext import (
     analyzed_terms,
     quality_top,
 )
+from glosswork.session import stage
 
 TopicMap = Sequence[tuple[str, str]]
 
@@ -52,21 +53,23 @@ def retrieval_cascade(
     """Hits per query: full text, then keywords, then best quality.
 
     A later stage runs only for queries still under four hits, and adds only
-    documents not found before. Returns ``query_id, abstract_id, stage,
+    documents not found before. The hits of a stage, a few rows per query, are
+    staged for the next. Returns ``query_id, abstract_id, stage,
     relevance, rouge_score``.
     """
     columns = ["query_id", "abstract_id", "stage", "relevance", "rouge_score"]
     key = ["query_id", "abstract_id"]
     index = index or build_index(docs, stemmed)
     found = fulltext_candidates(index, docs, queries, CANDIDATES, stemmed)
-    found = found.withColumn("stage", F.lit(1)).select(columns)
+    found = stage(found.withColumn("stage", F.lit(1)).select(columns), "found")
 
     short = _short_of_hits(queries, found)
-    by_keyword = keyword_candidates(docs, short).join(found.select(key), key, "left_anti")
+    by_keyword = keyword_candidates(docs, short, words=index.words)
+    by_keyword = by_keyword.join(found.select(key), key, "left_anti")
     by_keyword = by_keyword.withColumns(
         {"stage": F.lit(2), "relevance": F.lit(KEYWORD_RELEVANCE)}
     ).select(columns)
-    found = found.unionByName(by_keyword)
+    found = found.unionByName(stage(by_keyword, "keyword"))
 
     short = _short_of_hits(queries, found)
     best = quality_top(docs.select("abstract_id", "rouge_score"), TOP_K)
@@ -107,7 +110,7 @@ def retrieve(
 def context_blocks(ranked: DataFrame) -> DataFrame:
     """One text per query: the ranked rows joined by a blank line."""
     line = context_line(F.col("topic_label"), F.col("rouge_score"), F.col("summary"))
-    lines = F.array_sort(F.collect_list(F.struct("rank", line.alias("line"))))
+    lines = F.sort_array(F.collect_list(F.struct("rank", line.alias("line"))))
     return ranked.groupBy("query_id").agg(
         F.array_join(F.transform(lines, lambda x: x["line"]), "\n\n").alias("context"),
         F.count("*").alias("sources"),

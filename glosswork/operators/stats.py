@@ -49,7 +49,7 @@ def corpus_stats(summaries: DataFrame, vectors: DataFrame) -> DataFrame:
     out = per_topic.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
         F.coalesce(mean, F.lit(0.0)).alias("avg_rouge"),
-        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("topics"),
+        F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("topics"),
     )
     return out.select("count", "avg_rouge", vector_count(vectors).alias("vectors"), "topics")
 

@@ -48,7 +48,7 @@ def _fill(ranked: Column, budget: int) -> Column:
         )
         return F.when(total <= budget, taken).otherwise(acc)
 
-    return F.array_sort(F.aggregate(ranked, start, add, lambda acc: acc["picks"]))
+    return F.aggregate(ranked, start, add, lambda acc: acc["picks"])
 
 
 def extractive_summary(docs: DataFrame, max_words: int = SUMMARY_MAX_WORDS) -> DataFrame:
@@ -57,7 +57,7 @@ def extractive_summary(docs: DataFrame, max_words: int = SUMMARY_MAX_WORDS) -> D
     A segment has at most 40 words, so the summary has at least 60 words
     wherever the text has. ``docs`` needs unique ids.
     """
-    ranked = F.array_sort(
+    ranked = F.sort_array(
         F.collect_list(F.struct((-F.col("score")).alias("order"), "pos", "words"))
     )
     picks = (
@@ -66,13 +66,13 @@ def extractive_summary(docs: DataFrame, max_words: int = SUMMARY_MAX_WORDS) -> D
         .agg(ranked.alias("ranked"))
         .select("abstract_id", _fill(F.col("ranked"), max_words).alias("picks"))
     )
-    parts = segments(F.col("abstract"))
-    chosen = F.array_join(F.transform(F.col("picks"), lambda p: F.get(F.col("_parts"), p)), " ")
+    chosen = F.filter(
+        segments(F.col("abstract")), lambda s, i: F.array_contains(F.col("picks"), i)
+    )
     return (
         docs.join(picks, "abstract_id", "left")
-        .withColumn("_parts", parts)
-        .withColumn("summary", F.coalesce(chosen, F.lit("")))
-        .drop("_parts", "picks")
+        .withColumn("summary", F.coalesce(F.array_join(chosen, " "), F.lit("")))
+        .drop("picks")
     )
 
 

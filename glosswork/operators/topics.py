@@ -159,7 +159,7 @@ def top_words(terms: DataFrame, n: int = LABEL_WORDS) -> DataFrame:
     """
     order = Window.partitionBy("topic_id").orderBy(F.desc(F.round("weight", 9)), F.asc("term"))
     ranked = terms.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "term")))
+    ordered = F.sort_array(F.collect_list(F.struct("rank", "term")))
     return ranked.groupBy("topic_id").agg(F.transform(ordered, lambda t: t["term"]).alias("words"))
 
 

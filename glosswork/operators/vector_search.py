@@ -270,5 +270,5 @@ def mean_vectors(vectors: DataFrame, group: str) -> DataFrame:
     """Mean vector per group, summed position by position."""
     parts = vectors.select(group, F.posexplode("embedding").alias("pos", "x"))
     means = parts.groupBy(group, "pos").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "x")))
+    ordered = F.sort_array(F.collect_list(F.struct("pos", "x")))
     return means.groupBy(group).agg(F.transform(ordered, lambda p: p["x"]).alias("centroid"))

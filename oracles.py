@@ -265,7 +265,7 @@ EMBED = (
     """idf AS (
   SELECT bucket, ln((1 + n)::DOUBLE / (1 + df)::DOUBLE) + 1 AS idf
   FROM (SELECT bucket, count(*) AS df FROM doc_weights GROUP BY 1),
-       (SELECT count(DISTINCT abstract_id) AS n FROM doc_weights))""",
+       (SELECT count(*) AS n FROM docs))""",
     embedded("doc_vectors", "doc_weights"),
 )
 
