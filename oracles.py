@@ -11,6 +11,7 @@ from glosswork.fixed_values import (
     STOP_WORDS,
     TOPIC_KEYWORDS,
 )
+from glosswork.functions.stemming import IRREGULAR, STEP_2, STEP_3, STEP_4
 from glosswork.functions.text import SEGMENT
 
 SEG = SEGMENT.replace("\\n", "\n")
@@ -316,6 +317,117 @@ cosines AS (
   FROM unit u, unit_means m)"""
 
 
+# Porter stemming as SQL, one CTE per step, over the distinct words in ``vocab``.
+C, V = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
+# A first y is a consonant.
+START = f"^({C}[aeiouy]|[aeiou])[aeiou]*"
+M0, M1 = f"{START}{C}", f"{START}{C}{V}{C}"
+M_IS_1 = f"{START}{C}({V})?$"
+HAS_VOWEL = START
+SHORT_END = f"^{C}[aeiouy][^aeiouwxy]$|^[aeiou][^aeiou]$"
+
+
+def rest(n: int) -> str:
+    return f"left(w, length(w) - {n})"
+
+
+def has(text: str, pattern: str) -> str:
+    return f"regexp_matches({text}, '{pattern}')"
+
+
+def swaps(rules: list[tuple[str, str]], pattern: str, tail: str = "") -> str:
+    cases = [
+        f"WHEN ends_with(w, '{suffix}') THEN CASE WHEN {has(rest(len(suffix)), pattern)}"
+        f" THEN {rest(len(suffix))} || '{new}' ELSE w END"
+        for suffix, new in rules
+    ]
+    return "CASE " + " ".join(cases) + f" {tail} ELSE w END"
+
+
+STEP_2A = swaps(STEP_2, M0, f"WHEN ends_with(w, 'logi') AND {has(rest(3), M0)} THEN {rest(1)}")
+STEP_4A = "CASE " + " ".join(
+    f"WHEN ends_with(w, '{x}')"
+    + (f" AND {has(rest(3), '[st]$')}" if x == "ion" else "")
+    + f" THEN CASE WHEN {has(rest(len(x)), M1)} THEN {rest(len(x))} ELSE w END"
+    for x in STEP_4
+) + " ELSE w END"
+STEMS = f"""step1a AS (
+  SELECT term, CASE
+    WHEN ends_with(term, 'sses') THEN left(term, length(term) - 2)
+    WHEN ends_with(term, 'ies') THEN left(term, length(term) - CASE WHEN length(term) = 4 THEN 1 ELSE 2 END)
+    WHEN ends_with(term, 's') AND NOT ends_with(term, 'ss') THEN left(term, length(term) - 1)
+    ELSE term END AS w FROM vocab),
+step1b AS (
+  SELECT term, CASE WHEN ending = '' THEN w ELSE CASE
+    WHEN ending = 'ied' THEN left(w, length(w) - CASE WHEN length(w) = 4 THEN 1 ELSE 2 END)
+    WHEN ending = 'eed' THEN CASE WHEN {has(rest(3), M0)} THEN {rest(1)} ELSE w END
+    WHEN NOT {has('r', HAS_VOWEL)} THEN w
+    WHEN {has('r', '(at|bl|iz)$')} THEN r || 'e'
+    WHEN right(r, 1) = substr(r, -2, 1) AND length(r) > 1 AND r <> 'yy' AND {has('r', '[^aeiou]$')}
+      THEN CASE WHEN {has('r', '[lsz]$')} THEN r ELSE left(r, length(r) - 1) END
+    WHEN {has('r', M_IS_1)} AND {has('r', SHORT_END)} THEN r || 'e'
+    ELSE r END END AS w
+  FROM (SELECT *, CASE WHEN ending IN ('ed', 'ing') THEN left(w, length(w) - length(ending)) END AS r
+        FROM (SELECT *, regexp_extract(w, '(ied|eed|ed|ing)$', 1) AS ending FROM step1a))),
+step1c AS (
+  SELECT term, CASE WHEN length(w) > 2 AND {has('w', '[^aeiou]y$')} THEN {rest(1)} || 'i' ELSE w END AS w
+  FROM step1b),
+step2z AS (
+  SELECT term, CASE WHEN ends_with(w, 'alli') AND {has(rest(4), M0)} THEN {rest(2)} ELSE w END AS w
+  FROM step1c),
+step2 AS (SELECT term, {STEP_2A} AS w FROM step2z),
+step3 AS (SELECT term, {swaps(STEP_3, M0)} AS w FROM step2),
+step4 AS (SELECT term, {STEP_4A} AS w FROM step3),
+step5a AS (
+  SELECT term, CASE WHEN ends_with(w, 'e') AND ({has(rest(1), M1)}
+    OR ({has(rest(1), M_IS_1)} AND NOT {has(rest(1), SHORT_END)})) THEN {rest(1)} ELSE w END AS w
+  FROM step4),
+stems AS (
+  SELECT term, CASE {' '.join(f"WHEN term = '{a}' THEN '{b}'" for a, b in IRREGULAR.items())}
+    WHEN length(term) <= 2 THEN term
+    WHEN ends_with(w, 'll') AND {has(rest(1), M1)} THEN {rest(1)} ELSE w END AS stem
+  FROM step5a)"""
+
+STEMMED_FTS = (
+    DOCS,
+    SUMMARIES,
+    QUERIES,
+    f"""raw_terms AS (
+  SELECT abstract_id, n, unnest({words('summary')}) AS term FROM summaries),
+raw_qterms AS (SELECT query_id, unnest({QWORDS}) AS term FROM queries),
+vocab AS (SELECT term FROM raw_terms UNION SELECT term FROM raw_qterms)""",
+    STEMS,
+    f"""postings AS (
+  SELECT stem AS term, abstract_id, count(*)::INTEGER AS tf, any_value(n)::INTEGER AS doc_len
+  FROM raw_terms JOIN stems USING (term) WHERE term NOT IN ({STOPS}) GROUP BY 1, 2),
+terms AS (SELECT term, count(*) AS df FROM postings GROUP BY term),
+totals AS (SELECT count(*) AS n_docs, avg(n) AS mean_len FROM summaries),
+qterms AS (
+  SELECT DISTINCT query_id, stem AS term FROM raw_qterms JOIN stems USING (term)
+  WHERE length(term) > 2 AND term NOT IN ({STOPS}))""",
+    HITS,
+)
+
+
+def stemmed_list(side: str) -> str:
+    return f"""list_{side} AS (
+  SELECT conv_id, turn, list(CASE WHEN length(term) > 3 THEN stem ELSE term END ORDER BY i) AS {side}
+  FROM (SELECT conv_id, turn, i, {side}[i] AS term FROM surface, unnest(range(1, len({side}) + 1)) t(i))
+  JOIN stems USING (term) GROUP BY 1, 2)"""
+
+
+STEMMED_PAIRS = (
+    PAIRS.replace("pairs AS", "surface AS"),
+    "vocab AS (SELECT unnest(a) AS term FROM surface UNION SELECT unnest(b) FROM surface)",
+    STEMS,
+    stemmed_list("a"),
+    stemmed_list("b"),
+    """pairs AS (
+  SELECT s.conv_id, s.turn, coalesce(x.a, []) AS a, coalesce(y.b, []) AS b
+  FROM surface s LEFT JOIN list_a x USING (conv_id, turn) LEFT JOIN list_b y USING (conv_id, turn))""",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {}
     sql["corpus_scan"] = "SELECT doc_id, text AS abstract FROM documents"
@@ -356,6 +468,7 @@ FROM scored WHERE rouge_score::DOUBLE >= 0.15::DOUBLE""",
 FROM scored WHERE rouge_score::DOUBLE >= 0.15::DOUBLE GROUP BY 1, 2""",
     )
     sql["rouge_l_pairs"] = chain(PAIRS, LCS, LCS_RESULT)
+    sql["rouge_l_stemmed"] = chain(*STEMMED_PAIRS, LCS, LCS_RESULT)
 
     base = (DOCS, SUMMARIES)
     sql["corpus_stats"] = chain(
@@ -396,6 +509,7 @@ FROM turns""",
     )
     sql["term_stats"] = chain(DOCS, SUMMARIES, POSTINGS, "SELECT term, df FROM terms")
     sql["fts_and_match"] = chain(*FTS, "SELECT query_id, abstract_id, relevance FROM matches")
+    sql["fts_stemmed"] = chain(*STEMMED_FTS, "SELECT query_id, abstract_id, relevance FROM matches")
     sql["fts_stored_index"] = sql["fts_and_match"]
     sql["fts_bm25_topk"] = chain(
         *FTS, FOUND,
