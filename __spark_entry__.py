@@ -161,7 +161,7 @@ def ingest_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as a file stream into a table, started twice."""
     docs = _table(spark, sf_dir, "documents")
-    root = tempfile.mkdtemp(prefix="stream-", dir=staging_root(spark).removeprefix("file:"))
+    root = f"{staging_root(spark)}/stream-{os.urandom(8).hex()}"
     for _ in range(2):
         query = start_ingest(
             spark,

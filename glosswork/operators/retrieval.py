@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from glosswork.fixed_values import (
     BLANK_QUERY_REPLY,
@@ -171,10 +171,12 @@ def search(
 
     wordless = queries.filter(F.coalesce(F.size(query_terms(F.col("query"))), F.lit(0)) <= 0)
     best = quality_top(docs.select("abstract_id", "summary", "rouge_score", "topic_label"), k)
-    rank = F.row_number().over(Window.orderBy(*by_quality()))
-    rows = best.withColumn("rank", rank).withColumn("relevance", F.lit(0.0))
-    rows = rows.agg(F.collect_list(F.struct(*shown[1:]))).scalar()
-    fallback = wordless.select("query_id", F.explode(rows).alias("doc")).select("query_id", "doc.*")
+    worst = F.coalesce(-F.col("rouge_score").cast("double"), F.lit(float("inf")))
+    doc = F.struct(worst.alias("worst"), *best.columns)
+    rows = best.agg(F.sort_array(F.collect_list(doc))).scalar()
+    fallback = wordless.select("query_id", F.posexplode(rows).alias("pos", "doc")).select(
+        "query_id", "doc.*", (F.col("pos") + 1).alias("rank"), F.lit(0.0).alias("relevance")
+    )
     hints = route_topic(queries, topic_map).select("query_id", "topic_hint")
     return (
         ranked.unionByName(fallback.select(shown))

@@ -117,22 +117,29 @@ def _blocked(vectors: DataFrame, queries: DataFrame, out: T.StructType, k: int)
     Blocks are cut by a hash of the id inside each cell, so a cell with a third
     of all vectors becomes many blocks.
     """
+    def blocks(size: int) -> Column:
+        return F.ceil(F.count("*") / F.lit(size)).cast("int")
+
     if "cells" in queries.columns:
         queries = queries.withColumn("cell", F.explode("cells")).drop("cells")
-    else:
-        vectors = vectors.withColumn("cell", F.lit(0))
-        queries = queries.withColumn("cell", F.lit(0))
+        # One row per cell.
+        counts = vectors.groupBy("cell").agg(blocks(VECTOR_BLOCK).alias("nv")).join(
+            queries.groupBy("cell").agg(blocks(QUERY_BLOCK).alias("nq")), "cell"
+        )
 
-    def blocks(df: DataFrame, size: int, name: str) -> DataFrame:
-        n = F.ceil(F.count("*") / F.lit(size)).cast("int")
-        return df.groupBy("cell").agg(n.alias(name))
+        def with_counts(df: DataFrame) -> DataFrame:
+            return df.join(counts, "cell")
+
+    else:
+        nv = vectors.agg(blocks(VECTOR_BLOCK).alias("nv")).scalar()
+        nq = queries.agg(blocks(QUERY_BLOCK).alias("nq")).scalar()
 
-    # One row per cell.
-    counts = blocks(vectors, VECTOR_BLOCK, "nv").join(blocks(queries, QUERY_BLOCK, "nq"), "cell")
+        def with_counts(df: DataFrame) -> DataFrame:
+            return df.withColumns({"cell": F.lit(0), "nv": nv, "nq": nq})
 
     def cut(df: DataFrame, id_column: str, own: str, n_own: str, other: str, n_other: str):
         return (
-            df.join(counts, "cell")
+            with_counts(df)
             .withColumn(own, F.pmod(F.xxhash64(id_column), F.col(n_own)).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)))
             .drop("nv", "nq")
@@ -229,7 +236,8 @@ def nearest(vector: Column, centroids: list[list[float]], n: int, ids: list[int]
                 ]
             )
 
-    return rank(vector)
+    # Nondeterministic: a filter on the result must not run the function again.
+    return rank.asNondeterministic()(vector)
 
 
 def with_cell(vectors: DataFrame, centroids: list[list[float]], ids: list[int] | None = None) -> DataFrame:
