@@ -24,7 +24,7 @@ TOPICS = T.StructType(
 VECTORS = T.StructType(
     [
         T.StructField("abstract_id", T.StringType(), False),
-        T.StructField("embedding", T.ArrayType(T.FloatType(), False), False),
+        T.StructField("embedding", T.ArrayType(T.FloatType()), False),
     ]
 )
 REJECTED = T.StructType(
