@@ -43,6 +43,7 @@ TOPIC_MAP = TOPIC_KEYWORDS + [
     ("ment", "src7"),
 ]
 _shipped: set[str] = set()
+_written: dict[tuple[str, str, bool], tuple[DataFrame, fulltext.TermIndex]] = {}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -280,11 +281,14 @@ def term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stored(
     spark: SparkSession, sf_dir: str, stemmed: bool = False
 ) -> tuple[DataFrame, fulltext.TermIndex]:
-    """The summaries and their index as written tables."""
-    path = staging_root(spark) + f"/index-{os.urandom(8).hex()}"
-    docs = stage(_summaries(spark, sf_dir), "docs")
-    fulltext.write_index(fulltext.build_index(docs, stemmed), path, 8, 2)
-    return docs, fulltext.read_index(spark, path)
+    """The summaries and their index as written tables, once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, stemmed)
+    if key not in _written:
+        path = staging_root(spark) + f"/index-{os.urandom(8).hex()}"
+        docs = stage(_summaries(spark, sf_dir), "docs")
+        fulltext.write_index(fulltext.build_index(docs, stemmed), path, 8, 2)
+        _written[key] = docs, fulltext.read_index(spark, path)
+    return _written[key]
 
 
 def fts_stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,9 +316,9 @@ def fts_bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.search(
-        _summaries(spark, sf_dir), _queries(spark, sf_dir), topic_map=TOPIC_MAP
-    ).drop("summary")
+    docs, index = _stored(spark, sf_dir)
+    hits = retrieval.search(docs, _queries(spark, sf_dir), index=index, topic_map=TOPIC_MAP)
+    return hits.drop("summary")
 
 
 def keyword_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:

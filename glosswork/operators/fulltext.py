@@ -22,6 +22,8 @@ from glosswork.session import stage
 
 TERM_BUCKETS = 64
 FILES_PER_BUCKET = 8
+FIRST_BAND = 1000
+BAND_GROWTH = 30
 
 
 @dataclass
@@ -82,11 +84,13 @@ def write_index(
     """
     salt = F.pmod(F.xxhash64("abstract_id"), F.lit(files_per_bucket))
     bucket = term_bucket(F.col("term"), F.lit(buckets))
+    # Postings are read by term, words by quality.
+    orders = {"postings": F.asc("term"), "words": F.desc_nulls_last("rouge_score")}
     for name, rows in (("postings", index.postings), ("words", index.words)):
         (
             rows.withColumn("term_bucket", bucket)
             .repartition(F.col("term_bucket"), salt)
-            .sortWithinPartitions("term_bucket", "term")
+            .sortWithinPartitions("term_bucket", orders[name])
             .write.mode("overwrite")
             .partitionBy("term_bucket")
             .parquet(f"{path}/{name}")
@@ -217,9 +221,34 @@ def keyword_terms(vocabulary: DataFrame, queries: DataFrame) -> DataFrame:
 
 
 def keyword_matches(words: DataFrame, queries: DataFrame) -> DataFrame:
-    """Documents that contain any fallback keyword of a query, any case."""
+    """Documents that contain any fallback keyword of a query, any case; one row
+    per matching word."""
     wanted = keyword_terms(words.select("term").distinct(), queries)
-    return words.join(wanted, "term").select("query_id", "abstract_id", "rouge_score").distinct()
+    return words.join(wanted, "term").select("query_id", "abstract_id", "rouge_score")
+
+
+def quality_bands(docs: DataFrame, first: int = FIRST_BAND, growth: int = BAND_GROWTH) -> list[Column]:
+    """Filters that cut the documents by quality, best first.
+
+    The bands hold about ``first`` documents, then ``growth`` times as many as
+    before; the last one holds the rest. Together they hold every document.
+    """
+    n = docs.count()
+    sizes = []
+    while first < n:
+        sizes.append(first)
+        first *= growth
+    cuts = []
+    if sizes:
+        shares = [1 - size / n for size in sizes]
+        found = docs.agg(F.percentile_approx("rouge_score", shares, 10000)).first()[0]
+        cuts = sorted(set(found or []), reverse=True)
+    score = F.col("rouge_score")
+    bands, above = [], F.lit(False)
+    for cut in cuts:
+        bands.append((score >= cut) & ~above)
+        above = score >= cut
+    return bands + [~F.coalesce(above, F.lit(False))]
 
 
 def keyword_candidates(
@@ -227,22 +256,22 @@ def keyword_candidates(
 ) -> DataFrame:
     """Best ``k`` keyword matches per query by quality.
 
-    Only quality orders the result, so the best documents are searched first:
-    queries that find ``k`` matches there are done, and the rest of the corpus
-    is searched for the others only. Frequent keywords, which would match most
-    of the corpus, never leave the first band.
+    Only quality orders the result, so the corpus is searched from the best
+    documents down, and a query with ``k`` matches is done. A frequent keyword,
+    which would match most of the corpus, never leaves the first small band.
     """
     words = words if words is not None else doc_words(docs)
-    cut = docs.agg(F.percentile_approx("rouge_score", 0.95, 1000)).scalar()
-    in_band = F.coalesce(F.col("rouge_score") >= cut, F.lit(False))
-
-    def best(part: DataFrame, asked: DataFrame) -> DataFrame:
-        return first_per_query(keyword_matches(part, asked), k, *by_quality()).drop("rank")
-
-    band = stage(best(words.filter(in_band), queries), "band")
-    done = band.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= k)
-    rest = best(words.filter(~in_band), queries.join(done, "query_id", "left_anti"))
-    return first_per_query(band.unionByName(rest), k, *by_quality()).drop("rank")
+    best = F.dense_rank().over(Window.partitionBy("query_id").orderBy(*by_quality()))
+    found, asked = None, queries
+    for band in quality_bands(docs):
+        hits = keyword_matches(words.filter(band), asked)
+        # The dense rank counts documents, not rows, and is applied per task.
+        hits = hits.withColumn("rank", best).filter(F.col("rank") <= k).drop("rank").distinct()
+        hits = stage(hits, "band")
+        found = hits if found is None else found.unionByName(hits)
+        done = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= k)
+        asked = queries.join(done, "query_id", "left_anti")
+    return first_per_query(found, k, *by_quality()).drop("rank")
 
 
 def quality_top(docs: DataFrame, k: int) -> DataFrame:

@@ -230,3 +230,22 @@ def test_null_scores_sort_last(data):
     order = [r["rouge_score"] for r in fulltext.quality_top(docs.select("abstract_id", "rouge_score"), 60).collect()]
     assert order[-1] is None and order[0] == max(x for x in order if x is not None)
     assert docs.filter(F.col("rouge_score").isNull()).count() == 1
+
+
+def test_bands_hold_every_document_once(data):
+    docs, _ = data
+    bands = fulltext.quality_bands(docs, 5, 3)
+    assert len(bands) == 4
+    seen, lowest = [], None
+    for band in bands:
+        rows = docs.filter(band).collect()
+        seen += [r["abstract_id"] for r in rows]
+        scores = [r["rouge_score"] for r in rows if r["rouge_score"] is not None]
+        assert lowest is None or max(scores) < lowest
+        lowest = min(scores)
+    assert sorted(seen) == sorted(r[0] for r in ROWS)
+
+
+def test_keyword_candidates_over_many_bands(data, monkeypatch):
+    monkeypatch.setattr(fulltext.quality_bands, "__defaults__", (4, 3))
+    test_keyword_candidates(data)
