@@ -29,6 +29,7 @@ from glosswork.operators import (  # noqa: E402
     upsert,
     vector_search as vs,
 )
+from glosswork.plans import jobs  # noqa: E402
 from glosswork.session import stage, staging_root  # noqa: E402
 from glosswork.streaming.ingest_stream import append_new, start_ingest  # noqa: E402
 from oracles import oracle_sql  # noqa: E402,F401
@@ -225,6 +226,14 @@ def gate_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.gate_accounting(_scored(spark, sf_dir))
 
 
+def enrich_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of two runs of the enrich job over the documents."""
+    root = f"{staging_root(spark)}/store-{os.urandom(8).hex()}"
+    corpus = ingest.normalize_corpus(_table(spark, sf_dir, "documents"), "text")
+    first = jobs.enrich(spark, root, corpus).withColumn("run", F.lit(1))
+    return first.unionByName(jobs.enrich(spark, root, corpus).withColumn("run", F.lit(2)))
+
+
 def gated_topic_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents to gated summaries to count and mean score per source."""
     kept = quality.quality_gate(_scored(spark, sf_dir))
@@ -466,6 +475,17 @@ def topic_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.apply_merge(assigned, mapping)
 
 
+def topic_model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents enriched, embedded, grouped and labelled; the stored result."""
+    root = f"{staging_root(spark)}/store-{os.urandom(8).hex()}"
+    corpus = ingest.normalize_corpus(_table(spark, sf_dir, "documents"), "text")
+    jobs.enrich(spark, root, corpus)
+    jobs.model_topics(spark, root, 10)
+    return jobs.read_summaries(spark, root).select(
+        "abstract_id", "topic_id", "topic_label", "topic_score"
+    )
+
+
 def _topic_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summaries(spark, sf_dir).select("abstract_id", "topic_id", "summary")
 
@@ -528,13 +548,13 @@ def topic_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 _REGISTERED = [
     corpus_scan, content_ids, distinct_documents, incremental_new, ingest_accounting,
     ingest_stream, extractive_summary, rouge_scores, rouge_l_pairs, rouge_l_stemmed,
-    quality_gate, gate_accounting, gated_topic_stats, corpus_stats, topic_histogram,
+    quality_gate, gate_accounting, enrich_store, gated_topic_stats, corpus_stats, topic_histogram,
     topic_stats, verify_report, query_terms, detect_topic, postings, term_stats,
     fts_stored_index, fts_and_match, fts_stemmed, fts_bm25_topk, search_topk,
     keyword_fallback, retrieval_cascade, rerank_topic_boost, context_block, source_count,
     prompts, vector_topk, vector_batch_topk, vector_topk_cells, vector_join_summary,
     vector_text_search, hash_embedding, normalize, vector_text_form, inner_product,
-    centroid_assign, kmeans_topics, pca_reduce, topic_merge, ngrams, doc_frequency_cut,
+    centroid_assign, kmeans_topics, pca_reduce, topic_model_store, topic_merge, ngrams, doc_frequency_cut,
     topic_terms, ctfidf_labels, topic_overview, vector_insert_if_absent, topic_update,
 ]
 

@@ -98,6 +98,19 @@ def keyword_filter(text: Column, keywords: Sequence[str]) -> Column:
     return hit
 
 
+def all_terms_filter(text: Column, query: str) -> Column:
+    """True where the text holds every search term of one query, by a scan.
+
+    For a single query this beats building an index.
+    """
+    words = "".join(c for c in query if c.isspace() or (c.isascii() and c.isalnum())).lower().split()
+    terms = {w for w in words if len(w) >= TERM_MIN_LENGTH} - set(STOP_WORDS)
+    if not terms:
+        return F.lit(False)
+    wanted = F.array(*[F.lit(t) for t in sorted(terms)])
+    return F.size(F.array_intersect(wanted, tokens(text))) == len(terms)
+
+
 def label_or_general(label: Column) -> Column:
     return F.coalesce(F.nullif(label, F.lit("")), F.lit("general"))
 

@@ -460,6 +460,16 @@ FROM scored WHERE rouge_score::DOUBLE >= 0.15::DOUBLE""",
         *scored,
         """SELECT count(*) AS total, count(*) FILTER (rouge_score::DOUBLE >= 0.15::DOUBLE) AS kept,
   count(*) FILTER (rouge_score::DOUBLE < 0.15::DOUBLE) AS blocked FROM scored""",
+    )
+    sql["enrich_store"] = chain(
+        *scored,
+        """sizes AS (
+  SELECT count(*) AS total, count(*) FILTER (rouge_score::DOUBLE >= 0.15::DOUBLE) AS kept,
+         (SELECT count(*) FROM documents WHERE text IS NOT NULL) AS loaded
+  FROM scored)""",
+        """SELECT 1 AS run, 'done' AS status, loaded, 0 AS skipped, loaded AS new, total, kept,
+  total - kept AS blocked FROM sizes
+UNION ALL SELECT 2, 'nothing new', loaded, loaded, 0, 0, 0, 0 FROM sizes""",
     )
     sql["gated_topic_stats"] = chain(
         *scored,

@@ -132,6 +132,12 @@ def test_keyword_filter(spark):
     assert df.filter(tx.keyword_filter(F.col("t"), [])).count() == 0
 
 
+def test_all_terms_filter(spark):
+    df = spark.createDataFrame([("A lung, the heart",), ("lungs heart",), ("heart lung x",)], "t string")
+    assert df.filter(tx.all_terms_filter(F.col("t"), "Lung! of the Heart lung")).count() == 2
+    assert df.filter(tx.all_terms_filter(F.col("t"), "of the")).count() == 0
+
+
 def test_context_line(spark):
     df = spark.createDataFrame([("", 0.12345, "text"), (None, 1.0, "x")], "l string, r double, s string")
     rows = [r[0] for r in df.select(tx.context_line(F.col("l"), F.col("r"), F.col("s"))).collect()]
