@@ -168,10 +168,6 @@ def first_per_query(df: DataFrame, k: int, *order: Column) -> DataFrame:
     return df.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def by_relevance() -> list[Column]:
-    return [F.desc("relevance"), F.desc_nulls_last("rouge_score"), F.asc("abstract_id")]
-
-
 def by_quality() -> list[Column]:
     return [F.desc_nulls_last("rouge_score"), F.asc("abstract_id")]
 
@@ -182,7 +178,7 @@ def fulltext_candidates(
     """Best ``k`` all-terms matches per query by relevance, then quality."""
     hits = match_all_terms(index, analyzed_terms(queries, stemmed))
     scored = hits.join(docs.select("abstract_id", "rouge_score"), "abstract_id")
-    return first_per_query(scored, k, *by_relevance()).drop("rank")
+    return first_per_query(scored, k, F.desc("relevance"), *by_quality()).drop("rank")
 
 
 def _grams(term: Column) -> Column:

@@ -22,14 +22,13 @@ from glosswork.fixed_values import (
 from glosswork.functions.text import context_line, detect_topic, is_blank, query_terms
 from glosswork.operators.fulltext import (
     TermIndex,
+    analyzed_terms,
     build_index,
     by_quality,
-    by_relevance,
     first_per_query,
     fulltext_candidates,
     keyword_candidates,
     match_all_terms,
-    analyzed_terms,
     quality_top,
 )
 from glosswork.session import stage

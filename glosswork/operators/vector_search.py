@@ -22,7 +22,7 @@ from glosswork.operators.fulltext import first_per_query
 # take the blocked join.
 MAX_SHARED_QUERIES = 4096
 QUERY_BLOCK = 1024
-VECTOR_BLOCK = 50_000
+VECTOR_BLOCK = 20_000
 DIGITS = 6
 _CHUNK = 256
 
@@ -45,12 +45,9 @@ def _block_top_k(
     parts = []
     for start in range(0, len(query_ids), _CHUNK):
         scores = np.round(vectors @ queries[start : start + _CHUNK].T, DIGITS)
-        for j in range(scores.shape[1]):
-            column = scores[:, j]
-            keep = np.arange(len(ids))
-            if len(ids) > k:
-                keep = np.flatnonzero(column >= np.partition(column, -k)[-k])
-            parts.append((np.full(len(keep), start + j), keep, column[keep]))
+        floor = np.partition(scores, -k, axis=0)[-k] if len(ids) > k else -np.inf
+        v, q = np.nonzero(scores >= floor)
+        parts.append((q + start, v, scores[v, q]))
     picked_q, picked_v, similarity = (np.concatenate(p) for p in zip(*parts))
     rows = pd.DataFrame(
         {

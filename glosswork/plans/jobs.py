@@ -62,8 +62,7 @@ def enrich(
     total = kept = blocked = 0
     if seen["new"]:
         summarized = stage(summarize(ingest(corpus, known)), "summaries")
-        # Long texts make scoring uneven; spread them over all tasks first.
-        scored = stage(with_rouge(summarized.repartition("abstract_id")), "scored")
+        scored = stage(with_rouge(summarized), "scored")
         passed = passes_gate(F.col("rouge_score"), threshold)
         append_table(scored.filter(passed), root, "summaries")
         append_table(scored.filter(~passed), root, "rejected")
