@@ -303,25 +303,27 @@ def _stored(
 def fts_stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-terms match on an index written to and read from Parquet."""
     terms = fulltext.analyzed_terms(_queries(spark, sf_dir))
-    return fulltext.match_all_terms(_stored(spark, sf_dir)[1], terms)
+    hits = fulltext.match_all_terms(_stored(spark, sf_dir)[1], terms)
+    return hits.select("query_id", "abstract_id", _r6("relevance"))
 
 
 def fts_and_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = fulltext.analyzed_terms(_queries(spark, sf_dir))
     hits = fulltext.match_all_terms(fulltext.build_index(_summaries(spark, sf_dir)), terms)
-    return hits.select("query_id", "abstract_id", "relevance")
+    return hits.select("query_id", "abstract_id", _r6("relevance"))
 
 
 def fts_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = fulltext.analyzed_terms(_queries(spark, sf_dir), stemmed=True)
     index = fulltext.build_index(_summaries(spark, sf_dir), stemmed=True)
-    return fulltext.match_all_terms(index, terms).select("query_id", "abstract_id", "relevance")
+    hits = fulltext.match_all_terms(index, terms)
+    return hits.select("query_id", "abstract_id", _r6("relevance"))
 
 
 def fts_bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _summaries(spark, sf_dir)
     hits = fulltext.fulltext_candidates(fulltext.build_index(docs), docs, _queries(spark, sf_dir))
-    return hits.select("query_id", "abstract_id", "relevance", _r6("rouge_score"))
+    return hits.select("query_id", "abstract_id", _r6("relevance"), _r6("rouge_score"))
 
 
 def search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,7 +341,7 @@ def keyword_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retrieval_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, index = _stored(spark, sf_dir)
     hits = retrieval.retrieval_cascade(docs, _queries(spark, sf_dir), index)
-    return hits.select("query_id", "abstract_id", "stage", "relevance", _r6("rouge_score"))
+    return hits.select("query_id", "abstract_id", "stage", _r6("relevance"), _r6("rouge_score"))
 
 
 def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:

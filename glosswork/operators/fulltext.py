@@ -151,7 +151,7 @@ def match_all_terms(index: TermIndex, terms: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("n"),
             F.first("n_terms").alias("n_terms"),
-            F.round(F.sum(part), 6).alias("relevance"),
+            F.sum(part).alias("relevance"),
         )
         .filter(F.col("n") == F.col("n_terms"))
         .select("query_id", "abstract_id", "relevance")
@@ -168,6 +168,11 @@ def first_per_query(df: DataFrame, k: int, *order: Column) -> DataFrame:
     return df.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
+def by_relevance() -> Column:
+    """Sums that differ only in the order of their parts rank as equal."""
+    return F.desc(F.round("relevance", 6))
+
+
 def by_quality() -> list[Column]:
     return [F.desc_nulls_last("rouge_score"), F.asc("abstract_id")]
 
@@ -178,7 +183,7 @@ def fulltext_candidates(
     """Best ``k`` all-terms matches per query by relevance, then quality."""
     hits = match_all_terms(index, analyzed_terms(queries, stemmed))
     scored = hits.join(docs.select("abstract_id", "rouge_score"), "abstract_id")
-    return first_per_query(scored, k, F.desc("relevance"), *by_quality()).drop("rank")
+    return first_per_query(scored, k, by_relevance(), *by_quality()).drop("rank")
 
 
 def _grams(term: Column) -> Column:

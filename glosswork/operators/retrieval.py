@@ -25,6 +25,7 @@ from glosswork.operators.fulltext import (
     analyzed_terms,
     build_index,
     by_quality,
+    by_relevance,
     first_per_query,
     fulltext_candidates,
     keyword_candidates,
@@ -162,7 +163,7 @@ def search(
     """
     index = index or build_index(docs, stemmed)
     hits = match_all_terms(index, analyzed_terms(queries, stemmed))
-    ranked = first_per_query(hits, k, F.desc("relevance"), F.asc("abstract_id"))
+    ranked = first_per_query(hits, k, by_relevance(), F.asc("abstract_id"))
     shown = ["query_id", "rank", "abstract_id", "summary", "rouge_score", "topic_label", "relevance"]
     ranked = ranked.join(
         docs.select("abstract_id", "summary", "rouge_score", "topic_label"), "abstract_id"

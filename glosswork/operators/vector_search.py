@@ -224,8 +224,8 @@ def nearest(vector: Column, centroids: list[list[float]], n: int, ids: list[int]
             points = _matrix(batch)
             size = np.linalg.norm(points, axis=1, keepdims=True)
             unit = np.divide(points, size, out=np.zeros_like(points), where=size > 0)
-            scores = np.round(unit @ matrix.T, DIGITS)
-            order = np.argsort(-scores, axis=1, kind="stable")[:, :n]
+            scores = unit @ matrix.T
+            order = np.argsort(-np.round(scores, DIGITS), axis=1, kind="stable")[:, :n]
             yield pd.Series(
                 [
                     [{"id": int(names[c]), "similarity": float(row[c])} for c in picks]

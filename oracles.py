@@ -148,8 +148,8 @@ QTERMS = f"""qterms AS (
 HITS = f"""need AS (SELECT query_id, count(*) AS n_terms FROM qterms GROUP BY 1),
 hits AS (
   SELECT q.query_id, p.abstract_id, count(*) AS n,
-         round(sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * ({BM25_K1} + 1)
-           / (tf + {BM25_K1} * (1 - {BM25_B} + {BM25_B} * doc_len / mean_len))), 6) AS relevance
+         sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * ({BM25_K1} + 1)
+           / (tf + {BM25_K1} * (1 - {BM25_B} + {BM25_B} * doc_len / mean_len))) AS relevance
   FROM qterms q JOIN postings p USING (term) JOIN terms USING (term), totals
   GROUP BY 1, 2),
 matches AS (
@@ -160,7 +160,7 @@ matches AS (
 FOUND = """found AS (
   SELECT *, 1 AS stage FROM matches
   QUALIFY row_number() OVER (PARTITION BY query_id
-    ORDER BY relevance DESC, rouge_score DESC NULLS LAST, abstract_id) <= 16)"""
+    ORDER BY round(relevance, 6) DESC, rouge_score DESC NULLS LAST, abstract_id) <= 16)"""
 
 KEYWORDS = f"""qkeywords AS (
   SELECT DISTINCT query_id, keyword
@@ -313,7 +313,7 @@ unit_means AS (
   SELECT label, list_transform(centroid, lambda x: x / sqrt(list_inner_product(centroid, centroid))) AS c
   FROM means),
 cosines AS (
-  SELECT u.vec_id, m.label, round(list_inner_product(u.v, m.c), 6) AS similarity
+  SELECT u.vec_id, m.label, list_inner_product(u.v, m.c) AS similarity
   FROM unit u, unit_means m)"""
 
 
@@ -518,12 +518,12 @@ FROM turns""",
         DOCS, SUMMARIES, POSTINGS, "SELECT term, abstract_id, tf, doc_len FROM postings"
     )
     sql["term_stats"] = chain(DOCS, SUMMARIES, POSTINGS, "SELECT term, df FROM terms")
-    sql["fts_and_match"] = chain(*FTS, "SELECT query_id, abstract_id, relevance FROM matches")
-    sql["fts_stemmed"] = chain(*STEMMED_FTS, "SELECT query_id, abstract_id, relevance FROM matches")
+    sql["fts_and_match"] = chain(*FTS, "SELECT query_id, abstract_id, round(relevance, 6) AS relevance FROM matches")
+    sql["fts_stemmed"] = chain(*STEMMED_FTS, "SELECT query_id, abstract_id, round(relevance, 6) AS relevance FROM matches")
     sql["fts_stored_index"] = sql["fts_and_match"]
     sql["fts_bm25_topk"] = chain(
         *FTS, FOUND,
-        "SELECT query_id, abstract_id, relevance, round(rouge_score, 6) AS rouge_score FROM found",
+        "SELECT query_id, abstract_id, round(relevance, 6) AS relevance, round(rouge_score, 6) AS rouge_score FROM found",
     )
     sql["search_topk"] = chain(
         *FTS,
@@ -531,7 +531,7 @@ FROM turns""",
     len(list_filter({QWORDS}, lambda w: length(w) > 2)) AS n FROM queries)""",
         """top AS (
   SELECT query_id, abstract_id, rouge_score, topic_label, relevance,
-         row_number() OVER (PARTITION BY query_id ORDER BY relevance DESC, abstract_id) AS rank
+         row_number() OVER (PARTITION BY query_id ORDER BY round(relevance, 6) DESC, abstract_id) AS rank
   FROM matches),
 best AS (
   SELECT abstract_id, rouge_score, topic_label, 0.0::DOUBLE AS relevance,
@@ -552,7 +552,8 @@ FROM merged JOIN hints USING (query_id) WHERE rank <= 5""",
     )
     sql["retrieval_cascade"] = chain(
         *RETRIEVAL,
-        """SELECT query_id, abstract_id, stage, relevance, round(rouge_score, 6) AS rouge_score
+        """SELECT query_id, abstract_id, stage, round(relevance, 6) AS relevance,
+  round(rouge_score, 6) AS rouge_score
 FROM cascade""",
     )
     sql["rerank_topic_boost"] = chain(
@@ -588,7 +589,7 @@ FROM label_ranks r JOIN documents d ON d.doc_id = r.abstract_id WHERE rank <= 3"
         MEANS, VECS, ASSIGN,
         """probes AS (
   SELECT vec_id, label FROM cosines
-  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY similarity DESC, label) <= 3),
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round(similarity, 6) DESC, label) <= 3),
 cell_scores AS (
   SELECT p.vec_id AS query_id, e.vec_id AS abstract_id,
          round(list_inner_product(e.v, s.v), 6) AS similarity
@@ -640,7 +641,7 @@ FROM vecs e JOIN means m USING (label)""",
         MEANS, VECS, ASSIGN,
         """nearest AS (
   SELECT vec_id, label, round(similarity, 4) AS topic_score FROM cosines
-  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY similarity DESC, label) = 1),
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round(similarity, 6) DESC, label) = 1),
 floored AS (
   SELECT vec_id, topic_score, CASE WHEN topic_score < 0.25 THEN -1 ELSE label END AS topic_id
   FROM nearest)""",
