@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import os
-import shutil
 import sys
-import tempfile
 from collections.abc import Callable
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
@@ -30,9 +28,17 @@ from glosswork.operators import (  # noqa: E402
     vector_search as vs,
 )
 from glosswork.plans import jobs  # noqa: E402
-from glosswork.session import stage, staging_root  # noqa: E402
+from glosswork.session import ship, stage, staging_root  # noqa: E402
 from glosswork.streaming.ingest_stream import append_new, start_ingest  # noqa: E402
-from oracles import oracle_sql  # noqa: E402,F401
+import oracles  # noqa: E402
+
+try:  # the training-data operators are optional
+    import corpus_pipeline  # noqa: E402
+    from glosswork.llm import registered as llm_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "glosswork.llm", "glosswork.llm.registered"):
+        raise
+    llm_queries = None
 
 # The keyword map plus entries that occur in the test texts.
 TOPIC_MAP = TOPIC_KEYWORDS + [
@@ -43,24 +49,14 @@ TOPIC_MAP = TOPIC_KEYWORDS + [
     ("heit", "src6"),
     ("ment", "src7"),
 ]
-_shipped: set[str] = set()
 _written: dict[tuple[str, str, bool], tuple[DataFrame, fulltext.TermIndex]] = {}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    _ship(spark)
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application."""
-    app = spark.sparkContext.applicationId
-    if app not in _shipped:
-        base = os.path.join(tempfile.mkdtemp(prefix="glosswork-"), "glosswork")
-        spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", _HERE, "glosswork"))
-        _shipped.add(app)
-
-
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their content id."""
     corpus = ingest.normalize_corpus(_table(spark, sf_dir, "documents"), "text")
@@ -567,4 +563,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in _REGISTERED}
+    found = {f.__name__: f for f in _REGISTERED}
+    if llm_queries:
+        found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    found = oracles.oracle_sql()
+    if llm_queries:
+        found |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        base = os.path.join(tempfile.mkdtemp(prefix="glosswork-"), "glosswork")
+        spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", here, "glosswork"))
+        _shipped.add(app)
+
 
 def staging_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.

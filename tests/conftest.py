@@ -19,9 +19,9 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__
+    from glosswork.session import ship
 
-    __spark_entry__._ship(session)
+    ship(session)
     yield session
     session.stop()
 
