@@ -7,19 +7,48 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from glosswork.llm import chat, credentials, exact_dedup, licenses, warc
+import public_tokenizers
+
+from glosswork.llm import (
+    bpe,
+    chat,
+    credentials,
+    decontaminate,
+    exact_dedup,
+    licenses,
+    near_dup,
+    toxicity,
+    warc,
+)
 from glosswork.session import ship, staging_root
 
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(spark, RANKS)
+    encoded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.digests(encoded, ranks)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -44,7 +73,14 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
 
 
-_REGISTERED = [op2_license_scans, op6_exact_dedup, op7_secret_scans, op8_chat_format, op9_warc]
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_REGISTERED = [
+    op1_toxicity, op2_license_scans, op3_near_dedup, op5_byte_bpe, op6_exact_dedup, op7_secret_scans,
+    op8_chat_format, op9_warc, op10_decontamination,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
