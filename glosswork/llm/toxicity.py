@@ -1,9 +1,10 @@
 """Toxicity by a classifier chain.
 
-Categories are predicted one after the other by logistic models over the
-presence of words; each model also sees the probabilities of the categories
-before it. In training these come out of fold: a row's earlier probabilities
-are predicted by models that did not see the row. The last category decides.
+Categories are predicted one after the other by logistic models over words and
+word beginnings, each with its count and its share of the text; each model also
+sees the probabilities of the categories before it. In training these come out
+of fold: a row's earlier probabilities are predicted by models that did not see
+the row. The last category decides.
 
 A label table may bring a column per category. Where it has only the final
 label, a row counts for an earlier category if it is labelled toxic and holds a
@@ -36,7 +37,8 @@ from glosswork.llm import words as w
 from glosswork.session import stage
 
 MAX_ROWS = 8000
-WORDS = 128
+WORDS = 96
+BEGINNING = 6  # bytes
 MIN_DOCS = 5
 FOLDS = 5
 PENALTY = 1.0
@@ -62,10 +64,10 @@ class Chain:
         """Probabilities, one column per category."""
         for weight in self.weights:
             x = np.column_stack([x, _sigmoid(x @ weight[:-1] + weight[-1])])
-        return x[:, len(self.digests) :]
+        return x[:, 2 * len(self.digests) :]
 
     def score(self, texts: pa.Array) -> np.ndarray:
-        parts = [self.predict(x) for x in presence(texts, self.digests)]
+        parts = [self.predict(x) for x in features(texts, self.digests)]
         return np.concatenate(parts) if parts else np.zeros((0, len(self.names)))
 
 
@@ -73,17 +75,30 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def presence(texts: pa.Array, digests: np.ndarray) -> Iterator[np.ndarray]:
-    """For runs of texts, which of the words with these sorted digests occur."""
+_BEGINS = np.uint64(0x5851F42D4C957F2D)
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Digests of words and word beginnings, their text numbers, words per text."""
+    starts, ends, doc = w.find(data, offsets, w.PUNCTUATION)
+    long = ends - starts >= BEGINNING
+    begins = w.digests(data, starts[long], starts[long] + BEGINNING) ^ _BEGINS
+    found = np.concatenate([w.digests(data, starts, ends), begins])
+    return found, np.concatenate([doc, doc[long]]), np.bincount(doc, minlength=len(offsets) - 1)
+
+
+def features(texts: pa.Array, digests: np.ndarray) -> Iterator[np.ndarray]:
+    """For runs of texts, count and share (logarithms) of the pieces with these sorted digests."""
     for _, data, offsets in w.chunks(texts):
-        starts, ends, doc = w.find(data, offsets, w.PUNCTUATION)
-        found = w.digests(data, starts, ends)
-        x = np.zeros((len(offsets) - 1, len(digests)))
+        found, doc, n_words = pieces(data, offsets)
+        shape = (len(offsets) - 1, len(digests))
+        count = np.zeros(shape)
         if len(digests):
             at = np.minimum(np.searchsorted(digests, found), len(digests) - 1)
             hit = digests[at] == found
-            x[doc[hit], at[hit]] = 1
-        yield x
+            cell = doc[hit] * len(digests) + at[hit]
+            count = np.bincount(cell, minlength=shape[0] * shape[1]).reshape(shape).astype(float)
+        yield np.hstack([np.log1p(count), np.log1p(100 * count / np.maximum(n_words, 1)[:, None])])
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = 12) -> np.ndarray:
@@ -102,7 +117,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps:
         curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge)
         move = np.linalg.solve(curve, slope)
         weight -= move
-        if np.abs(move).max() < 1e-8:
+        if np.abs(move).max() < 1e-6:
             break
     return weight
 
@@ -135,25 +150,41 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, want
     return rows.join(F.broadcast(chosen), "id")  # at most max_rows narrow rows
 
 
-def _words_of(rows: DataFrame, wanted: list[str]) -> DataFrame:
-    """``id``, labels and the distinct word digests of each text."""
+def _pieces_of(rows: DataFrame, wanted: list[str]) -> DataFrame:
+    """``id``, labels, ``text`` and the distinct digests of its words and beginnings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = []
             for _, data, offsets in w.chunks(batch.column(1)):
-                starts, ends, doc = w.find(data, offsets, w.PUNCTUATION)
-                found = w.digests(data, starts, ends).view(np.int64)
-                cut = np.searchsorted(doc, np.arange(len(offsets)))
+                found, doc, _ = pieces(data, offsets)
+                order = np.argsort(doc, kind="stable")
+                found = found[order].view(np.int64)
+                cut = np.searchsorted(doc[order], np.arange(len(offsets)))
                 lists += [np.unique(found[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-            columns = [batch.column(0), *batch.columns[2:], pa.array(lists, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", *wanted, "words"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(lists, pa.list_(pa.int64()))], names=["id", "text", *wanted, "pieces"]
+            )
 
     id_type = rows.schema["id"].dataType.simpleString()
-    schema = ", ".join([f"id {id_type}", *[f"{c} int" for c in wanted], "words array<bigint>"])
+    schema = ", ".join([f"id {id_type}, text string", *[f"{c} int" for c in wanted], "pieces array<bigint>"])
     return rows.mapInArrow(run, schema)
 
 
+def _features_of(rows: DataFrame, digests: np.ndarray, wanted: list[str]) -> DataFrame:
+    """``id``, labels and the features of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.vstack([*features(batch.column(1), digests), np.zeros((0, 2 * len(digests)))])
+            columns = [batch.column(0), *batch.columns[2:], pa.array(list(x), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", *wanted, "x"])
+
+    id_type = rows.schema["id"].dataType.simpleString()
+    schema = ", ".join([f"id {id_type}", *[f"{c} int" for c in wanted], "x array<double>"])
+    return rows.select("id", "text", *wanted).mapInArrow(run, schema)
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -166,32 +197,30 @@ def fit(
     categories = CATEGORIES if categories is None else categories
     given = [c for c in categories if c in labels.columns]
     wanted = [*given, FINAL]
-    sample = stage(_words_of(_sample(docs, labels, id_col, text_col, wanted, max_rows), wanted), "labelled")
+    sample = stage(_pieces_of(_sample(docs, labels, id_col, text_col, wanted, max_rows), wanted), "labelled")
     size = sample.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(FINAL), F.lit(0)).alias("t")).first()
     n, t = max(1, size["n"]), size["t"]
     a, b = F.col("a"), F.col("b")
     counts = (
-        sample.select(FINAL, F.explode("words").alias("word"))
-        .groupBy("word")
+        sample.select(FINAL, F.explode("pieces").alias("piece"))
+        .groupBy("piece")
         .agg(F.sum(FINAL).alias("a"), F.count(F.lit(1)).alias("b"))
         .filter(b >= MIN_DOCS)
     )
     gap = a - b * (t / n)
-    best = counts.orderBy(F.desc(gap * gap / (b * (1 - b / (n + 1)))), "word").limit(WORDS).select("word").collect()
+    best = counts.orderBy(F.desc(gap * gap / (b * (1 - b / (n + 1)))), "piece").limit(WORDS).select("piece").collect()
     listed = {name: np.array([w.digest_of(x) for x in categories[name]], np.uint64) for name in categories}
-    picked = [np.array([r["word"] for r in best], np.int64).view(np.uint64), *listed.values()]
+    picked = [np.array([r["piece"] for r in best], np.int64).view(np.uint64), *listed.values()]
     digests = np.unique(np.concatenate(picked))
-    signed = F.array(*[F.lit(int(x)) for x in digests.view(np.int64)])
-    rows = sample.select("id", *wanted, F.array_intersect("words", signed).alias("words")).collect()
-    rows.sort(key=lambda r: (str(r["id"]), r["words"]))
-    x = np.zeros((len(rows), len(digests)))
+    rows = _features_of(sample, digests, wanted).collect()  # at most max_rows
+    rows.sort(key=lambda r: (str(r["id"]), r["x"]))
+    x = np.array([r["x"] for r in rows]).reshape(len(rows), 2 * len(digests))
     marks = np.zeros((len(rows), len(categories) + 1))
-    for i, r in enumerate(rows):
-        x[i, np.searchsorted(digests, np.array(r["words"], np.int64).view(np.uint64))] = 1
-        marks[i, -1] = r[FINAL]
-        for k, name in enumerate(categories):
-            has = x[i, np.searchsorted(digests, listed[name])].any()
-            marks[i, k] = (r[name] or 0) if name in given else r[FINAL] * has
+    for k, name in enumerate(categories):
+        has = (x[:, np.searchsorted(digests, listed[name])] > 0).any(axis=1)
+        for i, r in enumerate(rows):
+            marks[i, k] = (r[name] or 0) if name in given else r[FINAL] * has[i]
+    marks[:, -1] = [r[FINAL] for r in rows]
     fold = np.arange(len(rows)) % FOLDS
     return Chain([*categories, FINAL], digests, fit_chain(x, marks, fold))
 
