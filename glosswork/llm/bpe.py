@@ -253,10 +253,13 @@ def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
     return F.unhex(F.array_join(F.transform(ids, lambda i: pieces[i]), ""))
 
 
-def digests(encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id") -> DataFrame:
+def digests(
+    encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", keep_ids: bool = False
+) -> DataFrame:
     """Number of tokens and digests of the ids and of the decoded bytes."""
     return encoded.select(
         id_col,
+        *(["ids"] if keep_ids else []),
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),

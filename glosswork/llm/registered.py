@@ -17,6 +17,7 @@ from glosswork.llm import (
     exact_dedup,
     licenses,
     near_dup,
+    pitman_yor,
     toxicity,
     warc,
 )
@@ -43,6 +44,11 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    return pitman_yor.score(_table(spark, sf_dir, "documents"), remainder == 2)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(spark, RANKS)
     encoded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -78,7 +84,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _REGISTERED = [
-    op1_toxicity, op2_license_scans, op3_near_dedup, op5_byte_bpe, op6_exact_dedup, op7_secret_scans,
+    op1_toxicity, op2_license_scans, op3_near_dedup, op4_lm_scoring, op5_byte_bpe, op6_exact_dedup, op7_secret_scans,
     op8_chat_format, op9_warc, op10_decontamination,
 ]
 
