@@ -85,8 +85,8 @@ def shingles(texts: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, np.
                 own = own[np.concatenate([[True], own[1:] != own[:-1]])]
             elif counts[d]:
                 few = digest[first[d] : first[d + 1]]
-                total = (few * _PLACE[: len(few)]).sum(dtype=np.uint64) + _PLACE[63] * _U(len(few))
-                own = w.mix(np.array([total], np.uint64))
+                terms = np.append(few * _PLACE[: len(few)], _PLACE[63:] * _U(len(few)))
+                own = w.mix(terms.sum(dtype=np.uint64, keepdims=True))
             else:
                 continue
             parts.append(own)
