@@ -25,13 +25,13 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-BEFORE, AFTER = 200, 700
+REACH, CLOSE = 700, 120
 MIN_GAIN = 0.2
 MAX_DIFFERENT = 0.15
 LEVEL = 3
 CUE = (
-    r"(?i)licen[cs]e|copyright|permission\x20is\x20hereby|redistribut|warrant(?:y|ies)|creative\x20commons"
-    r"|\bcc[\x20-]by|\bcc0\b|spdx|public\x20domain|free\x20software"
+    r"(?i)licen[cs]e|copyright|permission\s+is\s+hereby|redistribut|warrant(?:y|ies)|creative\s+commons"
+    r"|\bcc[\x20-]by|\bcc0\b|spdx|public\s+domain|free\s+software"
 )
 WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 
@@ -139,14 +139,14 @@ class Scanner:
         """Confirmed notices of a text, the longest wording of each place."""
         found: dict[tuple[int, int], dict] = {}
         for cue in re.finditer(CUE, text):
-            lo, hi = max(0, cue.start() - BEFORE), min(len(text), cue.end() + AFTER)
+            lo, hi = max(0, cue.start() - REACH), min(len(text), cue.end() + REACH)
             words = [(m[0], lo + m.start(), lo + m.end()) for m in WORD.finditer(text[lo:hi].lower())]
-            for tight in (120, AFTER):  # short notices drown in a long block
+            for tight in (CLOSE, REACH):  # short notices drown in a long block
                 near = [w for w in words if cue.start() - tight <= w[1] <= cue.end() + tight]
                 if not near:
                     continue
                 block = text[near[0][1] : near[-1][2]]
-                for gain, name, number, wording in self.ranked(block, min_gain if tight == AFTER else min_gain / 2):
+                for gain, name, number, wording in self.ranked(block, min_gain if tight == REACH else min_gain / 2):
                     hit = differences(wording, near, max_different)
                     if hit and hit[0] <= cue.start() < hit[1]:
                         start, end, missing, extra = hit

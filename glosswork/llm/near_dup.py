@@ -187,19 +187,21 @@ def _branch(rows: DataFrame, threshold: float, trees: int | None) -> DataFrame:
     return rows.mapInArrow(run, f"path bigint, id {id_type}, tree int")
 
 
-def nodes(sets: DataFrame, threshold: float, trees: int = TREES) -> tuple[DataFrame, DataFrame | None]:
+def nodes(
+    sets: DataFrame, threshold: float, trees: int = TREES, levels: int = LEVELS, leaf: int = LEAF
+) -> tuple[DataFrame, DataFrame | None]:
     """Rows ``path, id, tree`` of the leaves, and of nodes still large at the end."""
     rows = _branch(sets.select("id", "tokens"), threshold, trees)
     leaves: list[DataFrame] = []
-    for level in range(1, LEVELS + 1):
+    for level in range(1, levels + 1):
         rows = stage(rows, "paths")
         sized = rows.groupBy("path").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
         sized = stage(rows.join(sized, "path"), "sized")
-        leaves.append(sized.filter(F.col("members") <= LEAF).select("path", "id", "tree"))
-        large = sized.filter(F.col("members") > LEAF).select("path", "id", "tree")
+        leaves.append(sized.filter(F.col("members") <= leaf).select("path", "id", "tree"))
+        large = sized.filter(F.col("members") > leaf).select("path", "id", "tree")
         if large.isEmpty():
             return _union(leaves), None
-        if level == LEVELS:
+        if level == levels:
             return _union(leaves), large
         rows = _branch(large.join(sets.select("id", "tokens"), "id").select("path", "id", "tree", "tokens"), threshold, None)
     raise AssertionError
@@ -233,7 +235,7 @@ class _Forest:
         return a != b
 
 
-def _similar(path, ids, sizes, sketch, label, new, threshold: float) -> list[tuple]:
+def _similar(path, ids, sizes, sketch, label, new, threshold: float, leaf: int) -> list[tuple]:
     """(agreeing tokens, a, b) of rows of one path that may reach the threshold.
 
     Rows before ``new`` were compared with each other before. ``label`` rules
@@ -241,7 +243,7 @@ def _similar(path, ids, sizes, sketch, label, new, threshold: float) -> list[tup
     """
     least = TOKENS * (threshold - SURE * (threshold * (1 - threshold) / TOKENS) ** 0.5)
     found = []
-    for step in range(1, LEAF + 1):
+    for step in range(1, leaf + 1):
         if step >= len(path):
             break
         left = np.flatnonzero(path[:-step] == path[step:])
@@ -263,7 +265,7 @@ def _similar(path, ids, sizes, sketch, label, new, threshold: float) -> list[tup
     return found
 
 
-def candidates(members: DataFrame, threshold: float, forest: bool) -> DataFrame:
+def candidates(members: DataFrame, threshold: float, forest: bool, leaf: int = LEAF) -> DataFrame:
     """Pairs ``a, b`` of the rows of equal paths, read in the order given."""
     id_type = members.schema["id"].dataType.simpleString()
 
@@ -280,12 +282,12 @@ def candidates(members: DataFrame, threshold: float, forest: bool) -> DataFrame:
             ids = rows["id"].to_pylist()
             sketch = _rows(rows["sketch"].combine_chunks(), np.uint8, TOKENS)
             label = rows["label"].to_numpy() if "label" in rows.column_names else None
-            found = _similar(path, ids, rows["n"].to_numpy(), sketch, label, new, threshold)
+            found = _similar(path, ids, rows["n"].to_numpy(), sketch, label, new, threshold, leaf)
             if forest:
                 trees = _Forest()
                 found = [x for x in sorted(found, key=lambda x: (-x[0], x[1], x[2])) if trees.link(x[1], x[2])]
             pairs = list({(a, b) for _, a, b in found})
-            tail = min(LEAF, len(path))
+            tail = min(leaf, len(path))
             while path[len(path) - tail] != path[-1]:
                 tail -= 1
             held = rows.slice(len(path) - tail)
@@ -337,6 +339,8 @@ def near_duplicates(
     width: int = 5,
     percent: int = 80,
     trees: int = TREES,
+    levels: int = LEVELS,
+    leaf: int = LEAF,
 ) -> DataFrame:
     """Per document: id, ``n_shingles``, ``component_id`` (smallest id linked), ``kept``.
 
@@ -349,7 +353,7 @@ def near_duplicates(
     chosen = sets.join(classes, [sets.digest == classes.digest, sets.id == classes.rep], "left_semi")
     chosen = stage(chosen.select("id", "n", "tokens", "sketch"), "chosen")
 
-    leaves, dense = nodes(chosen, threshold, trees)
+    leaves, dense = nodes(chosen, threshold, trees, levels, leaf)
     sketches = chosen.select("id", "n", "sketch")
     leaves = stage(leaves.join(sketches, "id").select("path", "id", "n", "sketch"), "leaves")
     dense = stage(_ordered(dense, chosen), "dense") if dense is not None else None
@@ -365,7 +369,7 @@ def near_duplicates(
             else:
                 frame = frame.repartition("path").sortWithinPartitions("path", "id")
             keep = ["path", "id", "n", "sketch"] + (["label"] if labels is not None else [])
-            parts.append(candidates(frame.select(*keep), threshold, labels is None))
+            parts.append(candidates(frame.select(*keep), threshold, labels is None, leaf))
         return _union(parts).distinct()
 
     pairs = stage(found(None), "pairs")
