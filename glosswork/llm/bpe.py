@@ -76,20 +76,29 @@ def _placed(keys: list[str]) -> list[str | None]:
 
 
 class RankMap:
-    """The rank map as literals: ``rank(piece)`` is null for unknown pieces."""
+    """The rank map as one literal that ``use`` binds for any number of look-ups."""
 
     def __init__(self, ranks: dict[bytes, int]):
         by_text = {piece.decode("latin-1"): rank for piece, rank in ranks.items()}
         table = _placed(list(by_text))
-        self.keys = F.split(F.lit(_BREAK.join(key or "" for key in table)), _BREAK, -1)
+        keys = F.split(F.lit(_BREAK.join(key or "" for key in table)), _BREAK, -1)
         numbers = ",".join("-1" if key is None else str(by_text[key]) for key in table)
-        self.ranks = F.split(F.lit(numbers), ",", -1).cast("array<int>")
+        self.literal = F.struct(keys.alias("keys"), F.split(F.lit(numbers), ",", -1).cast("array<int>").alias("ranks"))
 
-    def rank(self, piece: Column) -> Column:
-        code = F.crc32(piece.cast("binary"))
-        one = code.bitwiseAND((1 << SLOT_BITS) - 1).cast("int")
-        two = F.shiftright(code, 32 - SLOT_BITS).cast("int")
-        return F.when(self.keys[one] == piece, self.ranks[one]).when(self.keys[two] == piece, self.ranks[two])
+    def use(self, body) -> Column:
+        """``body(rank)``, where ``rank(piece)`` is null for unknown pieces."""
+
+        def bound(table: Column) -> Column:
+            def rank(piece: Column) -> Column:
+                code = F.crc32(piece.cast("binary"))
+                one = code.bitwiseAND((1 << SLOT_BITS) - 1).cast("int")
+                two = F.shiftright(code, 32 - SLOT_BITS).cast("int")
+                keys, ranks = table["keys"], table["ranks"]
+                return F.when(keys[one] == piece, ranks[one]).when(keys[two] == piece, ranks[two])
+
+            return body(rank)
+
+        return _let(self.literal, bound)
 
 
 def _let(value: Column, use) -> Column:
@@ -99,36 +108,41 @@ def _let(value: Column, use) -> Column:
 
 def fold_word(word: Column, table: RankMap) -> Column:
     """Token ids of a word by folded merges."""
-    pieces = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
+    as_bytes = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
 
-    def merge(state: Column) -> Column:
-        joined = F.zip_with(
-            F.slice(state, 1, F.size(state) - 1), F.slice(state, 2, F.size(state) - 1), lambda a, b: F.concat(a, b)
-        )
+    def body(rank) -> Column:
+        def merge(state: Column) -> Column:
+            joined = F.zip_with(
+                F.slice(state, 1, F.size(state) - 1), F.slice(state, 2, F.size(state) - 1), lambda a, b: F.concat(a, b)
+            )
+            return _let(joined, lambda pairs: _let(F.transform(pairs, rank), lambda ranks: best(state, pairs, ranks)))
+
+        def best(state: Column, pairs: Column, ranks: Column) -> Column:
+            least = F.array_min(ranks)
+            return F.when(least.isNull(), state).otherwise(
+                _let(
+                    F.array_position(ranks, least).cast("int"),
+                    lambda at: F.concat(
+                        F.slice(state, 1, at - 1),
+                        F.array(F.element_at(pairs, at)),
+                        F.slice(state, at + 2, F.size(state)),
+                    ),
+                )
+            )
 
-        def best(pairs: Column) -> Column:
-            return _let(
-                F.transform(pairs, table.rank),
-                lambda ranks: F.when(F.array_min(ranks).isNull(), state).otherwise(
-                    _let(
-                        F.array_position(ranks, F.array_min(ranks)).cast("int"),
-                        lambda at: F.concat(
-                            F.slice(state, 1, at - 1),
-                            F.array(F.element_at(pairs, at)),
-                            F.slice(state, at + 2, F.size(state)),
-                        ),
-                    )
-                ),
+        def fold(pieces: Column) -> Column:
+            folded = F.aggregate(
+                F.sequence(F.lit(2), F.greatest(F.size(pieces), F.lit(2))),
+                pieces,
+                lambda state, _: F.when(F.size(state) < 2, state).otherwise(merge(state)),
             )
+            return F.transform(folded, rank)
 
-        return _let(joined, best)
+        return _let(
+            rank(as_bytes), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(fold(F.split(as_bytes, "")))
+        )
 
-    folded = F.aggregate(
-        F.sequence(F.lit(2), F.size(pieces)), pieces, lambda state, _: F.when(F.size(state) < 2, state).otherwise(merge(state))
-    )
-    whole = table.rank(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"))
-    ids = F.when(F.size(pieces) < 2, F.transform(pieces, table.rank)).otherwise(F.transform(folded, table.rank))
-    return F.when(whole.isNotNull(), F.array(whole)).otherwise(ids)
+    return table.use(body)
 
 
 def fold_words(words: DataFrame, table: RankMap, word_col: str = "word") -> DataFrame:
