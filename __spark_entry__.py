@@ -10,9 +10,9 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F  # noqa: E402
 
-from glosswork.fixed_values import TOPIC_KEYWORDS  # noqa: E402
+from glosswork.fixed_values import EMBED_DIM, TOPIC_KEYWORDS  # noqa: E402
 from glosswork.functions import text as tx, vectors as vec  # noqa: E402
 from glosswork.functions.rouge import rouge_l  # noqa: E402
 from glosswork.operators import (  # noqa: E402
@@ -29,6 +29,7 @@ from glosswork.operators import (  # noqa: E402
 )
 from glosswork.plans import jobs  # noqa: E402
 from glosswork.session import ship, stage, staging_root  # noqa: E402
+from glosswork.sources.tables import append_table, read_table  # noqa: E402
 from glosswork.streaming.ingest_stream import append_new, start_ingest  # noqa: E402
 import oracles  # noqa: E402
 
@@ -49,7 +50,7 @@ TOPIC_MAP = TOPIC_KEYWORDS + [
     ("heit", "src6"),
     ("ment", "src7"),
 ]
-_written: dict[tuple[str, str, bool], tuple[DataFrame, fulltext.TermIndex]] = {}
+_written: dict[tuple[str, ...], object] = {}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +85,41 @@ def _summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _once(spark: SparkSession, name: str, sf_dir: str, make):
+    """What ``make`` writes, once per application and folder."""
+    key = (spark.sparkContext.applicationId, name, sf_dir)
+    if key not in _written:
+        _written[key] = make(f"{staging_root(spark)}/{name}-{os.urandom(8).hex()}")
+    return _written[key]
+
+
+def _store(spark: SparkSession, sf_dir: str) -> str:
+    """A store enriched in two batches, labelled documents first, and indexed after each."""
+
+    def make(root: str) -> str:
+        corpus = ingest.normalize_corpus(_table(spark, sf_dir, "documents"), "text")
+        first = corpus.join(_table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+        for batch in (first, corpus):
+            jobs.enrich(spark, root, batch)
+            jobs.index_new(spark, root, stemmed=False)
+        return root
+
+    return _once(spark, "store", sf_dir, make)
+
+
+def _real(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, fulltext.TermIndex]:
+    """Stored summaries with the source as topic, and their index."""
+    root = _store(spark, sf_dir)
+    source = _docs(spark, sf_dir, "source").select(
+        "abstract_id",
+        F.substring("source", 4, 10).cast("int").alias("topic_id"),
+        F.col("source").alias("topic_label"),
+    )
+    docs = read_table(spark, root, "summaries").drop("abstract").join(source, "abstract_id")
+    docs = _once(spark, "docs", sf_dir, lambda _: stage(docs, "docs"))
+    return docs, jobs.search_index(spark, root)
+
+
 def _known(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of labelled documents, which stand for what is stored already."""
     labels = _table(spark, sf_dir, "labels").select("doc_id")
@@ -230,6 +266,12 @@ def enrich_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(jobs.enrich(spark, root, corpus).withColumn("run", F.lit(2)))
 
 
+def enrich_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored summaries and scores."""
+    stored = read_table(spark, _store(spark, sf_dir), "summaries")
+    return stored.select("abstract_id", "summary", _r6("rouge_score"))
+
+
 def gated_topic_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents to gated summaries to count and mean score per source."""
     kept = quality.quality_gate(_scored(spark, sf_dir))
@@ -241,20 +283,20 @@ def gated_topic_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = stats.corpus_stats(_summaries(spark, sf_dir), _table(spark, sf_dir, "embeddings"))
+    out = stats.corpus_stats(_real(spark, sf_dir)[0], _table(spark, sf_dir, "embeddings"))
     return out.withColumn("topics", F.to_json("topics"))
 
 
 def topic_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.topic_histogram(_summaries(spark, sf_dir))
+    return stats.topic_histogram(_real(spark, sf_dir)[0])
 
 
 def topic_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.topic_stats(_summaries(spark, sf_dir))
+    return stats.topic_stats(_real(spark, sf_dir)[0])
 
 
 def verify_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.verify_report(_summaries(spark, sf_dir), _table(spark, sf_dir, "embeddings"))
+    return stats.verify_report(_real(spark, sf_dir)[0], _table(spark, sf_dir, "embeddings"))
 
 
 # --- queries and full text ------------------------------------------------------
@@ -276,72 +318,77 @@ def detect_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fulltext.build_index(_summaries(spark, sf_dir)).postings
+    return fulltext.build_index(_summaries(spark, sf_dir), stemmed=False).postings
 
 
 def term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fulltext.build_index(_summaries(spark, sf_dir)).terms
-
-
-def _stored(
-    spark: SparkSession, sf_dir: str, stemmed: bool = False
-) -> tuple[DataFrame, fulltext.TermIndex]:
-    """The summaries and their index as written tables, once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir, stemmed)
-    if key not in _written:
-        path = staging_root(spark) + f"/index-{os.urandom(8).hex()}"
-        docs = stage(_summaries(spark, sf_dir), "docs")
-        fulltext.write_index(fulltext.build_index(docs, stemmed), path, 8, 2)
-        _written[key] = docs, fulltext.read_index(spark, path)
-    return _written[key]
+    return fulltext.build_index(_summaries(spark, sf_dir), stemmed=False).terms
 
 
 def fts_stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-terms match on an index written to and read from Parquet."""
-    terms = fulltext.analyzed_terms(_queries(spark, sf_dir))
-    hits = fulltext.match_all_terms(_stored(spark, sf_dir)[1], terms)
+
+    def make(path: str) -> str:
+        fulltext.write_index(fulltext.build_index(_summaries(spark, sf_dir), stemmed=False), path)
+        return path
+
+    index = fulltext.read_index(spark, _once(spark, "index", sf_dir, make))
+    hits = fulltext.match_all_terms(index, fulltext.analyzed_terms(_queries(spark, sf_dir), False))
     return hits.select("query_id", "abstract_id", _r6("relevance"))
 
 
 def fts_and_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    terms = fulltext.analyzed_terms(_queries(spark, sf_dir))
-    hits = fulltext.match_all_terms(fulltext.build_index(_summaries(spark, sf_dir)), terms)
+    terms = fulltext.analyzed_terms(_queries(spark, sf_dir), False)
+    hits = fulltext.match_all_terms(fulltext.build_index(_summaries(spark, sf_dir), stemmed=False), terms)
     return hits.select("query_id", "abstract_id", _r6("relevance"))
 
 
 def fts_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    terms = fulltext.analyzed_terms(_queries(spark, sf_dir), stemmed=True)
-    index = fulltext.build_index(_summaries(spark, sf_dir), stemmed=True)
-    hits = fulltext.match_all_terms(index, terms)
+    index = fulltext.build_index(_summaries(spark, sf_dir))
+    hits = fulltext.match_all_terms(index, fulltext.analyzed_terms(_queries(spark, sf_dir)))
     return hits.select("query_id", "abstract_id", _r6("relevance"))
 
 
 def fts_bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _summaries(spark, sf_dir)
-    hits = fulltext.fulltext_candidates(fulltext.build_index(docs), docs, _queries(spark, sf_dir))
+    index = fulltext.build_index(docs, stemmed=False)
+    hits = fulltext.fulltext_candidates(index, docs, _queries(spark, sf_dir))
     return hits.select("query_id", "abstract_id", _r6("relevance"), _r6("rouge_score"))
 
 
+def incremental_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All-terms match on the index that two batches of the enrich job left."""
+    index = _real(spark, sf_dir)[1]
+    hits = fulltext.match_all_terms(index, fulltext.analyzed_terms(_queries(spark, sf_dir), index.stemmed))
+    return hits.select("query_id", "abstract_id", _r6("relevance"))
+
+
 def search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, index = _stored(spark, sf_dir)
+    docs, index = _real(spark, sf_dir)
     hits = retrieval.search(docs, _queries(spark, sf_dir), index=index, topic_map=TOPIC_MAP)
     return hits.drop("summary")
 
 
 def keyword_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = stage(_summaries(spark, sf_dir), "docs")
-    hits = fulltext.keyword_candidates(docs, _queries(spark, sf_dir))
+    index = fulltext.build_index(_summaries(spark, sf_dir), stemmed=False)
+    hits = fulltext.keyword_candidates(index, _queries(spark, sf_dir))
+    return hits.select("query_id", "abstract_id", _r6("rouge_score"))
+
+
+def keyword_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword matches from the stored best documents per word."""
+    hits = fulltext.keyword_candidates(_real(spark, sf_dir)[1], _queries(spark, sf_dir))
     return hits.select("query_id", "abstract_id", _r6("rouge_score"))
 
 
 def retrieval_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, index = _stored(spark, sf_dir)
+    docs, index = _real(spark, sf_dir)
     hits = retrieval.retrieval_cascade(docs, _queries(spark, sf_dir), index)
     return hits.select("query_id", "abstract_id", "stage", _r6("relevance"), _r6("rouge_score"))
 
 
 def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, index = _stored(spark, sf_dir)
+    docs, index = _real(spark, sf_dir)
     return retrieval.retrieve(docs, _queries(spark, sf_dir), index, TOPIC_MAP)
 
 
@@ -360,7 +407,7 @@ def source_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, index = _stored(spark, sf_dir)
+    docs, index = _real(spark, sf_dir)
     return retrieval.build_prompts(docs, _queries(spark, sf_dir), index, TOPIC_MAP)
 
 
@@ -372,9 +419,10 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_batch_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The blocked form, which takes any number of queries."""
-    queries = _label_queries(spark, sf_dir)
-    return vs.vector_search(_vectors(spark, sf_dir), queries, 5, max_shared=1)
+    """Every vector is a query."""
+    vectors = _vectors(spark, sf_dir)
+    queries = vectors.select(F.col("abstract_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    return vs.vector_search(vectors, queries, 5)
 
 
 def vector_topk_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -384,15 +432,34 @@ def vector_topk_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vs.vector_search_cells(vectors, queries, centroids, 3, 5, ids)
 
 
+def vector_cells_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted cells, stored and searched: do they find nine of ten exact neighbours?"""
+    vectors = _vectors(spark, sf_dir).drop("cell")
+    queries = vectors.select(F.col("abstract_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+
+    def make(root: str) -> str:
+        append_table(vectors.withColumn("abstract_id", F.col("abstract_id").cast("string")), root, "vectors")
+        jobs.store_cells(spark, root, 20)
+        return root
+
+    root = _once(spark, "cells", sf_dir, make)
+    found = jobs.search_cells(spark, root, queries, 12, 5)
+    exact = vs.vector_search(vectors, queries, 5)
+    return vs.recall(found, exact).select((F.col("recall") >= 0.9).alias("found_nine_of_ten"))
+
+
 def vector_join_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = vs.vector_search(_vectors(spark, sf_dir), _label_queries(spark, sf_dir))
-    docs = _table(spark, sf_dir, "documents").select(
+    """Only labelled documents have a summary here."""
+    docs = _table(spark, sf_dir, "documents").join(
+        _table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi"
+    )
+    docs = docs.select(
         F.col("doc_id").alias("abstract_id"),
         F.col("text").alias("summary"),
         F.lit(None).cast("float").alias("rouge_score"),
         F.col("source").alias("topic_label"),
     )
-    return vs.with_summaries(hits, docs).select(
+    return vs.summary_search(_vectors(spark, sf_dir), _label_queries(spark, sf_dir), docs).select(
         "query_id",
         "abstract_id",
         "similarity",
@@ -404,8 +471,9 @@ def vector_join_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vector_text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark texts embedded and matched with the embedded documents."""
     docs = _docs(spark, sf_dir).withColumnRenamed("abstract", "summary")
-    idf = embed.bucket_idf(embed.bucket_weights(docs), docs)
-    vectors = embed.hash_embedding(docs, idf=idf)
+    counts = stage(embed.term_counts(docs), "counts")
+    idf = stage(embed.term_idf(counts, docs), "idf")
+    vectors = embed.dense_vectors(docs, embed.weighted_cells(counts, idf, EMBED_DIM))
     items = _table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("abstract_id"), F.col("text").alias("summary")
     )
@@ -456,34 +524,66 @@ def centroid_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of a fitted model: rows, rows that model and assignment place apart,
+    rows of topics that stayed too small."""
     vectors = _vectors(spark, sf_dir)
     model = topics.fit_topics(vectors, 10)
-    return topics.mark_noise(topics.assign_topics(vectors, topics.centroids_of(model)))
+    assigned = topics.assign_topics(vectors, topics.centroids_of(model))
+    own = topics.predict(model, vectors).withColumnRenamed("topic_id", "own")
+    sizes = Window.partitionBy("topic_id")
+    marked = topics.mark_noise(assigned).withColumn("n", F.count("*").over(sizes)).select("abstract_id", "topic_id", "n")
+    small = F.count_if((F.col("topic_id") != -1) & (F.col("n") < 10))
+    apart = F.count_if(F.col("assigned") != F.col("own"))
+    both = assigned.select("abstract_id", F.col("topic_id").alias("assigned")).join(own, "abstract_id")
+    return both.join(marked, "abstract_id").agg(
+        F.count("*").alias("n_rows"), apart.alias("apart"), small.alias("small")
+    )
 
 
 def pca_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.reduce_dimensions(_vectors(spark, sf_dir), 5)
-
-
-def topic_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    centroids, ids = _centroids(spark, sf_dir)
+    """Facts of the reduction: with all dimensions lengths are kept; with five,
+    the spread falls from component to component."""
     vectors = _vectors(spark, sf_dir)
-    mapping = topics.merge_similar(centroids, 0.1, ids)
-    assigned = vectors.select("abstract_id", F.col("cell").alias("topic_id"))
-    return topics.apply_merge(assigned, mapping)
+    square = lambda c: F.aggregate(c, F.lit(0.0), lambda s, x: s + x.cast("double") * x)
+    full = topics.reduce_dimensions(vectors, 64).select("abstract_id", square(F.col("embedding")).alias("kept"))
+    gap = F.abs(square(F.col("embedding")) - F.col("kept"))
+    lengths = vectors.join(full, "abstract_id").agg(
+        F.count("*").alias("n_rows"), F.count_if(gap > 1e-6).alias("changed")
+    )
+    reduced = topics.reduce_dimensions(vectors, 5)
+    spread = reduced.agg(*[F.var_pop(F.col("embedding")[i]).alias(f"v{i}") for i in range(5)])
+    falls = F.col("v0") >= F.col("v1")
+    for i in range(1, 4):
+        falls = falls & (F.col(f"v{i}") >= F.col(f"v{i + 1}"))
+    return lengths.withColumn("falls", spread.select(falls).scalar())
 
 
 def topic_model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents enriched, embedded, grouped and labelled; the stored result."""
+    """Two batches enriched, a model fitted and merged between them: every stored
+    summary has a topic with one label."""
     root = f"{staging_root(spark)}/store-{os.urandom(8).hex()}"
     corpus = ingest.normalize_corpus(_table(spark, sf_dir, "documents"), "text")
+    known = _table(spark, sf_dir, "labels").select("doc_id")
+    jobs.enrich(spark, root, corpus.join(known, "doc_id", "left_semi"))
+    jobs.model_topics(spark, root, 10, merge_at=0.5)
     jobs.enrich(spark, root, corpus)
-    jobs.model_topics(spark, root, 10)
-    return jobs.read_summaries(spark, root).select(
-        "abstract_id", "topic_id", "topic_label", "topic_score"
+    stored = jobs.read_summaries(spark, root)
+    labels = stored.groupBy("topic_id").agg(F.count_distinct("topic_label").alias("labels"))
+    return stored.join(labels, "topic_id", "left").select(
+        "abstract_id",
+        (F.col("topic_id").isNotNull() & F.col("topic_label").isNotNull()).alias("labelled"),
+        "labels",
     )
 
 
+def topic_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    centroids, ids = _centroids(spark, sf_dir)
+    vectors = _vectors(spark, sf_dir)
+    mapping = topics.merge_similar(centroids, 0.1, ids)
+    assigned = vectors.select("abstract_id", F.col("cell").alias("topic_id"))
+    return topics.apply_merge(assigned, mapping)
+
+
 def _topic_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summaries(spark, sf_dir).select("abstract_id", "topic_id", "summary")
 
@@ -540,17 +640,19 @@ def topic_update(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("quality").alias("topic_id"),
         F.concat(F.lit("q"), F.col("quality").cast("string")).alias("topic_label"),
     )
+    # Ids repeat: the row with values wins.
+    labels = labels.unionByName(labels.withColumn("topic_id", F.lit(None).cast("int")))
     return upsert.update_by_key(docs, labels, ["topic_id", "topic_label"])
 
 
 _REGISTERED = [
     corpus_scan, content_ids, distinct_documents, incremental_new, ingest_accounting,
     ingest_stream, extractive_summary, rouge_scores, rouge_l_pairs, rouge_l_stemmed,
-    quality_gate, gate_accounting, enrich_store, gated_topic_stats, corpus_stats, topic_histogram,
+    quality_gate, gate_accounting, enrich_store, enrich_contents, gated_topic_stats, corpus_stats, topic_histogram,
     topic_stats, verify_report, query_terms, detect_topic, postings, term_stats,
-    fts_stored_index, fts_and_match, fts_stemmed, fts_bm25_topk, search_topk,
-    keyword_fallback, retrieval_cascade, rerank_topic_boost, context_block, source_count,
-    prompts, vector_topk, vector_batch_topk, vector_topk_cells, vector_join_summary,
+    fts_stored_index, fts_and_match, fts_stemmed, fts_bm25_topk, incremental_search, search_topk,
+    keyword_fallback, keyword_stored, retrieval_cascade, rerank_topic_boost, context_block, source_count,
+    prompts, vector_topk, vector_batch_topk, vector_topk_cells, vector_cells_recall, vector_join_summary,
     vector_text_search, hash_embedding, normalize, vector_text_form, inner_product,
     centroid_assign, kmeans_topics, pca_reduce, topic_model_store, topic_merge, ngrams, doc_frequency_cut,
     topic_terms, ctfidf_labels, topic_overview, vector_insert_if_absent, topic_update,

@@ -6,9 +6,11 @@ Documents come as ``abstract_id, summary, ...``; queries as
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
 from glosswork.fixed_values import BM25_B, BM25_K1, CANDIDATES, KEYWORD_MIN_LENGTH
 from glosswork.functions.stemming import stem_terms
@@ -18,52 +20,60 @@ from glosswork.functions.text import (
     query_terms,
     tokens,
 )
-from glosswork.session import stage
 
-TERM_BUCKETS = 64
-FILES_PER_BUCKET = 8
-FIRST_BAND = 1000
-BAND_GROWTH = 30
+# Tokens per term bucket of a stored index; the number of buckets follows.
+BUCKET_TOKENS = 1 << 26
+SALTS = 8
 
 
 @dataclass
 class TermIndex:
-    """Inverted index as three tables."""
+    """Inverted index as four tables and what they were built with."""
 
     postings: DataFrame  # term, abstract_id, tf, doc_len
     terms: DataFrame  # term, df
-    totals: DataFrame  # one row: n_docs, mean_len
-    words: DataFrame  # term, abstract_id, rouge_score: whole words, stop words too
+    totals: DataFrame  # one row: n_docs, mean_len, buckets
+    word_top: DataFrame  # term, abstract_id, rouge_score: best documents of whole words, stop words too
+    documents: DataFrame  # abstract_id of the documents in the index
+    stemmed: bool
+    kept: int  # documents per word in word_top
 
 
 def document_frequencies(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def build_index(docs: DataFrame, stemmed: bool = False) -> TermIndex:
+def build_index(docs: DataFrame, stemmed: bool = True, kept: int = CANDIDATES) -> TermIndex:
     """Postings of every non-stop word of every summary.
 
     Stop words go before any shuffle. Terms are counted per document first;
-    on a frame partitioned by ``abstract_id`` that needs no shuffle.
+    on a frame partitioned by ``abstract_id`` that needs no shuffle. Distinct
+    words are stemmed once per document.
     """
     words = docs.select("abstract_id", tokens(F.col("summary")).alias("words"))
-    rows = words.select("abstract_id", F.size("words").alias("doc_len"), "words")
-    if stemmed:
-        kept = F.filter(F.col("words"), lambda t: ~is_stop_word(t))
-        rows = rows.withColumn("words", stem_terms(kept))
-    rows = rows.select("abstract_id", "doc_len", F.explode("words").alias("term"))
-    if not stemmed:
-        rows = rows.filter(~is_stop_word(F.col("term")))
-    postings = (
-        rows.groupBy("abstract_id", "doc_len", "term")
+    rows = (
+        words.select("abstract_id", F.size("words").alias("doc_len"), F.explode("words").alias("term"))
+        .filter(~is_stop_word(F.col("term")))
+        .groupBy("abstract_id", "doc_len", "term")
         .agg(F.count("*").cast("int").alias("tf"))
-        .select("term", "abstract_id", "tf", "doc_len")
     )
+    if stemmed:
+        listed = rows.groupBy("abstract_id", "doc_len").agg(F.collect_list("term").alias("t"), F.collect_list("tf").alias("n"))
+        pairs = F.explode(F.arrays_zip(stem_terms(F.col("t")).alias("term"), F.col("n").alias("tf"))).alias("p")
+        rows = (
+            listed.select("abstract_id", "doc_len", pairs)
+            .groupBy("abstract_id", "doc_len", F.col("p.term").alias("term"))
+            .agg(F.sum("p.tf").cast("int").alias("tf"))
+        )
+    postings = rows.select("term", "abstract_id", "tf", "doc_len")
     return TermIndex(
         postings,
         document_frequencies(postings),
-        words.agg(F.count("*").alias("n_docs"), F.avg(F.size("words")).alias("mean_len")),
-        doc_words(docs),
+        words.agg(F.count("*").alias("n_docs"), F.avg(F.size("words")).alias("mean_len"), F.lit(1).alias("buckets")),
+        best_per_word(docs, kept),
+        docs.select("abstract_id"),
+        stemmed,
+        kept,
     )
 
 
@@ -71,42 +81,78 @@ def term_bucket(term: Column, buckets: Column) -> Column:
     return F.pmod(F.xxhash64(term), buckets).cast("int")
 
 
-def write_index(
-    index: TermIndex,
-    path: str,
-    buckets: int = TERM_BUCKETS,
-    files_per_bucket: int = FILES_PER_BUCKET,
-) -> None:
-    """Store the index; a term's postings are spread over several files.
+def write_index(index: TermIndex, path: str) -> None:
+    """Add an index of new documents to the index stored at ``path``.
 
-    The salt in the shuffle key keeps a term that occurs in a third of the
-    documents from landing in one task.
+    The first batch fixes the number of term buckets from its number of tokens,
+    and later batches follow. Rows are rebalanced by bucket, so a bucket with a
+    term of a third of all documents is written by many tasks. A batch becomes
+    visible with its row in ``totals``, which is written last.
     """
-    salt = F.pmod(F.xxhash64("abstract_id"), F.lit(files_per_bucket))
-    bucket = term_bucket(F.col("term"), F.lit(buckets))
-    # Postings are read by term, words by quality.
-    orders = {"postings": F.asc("term"), "words": F.desc_nulls_last("rouge_score")}
-    for name, rows in (("postings", index.postings), ("words", index.words)):
+    spark = index.postings.sparkSession
+    batch = uuid.uuid4().hex
+    own = index.totals.first()
+    published = _published(spark, path)
+    if published:
+        if (index.stemmed, index.kept) != (published[0]["stemmed"], published[0]["kept"]):
+            raise ValueError("the stored index was built with other settings")
+        buckets = published[0]["buckets"]
+    else:
+        buckets = 1 + int(own["n_docs"] * (own["mean_len"] or 0) // BUCKET_TOKENS)
+    for name, rows in (("postings", index.postings), ("word_top", index.word_top), ("terms", index.terms)):
         (
-            rows.withColumn("term_bucket", bucket)
-            .repartition(F.col("term_bucket"), salt)
-            .sortWithinPartitions("term_bucket", orders[name])
-            .write.mode("overwrite")
-            .partitionBy("term_bucket")
+            rows.withColumn("term_bucket", term_bucket(F.col("term"), F.lit(buckets)))
+            .withColumn("batch", F.lit(batch))
+            .hint("rebalance", "term_bucket")
+            .sortWithinPartitions("term_bucket", "term")
+            .write.mode("append")
+            .partitionBy("batch", "term_bucket")
             .parquet(f"{path}/{name}")
         )
-    written = index.postings.sparkSession.read.parquet(f"{path}/postings")
-    document_frequencies(written).write.mode("overwrite").parquet(f"{path}/terms")
-    totals = index.totals.withColumn("buckets", F.lit(buckets))
-    totals.write.mode("overwrite").parquet(f"{path}/totals")
+    index.documents.withColumn("batch", F.lit(batch)).write.mode("append").partitionBy("batch").parquet(
+        f"{path}/documents"
+    )
+    row = (batch, own["n_docs"], (own["mean_len"] or 0.0) * own["n_docs"], buckets, index.stemmed, index.kept)
+    spark.createDataFrame([row], _TOTALS).coalesce(1).write.mode("append").parquet(f"{path}/totals")
+
+
+_TOTALS = "batch string, n_docs long, sum_len double, buckets int, stemmed boolean, kept int"
+
+
+def index_exists(spark: SparkSession, path: str) -> bool:
+    return bool(_published(spark, path))
+
+
+def _published(spark: SparkSession, path: str) -> list[Row]:
+    """One row per batch of a stored index."""
+    try:
+        return spark.read.schema(_TOTALS).parquet(f"{path}/totals").collect()
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
 
 
 def read_index(spark: SparkSession, path: str) -> TermIndex:
-    parts = ("postings", "terms", "totals", "words")
-    return TermIndex(*[spark.read.parquet(f"{path}/{part}") for part in parts])
+    """The stored index over all published batches."""
+    published = _published(spark, path)
+    if not published:
+        raise ValueError(f"no index at {path}")
+    batches = [r["batch"] for r in published]
+    part = lambda name: spark.read.parquet(f"{path}/{name}").filter(F.col("batch").isin(batches)).drop("batch")
+    totals = spark.createDataFrame(published, _TOTALS).agg(
+        F.sum("n_docs").alias("n_docs"),
+        F.try_divide(F.sum("sum_len"), F.sum("n_docs")).alias("mean_len"),
+        F.max("buckets").alias("buckets"),
+    )
+    terms = part("terms").groupBy("term_bucket", "term").agg(F.sum("df").alias("df")).select("term", "df")
+    return TermIndex(
+        part("postings"), terms, totals, part("word_top"), part("documents"),
+        published[0]["stemmed"], published[0]["kept"],
+    )
 
 
-def analyzed_terms(queries: DataFrame, stemmed: bool = False) -> DataFrame:
+def analyzed_terms(queries: DataFrame, stemmed: bool = True) -> DataFrame:
     """Distinct ``query_id, term`` after stop words (and stemming)."""
     words = F.filter(query_terms(F.col("query")), lambda t: ~is_stop_word(t))
     if stemmed:
@@ -120,42 +166,63 @@ def bm25(tf: Column, df: Column, doc_len: Column, n_docs: Column, mean_len: Colu
     return idf * tf * (BM25_K1 + 1) / (tf + norm)
 
 
-def match_all_terms(index: TermIndex, terms: DataFrame) -> DataFrame:
-    """Documents that hold every term of a query, with BM25 ``relevance``.
+def _asked_sets(index: TermIndex, terms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Queries by term set, and the terms of each distinct set, rarest first.
 
-    ``terms`` is ``query_id, term``. Queries with a term no document holds are
-    dropped before the postings are read. Terms join postings by equality; the
-    term side is broadcast only below Spark's own size threshold.
+    Sets with a term that no document holds are dropped.
     """
+    sets = terms.groupBy("query_id").agg(F.sort_array(F.collect_set("term")).alias("set"))
+    asked = sets.select("set").distinct().select("set", F.size("set").alias("n_terms"), F.explode("set").alias("term"))
     known = index.terms.join(terms.select("term").distinct(), "term", "left_semi")
-    per_query = Window.partitionBy("query_id")
+    of_set = Window.partitionBy("set")
     found = (
-        terms.join(known, "term", "left")
-        .withColumn("n_terms", F.count("*").over(per_query))
-        .withColumn("n_known", F.count("df").over(per_query))
+        asked.join(known, "term")
+        .withColumn("n_known", F.count("*").over(of_set))
         .filter(F.col("n_known") == F.col("n_terms"))
-        .select("query_id", "term", "df", "n_terms")
+        .withColumn("place", F.row_number().over(of_set.orderBy("df", "term")))
+        .select("set", "term", "df", "n_terms", "place")
+    )
+    if "term_bucket" in index.postings.columns:
+        buckets = index.totals.select("buckets").scalar()
+        found = found.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
+    return sets, found
+
+
+def rarest_term_hits(index: TermIndex, found: DataFrame) -> DataFrame:
+    """``set, abstract_id`` for the documents of each set's rarest term.
+
+    The salt splits a term that a third of all documents hold.
+    """
+    keys = [c for c in ("term_bucket", "term") if c in index.postings.columns]
+    salt = F.pmod(F.xxhash64("abstract_id"), F.lit(SALTS)).cast("int")
+    first = found.filter("place = 1").select(
+        "set", *keys, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     )
+    rows = index.postings.select(*keys, "abstract_id", salt.alias("salt"))
+    return rows.join(first, [*keys, "salt"]).select("set", "abstract_id")
+
+
+def match_all_terms(index: TermIndex, terms: DataFrame) -> DataFrame:
+    """Documents that hold every term of a query, with BM25 ``relevance``.
+
+    ``terms`` is ``query_id, term``. Equal term sets are answered once. A set
+    starts from the documents of its rarest term, and only those look up the
+    other terms, by (term, document), which is no hot key.
+    """
+    sets, found = _asked_sets(index, terms)
     totals = index.totals.select("n_docs", "mean_len")
     n_docs = totals.select("n_docs").scalar()
     mean_len = totals.select("mean_len").scalar()
     part = bm25(F.col("tf"), F.col("df"), F.col("doc_len"), n_docs, mean_len)
-    postings = index.postings
-    if "term_bucket" in postings.columns:
-        buckets = index.totals.select("buckets").scalar()
-        found = found.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
-    keys = [c for c in ("term_bucket", "term") if c in postings.columns]
-    return (
-        postings.join(found, keys)
-        .groupBy("query_id", "abstract_id")
-        .agg(
-            F.count("*").alias("n"),
-            F.first("n_terms").alias("n_terms"),
-            F.sum(part).alias("relevance"),
-        )
+    keys = [c for c in ("term_bucket", "term") if c in index.postings.columns]
+    wanted = rarest_term_hits(index, found).join(found.drop("place"), "set")
+    hits = (
+        index.postings.join(wanted, [*keys, "abstract_id"])
+        .groupBy("set", "abstract_id")
+        .agg(F.count("*").alias("n"), F.first("n_terms").alias("n_terms"), F.sum(part).alias("relevance"))
         .filter(F.col("n") == F.col("n_terms"))
-        .select("query_id", "abstract_id", "relevance")
     )
+    return sets.join(hits, "set").select("query_id", "abstract_id", "relevance")
 
 
 def first_per_query(df: DataFrame, k: int, *order: Column) -> DataFrame:
@@ -178,10 +245,10 @@ def by_quality() -> list[Column]:
 
 
 def fulltext_candidates(
-    index: TermIndex, docs: DataFrame, queries: DataFrame, k: int = CANDIDATES, stemmed: bool = False
+    index: TermIndex, docs: DataFrame, queries: DataFrame, k: int = CANDIDATES
 ) -> DataFrame:
     """Best ``k`` all-terms matches per query by relevance, then quality."""
-    hits = match_all_terms(index, analyzed_terms(queries, stemmed))
+    hits = match_all_terms(index, analyzed_terms(queries, index.stemmed))
     scored = hits.join(docs.select("abstract_id", "rouge_score"), "abstract_id")
     return first_per_query(scored, k, by_relevance(), *by_quality()).drop("rank")
 
@@ -192,87 +259,71 @@ def _grams(term: Column) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.substring(term, i, F.lit(width))))
 
 
-def doc_words(docs: DataFrame) -> DataFrame:
-    """Distinct words of each document, stop words too: ``term, abstract_id,
-    rouge_score``."""
-    return docs.select(
+def best_per_word(docs: DataFrame, k: int = CANDIDATES) -> DataFrame:
+    """The best ``k`` documents of every word by quality, stop words too:
+    ``term, abstract_id, rouge_score``. Spark cuts to ``k`` per task first."""
+    words = docs.select(
         F.explode(F.array_distinct(tokens(F.col("summary")))).alias("term"),
         "abstract_id",
         "rouge_score",
     ).filter(F.length("term") >= KEYWORD_MIN_LENGTH)
+    rank = F.row_number().over(Window.partitionBy("term").orderBy(*by_quality()))
+    return words.withColumn("place", rank).filter(F.col("place") <= k).drop("place")
 
 
-def keyword_terms(vocabulary: DataFrame, queries: DataFrame) -> DataFrame:
-    """Distinct ``query_id, term``: vocabulary words that contain a keyword.
+def query_keywords(queries: DataFrame) -> DataFrame:
+    """Distinct ``query_id, keyword``."""
+    return queries.select(
+        "query_id", F.explode(F.array_distinct(fallback_keywords(F.col("query")))).alias("keyword")
+    )
+
+
+def keyword_terms(vocabulary: DataFrame, keywords: DataFrame) -> DataFrame:
+    """Distinct ``keyword, term``: vocabulary words that contain a keyword.
 
     A keyword holds only letters and digits, so it occurs in a text exactly if
     it occurs inside one word of it. Words and keywords meet on the keyword's
-    first four characters, not pair by pair.
+    first four characters, not pair by pair, and each keyword once.
     """
-    keywords = queries.select(
-        "query_id", F.explode(F.array_distinct(fallback_keywords(F.col("query")))).alias("keyword")
-    ).withColumn("gram", F.substring("keyword", 1, KEYWORD_MIN_LENGTH))
+    asked = keywords.select("keyword", F.substring("keyword", 1, KEYWORD_MIN_LENGTH).alias("gram")).distinct()
     return (
         vocabulary.select("term", F.explode(_grams(F.col("term"))).alias("gram"))
-        .join(keywords, "gram")
+        .join(asked, "gram")
         .filter(F.contains(F.col("term"), F.col("keyword")))
-        .select("query_id", "term")
+        .select("keyword", "term")
         .distinct()
     )
 
 
-def keyword_matches(words: DataFrame, queries: DataFrame) -> DataFrame:
-    """Documents that contain any fallback keyword of a query, any case; one row
-    per matching word."""
-    wanted = keyword_terms(words.select("term").distinct(), queries)
-    return words.join(wanted, "term").select("query_id", "abstract_id", "rouge_score")
-
+def _best_documents(rows: DataFrame, group: str, k: int) -> DataFrame:
+    """The best ``k`` documents of each group, each once; cut per task first."""
+    best = F.dense_rank().over(Window.partitionBy(group).orderBy(*by_quality()))
+    return (
+        rows.select(group, "abstract_id", "rouge_score")
+        .withColumn("rank", best)
+        .filter(F.col("rank") <= k)
+        .drop("rank")
+        .distinct()
+    )
 
-def quality_bands(docs: DataFrame, first: int = FIRST_BAND, growth: int = BAND_GROWTH) -> list[Column]:
-    """Filters that cut the documents by quality, best first.
 
-    The bands hold about ``first`` documents, then ``growth`` times as many as
-    before; the last one holds the rest. Together they hold every document.
-    """
-    n = docs.count()
-    sizes = []
-    while first < n:
-        sizes.append(first)
-        first *= growth
-    cuts = []
-    if sizes:
-        shares = [1 - size / n for size in sizes]
-        found = docs.agg(F.percentile_approx("rouge_score", shares, 10000)).first()[0]
-        cuts = sorted(set(found or []), reverse=True)
-    score = F.col("rouge_score")
-    bands, above = [], F.lit(False)
-    for cut in cuts:
-        bands.append((score >= cut) & ~above)
-        above = score >= cut
-    return bands + [~F.coalesce(above, F.lit(False))]
-
-
-def keyword_candidates(
-    docs: DataFrame, queries: DataFrame, k: int = CANDIDATES, words: DataFrame | None = None
-) -> DataFrame:
-    """Best ``k`` keyword matches per query by quality.
+def keyword_candidates(index: TermIndex, queries: DataFrame, k: int = CANDIDATES) -> DataFrame:
+    """Best ``k`` keyword matches per query by quality, any case.
 
-    Only quality orders the result, so the corpus is searched from the best
-    documents down, and a query with ``k`` matches is done. A frequent keyword,
-    which would match most of the corpus, never leaves the first small band.
+    Only quality orders the result, so the best ``k`` documents of a query are
+    among the best ``k`` of each word that contains one of its keywords. Those
+    are kept with the index, whatever the frequency of the word.
     """
-    words = words if words is not None else doc_words(docs)
-    best = F.dense_rank().over(Window.partitionBy("query_id").orderBy(*by_quality()))
-    found, asked = None, queries
-    for band in quality_bands(docs):
-        hits = keyword_matches(words.filter(band), asked)
-        # The dense rank counts documents, not rows, and is applied per task.
-        hits = hits.withColumn("rank", best).filter(F.col("rank") <= k).drop("rank").distinct()
-        hits = stage(hits, "band")
-        found = hits if found is None else found.unionByName(hits)
-        done = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= k)
-        asked = queries.join(done, "query_id", "left_anti")
-    return first_per_query(found, k, *by_quality()).drop("rank")
+    if k > index.kept:
+        raise ValueError(f"the index keeps {index.kept} documents per word, not {k}")
+    asked = query_keywords(queries)
+    wanted = keyword_terms(index.word_top.select("term").distinct(), asked)
+    keys = ["term"]
+    if "term_bucket" in index.word_top.columns:
+        wanted = wanted.withColumn("term_bucket", term_bucket(F.col("term"), index.totals.select("buckets").scalar()))
+        keys = ["term_bucket", "term"]
+    per_keyword = _best_documents(index.word_top.join(wanted, keys), "keyword", k)
+    return _best_documents(per_keyword.join(asked, "keyword"), "query_id", k)
 
 
 def quality_top(docs: DataFrame, k: int) -> DataFrame:

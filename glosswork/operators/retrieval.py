@@ -48,7 +48,7 @@ def _short_of_hits(queries: DataFrame, hits: DataFrame) -> DataFrame:
 
 
 def retrieval_cascade(
-    docs: DataFrame, queries: DataFrame, index: TermIndex | None = None, stemmed: bool = False
+    docs: DataFrame, queries: DataFrame, index: TermIndex | None = None
 ) -> DataFrame:
     """Hits per query: full text, then keywords, then best quality.
 
@@ -59,12 +59,12 @@ def retrieval_cascade(
     """
     columns = ["query_id", "abstract_id", "stage", "relevance", "rouge_score"]
     key = ["query_id", "abstract_id"]
-    index = index or build_index(docs, stemmed)
-    found = fulltext_candidates(index, docs, queries, CANDIDATES, stemmed)
+    index = index or build_index(docs)
+    found = fulltext_candidates(index, docs, queries, CANDIDATES)
     found = stage(found.withColumn("stage", F.lit(1)).select(columns), "found")
 
     short = _short_of_hits(queries, found)
-    by_keyword = keyword_candidates(docs, short, words=index.words)
+    by_keyword = keyword_candidates(index, short)
     by_keyword = by_keyword.join(found.select(key), key, "left_anti")
     by_keyword = by_keyword.withColumns(
         {"stage": F.lit(2), "relevance": F.lit(KEYWORD_RELEVANCE)}
@@ -99,11 +99,10 @@ def retrieve(
     queries: DataFrame,
     index: TermIndex | None = None,
     topic_map: TopicMap = TOPIC_KEYWORDS,
-    stemmed: bool = False,
 ) -> DataFrame:
     """Ranked rows per query: route, cascade, re-rank."""
     routed = route_topic(queries, topic_map)
-    hits = retrieval_cascade(docs, queries, index, stemmed)
+    hits = retrieval_cascade(docs, queries, index)
     return rerank(hits, docs, routed)
 
 
@@ -122,14 +121,13 @@ def build_prompts(
     queries: DataFrame,
     index: TermIndex | None = None,
     topic_map: TopicMap = TOPIC_KEYWORDS,
-    stemmed: bool = False,
 ) -> DataFrame:
     """One row per query: prompt, hint and source count.
 
     A blank query gets the fixed reply in ``reply`` and no prompt.
     """
     asked = queries.filter(~is_blank(F.col("query")))
-    contexts = context_blocks(retrieve(docs, asked, index, topic_map, stemmed))
+    contexts = context_blocks(retrieve(docs, asked, index, topic_map))
     blank = is_blank(F.col("query"))
     context = F.coalesce(F.col("context"), F.lit(""))
     prompt = F.concat(
@@ -154,15 +152,15 @@ def search(
     k: int = SEARCH_TOP_K,
     index: TermIndex | None = None,
     topic_map: TopicMap = TOPIC_KEYWORDS,
-    stemmed: bool = False,
 ) -> DataFrame:
     """Best ``k`` full-text hits per query by relevance.
 
     Only a query without any word of three letters falls back to the best
-    documents by quality, with relevance 0.
+    documents by quality, with relevance 0. A query without hits has one row
+    with its hint and no document.
     """
-    index = index or build_index(docs, stemmed)
-    hits = match_all_terms(index, analyzed_terms(queries, stemmed))
+    index = index or build_index(docs)
+    hits = match_all_terms(index, analyzed_terms(queries, index.stemmed))
     ranked = first_per_query(hits, k, by_relevance(), F.asc("abstract_id"))
     shown = ["query_id", "rank", "abstract_id", "summary", "rouge_score", "topic_label", "relevance"]
     ranked = ranked.join(
@@ -179,8 +177,7 @@ def search(
     )
     hints = route_topic(queries, topic_map).select("query_id", "topic_hint")
     return (
-        ranked.unionByName(fallback.select(shown))
-        .join(hints, "query_id")
+        hints.join(ranked.unionByName(fallback.select(shown)), "query_id", "left")
         .select(
             "query_id",
             "rank",

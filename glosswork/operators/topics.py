@@ -7,11 +7,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from glosswork.fixed_values import LABEL_WORDS, SEED, SMALLEST_TOPIC, TERM_MIN_DOCS
 from glosswork.functions.text import content_tokens, topic_label, uni_and_bigrams
 from glosswork.operators.vector_search import nearest
+from glosswork.session import stage
 
 
 def reduce_dimensions(vectors: DataFrame, k: int = 5) -> DataFrame:
@@ -23,15 +24,28 @@ def reduce_dimensions(vectors: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
+def predict(model: PipelineModel, vectors: DataFrame) -> DataFrame:
+    """The model's own placement: ``abstract_id, topic_id``."""
+    points = vectors.filter(has_direction(F.col("embedding")))
+    points = points.select("abstract_id", array_to_vector("embedding").alias("features"))
+    return model.transform(points).select("abstract_id", "topic_id")
+
+
+def has_direction(vector: Column) -> Column:
+    """False for the zero vector of a text without words."""
+    return F.exists(vector, lambda x: x != 0)
+
+
 def fit_topics(vectors: DataFrame, k: int, reduce_to: int | None = None, seed: int = SEED) -> PipelineModel:
-    """K-means over the embeddings, after PCA if ``reduce_to`` is given."""
+    """K-means by cosine, as rows are assigned, after PCA if ``reduce_to`` is given."""
+    vectors = vectors.filter(has_direction(F.col("embedding")))
     points = vectors.select("abstract_id", array_to_vector("embedding").alias("features"))
     stages = []
     column = "features"
     if reduce_to:
         stages.append(PCA(k=reduce_to, inputCol=column, outputCol="reduced"))
         column = "reduced"
-    stages.append(KMeans(k=k, seed=seed, featuresCol=column, predictionCol="topic_id"))
+    stages.append(KMeans(k=k, seed=seed, featuresCol=column, predictionCol="topic_id", distanceMeasure="cosine"))
     return Pipeline(stages=stages).fit(points)
 
 
@@ -51,31 +65,42 @@ def project(model: PipelineModel, vectors: DataFrame) -> DataFrame:
 def assign_topics(
     vectors: DataFrame, centroids: list[list[float]], ids: list[int] | None = None
 ) -> DataFrame:
-    """Nearest centroid by cosine: ``abstract_id, topic_id, topic_score``."""
+    """Nearest centroid by cosine: ``abstract_id, topic_id, topic_score``.
+
+    A zero vector is near nothing: topic -1 with score 0.
+    """
     best = F.get(nearest(F.col("embedding"), centroids, 1, ids), F.lit(0))
-    return vectors.select("abstract_id", best.alias("best")).select(
+    known = has_direction(F.col("embedding"))
+    return vectors.select("abstract_id", known.alias("known"), best.alias("best")).select(
         "abstract_id",
-        F.col("best.id").alias("topic_id"),
-        F.round("best.similarity", 4).alias("topic_score"),
+        F.when(F.col("known"), F.col("best.id")).otherwise(-1).alias("topic_id"),
+        F.when(F.col("known"), F.round("best.similarity", 4)).otherwise(0.0).alias("topic_score"),
     )
 
 
+def small_topics(assigned: DataFrame, min_size: int = SMALLEST_TOPIC) -> list[int]:
+    """Topics with fewer rows; at most one number per topic reaches the driver."""
+    counts = assigned.groupBy("topic_id").agg(F.count("*").alias("n"))
+    return [r["topic_id"] for r in counts.filter(F.col("n") < min_size).collect()]
+
+
+def below_floor(assigned: DataFrame, min_score: float | None) -> DataFrame:
+    """Rows under the score floor become -1."""
+    if min_score is None:
+        return assigned
+    far = F.col("topic_score") < min_score
+    return assigned.withColumn("topic_id", F.when(far, -1).otherwise(F.col("topic_id")))
+
+
 def mark_noise(
     assigned: DataFrame, min_size: int = SMALLEST_TOPIC, min_score: float | None = None
 ) -> DataFrame:
-    """Rows under the score floor, and topics left too small, become -1."""
-    if min_score is not None:
-        far = F.col("topic_score") < min_score
-        assigned = assigned.withColumn("topic_id", F.when(far, -1).otherwise(F.col("topic_id")))
-    small = (
-        assigned.groupBy("topic_id")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") < min_size)
-        .select("topic_id", F.lit(True).alias("small"))
-    )
-    marked = assigned.join(small, "topic_id", "left")
-    topic = F.when(F.col("small"), F.lit(-1)).otherwise(F.col("topic_id"))
-    return marked.withColumn("topic_id", topic).drop("small").select(assigned.columns)
+    """Rows under the score floor, and topics left too small, become -1.
+
+    The rows are written once, then counted and marked; no assignment runs twice.
+    """
+    rows = stage(below_floor(assigned, min_score), "assigned")
+    return apply_merge(rows, {topic: -1 for topic in small_topics(rows, min_size)})
 
 
 def merge_similar(
@@ -98,10 +123,12 @@ def merge_similar(
 
 
 def apply_merge(assigned: DataFrame, mapping: dict[int, int]) -> DataFrame:
-    moved = [(a, b) for a, b in mapping.items() if a != b]
-    topic = F.col("topic_id")
-    for old, new in moved:
-        topic = F.when(F.col("topic_id") == old, new).otherwise(topic)
+    """Topics renamed by the map; one entry per renamed topic."""
+    moved = {a: b for a, b in mapping.items() if a != b}
+    if not moved:
+        return assigned
+    table = F.create_map(*[F.lit(x) for pair in sorted(moved.items()) for x in pair])
+    topic = F.coalesce(F.element_at(table, F.col("topic_id")), F.col("topic_id"))
     return assigned.withColumn("topic_id", topic.cast("int"))
 
 
@@ -135,11 +162,12 @@ def topic_terms(docs: DataFrame, min_docs: int = TERM_MIN_DOCS) -> DataFrame:
     """Class-based TF-IDF (Grootendorst 2022): ``topic_id, term, weight``.
 
     weight = share of the term in its topic * ln(1 + mean topic size / total).
-    A term's window holds one row per topic at most.
+    A term's window holds one row per topic at most; the counts are written
+    once and read for sizes and weights.
     """
     of_term = Window.partitionBy("term")
     counts = (
-        term_counts(docs)
+        stage(term_counts(docs), "term-counts")
         .withColumn("df", F.sum("n_docs").over(of_term))
         .withColumn("total", F.sum("tf").over(of_term))
         .filter(F.col("df") >= min_docs)

@@ -15,12 +15,15 @@ def update_by_key(
 ) -> DataFrame:
     """``stored`` with ``columns`` taken from the matching update row, if any.
 
-    ``updates`` has one row per key; keys not stored are ignored.
+    Keys not stored are ignored. Of several updates of a key the one with the
+    largest values, compared column by column in the order of ``columns`` with
+    NULL lowest, is taken.
     """
-    new = updates.select(key, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_{c}") for c in columns])
+    value = F.struct(*[F.col(c) for c in columns])
+    new = updates.groupBy(key).agg(F.max(value).alias("_new"))
     joined = stored.join(new, key, "left")
     keep = [
-        F.when(F.col("_hit"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
+        F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
         for c in stored.columns
     ]
     return joined.select(*keep)

@@ -13,14 +13,12 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from glosswork.fixed_values import SEED, VECTOR_TOP_K
 from glosswork.operators.fulltext import first_per_query
+from glosswork.session import stage
 
-# Queries held by every task at most (times dim, 8 bytes each); more queries
-# take the blocked join.
-MAX_SHARED_QUERIES = 4096
 QUERY_BLOCK = 1024
 VECTOR_BLOCK = 20_000
 DIGITS = 6
@@ -73,119 +71,84 @@ def _rank(partial: DataFrame, k: int) -> DataFrame:
     return first_per_query(partial, k, F.desc("similarity"), F.asc("abstract_id"))
 
 
-def _shared(vectors: DataFrame, queries: list[Row], out: T.StructType, k: int) -> DataFrame:
-    """Every task holds all queries (their number was checked)."""
-    by_cell = "cells" in queries[0]
-    query_ids = np.array([q["query_id"] for q in queries], dtype=object)
-    matrix = _matrix([q["query_vector"] for q in queries])
-    probes: dict[int, list[int]] = {}
-    if by_cell:
-        for i, q in enumerate(queries):
-            for cell in q["cells"]:
-                probes.setdefault(cell, []).append(i)
+def _with_blocks(rows: DataFrame, of: DataFrame, size: int, name: str) -> DataFrame:
+    """``rows`` with the number of blocks that ``of`` has in their cell.
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = None
-        for batch in batches:
-            groups = batch.groupby("cell") if by_cell else [(None, batch)]
-            for cell, rows in groups:
-                asked = probes.get(cell, []) if by_cell else slice(None)
-                if len(rows) == 0 or (by_cell and not asked):
-                    continue
-                found = _block_top_k(
-                    rows["abstract_id"].to_numpy(dtype=object),
-                    _matrix(rows["embedding"]),
-                    query_ids[asked],
-                    matrix[asked],
-                    k,
-                )
-                best = found if best is None else _best(pd.concat([best, found]), k)
-        if best is not None:
-            yield best
-
-    if by_cell:
-        vectors = vectors.filter(F.col("cell").isin(sorted(probes)))
-    return _rank(vectors.mapInPandas(score, out), k)
-
-
-def _blocked(vectors: DataFrame, queries: DataFrame, out: T.StructType, k: int) -> DataFrame:
+    One row per cell is joined; without cells the number is a scalar.
+    """
+    blocks = F.ceil(F.count("*") / F.lit(size)).cast("int").alias(name)
+    if "cell" in rows.columns:
+        return rows.join(of.groupBy("cell").agg(blocks), "cell")
+    return rows.withColumn(name, of.agg(F.greatest(blocks, F.lit(1)).alias(name)).scalar())
+
+
+def _placed(rows: DataFrame, id_column: str, size: int, name: str) -> DataFrame:
+    """Rows with their block, cut by a hash of the id inside each cell, so a
+    cell with a third of all rows becomes many blocks."""
+    block = F.pmod(F.xxhash64(id_column), F.col("n")).cast("int")
+    return _with_blocks(rows, rows, size, "n").withColumn(name, block).drop("n")
+
+
+def _search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Blocks of vectors meet blocks of queries; any number of either.
 
-    Blocks are cut by a hash of the id inside each cell, so a cell with a third
-    of all vectors becomes many blocks.
+    A vector goes through the shuffle once. Queries are packed, a block in a
+    row, and packed rows are repeated for the vector blocks of their cells. A
+    task holds one block of vectors and streams the query blocks past it.
     """
-    def blocks(size: int) -> Column:
-        return F.ceil(F.count("*") / F.lit(size)).cast("int")
-
-    if "cells" in queries.columns:
-        queries = queries.withColumn("cell", F.explode("cells")).drop("cells")
-        # One row per cell.
-        counts = vectors.groupBy("cell").agg(blocks(VECTOR_BLOCK).alias("nv")).join(
-            queries.groupBy("cell").agg(blocks(QUERY_BLOCK).alias("nq")), "cell"
-        )
-
-        def with_counts(df: DataFrame) -> DataFrame:
-            return df.join(counts, "cell")
-
-    else:
-        nv = vectors.agg(blocks(VECTOR_BLOCK).alias("nv")).scalar()
-        nq = queries.agg(blocks(QUERY_BLOCK).alias("nq")).scalar()
-
-        def with_counts(df: DataFrame) -> DataFrame:
-            return df.withColumns({"cell": F.lit(0), "nv": nv, "nq": nq})
-
-    def cut(df: DataFrame, id_column: str, own: str, n_own: str, other: str, n_other: str):
-        return (
-            with_counts(df)
-            .withColumn(own, F.pmod(F.xxhash64(id_column), F.col(n_own)).cast("int"))
-            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)))
-            .drop("nv", "nq")
-        )
-
-    left = cut(vectors, "abstract_id", "vb", "nv", "qb", "nq")
-    right = cut(queries, "query_id", "qb", "nq", "vb", "nv")
-
-    def score(v: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        if len(v) == 0 or len(q) == 0:
-            return pd.DataFrame({"query_id": [], "abstract_id": [], "similarity": []})
-        return _block_top_k(
-            v["abstract_id"].to_numpy(dtype=object),
-            _matrix(v["embedding"]),
-            q["query_id"].to_numpy(dtype=object),
-            _matrix(q["query_vector"]),
-            k,
-        )
-
-    keys = ["cell", "vb", "qb"]
-    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys))
-    return _rank(pairs.applyInPandas(score, out), k)
-
-
-def _search(
-    vectors: DataFrame, queries: DataFrame, k: int, max_shared: int
-) -> DataFrame:
     out = _result_type(vectors, queries)
-    few = queries.limit(max_shared + 1).collect()
-    if not few:
-        return vectors.sparkSession.createDataFrame([], out).withColumn("rank", F.lit(0))
-    if len(few) <= max_shared:
-        return _shared(vectors, few, out, k)
-    return _blocked(vectors, queries, out, k)
+    cell = [c for c in ("cell",) if c in vectors.columns]
+    item = F.struct("query_id", "query_vector")
+    asked = (
+        _placed(queries, "query_id", QUERY_BLOCK, "qb")
+        .groupBy(*cell, "qb")
+        .agg(F.collect_list(item).alias("queries"))
+    )
+    asked = _with_blocks(asked, vectors, VECTOR_BLOCK, "nv").select(
+        *cell, F.explode(F.sequence(F.lit(0), F.col("nv") - 1)).alias("vb"), F.lit(1).alias("kind"), "queries"
+    )
+    held = _placed(vectors, "abstract_id", VECTOR_BLOCK, "vb").withColumn("kind", F.lit(0))
+    rows = held.unionByName(asked, allowMissingColumns=True)
+    rows = rows.select(
+        (F.col("cell") if cell else F.lit(0)).alias("cell"), "vb", "kind", "abstract_id", "embedding", "queries"
+    )
 
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, parts, ids, matrix = None, [], None, None
+        for batch in batches:
+            for (cell, vb, kind), own in batch.groupby(["cell", "vb", "kind"], sort=True):
+                if (cell, vb) != block:
+                    block, parts, ids, matrix = (cell, vb), [], None, None
+                if kind == 0:
+                    parts.append(own[["abstract_id", "embedding"]])
+                elif parts or ids is not None:
+                    if ids is None:
+                        whole, parts = pd.concat(parts), []
+                        ids = whole["abstract_id"].to_numpy(dtype=object)
+                        matrix = _matrix(whole["embedding"])
+                    for queries in own["queries"]:
+                        query_ids = np.array([q["query_id"] for q in queries], dtype=object)
+                        yield _block_top_k(ids, matrix, query_ids, _matrix([q["query_vector"] for q in queries]), k)
+
+    met = rows.repartition("cell", "vb").sortWithinPartitions("cell", "vb", "kind")
+    return _rank(met.mapInPandas(score, out), k)
+
+
+def vector_search(vectors: DataFrame, queries: DataFrame, k: int = VECTOR_TOP_K) -> DataFrame:
+    """Exact best ``k`` vectors per query: ``query_id, abstract_id, similarity, rank``."""
+    return _search(vectors.select("abstract_id", "embedding"), queries.select("query_id", "query_vector"), k)
 
-def vector_search(
-    vectors: DataFrame,
-    queries: DataFrame,
-    k: int = VECTOR_TOP_K,
-    max_shared: int = MAX_SHARED_QUERIES,
+
+def summary_search(
+    vectors: DataFrame, queries: DataFrame, summaries: DataFrame, k: int = VECTOR_TOP_K
 ) -> DataFrame:
-    """Exact best ``k`` vectors per query: ``query_id, abstract_id, similarity, rank``."""
-    return _search(
-        vectors.select("abstract_id", "embedding"),
-        queries.select("query_id", "query_vector"),
-        k,
-        max_shared,
-    )
+    """Best ``k`` vectors that have a summary, with the summary's columns.
+
+    Vectors without one leave before the cut, so a query gets ``k`` rows
+    wherever there are as many.
+    """
+    known = vectors.join(summaries.select("abstract_id"), "abstract_id", "left_semi")
+    return with_summaries(vector_search(known, queries, k), summaries)
 
 
 def with_summaries(hits: DataFrame, summaries: DataFrame) -> DataFrame:
@@ -196,10 +159,10 @@ def with_summaries(hits: DataFrame, summaries: DataFrame) -> DataFrame:
 
 
 def fit_cells(vectors: DataFrame, n_cells: int = 100, seed: int = SEED) -> list[list[float]]:
-    """K-means centroids; ``n_cells`` rows, the only thing the driver sees."""
+    """Centroids by cosine k-means; ``n_cells`` rows, the only thing the driver sees."""
     points = vectors.select(array_to_vector("embedding").alias("features"))
-    model = KMeans(k=n_cells, seed=seed, featuresCol="features").fit(points)
-    return [list(map(float, c)) for c in model.clusterCenters()]
+    kmeans = KMeans(k=n_cells, seed=seed, featuresCol="features", distanceMeasure="cosine")
+    return [list(map(float, c)) for c in kmeans.fit(points).clusterCenters()]
 
 
 def nearest(vector: Column, centroids: list[list[float]], n: int, ids: list[int] | None = None) -> Column:
@@ -242,10 +205,12 @@ def with_cell(vectors: DataFrame, centroids: list[list[float]], ids: list[int] |
     return vectors.withColumn("cell", F.get(best, F.lit(0))["id"])
 
 
-def write_cells(vectors: DataFrame, path: str, files_per_cell: int = 8) -> None:
-    """Store vectors with the cell as partition column; big cells span files."""
-    salt = F.pmod(F.xxhash64("abstract_id"), F.lit(files_per_cell))
-    vectors.repartition(F.col("cell"), salt).write.mode("overwrite").partitionBy("cell").parquet(path)
+def write_cells(vectors: DataFrame, path: str, mode: str = "append") -> None:
+    """Store vectors with the cell as partition column.
+
+    Rows are rebalanced by cell: a large cell is written by many tasks.
+    """
+    vectors.hint("rebalance", "cell").write.mode(mode).partitionBy("cell").parquet(path)
 
 
 def vector_search_cells(
@@ -255,20 +220,27 @@ def vector_search_cells(
     n_probe: int,
     k: int = VECTOR_TOP_K,
     ids: list[int] | None = None,
-    max_shared: int = MAX_SHARED_QUERIES,
 ) -> DataFrame:
     """Best ``k`` among the ``n_probe`` nearest cells of each query.
 
-    With few queries the probed cells become a literal filter, which prunes the
-    partitions of a table stored by cell.
+    Vectors of cells that no query probes are pruned: at run time, from a table
+    stored by cell. The probes are written once, for the pruning and the search.
     """
     probes = F.transform(nearest(F.col("query_vector"), centroids, n_probe, ids), lambda c: c["id"])
-    return _search(
-        vectors.select("abstract_id", "embedding", "cell"),
-        queries.select("query_id", "query_vector", probes.alias("cells")),
-        k,
-        max_shared,
-    )
+    probed = stage(queries.select("query_id", "query_vector", F.explode(probes).alias("cell")), "probed")
+    # The comparison holds for every cell; Spark prunes partitions only by a filtered side.
+    lowest = min(ids) if ids else 0
+    wanted = probed.filter(F.col("cell") >= lowest).select("cell").distinct()
+    wanted = F.broadcast(wanted)  # at most one row per centroid
+    kept = vectors.select("abstract_id", "embedding", "cell").join(wanted, "cell", "left_semi")
+    return _search(kept, probed, k)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row: the share of the exact hits that ``found`` holds."""
+    key = ["query_id", "abstract_id"]
+    hit = found.select(*key, F.lit(1).alias("hit"))
+    return exact.select(key).join(hit, key, "left").agg(F.avg(F.coalesce("hit", F.lit(0))).alias("recall"))
 
 
 def mean_vectors(vectors: DataFrame, group: str) -> DataFrame:

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from functools import partial
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from glosswork.fixed_values import ROUGE_GATE, SMALLEST_TOPIC
-from glosswork.operators.embed import hash_embedding
+from glosswork.operators import vector_search
+from glosswork.operators.embed import hash_embedding, term_counts, term_idf
+from glosswork.operators.fulltext import build_index, index_exists, read_index, write_index
 from glosswork.operators.ingest import (
     distinct_documents,
     ingest_accounting,
@@ -21,17 +25,18 @@ from glosswork.operators.summarize import extractive_summary
 from glosswork.operators.topics import (
     apply_merge,
     assign_topics,
+    below_floor,
     centroids_of,
     fit_topics,
-    mark_noise,
     merge_similar,
     project,
+    small_topics,
     topic_labels,
     topic_terms,
 )
 from glosswork.operators.upsert import insert_if_absent
-from glosswork.session import stage
-from glosswork.sources.tables import append_table, known_ids, read_table
+from glosswork.session import drop_staged, stage
+from glosswork.sources.tables import append_table, known_ids, read_table, table_exists
 
 Summarizer = Callable[[DataFrame], DataFrame]
 Embedder = Callable[[DataFrame], DataFrame]
@@ -48,34 +53,63 @@ def enrich(
     corpus: DataFrame,
     summarize: Summarizer = extractive_summary,
     threshold: float = ROUGE_GATE,
+    embed: Embedder | None = None,
 ) -> DataFrame:
     """Ingest, summarize, score, gate and store. Returns one row of counts.
 
-    Summaries are written once before they are scored, and scores once before
-    they are filtered, so no model or scorer runs twice. Blocked ids are stored
-    too: the next run skips them.
+    New rows are written once, with their summary and score, before they are
+    filtered, so no model or scorer runs twice; the copy goes when the tables
+    are written. Blocked ids are stored too: the next run skips them. Where a
+    topic model is stored, new summaries are embedded in its space and get its
+    topics.
     """
-    known = known_ids(spark, root)
+    known = known_ids(spark, root, threshold)
     rows = with_content_id(corpus)
     seen = ingest_accounting(rows, known).first()
     status = "nothing new" if seen["new"] == 0 else "done"
     total = kept = blocked = 0
     if seen["new"]:
-        summarized = stage(summarize(ingest(corpus, known)), "summaries")
-        scored = stage(with_rouge(summarized), "scored")
+        scored = stage(with_rouge(summarize(ingest(corpus, known))), "scored")
         passed = passes_gate(F.col("rouge_score"), threshold)
         append_table(scored.filter(passed), root, "summaries")
-        append_table(scored.filter(~passed), root, "rejected")
+        append_table(scored.filter(~passed).withColumn("threshold", F.lit(threshold)), root, "rejected")
         total, kept, blocked = gate_accounting(scored, threshold).first()
+        drop_staged(scored)
+        if latest_version(spark, root) is not None:
+            store_new_topics(spark, root, embed)
     row = (status, seen["loaded"], seen["skipped"], seen["new"], total, kept, blocked)
     columns = "status string, loaded long, skipped long, new long, total long, kept long, blocked long"
     return spark.createDataFrame([row], columns)
 
 
+def index_new(spark: SparkSession, root: str, stemmed: bool = True) -> DataFrame:
+    """Add the summaries that the stored full-text index lacks. Returns their number."""
+    path = f"{root}/index"
+    fresh = read_table(spark, root, "summaries").select("abstract_id", "summary", "rouge_score")
+    if index_exists(spark, path):
+        fresh = new_documents(fresh, read_index(spark, path).documents)
+    fresh = stage(fresh, "fresh")
+    added = fresh.count()
+    if added:
+        write_index(build_index(fresh, stemmed), path)
+    drop_staged(fresh)
+    return spark.createDataFrame([(added,)], "indexed long")
+
+
+def search_index(spark: SparkSession, root: str):
+    """The stored full-text index."""
+    return read_index(spark, f"{root}/index")
+
+
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    """The newest topic model; reads one row per centroid and version."""
+    return read_table(spark, root, "topic_rules").agg(F.max("model_version")).first()[0]
+
+
 def latest_topics(spark: SparkSession, root: str) -> DataFrame:
+    newest = latest_version(spark, root)
     topics = read_table(spark, root, "topics")
-    newest = topics.agg(F.max("model_version").alias("v")).scalar()
-    return topics.filter(F.col("model_version") == newest).drop("model_version")
+    return topics.filter(F.col("model_version") == F.lit(newest)).drop("model_version")
 
 
 def read_summaries(spark: SparkSession, root: str) -> DataFrame:
@@ -85,58 +119,129 @@ def read_summaries(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def store_idf(spark: SparkSession, root: str) -> DataFrame:
+    """The term weights of the store, from the summaries of the first call on.
+
+    They fix the space of the hashed embedding: vectors of all runs compare.
+    """
+    if not table_exists(spark, f"{root}/idf") or read_table(spark, root, "idf").isEmpty():
+        summaries = read_table(spark, root, "summaries")
+        append_table(term_idf(term_counts(summaries), summaries), root, "idf")
+    return read_table(spark, root, "idf")
+
+
+def embed_new(spark: SparkSession, root: str, embed: Embedder | None = None) -> None:
+    """Embed the summaries that have no stored vector, and store theirs."""
+    embed = embed or partial(hash_embedding, idf=store_idf(spark, root))
+    summaries = read_table(spark, root, "summaries").select("abstract_id", "summary")
+    fresh = new_documents(summaries, read_table(spark, root, "vectors"))
+    vectors = stage(embed(fresh), "vectors")
+    append_table(insert_if_absent(vectors, read_table(spark, root, "vectors")), root, "vectors")
+    drop_staged(vectors)
+
+
 def model_topics(
     spark: SparkSession,
     root: str,
     k: int,
-    embed: Embedder = hash_embedding,
+    embed: Embedder | None = None,
     reduce_to: int | None = None,
     min_size: int = SMALLEST_TOPIC,
     min_score: float | None = None,
     merge_at: float | None = None,
 ) -> DataFrame:
-    """Embed all summaries, fit topics, label them, store vectors and topics.
+    """Embed new summaries, fit topics over all vectors, label and store them.
 
-    Returns the topic labels. Centroids are all that reaches the driver.
+    Stored per version: the model, the topic of every centroid after merging
+    and the noise rule, the terms and the labels. Returns the labels. Centroids
+    and topic numbers are all that reaches the driver.
     """
+    embed_new(spark, root, embed)
     summaries = read_table(spark, root, "summaries").select("abstract_id", "summary")
-    vectors = stage(embed(summaries), "vectors")
-    append_table(insert_if_absent(vectors, read_table(spark, root, "vectors")), root, "vectors")
-
+    vectors = read_table(spark, root, "vectors")
     model = fit_topics(vectors, k, reduce_to)
-    newest = read_table(spark, root, "topics").agg(F.max("model_version")).first()[0]
-    version = (newest or 0) + 1
+    version = (latest_version(spark, root) or 0) + 1
     model.write().overwrite().save(f"{root}/models/version={version}")
     centroids = centroids_of(model)
-    assigned = assign_topics(project(model, vectors), centroids)
-    if merge_at is not None:
-        assigned = apply_merge(assigned, merge_similar(centroids, merge_at))
-    # A summary without content words has no vector; it is noise.
-    assigned = mark_noise(assigned, min_size, min_score)
-    assigned = summaries.select("abstract_id").join(assigned, "abstract_id", "left")
-    assigned = stage(assigned.fillna({"topic_id": -1, "topic_score": 0.0}), "assigned")
-
-    terms = topic_terms(summaries.join(assigned, "abstract_id"))
-    labels = stage(topic_labels(assigned, terms), "labels")
+    rule = merge_similar(centroids, merge_at) if merge_at is not None else {i: i for i in range(len(centroids))}
+    merged = apply_merge(assign_topics(project(model, vectors), centroids), rule)
+    assigned = stage(below_floor(merged, min_score), "assigned")
+    small = set(small_topics(assigned, min_size))
+    rule = {c: -1 if t in small else t for c, t in rule.items()}
+    assigned = apply_merge(assigned, {t: -1 for t in small})
+
+    terms = stage(topic_terms(summaries.join(assigned, "abstract_id")), "terms")
+    labels = topic_labels(assigned, terms).withColumn("model_version", F.lit(version))
     terms.write.mode("overwrite").parquet(f"{root}/topic_terms/version={version}")
-    labels.write.mode("overwrite").parquet(f"{root}/topic_labels/version={version}")
-    stored = assigned.join(labels, "topic_id").withColumn("model_version", F.lit(version))
-    append_table(stored, root, "topics")
+    append_table(labels, root, "topic_labels")
+    rows = [(c, t, min_score, version) for c, t in sorted(rule.items())]
+    rules = spark.createDataFrame(rows, "centroid int, topic_id int, min_score double, model_version int")
+    labels = _labels(spark, root, version)
+    append_table(assigned.join(labels, "topic_id").withColumn("model_version", F.lit(version)), root, "topics")
+    append_table(rules, root, "topic_rules")  # last: now the version counts
+    drop_staged(terms)
     return labels
 
 
-def assign_new(spark: SparkSession, root: str, version: int, embed: Embedder) -> DataFrame:
+def _labels(spark: SparkSession, root: str, version: int) -> DataFrame:
+    labels = read_table(spark, root, "topic_labels").filter(F.col("model_version") == version)
+    return labels.drop("model_version")
+
+
+def assign_new(
+    spark: SparkSession, root: str, version: int, embed: Embedder | None = None
+) -> DataFrame:
     """Topics of a saved model for summaries it has not seen.
 
-    ``embed`` must place texts in the space the model was fitted in.
+    The stored rule of the version applies: merged centroids, noise, the score
+    floor. ``embed`` must place texts in the space the model was fitted in; the
+    default uses the stored term weights.
     """
+    embed_new(spark, root, embed)
     model = PipelineModel.load(f"{root}/models/version={version}")
     known = read_table(spark, root, "topics").filter(F.col("model_version") == version)
-    fresh = new_documents(read_table(spark, root, "summaries"), known)
-    points = project(model, embed(fresh.select("abstract_id", "summary")))
-    assigned = assign_topics(points, centroids_of(model))
-    labels = spark.read.parquet(f"{root}/topic_labels/version={version}")
-    return assigned.join(labels, "topic_id", "left")
+    fresh = new_documents(read_table(spark, root, "vectors"), known)
+    rules = read_table(spark, root, "topic_rules").filter(F.col("model_version") == version).collect()
+    assigned = assign_topics(project(model, fresh), centroids_of(model))
+    assigned = apply_merge(assigned, {r["centroid"]: r["topic_id"] for r in rules})
+    assigned = below_floor(assigned, rules[0]["min_score"] if rules else None)
+    label = F.when(F.col("topic_id") == -1, F.lit("outlier")).otherwise(F.col("topic_label"))
+    joined = assigned.join(_labels(spark, root, version), "topic_id", "left")
+    return joined.withColumn("topic_label", label)
+
+
+def store_new_topics(spark: SparkSession, root: str, embed: Embedder | None = None) -> None:
+    """Topics of the latest model for the summaries stored since it was fitted."""
+    version = latest_version(spark, root)
+    found = stage(assign_new(spark, root, version, embed).withColumn("model_version", F.lit(version)), "assigned")
+    append_table(found, root, "topics")
+    drop_staged(found)
+
+
+def store_cells(spark: SparkSession, root: str, n_cells: int = 100) -> None:
+    """Fit cells over the stored vectors and store the vectors by cell.
+
+    The centroids, one row per cell, go beside them.
+    """
+    vectors = read_table(spark, root, "vectors").select(
+        "abstract_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding")
+    )
+    fitted = vectors.filter(F.exists("embedding", lambda x: x != 0))
+    centroids = vector_search.fit_cells(fitted, n_cells)
+    vector_search.write_cells(vector_search.with_cell(vectors, centroids), f"{root}/cells", "overwrite")
+    rows = [(i, c) for i, c in enumerate(centroids)]
+    spark.createDataFrame(rows, "cell int, centroid array<double>").coalesce(1).write.mode("overwrite").parquet(
+        f"{root}/centroids"
+    )
+
+
+def search_cells(spark: SparkSession, root: str, queries: DataFrame, n_probe: int, k: int) -> DataFrame:
+    """Approximate search in the stored cells."""
+    rows = spark.read.parquet(f"{root}/centroids").collect()
+    stored = spark.read.parquet(f"{root}/cells")
+    return vector_search.vector_search_cells(
+        stored, queries, [r["centroid"] for r in rows], n_probe, k, [r["cell"] for r in rows]
+    )
 
 
 def verify(spark: SparkSession, root: str) -> DataFrame:

@@ -43,4 +43,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def drop_staged(*frames: DataFrame) -> None:
+    """Delete staged tables that nothing will read again."""
+    for frame in frames:
+        spark, path = frame.sparkSession, getattr(frame, "staged_at", None)
+        if path is None or not path.startswith(staging_root(spark)):
+            raise ValueError("not a staged table")
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

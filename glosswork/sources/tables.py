@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from glosswork.operators.ingest import normalize_corpus
-from glosswork.schema import TABLES
+from glosswork.schema import STORED_BY, TABLES
 
 
 def read_corpus(
@@ -29,7 +29,7 @@ def setup_tables(spark: SparkSession, root: str) -> None:
     """Create every stored table that does not exist yet; safe to repeat."""
     for name, schema in TABLES.items():
         if not table_exists(spark, f"{root}/{name}"):
-            spark.createDataFrame([], schema).write.mode("append").parquet(f"{root}/{name}")
+            append_table(spark.createDataFrame([], schema), root, name)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -53,13 +53,23 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def append_table(df: DataFrame, root: str, name: str) -> None:
     schema: StructType = TABLES[name]
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
-    df.select(*typed).write.mode("append").parquet(f"{root}/{name}")
+    writer = df.select(*typed).write.mode("append")
+    if name in STORED_BY:
+        writer = writer.partitionBy(*STORED_BY[name])
+    writer.parquet(f"{root}/{name}")
 
 
-def known_ids(spark: SparkSession, root: str) -> DataFrame:
-    """Ids that need no work: stored summaries and rejected documents."""
+def known_ids(spark: SparkSession, root: str, threshold: float | None = None) -> DataFrame:
+    """Ids that need no work: stored summaries and rejected documents.
+
+    With a ``threshold``, a document that a higher gate blocked comes again if
+    its score now passes.
+    """
     stored = read_table(spark, root, "summaries").select("abstract_id")
-    return stored.union(read_table(spark, root, "rejected").select("abstract_id"))
+    blocked = read_table(spark, root, "rejected")
+    if threshold is not None:
+        blocked = blocked.filter(~F.coalesce(F.col("rouge_score").cast("double") >= threshold, F.lit(False)))
+    return stored.union(blocked.select("abstract_id"))
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:

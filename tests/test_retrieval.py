@@ -74,9 +74,9 @@ def brute_keyword(query):
 
 def test_full_text_match(data):
     docs, queries = data
-    index = fulltext.build_index(docs)
+    index = fulltext.build_index(docs, stemmed=False)
     got = {}
-    for r in fulltext.match_all_terms(index, fulltext.analyzed_terms(queries)).collect():
+    for r in fulltext.match_all_terms(index, fulltext.analyzed_terms(queries, stemmed=False)).collect():
         got.setdefault(r["query_id"], set()).add(r["abstract_id"])
     assert got == {i: brute_full_text(q) for i, q in QUERIES if brute_full_text(q)}
 
@@ -92,27 +92,62 @@ def test_bm25_value(spark):
     assert row["relevance"] == pytest.approx(expected, abs=1e-5)
 
 
+def hits_of(index, queries):
+    terms = fulltext.analyzed_terms(queries, index.stemmed)
+    rows = fulltext.match_all_terms(index, terms).collect()
+    return sorted((r["query_id"], r["abstract_id"], round(r["relevance"], 6)) for r in rows)
+
+
 @pytest.mark.parametrize("stemmed", [False, True])
-def test_stored_index_gives_the_same_matches(spark, data, tmp_path, stemmed):
+def test_stored_index_in_two_batches_gives_the_same_matches(spark, data, tmp_path, stemmed, monkeypatch):
     docs, queries = data
+    monkeypatch.setattr(fulltext, "BUCKET_TOKENS", 50)
     index = fulltext.build_index(docs, stemmed)
-    fulltext.write_index(index, str(tmp_path / "index"), 4, 2)
-    stored = fulltext.read_index(spark, str(tmp_path / "index"))
-    terms = fulltext.analyzed_terms(queries, stemmed)
-    a = sorted(map(tuple, fulltext.match_all_terms(index, terms).collect()))
-    b = sorted(map(tuple, fulltext.match_all_terms(stored, terms).collect()))
-    assert a == b and a
-    assert sorted(map(tuple, stored.words.select("term", "abstract_id").collect())) == sorted(
-        map(tuple, fulltext.doc_words(docs).select("term", "abstract_id").collect())
-    )
+    path = str(tmp_path / "index")
+    for part in (docs.filter("abstract_id < 'd25'"), docs.filter("abstract_id >= 'd25'")):
+        fulltext.write_index(fulltext.build_index(part, stemmed), path)
+    stored = fulltext.read_index(spark, path)
+    assert stored.stemmed == stemmed and stored.totals.first()["buckets"] > 1
+    assert hits_of(stored, queries) == hits_of(index, queries) != []
+    keyword = lambda i: sorted(map(tuple, fulltext.keyword_candidates(i, queries).collect()), key=str)
+    assert keyword(stored) == keyword(index)
+    assert stored.documents.count() == len(ROWS)
+    with pytest.raises(ValueError):
+        fulltext.write_index(fulltext.build_index(docs, not stemmed), path)
+
+
+def test_an_unpublished_batch_is_not_seen(spark, data, tmp_path):
+    docs, queries = data
+    path = str(tmp_path / "index")
+    index = fulltext.build_index(docs)
+    fulltext.write_index(index, path)
+    before = hits_of(fulltext.read_index(spark, path), queries)
+    rows = spark.read.parquet(f"{path}/postings").drop("batch").withColumn("batch", F.lit("half"))
+    rows.write.mode("append").partitionBy("batch", "term_bucket").parquet(f"{path}/postings")
+    assert hits_of(fulltext.read_index(spark, path), queries) == before
 
 
-def test_stored_index_reads_only_the_buckets_asked_for(spark, data, plan, tmp_path):
+def test_stored_index_reads_only_the_buckets_asked_for(spark, data, plan, tmp_path, monkeypatch):
     docs, queries = data
-    fulltext.write_index(fulltext.build_index(docs), str(tmp_path / "index"), 4, 2)
+    monkeypatch.setattr(fulltext, "BUCKET_TOKENS", 50)
+    fulltext.write_index(fulltext.build_index(docs), str(tmp_path / "index"))
     stored = fulltext.read_index(spark, str(tmp_path / "index"))
     hits = fulltext.match_all_terms(stored, fulltext.analyzed_terms(queries))
     assert "dynamicpruning" in plan(hits)
+    assert "dynamicpruning" in plan(fulltext.keyword_candidates(stored, queries))
+
+
+def test_search_starts_from_the_rarest_term(spark):
+    rows = [(f"d{i:03d}", "common" + (" frequent" if i % 2 else "") + (" rare" if i < 3 else ""), 0.5) for i in range(90)]
+    docs = spark.createDataFrame(rows, "abstract_id string, summary string, rouge_score double")
+    queries = spark.createDataFrame([(1, "common frequent rare"), (2, "rare common frequent"), (3, "common")],
+                                    "query_id int, query string")
+    index = fulltext.build_index(docs)
+    sets, found = fulltext._asked_sets(index, fulltext.analyzed_terms(queries))
+    assert sets.count() == 3 and found.select("set").distinct().count() == 2
+    first = fulltext.rarest_term_hits(index, found)
+    assert first.count() == 3 + 90
+    assert [x[:2] for x in hits_of(index, queries) if x[0] < 3] == [(1, "d001"), (2, "d001")]
 
 
 def test_candidates_are_cut_per_task(data, plan):
@@ -124,15 +159,28 @@ def test_candidates_are_cut_per_task(data, plan):
 def test_keyword_candidates(data):
     docs, queries = data
     got = {}
-    hits = fulltext.keyword_candidates(docs, queries)
+    hits = fulltext.keyword_candidates(fulltext.build_index(docs), queries)
     for r in hits.collect():
         got.setdefault(r["query_id"], []).append((r["rouge_score"] is None, -(r["rouge_score"] or 0), r["abstract_id"]))
     got = {q: [x[2] for x in sorted(rows)] for q, rows in got.items()}
     assert got == {i: brute_keyword(q) for i, q in QUERIES if brute_keyword(q)}
-    # Also through the rest of the corpus: no document in the best band.
+    # Also a document far from the best.
     assert brute_keyword("preglucose") == ["d40"]
 
 
+def test_keywords_with_many_tied_scores(spark):
+    rows = [(f"d{i:03d}", "tiedword" + ("s" if i % 3 else "") + f" word{i % 7}", [1.0, None, 0.5][i % 3]) for i in range(200)]
+    docs = spark.createDataFrame(rows, "abstract_id string, summary string, rouge_score double")
+    queries = spark.createDataFrame([(1, "tiedword"), (2, "tied word3")], "query_id int, query string")
+    got = {}
+    for r in fulltext.keyword_candidates(fulltext.build_index(docs), queries).collect():
+        got.setdefault(r["query_id"], set()).add(r["abstract_id"])
+    best = [r[0] for r in by_quality(rows)]
+    assert got == {1: set(best[:16]), 2: set(best[:16])}
+    with pytest.raises(ValueError):
+        fulltext.keyword_candidates(fulltext.build_index(docs), queries, 17)
+
+
 def expected_cascade():
     best = [r[0] for r in by_quality(ROWS)[:8]]
     out = {}
@@ -151,7 +199,7 @@ def expected_cascade():
 
 def test_cascade(data):
     docs, queries = data
-    rows = retrieval.retrieval_cascade(docs, queries).collect()
+    rows = retrieval.retrieval_cascade(docs, queries, fulltext.build_index(docs, stemmed=False)).collect()
     got = {}
     for r in rows:
         assert r["abstract_id"] not in got.setdefault(r["query_id"], {})
@@ -196,8 +244,15 @@ def test_prompts(data):
 def test_search(data):
     docs, queries = data
     got = {}
-    for r in retrieval.search(docs, queries).orderBy("query_id", "rank").collect():
-        got.setdefault(r["query_id"], []).append(r)
+    hints = {}
+    index = fulltext.build_index(docs, stemmed=False)
+    for r in retrieval.search(docs, queries, index=index).orderBy("query_id", "rank").collect():
+        hints[r["query_id"]] = r["topic_hint"]
+        if r["abstract_id"] is not None:
+            got.setdefault(r["query_id"], []).append(r)
+    # Every query has its hint, also without hits.
+    assert set(hints) == {i for i, _ in QUERIES}
+    assert hints[1] == dict(TOPIC_KEYWORDS)["glucose"]
     expected = {i: min(5, len(brute_full_text(q))) for i, q in QUERIES if brute_full_text(q)}
     expected |= {i: 5 for i, q in QUERIES if not clean(q, 2)}
     assert {i: len(rows) for i, rows in got.items()} == expected
@@ -211,7 +266,7 @@ def test_search(data):
 def test_stemmed_cascade_finds_other_forms(spark, data):
     docs, _ = data
     queries = spark.createDataFrame([(1, "cancers")], "query_id int, query string")
-    rows = retrieval.retrieval_cascade(docs, queries, stemmed=True).collect()
+    rows = retrieval.retrieval_cascade(docs, queries).collect()
     assert {r["stage"] for r in rows} == {1}
 
 
@@ -219,7 +274,7 @@ def test_no_unbounded_pair_join(data, plan):
     docs, queries = data
     for df in (
         fulltext.match_all_terms(fulltext.build_index(docs), fulltext.analyzed_terms(queries)),
-        fulltext.keyword_matches(fulltext.doc_words(docs), queries),
+        fulltext.keyword_candidates(fulltext.build_index(docs), queries),
         retrieval.search(docs, queries),
     ):
         assert "CartesianProduct" not in plan(df) and "NestedLoop" not in plan(df)
@@ -230,22 +285,3 @@ def test_null_scores_sort_last(data):
     order = [r["rouge_score"] for r in fulltext.quality_top(docs.select("abstract_id", "rouge_score"), 60).collect()]
     assert order[-1] is None and order[0] == max(x for x in order if x is not None)
     assert docs.filter(F.col("rouge_score").isNull()).count() == 1
-
-
-def test_bands_hold_every_document_once(data):
-    docs, _ = data
-    bands = fulltext.quality_bands(docs, 5, 3)
-    assert len(bands) == 4
-    seen, lowest = [], None
-    for band in bands:
-        rows = docs.filter(band).collect()
-        seen += [r["abstract_id"] for r in rows]
-        scores = [r["rouge_score"] for r in rows if r["rouge_score"] is not None]
-        assert lowest is None or max(scores) < lowest
-        lowest = min(scores)
-    assert sorted(seen) == sorted(r[0] for r in ROWS)
-
-
-def test_keyword_candidates_over_many_bands(data, monkeypatch):
-    monkeypatch.setattr(fulltext.quality_bands, "__defaults__", (4, 3))
-    test_keyword_candidates(data)
