@@ -216,6 +216,10 @@ def extractive_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarize.extractive_summary(_docs(spark, sf_dir)).select("abstract_id", "summary")
 
 
+def lead_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summarize.lead_summary(_docs(spark, sf_dir)).select("abstract_id", "summary")
+
+
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_rouge(summarize.extractive_summary(_docs(spark, sf_dir, "source")))
 
@@ -647,7 +651,7 @@ def topic_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _REGISTERED = [
     corpus_scan, content_ids, distinct_documents, incremental_new, ingest_accounting,
-    ingest_stream, extractive_summary, rouge_scores, rouge_l_pairs, rouge_l_stemmed,
+    ingest_stream, extractive_summary, lead_summary, rouge_scores, rouge_l_pairs, rouge_l_stemmed,
     quality_gate, gate_accounting, enrich_store, enrich_contents, gated_topic_stats, corpus_stats, topic_histogram,
     topic_stats, verify_report, query_terms, detect_topic, postings, term_stats,
     fts_stored_index, fts_and_match, fts_stemmed, fts_bm25_topk, incremental_search, search_topk,

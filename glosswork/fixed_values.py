@@ -10,7 +10,6 @@ ENOUGH_HITS = 4
 KEYWORD_RELEVANCE = 0.1
 SAFETY_RELEVANCE = 0.05
 EMBED_DIM = 384
-SUMMARY_MIN_WORDS = 40
 SUMMARY_MAX_WORDS = 100
 SMALLEST_TOPIC = 10
 TERM_MIN_DOCS = 2

@@ -76,6 +76,22 @@ def extractive_summary(docs: DataFrame, max_words: int = SUMMARY_MAX_WORDS) -> D
     )
 
 
+def lead_summary(docs: DataFrame, max_words: int = SUMMARY_MAX_WORDS) -> DataFrame:
+    """Add ``summary``: the first segments, up to ``max_words`` words. No shuffle."""
+    parts = F.transform(
+        segments(F.col("abstract")), lambda s: F.struct(s.alias("segment"), F.size(tokens(s)).alias("words"))
+    )
+    start = F.struct(F.lit(0).alias("words"), F.array().cast("array<string>").alias("taken"))
+
+    def add(acc: Column, s: Column) -> Column:
+        total = acc["words"] + s["words"]
+        taken = F.when(total <= max_words, F.concat(acc["taken"], F.array(s["segment"]))).otherwise(acc["taken"])
+        return F.struct(total.alias("words"), taken.alias("taken"))
+
+    lead = F.aggregate(parts, start, add, lambda acc: F.array_join(acc["taken"], " "))
+    return docs.withColumn("summary", F.coalesce(lead, F.lit("")))
+
+
 def model_summary(
     docs: DataFrame, load_model: Callable[[], Callable[[Sequence[str]], Sequence[str]]]
 ) -> DataFrame:

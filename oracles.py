@@ -456,6 +456,15 @@ FROM documents d LEFT JOIN known k ON k.abstract_id = md5(d.text) WHERE d.text I
     )
     sql["ingest_stream"] = "SELECT DISTINCT md5(text) AS abstract_id FROM documents"
     sql["extractive_summary"] = chain(DOCS, EXTRACT, "SELECT abstract_id, summary FROM chosen")
+    segs, seg_words = EXTRACT.split(",\nseg_counts")[0], "seg_sizes AS (SELECT abstract_id, pos, count(*) AS n FROM seg_words GROUP BY 1, 2)"
+    sql["lead_summary"] = chain(
+        DOCS, segs, seg_words,
+        """led AS (
+  SELECT s.abstract_id, s.pos, s.seg, sum(z.n) OVER (PARTITION BY s.abstract_id ORDER BY s.pos) AS upto
+  FROM segs s JOIN seg_sizes z USING (abstract_id, pos))""",
+        """SELECT d.abstract_id, coalesce(string_agg(l.seg, ' ' ORDER BY l.pos), '') AS summary
+FROM docs d LEFT JOIN led l ON l.abstract_id = d.abstract_id AND l.upto <= 100 GROUP BY 1""",
+    )
     scored = (DOCS, EXTRACT, SCORED)
     sql["rouge_scores"] = chain(
         *scored, "SELECT abstract_id, round(rouge_score::DOUBLE, 6) AS rouge_score FROM scored"
