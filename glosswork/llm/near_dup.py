@@ -1,21 +1,26 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 A document is its set of word shingles. Equal sets merge first. Every set gets
-128 minwise tokens; a tree starts with all sets in one node and branches a node
+minwise tokens; a tree starts with all sets in one node and branches a node
 by the tokens at positions that the node's path selects: one position, and with
 probability 1/threshold - 1 a second, so that a similar pair is expected to
 stay together in one child at every level. Nodes of at most ``LEAF`` sets stop
-branching and are compared exhaustively by 8-bit sketches of the tokens; pairs
-that may reach the threshold are confirmed on the full sets. Independent trees
-repeat this: with 16 trees a pair at the threshold is missed about once in
-1,000 times when its nodes branch eight levels, far less in smaller nodes.
+branching and are compared exhaustively by sketches of 256 tokens at four bits;
+pairs that may reach the threshold (but for a chance of 1 in 4,000) are
+confirmed on the full sets. Independent trees repeat this: with 16 trees a pair
+at the threshold is missed about once in 1,000 times when its nodes branch
+eight levels, far less in smaller nodes.
 
 Only (path, id) pairs take part in branching, counts per node merge per task,
-and nodes of one set leave at once. A node that is still large after ``LEVELS``
-levels holds sets that share that many tokens: a hot group of near copies. It
+and nodes of one set leave at once. Branching ends after ``LEVELS`` levels, or
+when a level beyond the third no longer shrinks the large nodes: their sets
+share that many tokens, a hot group of near copies. Such a node
 is ordered by further tokens, dealt over tasks by range, and every set is
 compared with the ``LEAF`` that follow it, in another order in every tree.
 
+Joins whose sides grow with the corpus are sort-merge joins at every size, and
+adaptive execution splits their hot keys.
+
 All candidate pairs of one task first shrink to a spanning forest of the most
 similar ones. When some of its links fail on the full sets, all candidates
 between the resulting components are confirmed in a second round, so the forest
@@ -42,16 +47,17 @@ from glosswork.llm import words as w
 from glosswork.llm.components import components
 from glosswork.session import stage
 
-TOKENS = 128
+TOKENS = 128  # of which paths choose
+SKETCH = 256  # tokens of the sketch, four bits each
 TREES = 16
 LEVELS = 12
 LEAF = 64
 ORDER = 8
-SURE = 4.0
+SURE = 3.5
 _U = np.uint64
 _random = np.random.default_rng(20240301)
-_XOR = _random.integers(0, 1 << 32, TOKENS, dtype=np.uint32)
-_ODD = _random.integers(0, 1 << 31, TOKENS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_XOR = _random.integers(0, 1 << 32, SKETCH, dtype=np.uint32)
+_ODD = _random.integers(0, 1 << 31, SKETCH, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _PLACE = _random.integers(1, 1 << 63, 64, dtype=np.uint64) * _U(2) + _U(1)
 _ORDER_AT = _random.integers(0, TOKENS, (1024, ORDER))
 
@@ -96,12 +102,12 @@ def shingles(texts: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, np.
 
 
 def minwise(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Rows of TOKENS minwise tokens for the sets that are not empty."""
+    """Rows of SKETCH minwise tokens for the sets that are not empty."""
     full = offsets[:-1][offsets[:-1] < offsets[1:]]
-    out = np.zeros((len(full), TOKENS), np.uint32)
+    out = np.zeros((len(full), SKETCH), np.uint32)
     if len(full):
         x = (sets >> _U(32)).astype(np.uint32)
-        for j in range(TOKENS):
+        for j in range(SKETCH):
             out[:, j] = np.minimum.reduceat((x ^ _XOR[j]) * _ODD[j], full)
     return out
 
@@ -130,7 +136,9 @@ def describe(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
                 size = np.diff(offsets)
                 tokens = minwise(sets, offsets)
                 place = pa.array(np.cumsum(size > 0) - 1, mask=size == 0)
-                sketch = (tokens ^ (tokens >> np.uint32(11)) ^ (tokens >> np.uint32(22))).astype(np.uint8)
+                nibble = ((tokens * np.uint32(0x9E3779B1)) >> np.uint32(28)).astype(np.uint8)
+                sketch = nibble[:, ::2] << 4 | nibble[:, 1::2]
+                tokens = tokens[:, :TOKENS]
                 digest = [
                     hashlib.blake2b(sets[a:b].tobytes(), digest_size=16).digest() if b > a else None
                     for a, b in zip(offsets[:-1], offsets[1:], strict=True)
@@ -193,17 +201,20 @@ def nodes(
     """Rows ``path, id, tree`` of the leaves, and of nodes still large at the end."""
     rows = _branch(sets.select("id", "tokens"), threshold, trees)
     leaves: list[DataFrame] = []
+    before = None
     for level in range(1, levels + 1):
         rows = stage(rows, "paths")
         sized = rows.groupBy("path").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-        sized = stage(rows.join(sized, "path"), "sized")
+        sized = stage(rows.join(sized.hint("merge"), "path"), "sized")
         leaves.append(sized.filter(F.col("members") <= leaf).select("path", "id", "tree"))
         large = sized.filter(F.col("members") > leaf).select("path", "id", "tree")
-        if large.isEmpty():
+        n = large.count()
+        if n == 0:
             return _union(leaves), None
-        if level == levels:
+        if level == levels or (level > 3 and n > 0.9 * before):
             return _union(leaves), large
-        rows = _branch(large.join(sets.select("id", "tokens"), "id").select("path", "id", "tree", "tokens"), threshold, None)
+        before = n
+        rows = _branch(large.join(sets.select("id", "tokens").hint("merge"), "id").select("path", "id", "tree", "tokens"), threshold, None)
     raise AssertionError
 
 
@@ -241,7 +252,8 @@ def _similar(path, ids, sizes, sketch, label, new, threshold: float, leaf: int)
     Rows before ``new`` were compared with each other before. ``label`` rules
     out pairs inside one component.
     """
-    least = TOKENS * (threshold - SURE * (threshold * (1 - threshold) / TOKENS) ** 0.5)
+    agree = threshold + (1 - threshold) / 16
+    least = SKETCH * (agree - SURE * (agree * (1 - agree) / SKETCH) ** 0.5)
     found = []
     for step in range(1, leaf + 1):
         if step >= len(path):
@@ -257,7 +269,8 @@ def _similar(path, ids, sizes, sketch, label, new, threshold: float, leaf: int)
         left, right = left[fit], right[fit]
         for lo in range(0, len(left), 8192):
             a, b = left[lo : lo + 8192], right[lo : lo + 8192]
-            same = (sketch[a] == sketch[b]).sum(axis=1)
+            apart = sketch[a] ^ sketch[b]
+            same = ((apart & 0xF0) == 0).sum(axis=1) + ((apart & 0x0F) == 0).sum(axis=1)
             for i in np.flatnonzero(same >= least):
                 x, y = ids[a[i]], ids[b[i]]
                 if x != y:
@@ -280,7 +293,7 @@ def candidates(members: DataFrame, threshold: float, forest: bool, leaf: int = L
                 rows = pa.concat_tables([held, rows]).combine_chunks()
             path = rows["path"].to_numpy()
             ids = rows["id"].to_pylist()
-            sketch = _rows(rows["sketch"].combine_chunks(), np.uint8, TOKENS)
+            sketch = _rows(rows["sketch"].combine_chunks(), np.uint8, SKETCH // 2)
             label = rows["label"].to_numpy() if "label" in rows.column_names else None
             found = _similar(path, ids, rows["n"].to_numpy(), sketch, label, new, threshold, leaf)
             if forest:
@@ -313,7 +326,7 @@ def confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
     left = full.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = full.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "x", "y")
     return both.mapInArrow(run, f"a {id_type}, b {id_type}, linked boolean")
 
 
@@ -329,7 +342,7 @@ def _full_sets(docs: DataFrame, id_col: str, text_col: str, width: int, ids: Dat
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "shingles"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.join(ids, "id", "left_semi").mapInArrow(run, f"id {id_type}, shingles binary")
+    return rows.join(ids.hint("merge"), "id", "left_semi").mapInArrow(run, f"id {id_type}, shingles binary")
 
 
 def near_duplicates(
@@ -350,12 +363,12 @@ def near_duplicates(
     described = stage(describe(docs, id_col, text_col, width), "described")
     sets = described.filter("n > 0 AND id IS NOT NULL")
     classes = stage(sets.groupBy("digest").agg(F.min("id").alias("rep")), "classes")
-    chosen = sets.join(classes, [sets.digest == classes.digest, sets.id == classes.rep], "left_semi")
+    chosen = sets.join(classes.hint("merge"), [sets.digest == classes.digest, sets.id == classes.rep], "left_semi")
     chosen = stage(chosen.select("id", "n", "tokens", "sketch"), "chosen")
 
     leaves, dense = nodes(chosen, threshold, trees, levels, leaf)
     sketches = chosen.select("id", "n", "sketch")
-    leaves = stage(leaves.join(sketches, "id").select("path", "id", "n", "sketch"), "leaves")
+    leaves = stage(leaves.join(sketches.hint("merge"), "id").select("path", "id", "n", "sketch"), "leaves")
     dense = stage(_ordered(dense, chosen), "dense") if dense is not None else None
 
     def found(labels: DataFrame | None) -> DataFrame:
@@ -363,7 +376,7 @@ def near_duplicates(
         for frame in [f for f in (leaves, dense) if f is not None]:
             if labels is not None:
                 named = labels.select(F.col("node").alias("id"), F.col("component").alias("label"))
-                frame = frame.join(named, "id", "left").withColumn("label", F.coalesce("label", "id"))
+                frame = frame.join(named.hint("merge"), "id", "left").withColumn("label", F.coalesce("label", "id"))
             if "place" in frame.columns:
                 frame = frame.repartitionByRange("path", "place", "id").sortWithinPartitions("path", "place", "id")
             else:
@@ -387,7 +400,7 @@ def near_duplicates(
     named = classes.join(named, classes.rep == named.node, "left").select(
         "digest", F.coalesce("component", "rep").alias("component")
     )
-    out = described.select("id", "n", "digest").join(named, "digest", "left")
+    out = described.select("id", "n", "digest").join(named.hint("merge"), "digest", "left")
     component = F.coalesce(F.when(F.col("id").isNotNull(), F.col("component")), F.col("id"))
     return out.select(
         F.col("id").alias(id_col),
@@ -411,5 +424,5 @@ def _ordered(large: DataFrame, chosen: DataFrame) -> DataFrame:
             columns = [*batch.columns[:2], batch.column(3), batch.column(4), _binary(place)]
             yield pa.RecordBatch.from_arrays(columns, names=["path", "id", "n", "sketch", "place"])
 
-    rows = large.join(chosen, "id").select("path", "id", "tree", "n", "sketch", "tokens")
+    rows = large.join(chosen.hint("merge"), "id").select("path", "id", "tree", "n", "sketch", "tokens")
     return rows.mapInArrow(run, f"path bigint, id {id_type}, n bigint, sketch binary, place binary")
