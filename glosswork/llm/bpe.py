@@ -8,8 +8,8 @@ by two CRC-32 slots (a key sits in one of them), so a look-up does not depend
 on the size of the vocabulary. Bytes are carried as the 256 first code points.
 
 The fold costs about 100 microseconds a word, so it serves the distinct words
-of ``fold_words`` and the table of frequent words (at most ``FREQUENT``, from at
-most ``SAMPLE`` documents chosen by hash), which is broadcast. Other words are
+of ``fold_words`` and the table of frequent words (at most ``FREQUENT``, from
+about ``SAMPLE`` documents chosen by hash), which is broadcast. Other words are
 merged by the same rule in the tasks that meet them and remembered there; the
 result does not depend on which words are in the table. Texts are never
 shuffled, nor are tokens.
@@ -27,6 +27,7 @@ from __future__ import annotations
 import base64
 import heapq
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 FREQUENT = 1 << 15
 SAMPLE = 4000
 LONGEST = 32  # bytes of a word in the table of frequent words
-REMEMBERED = 1 << 18  # words a task remembers
+REMEMBERED = 1 << 17  # words a task remembers
 SLOT_BITS = 17
 _BREAK = "Ā"  # outside the 256 characters that stand for bytes
 
@@ -201,16 +202,20 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[piece[i : end[i]]] for i in range(n) if alive[i]]
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 class _Memory(dict):
-    """Ids of words, merged when first met; holds at most ``REMEMBERED`` new words."""
+    """Packed ids of words, merged when first met; holds at most ``REMEMBERED`` new words."""
 
-    def __init__(self, frequent: dict[str, list[int]], ranks: dict[bytes, int]):
+    def __init__(self, frequent: dict[str, bytes], ranks: dict[bytes, int]):
         super().__init__(frequent)
         self.frequent, self.ranks = frequent, ranks
 
-    def __missing__(self, word: str) -> list[int]:
+    def __missing__(self, word: str) -> bytes:
         data = word.encode()
-        ids = merge_bytes(data, self.ranks)
+        ids = _packed(merge_bytes(data, self.ranks))
         if len(data) <= 2 * LONGEST:
             if len(self) >= REMEMBERED + len(self.frequent):
                 self.clear()
@@ -219,14 +224,20 @@ class _Memory(dict):
         return ids
 
 
-def frequent_words(docs: DataFrame, text_col: str, pattern: str, table: RankMap) -> dict[str, list[int]]:
-    """Ids of the most frequent words of a bounded sample of documents."""
-    text = F.col(text_col).cast("string")
-    sample = docs.select(text.alias("t")).filter("length(t) > 0").orderBy(F.xxhash64("t"), "t").limit(SAMPLE)
+def frequent_words(
+    docs: DataFrame, id_col: str, text_col: str, pattern: str, table: RankMap
+) -> dict[str, bytes]:
+    """Packed ids of the most frequent words of a bounded sample of documents.
+
+    A hash of id and text picks about SAMPLE documents where they are read.
+    """
+    rows = docs.select(F.col(text_col).cast("string").alias("t"), F.xxhash64(id_col, text_col).alias("h"))
+    share = F.lit(max(1, SAMPLE * (1 << 40) // max(1, docs.count())))
+    sample = rows.filter(F.pmod("h", F.lit(1 << 40)) < share).select("t").limit(2 * SAMPLE)
     word = F.explode(F.regexp_extract_all("t", F.lit(f"(?U){pattern}"), F.lit(0)))
     counts = sample.select(word.alias("word")).filter(F.octet_length("word").between(1, LONGEST)).groupBy("word").count()
     best = counts.orderBy(F.desc("count"), "word").limit(FREQUENT).select("word")
-    return {r["word"]: list(r["ids"]) for r in fold_words(best, table).collect()}
+    return {r["word"]: _packed(r["ids"]) for r in fold_words(best, table).collect()}
 
 
 def encode(
@@ -234,7 +245,7 @@ def encode(
 ) -> DataFrame:
     """Per document: id and ``ids``, the tokens of its whole text."""
     context = docs.sparkSession.sparkContext
-    frequent = frequent_words(docs, text_col, pattern, RankMap(ranks))
+    frequent = frequent_words(docs, id_col, text_col, pattern, RankMap(ranks))
     shared = context.broadcast((frequent, ranks))  # at most FREQUENT words and the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,13 +255,12 @@ def encode(
         for batch in batches:
             for row in range(0, batch.num_rows, 256):
                 part = batch.slice(row, 256)
-                ids: list[int] = []
-                offsets = [0]
-                for text in part.column(1).to_pylist():
-                    for word in find(text or ""):
-                        ids += memory[word]
-                    offsets.append(len(ids))
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.array(ids, np.int32)))
+                ids = [
+                    b"".join([memory[word] for word in find(text.as_py() or "")]) for text in part.column(1)
+                ]
+                offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+                flat = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(ids))])
+                lists = pa.ListArray.from_arrays(pa.array(offsets), flat)
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["id", "ids"])
 
     id_type = docs.schema[id_col].dataType.simpleString()

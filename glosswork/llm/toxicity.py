@@ -139,8 +139,11 @@ def fit_chain(x: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> list[np.nd
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, wanted: list[str], max_rows: int) -> DataFrame:
     """``id, text`` and labels of at most ``max_rows`` labelled documents."""
     marks = [F.max(F.col(c).cast("int")).alias(c) for c in wanted]
+    # Twice the share of ids that is needed, so that few rows meet in the cut.
+    share = F.lit(min(1 << 40, 2 * max_rows * (1 << 40) // max(1, labels.count())))
     chosen = (
         labels.filter(F.col(id_col).isNotNull() & F.col(FINAL).isNotNull())
+        .filter(F.pmod(F.xxhash64(id_col), F.lit(1 << 40)) < share)
         .groupBy(F.col(id_col).alias("id"))
         .agg(*marks)
         .orderBy(F.xxhash64("id"), "id")
