@@ -15,8 +15,8 @@ their id; words are chosen by chi-squared over them. Scoring is row by row over
 whole texts: no shuffle, and only the fitted weights (a few hundred numbers)
 travel.
 
-Defined results: null or empty texts have no words and get the score of such
-texts; null ids are scored; labels with a null id or label are not used, an id
+Defined results: null or empty texts and texts without words say nothing, and
+their probabilities are 0; null ids are scored; labels with a null id or label are not used, an id
 labelled twice counts as toxic if any label says so; without labelled rows, or
 with one class only, every probability is the share of that class; ties in the
 choice of words go to the smaller digest; repeated rows are each returned; an
@@ -67,7 +67,7 @@ class Chain:
         return x[:, 2 * len(self.digests) :]
 
     def score(self, texts: pa.Array) -> np.ndarray:
-        parts = [self.predict(x) for x in features(texts, self.digests)]
+        parts = [self.predict(x) * (n > 0)[:, None] for x, n in _features(texts, self.digests)]
         return np.concatenate(parts) if parts else np.zeros((0, len(self.names)))
 
 
@@ -89,6 +89,11 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def features(texts: pa.Array, digests: np.ndarray) -> Iterator[np.ndarray]:
     """For runs of texts, count and share (logarithms) of the pieces with these sorted digests."""
+    return (x for x, _ in _features(texts, digests))
+
+
+def _features(texts: pa.Array, digests: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The features, and the number of words of each text."""
     for _, data, offsets in w.chunks(texts):
         found, doc, n_words = pieces(data, offsets)
         shape = (len(offsets) - 1, len(digests))
@@ -98,7 +103,7 @@ def features(texts: pa.Array, digests: np.ndarray) -> Iterator[np.ndarray]:
             hit = digests[at] == found
             cell = doc[hit] * len(digests) + at[hit]
             count = np.bincount(cell, minlength=shape[0] * shape[1]).reshape(shape).astype(float)
-        yield np.hstack([np.log1p(count), np.log1p(100 * count / np.maximum(n_words, 1)[:, None])])
+        yield np.hstack([np.log1p(count), np.log1p(100 * count / np.maximum(n_words, 1)[:, None])]), n_words
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = 12) -> np.ndarray:
