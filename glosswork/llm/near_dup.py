@@ -311,23 +311,12 @@ def candidates(members: DataFrame, threshold: float, forest: bool, leaf: int = L
 
 
 def confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """``a, b, linked`` with the exact similarity of the full sets."""
-    id_type = pairs.schema["a"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            columns = [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "linked"])
-
+    """``a, b, linked`` with the exact similarity of the full sets, row by row in Spark."""
     left = full.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = full.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "x", "y")
-    return both.mapInArrow(run, f"a {id_type}, b {id_type}, linked boolean")
+    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+    both = both.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("c"))
+    return both.select("a", "b", (100 * F.col("c") >= percent * (F.col("n") + F.col("m") - F.col("c"))).alias("linked"))
 
 
 def _full_sets(docs: DataFrame, id_col: str, text_col: str, width: int, ids: DataFrame) -> DataFrame:
@@ -337,12 +326,12 @@ def _full_sets(docs: DataFrame, id_col: str, text_col: str, width: int, ids: Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, sets, offsets in shingles(batch.column(1), width):
-                packed = [sets[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                columns = [batch.column(0).slice(row, len(packed)), pa.array(packed, pa.binary())]
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(sets.view(np.int64)))
+                columns = [batch.column(0).slice(row, len(lists)), lists]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "shingles"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.join(ids.hint("merge"), "id", "left_semi").mapInArrow(run, f"id {id_type}, shingles binary")
+    return rows.join(ids.hint("merge"), "id", "left_semi").mapInArrow(run, f"id {id_type}, shingles array<bigint>")
 
 
 def near_duplicates(
