@@ -16,7 +16,12 @@ and nodes of one set leave at once. Branching ends after ``LEVELS`` levels, or
 when a level beyond the third no longer shrinks the large nodes: their sets
 share that many tokens, a hot group of near copies. Such a node
 is ordered by further tokens, dealt over tasks by range, and every set is
-compared with the ``LEAF`` that follow it, in another order in every tree.
+compared with the ``LEAF`` that follow it, in another order in every tree. That
+only joins most of a group cheaply: afterwards large nodes that share sets form
+a group, and all sets of a group that are not yet in one component are compared
+in blocks, with the full sets in the same task. Sets outside the largest
+component of a group meet every set of it once, so the cost is their number
+times the size of the group; only a forest of confirmed links leaves a task.
 
 Joins whose sides grow with the corpus are sort-merge joins at every size, and
 adaptive execution splits their hot keys.
@@ -24,7 +29,7 @@ adaptive execution splits their hot keys.
 All candidate pairs of one task first shrink to a spanning forest of the most
 similar ones. When some of its links fail on the full sets, all candidates
 between the resulting components are confirmed in a second round, so the forest
-loses no link; the number of candidates per row is bounded by LEAF per node.
+loses no link; the number of these candidates per row is bounded by LEAF per node.
 
 Defined results: null or empty texts and texts without words have no shingles
 and are linked with nothing; texts with fewer words than a shingle have the
@@ -52,6 +57,7 @@ SKETCH = 256  # tokens of the sketch, four bits each
 TREES = 16
 LEVELS = 12
 LEAF = 64
+BLOCK = 1024  # sets of a group on each side of a comparison
 ORDER = 8
 SURE = 3.5
 _U = np.uint64
@@ -246,14 +252,19 @@ class _Forest:
         return a != b
 
 
+def _least(threshold: float) -> float:
+    """Agreeing tokens of the sketches of a pair that may reach the threshold."""
+    agree = threshold + (1 - threshold) / 16
+    return SKETCH * (agree - SURE * (agree * (1 - agree) / SKETCH) ** 0.5)
+
+
 def _similar(path, ids, sizes, sketch, label, new, threshold: float, leaf: int) -> list[tuple]:
     """(agreeing tokens, a, b) of rows of one path that may reach the threshold.
 
     Rows before ``new`` were compared with each other before. ``label`` rules
     out pairs inside one component.
     """
-    agree = threshold + (1 - threshold) / 16
-    least = SKETCH * (agree - SURE * (agree * (1 - agree) / SKETCH) ** 0.5)
+    least = _least(threshold)
     found = []
     for step in range(1, leaf + 1):
         if step >= len(path):
@@ -334,6 +345,81 @@ def _full_sets(docs: DataFrame, id_col: str, text_col: str, width: int, ids: Dat
     return rows.join(ids.hint("merge"), "id", "left_semi").mapInArrow(run, f"id {id_type}, shingles array<bigint>")
 
 
+def _groups(dense: DataFrame) -> DataFrame:
+    """``id, grp``: the sets of large nodes, nodes that share a set in one group."""
+    first = dense.groupBy("path").agg(F.min("id").alias("first"))
+    met = dense.select("path", "id").join(first.hint("merge"), "path").select("id", "first").distinct()
+    return components(met, "id", "first").select(F.col("node").alias("id"), F.col("component").alias("grp"))
+
+
+def _blocks(members: DataFrame, block: int) -> DataFrame:
+    """Rows ``id, grp, label`` by pairs of blocks ``grp, u, v``.
+
+    Side 0 holds the sets outside the largest component of the group, side 1
+    all sets; every set of one side meets every set of the other in one block.
+    """
+    sizes = members.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("grp").agg(
+        F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most")
+    )
+    rows = members.join(sizes.filter("all > most").hint("merge"), "grp")
+    at = F.xxhash64("id")
+    many = lambda n: F.ceil(n / block).cast("int")
+    u, v = many(F.col("all") - F.col("most")), many(F.col("all"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    few = rows.filter("label <> main").select("grp", F.pmod(at, u).cast("int").alias("u"), each(v).alias("v"), F.lit(0).alias("side"), "id", "label")
+    every = rows.select("grp", each(u).alias("u"), F.pmod(at, v).cast("int").alias("v"), F.lit(1).alias("side"), "id", "label")
+    return few.unionByName(every)
+
+
+def _linked(blocks: DataFrame, threshold: float, percent: int) -> DataFrame:
+    """Links ``a, b`` between different labels, confirmed on the full sets: a forest per task.
+
+    Rows ``grp, u, v, side, id, label, n, sketch, shingles``, sorted by the first four.
+    """
+    id_type = blocks.schema["id"].dataType.simpleString()
+    least = _least(threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, left, trees = None, [], _Forest()
+        for batch in batches:
+            links = []
+            sketch = _rows(batch.column(7), np.uint8, SKETCH // 2)
+            keys = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
+            side, ids, label = (batch.column(i).to_pylist() for i in (3, 4, 5))
+            sizes, sets = batch.column(6).to_numpy(), batch.column(8)
+            for i in range(batch.num_rows):
+                if keys[i] != key:
+                    key, left, packed = keys[i], [], None
+                if side[i] == 0:
+                    left.append((ids[i], label[i], sizes[i], sketch[i], sets[i].values.to_numpy()))
+                    packed = None
+                    continue
+                if not left:
+                    continue
+                if packed is None:
+                    packed = np.stack([x[3] for x in left]), np.array([x[2] for x in left])
+                apart = packed[0] ^ sketch[i]
+                same = ((apart & 0xF0) == 0).sum(axis=1) + ((apart & 0x0F) == 0).sum(axis=1)
+                fit = np.minimum(packed[1], sizes[i]) >= threshold * np.maximum(packed[1], sizes[i])
+                own = None
+                hits = np.flatnonzero(fit & (same >= least))
+                for h in hits[np.argsort(-same[hits], kind="stable")]:
+                    other, named, n, _, theirs = left[h]
+                    if named == label[i] or trees.find(named) == trees.find(label[i]):
+                        continue
+                    own = sets[i].values.to_numpy() if own is None else own
+                    common = len(np.intersect1d(own, theirs, assume_unique=True))
+                    if 100 * common >= percent * (len(own) + len(theirs) - common):
+                        trees.link(named, label[i])
+                        links.append((min(other, ids[i]), max(other, ids[i])))
+            kind = batch.schema.field("id").type
+            columns = {"a": [x[0] for x in links], "b": [x[1] for x in links]}
+            yield pa.RecordBatch.from_pydict(columns, schema=pa.schema([("a", kind), ("b", kind)]))
+
+    return blocks.mapInArrow(run, f"a {id_type}, b {id_type}")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -343,6 +429,7 @@ def near_duplicates(
     trees: int = TREES,
     levels: int = LEVELS,
     leaf: int = LEAF,
+    block: int = BLOCK,
 ) -> DataFrame:
     """Per document: id, ``n_shingles``, ``component_id`` (smallest id linked), ``kept``.
 
@@ -384,7 +471,21 @@ def near_duplicates(
         more = found(named).join(checked, ["a", "b"], "left_anti")
         more = stage(confirm(stage(more, "pairs"), full, percent), "checked").filter("linked")
         if not more.isEmpty():
-            named = components(links.unionByName(more))
+            links = links.unionByName(more)
+            named = components(links)
+    if dense is not None:
+        label = named.select(F.col("node").alias("id"), F.col("component").alias("label"))
+        members = stage(_groups(dense), "groups").join(label.hint("merge"), "id", "left")
+        members = stage(members.withColumn("label", F.coalesce("label", "id")), "members")
+        blocks = stage(_blocks(members, block), "blocks")
+        sides = _full_sets(docs, id_col, text_col, width, blocks.select("id").distinct()).distinct()
+        sides = stage(sides.join(sketches.hint("merge"), "id"), "sides")
+        blocks = blocks.join(sides.hint("merge"), "id")
+        blocks = blocks.select("grp", "u", "v", "side", "id", "label", "n", "sketch", "shingles")
+        blocks = blocks.repartition("grp", "u", "v").sortWithinPartitions("grp", "u", "v", "side", "id")
+        more = stage(_linked(blocks, threshold, percent), "linked")
+        if not more.isEmpty():
+            named = components(links.select("a", "b").unionByName(more))
 
     named = classes.join(named, classes.rep == named.node, "left").select(
         "digest", F.coalesce("component", "rep").alias("component")

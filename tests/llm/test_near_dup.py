@@ -94,6 +94,23 @@ def test_a_large_group_of_near_copies(docs):
     assert run(docs(rows), width=3, percent=85, levels=2, leaf=8) == brute(rows, 3, 85)
 
 
+def test_near_copies_far_apart_in_a_large_node(docs):
+    """All texts share most words, so nodes stay large; only planted pairs are linked."""
+    rng = random.Random(11)
+    shared = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(120):
+        own = [f"x{rng.randrange(10**6)}" for _ in range(45)]
+        other = list(own)
+        for at in rng.sample(range(45), 3):
+            other[at] = f"y{rng.randrange(10**6)}"
+        rows += [(i, " ".join(shared + own)), (1000 + i, " ".join(shared + other))]
+    want = brute(rows, 3, 85)
+    assert sum(not kept for _, _, kept in want.values()) > 100
+    got = run(docs(rows), width=3, percent=85, trees=4, levels=1, leaf=2, block=50)
+    assert got == want
+
+
 def test_empty_and_clashing_columns(spark, docs):
     assert near_duplicates(docs([])).count() == 0
     frame = spark.createDataFrame(
