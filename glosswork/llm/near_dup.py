@@ -12,9 +12,11 @@ at the threshold is missed about once in 1,000 times when its nodes branch
 eight levels, far less in smaller nodes.
 
 Only (path, id) pairs take part in branching, counts per node merge per task,
-and nodes of one set leave at once. Branching ends after ``LEVELS`` levels, or
-when a level beyond the third no longer shrinks the large nodes: their sets
-share that many tokens, a hot group of near copies. Such a node
+and nodes of one set leave at once. A node is branched for up to ``LEVELS``
+levels, but no further when it kept the share sqrt(threshold) of its parent
+``STILL`` levels in a row: its sets share that many tokens, a hot group of near
+copies. Every node is judged by itself, and ending early loses no pair, as the
+node is then compared whole. Such a node
 is ordered by further tokens, dealt over tasks by range, and every set is
 compared with the ``LEAF`` that follow it, in another order in every tree. That
 only joins most of a group cheaply: afterwards large nodes that share sets form
@@ -57,6 +59,7 @@ SKETCH = 256  # tokens of the sketch, four bits each
 TREES = 16
 LEVELS = 12
 LEAF = 64
+STILL = 3
 BLOCK = 1024  # sets of a group on each side of a comparison
 ORDER = 8
 SURE = 3.5
@@ -175,53 +178,65 @@ def _children(path: np.ndarray, tokens: np.ndarray, threshold: float) -> tuple[n
     return w.mix(path[rows] * _PLACE[1] + token * _PLACE[2] + at.astype(np.uint64) * _PLACE[3]), rows
 
 
-def _branch(rows: DataFrame, threshold: float, trees: int | None) -> DataFrame:
-    """Children of nodes ``path, id, tree, tokens``, or of the root of every tree."""
+def _branch(rows: DataFrame, threshold: float, trees: int | None, total: int = 0) -> DataFrame:
+    """Children of nodes ``path, id, tree, was, still, tokens``, or of the root of every tree.
+
+    ``was`` is the number of sets of the parent, ``still`` for how many levels it hardly shrank.
+    """
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = batch.column(batch.schema.get_field_index("id"))
-            tokens = _rows(batch.column(batch.schema.get_field_index("tokens")), np.uint32, TOKENS)
+            named = lambda name: batch.column(batch.schema.get_field_index(name))  # noqa: B023, E731
+            ids, tokens = named("id"), _rows(named("tokens"), np.uint32, TOKENS)
+            n = len(ids)
             if trees is None:
-                path = batch.column(0).to_numpy().view(np.uint64)
-                each = [(path, batch.column(batch.schema.get_field_index("tree")).to_numpy())]
+                path = named("path").to_numpy().view(np.uint64)
+                each = [(path, *(named(name).to_numpy() for name in ("tree", "was", "still")))]
             else:
                 roots = w.mix(np.arange(1, trees + 1, dtype=np.uint64) * _PLACE[4])
-                each = [(np.full(len(ids), root), np.full(len(ids), t)) for t, root in enumerate(roots)]
-            for path, tree in each:
+                same = np.full(n, total), np.zeros(n, np.int64)
+                each = [(np.full(n, root), np.full(n, t), *same) for t, root in enumerate(roots)]
+            for path, tree, was, still in each:
                 made, taken = _children(path, tokens, threshold)
                 columns = [
-                    pa.array(made.view(np.int64)), ids.take(pa.array(taken)), pa.array(tree[taken].astype(np.int32))
+                    pa.array(made.view(np.int64)),
+                    ids.take(pa.array(taken)),
+                    pa.array(tree[taken].astype(np.int32)),
+                    pa.array(was[taken].astype(np.int64)),
+                    pa.array(still[taken].astype(np.int32)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["path", "id", "tree"])
+                yield pa.RecordBatch.from_arrays(columns, names=["path", "id", "tree", "was", "still"])
 
-    return rows.mapInArrow(run, f"path bigint, id {id_type}, tree int")
+    return rows.mapInArrow(run, f"path bigint, id {id_type}, tree int, was bigint, still int")
 
 
 def nodes(
     sets: DataFrame, threshold: float, trees: int = TREES, levels: int = LEVELS, leaf: int = LEAF
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Rows ``path, id, tree`` of the leaves, and of nodes still large at the end."""
-    rows = _branch(sets.select("id", "tokens"), threshold, trees)
+    """Rows ``path, id, tree`` of the leaves, and of large nodes that are branched no further."""
+    tokens = sets.select("id", "tokens")
+    rows = _branch(tokens, threshold, trees, sets.count())
     leaves: list[DataFrame] = []
-    before = None
+    dense: list[DataFrame] = []
+    kept = F.col("members") >= threshold**0.5 * F.col("was")
     for level in range(1, levels + 1):
         rows = stage(rows, "paths")
         sized = rows.groupBy("path").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-        sized = stage(rows.join(sized.hint("merge"), "path"), "sized")
+        sized = rows.join(sized.hint("merge"), "path").withColumn("still", F.when(kept, F.col("still") + 1).otherwise(0))
+        sized = stage(sized, "sized")
         leaves.append(sized.filter(F.col("members") <= leaf).select("path", "id", "tree"))
-        large = sized.filter(F.col("members") > leaf).select("path", "id", "tree")
-        n = large.count()
-        if n == 0:
-            return _union(leaves), None
-        if level == levels or (level > 3 and n > 0.9 * before):
-            return _union(leaves), large
-        before = n
-        rows = _branch(large.join(sets.select("id", "tokens").hint("merge"), "id").select("path", "id", "tree", "tokens"), threshold, None)
-    raise AssertionError
+        large = sized.filter(F.col("members") > leaf)
+        ended = (F.col("still") >= STILL) | F.lit(level == levels)
+        dense.append(large.filter(ended).select("path", "id", "tree"))
+        large = large.filter(~ended).select("path", "id", "tree", F.col("members").alias("was"), "still")
+        if large.isEmpty():
+            break
+        rows = _branch(large.join(tokens.hint("merge"), "id"), threshold, None)
+    dense = _union(dense)
+    return _union(leaves), None if dense.isEmpty() else dense
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

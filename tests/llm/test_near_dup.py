@@ -5,7 +5,7 @@ from itertools import combinations
 import pytest
 
 from glosswork.llm.components import components
-from glosswork.llm.near_dup import near_duplicates
+from glosswork.llm.near_dup import describe, near_duplicates, nodes
 
 
 def lower(text):
@@ -111,6 +111,25 @@ def test_near_copies_far_apart_in_a_large_node(docs):
     assert got == want
 
 
+def test_a_hot_group_does_not_end_the_branching_of_others(docs):
+    """Near copies that stay together end as they are; texts that share half their words branch on beside them."""
+    rng = random.Random(13)
+    base, shared = [f"b{i}" for i in range(150)], [f"s{i}" for i in range(150)]
+    hot = [(i, " ".join(base + [f"h{i}"])) for i in range(200)]
+    other = [(1000 + i, " ".join(shared + [f"o{rng.randrange(10**6)}" for _ in range(50)])) for i in range(60)]
+
+    def sizes(rows):
+        sets = describe(docs(rows), "doc_id", "text", 3).select("id", "tokens")
+        leaves, dense = nodes(sets, 0.85, trees=4, leaf=8)
+        count = lambda frame: sorted(frame.filter("id >= 1000").groupBy("path").count().collect())
+        return count(leaves), [] if dense is None else count(dense), dense is not None and dense.count()
+
+    beside, alone = sizes(hot + other), sizes(other)
+    assert beside[2] >= 200
+    assert sum(r["count"] for r in beside[1]) <= sum(r["count"] for r in alone[1])
+    assert beside[0] and max((r["count"] for r in beside[1]), default=0) < 40
+
+
 def test_empty_and_clashing_columns(spark, docs):
     assert near_duplicates(docs([])).count() == 0
     frame = spark.createDataFrame(
