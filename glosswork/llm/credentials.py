@@ -15,7 +15,8 @@ texts between its matches; the patterns run once over the texts, and the narrow
 result is staged before it joins with itself. Rows meet on a digest of id and
 text, so a table with repeated or null ids links only inside one text.
 
-Defined results: a null text is empty and has no spans; every row of the input
+Defined results: a token is a whole run of at least 32 key characters, an
+endpoint a whole run of at least 4 characters after its scheme; a null text is empty and has no spans; every row of the input
 gives one row, repeated rows included; an empty table gives an empty result;
 other columns are ignored.
 """
@@ -31,9 +32,9 @@ ASSIGN = "(?i:(password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"'
 ACCESS = "AKIA[A-Z0-9]+"
 HEX_RUN = "[0-9a-f]{24,}"
 ASSIGN_MIN, ACCESS_MIN = 6, 20
-# Weak parts: key-like tokens with a digit and a letter, and endpoints.
-TOKEN = "(?<![A-Za-z0-9/+=_-])(?=[A-Za-z/+=_-]{0,63}[0-9])(?=[0-9/+=_-]{0,63}[A-Za-z])[A-Za-z0-9/+=_-]{32,64}(?![A-Za-z0-9/+=_-])"
-ENDPOINT = "(?:https?|s3|jdbc:[a-z]+|[a-z]+\\+ssh)://[A-Za-z0-9._~:@/?&=%+-]{4,256}"
+# Weak parts: key-like tokens with a digit and a letter, and endpoints, both of any length.
+TOKEN = "(?<![A-Za-z0-9/+=_-])(?=[A-Za-z/+=_-]*+[0-9])(?=[0-9/+=_-]*+[A-Za-z])[A-Za-z0-9/+=_-]{32,}+"
+ENDPOINT = "(?:https?|s3|jdbc:[a-z]+|[a-z]+\\+ssh)://[A-Za-z0-9._~:@/?&=%+-]{4,}+"
 KINDS = ("assign", "access", "hex", "token", "endpoint")
 REACH = 400
 
