@@ -5,7 +5,8 @@ as a raw zstandard dictionary. Templates rank by how much smaller they make the
 block; from the best on, the exact wording is compared word by word, and a
 template wins if few words differ and none of the telling ones (versions and
 the words that name a variant). A block whose templates all differ is not
-reported.
+reported. The saving only ranks: short notices save little in running text, so
+every template whose words the block holds is compared.
 
 Rows are independent: no shuffle, and only texts with a licence word reach
 Python. Every occurrence of a licence word in the whole text gets its block.
@@ -18,6 +19,7 @@ result; other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Mapping
 from difflib import SequenceMatcher
 
@@ -26,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 REACH, CLOSE = 700, 120
-MIN_GAIN = 0.2
+MIN_GAIN = float("-inf")  # a least saving, if a caller wants one
 MAX_DIFFERENT = 0.15
 LEVEL = 3
 CUE = (
@@ -146,7 +148,11 @@ class Scanner:
                 if not near:
                     continue
                 block = text[near[0][1] : near[-1][2]]
+                held = Counter(w[0] for w in near)
                 for gain, name, number, wording in self.ranked(block, min_gain if tight == REACH else min_gain / 2):
+                    absent = sum((Counter(wording) - held).values())
+                    if absent > max_different * len(wording):
+                        continue
                     hit = differences(wording, near, max_different)
                     if hit and hit[0] <= cue.start() < hit[1]:
                         start, end, missing, extra = hit

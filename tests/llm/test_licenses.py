@@ -1,3 +1,6 @@
+import random
+import string
+
 import zstandard
 
 from glosswork.llm import licenses as lic
@@ -5,6 +8,9 @@ from glosswork.llm import licenses as lic
 APACHE = lic.TEMPLATES["Apache-2.0"][0]
 
 
+LETTERS = string.ascii_letters + string.digits
+
+
 def found(docs, rows, **more):
     return [
         (r.doc_id, r.license, (dict(rows)[r.doc_id] or "")[r.start : r.end])
@@ -36,6 +42,17 @@ def test_small_differences_are_listed(docs):
     assert (r.license, r.missing, r.extra) == ("BSD-3-Clause", ["are"], ["solely"])
 
 
+def test_short_notices_inside_running_text(docs):
+    """A short notice saves little in text that does not repeat itself, and is reported all the same."""
+    rng = random.Random(17)
+    words = ["".join(rng.choice(LETTERS) for _ in range(rng.randint(3, 11))) for _ in range(5000)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    notices = ["Licensed under CC BY 4.0.", "Released under the MIT License.", "SPDX-License-Identifier: MIT"]
+    rows = [(i, f"{prose(200)} {notices[i % 3]} {prose(200)}") for i in range(60)]
+    got = {i: name for i, name, _ in found(docs, rows)}
+    assert got == {i: ("CC-BY-4.0", "MIT", "MIT")[i % 3] for i in range(60)}
+
+
 def test_repeated_rows_and_empty(docs):
     assert len(found(docs, [(1, APACHE), (1, APACHE)])) == 2
     assert found(docs, []) == []
