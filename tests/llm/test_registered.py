@@ -61,6 +61,10 @@ def folder(spark, tmp_path_factory):
     html = [prose(rng, 30) for _ in range(4)]
     pages = [(p, f"http://x/{p}", html[p % 4] if p % 5 else None) for p in range(30)]
     spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{root}/pages.parquet")
+    vectors = [(v, [rng.gauss(v % 5, 1) for _ in range(63 if v == 9 else 64)], v % 5) for v in range(60)]
+    spark.createDataFrame(vectors + [(60, None, 0)], "vec_id bigint, embedding array<float>, label int").write.parquet(
+        f"{root}/embeddings.parquet"
+    )
     return root, rows, fate
 
 
@@ -114,7 +118,7 @@ def test_every_query_returns_its_rows(spark, folder):
     root, rows, fate = folder
     got = {n: f(spark, root).collect() for n, f in registered.queries().items()}
     ids = sorted(r[0] for r in rows)
-    for name in ("op1_toxicity", "op3_near_dedup", "op4_lm_scoring", "op5_byte_bpe", "op6_exact_dedup", "op7_secret_scans"):
+    for name in ("op1_toxicity", "op3_near_dedup", "op4_lm_scoring", "op5_byte_bpe", "op6_exact_dedup", "op7_secret_scans", "op12_external_shuffle"):
         assert sorted(r.doc_id for r in got[name]) == ids, name
     assert {r.doc_id for r in got["op10_decontamination"]} == {i for i, x in fate.items() if x == "leak"}
     assert {r.doc_id for r in got["op1_toxicity"] if r.rejected} == {i for i, x in fate.items() if x == "toxic"}
