@@ -6,11 +6,13 @@ windows are counted. A phrase of fewer words is a prefix of windows, so ROLLUP
 over the window columns sums the counts of all shorter phrases, down to the
 number of words of a language; there is no pass per phrase length.
 
-Windows are counted per slice of text where it is read, and shuffled by their
-first two words in sorted order. There, continuations that stay under
-``min_count`` turn into padding before ROLLUP sees them: they have no frequent
-phrase of their own, and all shorter prefixes keep their counts. A pair that a
-third of all rows share streams through in sorted order, holding fewer than
+Windows are counted per slice of text where it is read, and shuffled by
+language and first word, as one string each, in sorted order. There,
+continuations that stay under ``min_count`` turn into padding before ROLLUP
+sees them: they have no frequent phrase of their own, and all shorter prefixes
+keep their counts. Words that start many windows of a sample of the texts are
+dealt by their second word too, and are left to ROLLUP. A pair that a third of
+all rows share streams through in sorted order, holding fewer than
 ``min_count`` rows at a time.
 
 A candidate is a phrase of two to four words with a count of ``min_count`` or
@@ -28,6 +30,7 @@ ends only, so a very long text takes no more memory than its longest piece.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,8 @@ from glosswork.session import stage
 
 SLICE_BYTES = 8 << 20
 SALTS = 64
+SAMPLE = 0.02  # of the texts, to find hot words
+HOT = 1000
 WORDS = ["w1", "w2", "w3", "w4"]
 _WORD, _BLANK, _END = 0, 1, 2
 _CLASS = np.zeros(256, np.uint8)
@@ -110,18 +115,32 @@ def _count(data: np.ndarray, ends: np.ndarray, langs: np.ndarray) -> tuple[pa.Ar
     high, low, lang = lead[0] << 31 | lead[1], lead[2] << 31 | lead[3], langs[text]
     by = np.lexsort((low, high, lang))
     high, low, lang = high[by], low[by], lang[by]
-    new = np.flatnonzero(np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1]) | (lang[1:] != lang[:-1])]))
+    same = (high[1:] == high[:-1]) & (low[1:] == low[:-1]) & (lang[1:] == lang[:-1])
+    new = np.flatnonzero(np.concatenate([[True], ~same]))
     counts = np.diff(np.append(new, len(by)))
     return known, [lang[new], *(column[by[new]] for column in lead)], counts
 
 
-def windows(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``lang, w1, w2, w3, w4, n``: padded windows, counted per slice of text."""
+def _digests(strings: pa.Array) -> np.ndarray:
+    data, offsets = w.buffers(strings)
+    return w.digests(data, offsets[:-1], offsets[1:]) if len(data) else np.zeros(len(strings), np.uint64)
+
+
+def windows(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", hot: list[str] = ()) -> DataFrame:
+    """``key, part, n``: padded windows, counted per slice of text.
+
+    A key is the quoted language, a line feed and the words, each with a blank behind
+    it, so that windows with a common beginning are neighbours in the order of
+    keys. ``part`` follows language and first word, and the second word where
+    the first is ``hot``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column(0).dictionary_encode()
             number = langs.indices.to_numpy(zero_copy_only=False)
+            named = pa.array([quote(x, safe="") + "\n" for x in langs.dictionary.to_pylist()], pa.string())
+            lang_digest = _digests(named)
             data, offsets = w.buffers(batch.column(1))
             if len(data):
                 data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
@@ -131,82 +150,102 @@ def windows(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
                 found = _count(data[start:end], ends, number[low : high + 1])
                 if found is None:
                     continue
-                known, columns, counts = found
-                yield pa.RecordBatch.from_arrays(
-                    [langs.dictionary.take(pa.array(columns[0])), *(known.take(pa.array(c)) for c in columns[1:]), pa.array(counts)],
-                    names=["lang", *WORDS, "n"],
-                )
+                known, (lang, *lead), counts = found
+                digest = _digests(known)
+                salted = pc.is_in(known, value_set=pa.array(hot, pa.string())).to_numpy(zero_copy_only=False)
+                part = lang_digest[lang] + w.mix(digest[lead[0]])
+                part[salted[lead[0]]] += digest[lead[1]][salted[lead[0]]] * np.uint64(3)
+                spaced = pc.binary_join_element_wise(known.slice(1), pa.array([""] * (len(known) - 1)), " ")
+                spaced = pa.concat_arrays([pa.array([""]), spaced])
+                words = [spaced.take(pa.array(column)) for column in lead]
+                key = pc.binary_join_element_wise(named.take(pa.array(lang)), *words, "")
+                part = (w.mix(part) >> np.uint64(33)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([key, pa.array(part), pa.array(counts)], names=["key", "part", "n"])
 
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang")
     rows = docs.select(lang, F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "lang string, w1 string, w2 string, w3 string, w4 string, n bigint")
+    return rows.mapInArrow(run, "key string, part int, n bigint")
 
 
-def _changes(rows: pa.Table) -> list[np.ndarray]:
-    """Per prefix of two to five columns: where it differs from the row before."""
-    out, seen = [], np.zeros(len(rows), bool)
-    seen[0] = True
-    for i, name in enumerate(["lang", *WORDS]):
-        column = rows[name].combine_chunks()
-        if len(rows) > 1:
-            seen[1:] |= pc.not_equal(column.slice(1), column.slice(0, len(rows) - 1)).to_numpy(zero_copy_only=False)
-        if i:
-            out.append(seen.copy())
-    return out
+def hot_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[str]:
+    """Words that start more than one in ``HOT`` windows of a sample: at most ``HOT`` of them.
 
+    They only decide how the shuffle is dealt, not what is counted.
+    """
+    some = windows(docs.sample(SAMPLE, seed=1), text_col, lang_col)
+    word = F.substring_index(F.substring_index("key", "\n", -1), " ", 1).alias("word")
+    some = stage(some.groupBy(word).agg(F.sum("n").alias("n")), "sample")
+    total = some.agg(F.sum("n")).first()[0] or 0
+    return [r["word"] for r in some.filter(F.col("n") * HOT > total).collect()]
+
+
+def _fields(key: pa.Array) -> list[pa.Array]:
+    """Language and four words of keys; the empty string where a window is padded."""
+    halves = pc.split_pattern(key, "\n").flatten()
+    lang, words = halves.take(pa.array(np.arange(0, len(halves), 2))), halves.take(pa.array(np.arange(1, len(halves), 2)))
+    lists = pc.split_pattern(words, " ")
+    starts, flat = lists.offsets.to_numpy(), lists.flatten()
+    sizes = np.diff(starts) - 1  # the last part, behind the last blank, is empty
+    none = starts[1:] - 1
+    return [lang, *(flat.take(pa.array(np.where(sizes > i, starts[:-1] + i, none) - starts[0])) for i in range(4))]
 
-def _settle(counted: DataFrame, min_count: int) -> DataFrame:
-    """Windows, sorted within tasks, with rare continuations turned into padding."""
+
+def _settle(counted: DataFrame, min_count: int, hot: list[str]) -> DataFrame:
+    """``lang, w1, w2, w3, w4, n``: windows with rare continuations turned into padding."""
+    out = pa.schema([(name, pa.string()) for name in ("lang", *WORDS)] + [("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, sent = None, [0, 0]  # rows not settled; what left already of their pair and triple
+        held, sent = None, np.zeros(5, np.int64)  # rows not settled; what left already of their groups
 
         def settle(rows: pa.Table, final: bool) -> Iterator[pa.RecordBatch]:
             nonlocal held, sent
-            marks = _changes(rows)
-            at = np.flatnonzero(marks[3])
+            marks, seen = [], np.zeros(len(rows), bool)
+            seen[0] = True
+            for column in (c.combine_chunks() for c in rows.columns[:5]):
+                if len(rows) > 1:
+                    seen[1:] |= pc.not_equal(column.slice(1), column.slice(0, len(rows) - 1)).to_numpy(zero_copy_only=False)
+                marks.append(seen.copy())
+            at = np.flatnonzero(marks[4])
             n = np.add.reduceat(rows["n"].to_numpy(), at)
             rows = rows.take(pa.array(at)).combine_chunks()
-            group = [np.cumsum(m[at]) - 1 for m in marks[:3]] + [np.arange(len(at))]  # of one to four words
-            total = [np.bincount(g, n).astype(np.int64) for g in group]
-            total[1][0] += sent[0]
-            total[2][0] += sent[1]
-            many = [total[i][group[i]] >= min_count for i in (1, 2, 3)]
-            keep = 1 + many[0] + many[1] + many[2]  # words that stay
+            group = [np.cumsum(m[at]) - 1 for m in marks]  # of equal languages, then of one to four words
+            many, keep = [], 0
+            for size in range(1, 5):
+                total = np.bincount(group[size], n).astype(np.int64)
+                total[0] += sent[size]
+                many.append(total[group[size]] >= min_count)
+                if size == 1:  # the windows of a hot word lie in several tasks
+                    many[0] |= pc.is_in(rows["w1"], value_set=pa.array(hot, pa.string())).to_numpy(zero_copy_only=False)
+                keep = keep + many[-1]
             stop = len(at)
             if not final:
-                pair, triple = group[1] == group[1][-1], group[2] == group[2][-1]
-                if not many[0][-1]:
-                    stop = int(np.argmax(pair))
-                elif not many[1][-1]:
-                    stop = int(np.argmax(triple))
-                else:
-                    stop = len(at) - 1
-                own = np.arange(len(at)) < stop
-                past = [int(n[own & pair].sum()), int(n[own & triple].sum())]
-                sent = [past[0] + (sent[0] if group[1][-1] == 0 else 0), past[1] + (sent[1] if group[2][-1] == 0 else 0)]
+                low = next((size for size in (1, 2, 3) if not many[size - 1][-1]), 4)
+                stop = int(np.searchsorted(group[low], group[low][-1]))
+                for size in range(1, 4):
+                    past = int(n[np.searchsorted(group[size], group[size][-1]) : stop].sum())
+                    sent[size] = past + (sent[size] if group[size][-1] == 0 else 0)
                 held = rows.slice(stop).set_column(5, "n", pa.array(n[stop:]))
-            for words in range(1, 5):
-                mine = np.flatnonzero(keep[:stop] == words)
+            for size in range(5):
+                mine = np.flatnonzero(keep[:stop] == size)
                 if not len(mine):
                     continue
-                g = group[words - 1][mine]
+                g = group[size][mine]
                 new = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
                 picked = rows.take(pa.array(mine[new]))
-                columns = [c.combine_chunks() for c in picked.columns[: 1 + words]]
+                columns = [c.combine_chunks() for c in picked.columns[: 1 + size]]
                 pad = pa.array([""] * len(new), pa.string())
                 sums = pa.array(np.add.reduceat(n[mine], new))
-                yield pa.RecordBatch.from_arrays([*columns, *[pad] * (4 - words), sums], names=["lang", *WORDS, "n"])
+                yield pa.RecordBatch.from_arrays([*columns, *[pad] * (4 - size), sums], schema=out)
 
         for batch in batches:
             if batch.num_rows:
-                rows = pa.Table.from_batches([batch])
+                rows = pa.Table.from_arrays([*_fields(batch.column(0)), batch.column(1)], schema=out)
                 yield from settle(rows if held is None else pa.concat_tables([held, rows]).combine_chunks(), False)
         if held is not None:
             yield from settle(held, True)
 
-    rows = counted.repartition("lang", "w1", "w2").sortWithinPartitions("lang", *WORDS)
-    return rows.mapInArrow(run, counted.schema)
+    rows = counted.repartition("part").select("key", "n").sortWithinPartitions("key")
+    return rows.mapInArrow(run, "lang string, w1 string, w2 string, w3 string, w4 string, n bigint")
 
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = 30) -> DataFrame:
@@ -214,12 +253,13 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
 
     ``size`` 0 is the row of all words of a language; words beyond ``size`` are null.
     """
-    settled = _settle(windows(docs, text_col, lang_col), min_count)
+    hot = hot_words(docs, text_col, lang_col)
+    settled = _settle(windows(docs, text_col, lang_col, hot), min_count, hot)
     sums = settled.rollup("lang", *WORDS).agg(F.sum("n").alias("f")).filter("lang IS NOT NULL")
     size = sum((F.col(c).isNotNull().cast("int") for c in WORDS), F.lit(0))
     ended = F.coalesce(*[F.col(c) for c in reversed(WORDS)]) == ""
     sums = sums.withColumn("size", size).filter((F.col("size") == 0) | (~ended & (F.col("f") >= min_count)))
-    return sums.select("lang", *WORDS, "size", F.concat_ws(" ", *WORDS).alias("phrase"), "f")
+    return sums.select(F.url_decode("lang").alias("lang"), *WORDS, "size", F.concat_ws(" ", *WORDS).alias("phrase"), "f")
 
 
 def _joined(first: int, size: int):

@@ -16,10 +16,11 @@ def pieces(text):
 
 def brute(rows, min_count=30, top=2000):
     out = []
-    for lang in {r[1] or "und" for r in rows}:
+    rows = [(text, "und" if lang is None else lang) for text, lang in rows]
+    for lang in {r[1] for r in rows}:
         f = Counter()
         for text, own in rows:
-            if (own or "und") == lang:
+            if own == lang:
                 for p in pieces(text):
                     f.update(tuple(p[i : i + k]) for k in range(1, 5) for i in range(len(p) - k + 1))
         chosen = {g: a for g, a in f.items() if len(g) > 1 and a >= min_count}
@@ -52,7 +53,7 @@ def made(seed, texts, vocabulary):
     for i in range(texts):
         n = rng.choice([0, 1, 3, 40, 200])
         text = "".join(rng.choice(names) + rng.choice([" ", " ", "\t ", ", ", ".", "\n", "! "]) for _ in range(n))
-        rows.append((text.upper() if i % 5 == 0 else text, rng.choice(["en", "de", None, "und"])))
+        rows.append((text.upper() if i % 5 == 0 else text, rng.choice(["en", "de", None, "und", "e n+%\n\\", ""])))
     return rows + [(None, "en"), ("", None), (" . ,", "de"), ("only", "xx")] + rows[:20]
 
 
@@ -102,6 +103,18 @@ def test_hot_pairs_stream_and_keep_their_counts(spark):
     assert got == brute(rows, 12)
 
 
+def test_hot_words_are_those_of_a_sample(spark, monkeypatch):
+    monkeypatch.setattr(c, "SAMPLE", 0.999)
+    monkeypatch.setattr(c, "HOT", 10)
+    rows = [("the x%d y. the z%d" % (i, i), "en") for i in range(300)]
+    assert sorted(c.hot_words(table(spark, rows))) == ["the"]
+    rows += made(5, 40, 9)
+    assert sorted(tuple(r) for r in c.collocations(table(spark, rows), min_count=9).collect()) == brute(rows, 9)
+    keys = c.windows(table(spark, rows), hot=["the"]).selectExpr("split(split(key, '\\n')[1], ' ') AS w", "part").collect()
+    assert len({r.part for r in keys if r.w[0] == "the"}) > 500
+    assert len({(r.w[0], r.part) for r in keys if r.w[0] != "the"}) == len({r.w[0] for r in keys if r.w[0] != "the"})
+
+
 def test_arithmetic_passes_64_bits_and_long_texts(spark):
     from pyspark.sql import functions as F
 
