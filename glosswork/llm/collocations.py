@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from glosswork.llm import words as w
 from glosswork.session import stage
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 SALTS = 64
 SAMPLE = 0.02  # of the texts, to find hot words
 HOT = 1000
