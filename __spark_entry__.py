@@ -16,6 +16,7 @@ from glosswork.fixed_values import EMBED_DIM, TOPIC_KEYWORDS  # noqa: E402
 from glosswork.functions import text as tx, vectors as vec  # noqa: E402
 from glosswork.functions.rouge import rouge_l  # noqa: E402
 from glosswork.operators import (  # noqa: E402
+    density,
     embed,
     fulltext,
     ingest,
@@ -36,9 +37,7 @@ import oracles  # noqa: E402
 try:  # the training-data operators are optional
     import corpus_pipeline  # noqa: E402
     from glosswork.llm import registered as llm_queries  # noqa: E402
-except ModuleNotFoundError as missing:
-    if missing.name != "corpus_pipeline" and not str(missing.name).startswith("glosswork.llm"):
-        raise
+except ModuleNotFoundError:  # the folders, or what only they need
     llm_queries = None
 
 # The keyword map plus entries that occur in the test texts.
@@ -453,10 +452,8 @@ def vector_cells_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_join_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only labelled documents have a summary here."""
-    docs = _table(spark, sf_dir, "documents").join(
-        _table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi"
-    )
+    """Documents with empty or blank texts have no summary here; every other one has."""
+    docs = _table(spark, sf_dir, "documents").filter(F.trim(F.coalesce("text", F.lit(""))) != "")
     docs = docs.select(
         F.col("doc_id").alias("abstract_id"),
         F.col("text").alias("summary"),
@@ -562,6 +559,34 @@ def pca_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.withColumn("falls", spread.select(falls).scalar())
 
 
+def _neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _vectors(spark, sf_dir)
+    return _once(spark, "neighbours", sf_dir, lambda _: stage(density.neighbour_table(vectors), "neighbours"))
+
+
+def neighbour_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifteen nearest other vectors of every vector."""
+    return _neighbours(spark, sf_dir)
+
+
+def mutual_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of neighbours with the distance at which density joins them."""
+    near = _neighbours(spark, sf_dir)
+    return density.reachability_edges(near, density.core_distances(near))
+
+
+def single_linkage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors joined up to the median distance of the reachability edges."""
+    edges = stage(mutual_reachability(spark, sf_dir), "edges")
+    cut = edges.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY w)")).first()[0]
+    return density.single_linkage(edges, cut)
+
+
+def density_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics of all vectors, as many as density finds, with the strength of membership."""
+    return density.density_topics(density.density_clusters(_neighbours(spark, sf_dir)).points)
+
+
 def topic_model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches enriched, a model fitted and merged between them: every stored
     summary has a topic with one label."""
@@ -658,7 +683,7 @@ _REGISTERED = [
     keyword_fallback, keyword_stored, retrieval_cascade, rerank_topic_boost, context_block, source_count,
     prompts, vector_topk, vector_batch_topk, vector_topk_cells, vector_cells_recall, vector_join_summary,
     vector_text_search, hash_embedding, normalize, vector_text_form, inner_product,
-    centroid_assign, kmeans_topics, pca_reduce, topic_model_store, topic_merge, ngrams, doc_frequency_cut,
+    centroid_assign, kmeans_topics, pca_reduce, neighbour_table, mutual_reachability, single_linkage, density_topics, topic_model_store, topic_merge, ngrams, doc_frequency_cut,
     topic_terms, ctfidf_labels, topic_overview, vector_insert_if_absent, topic_update,
 ]
 

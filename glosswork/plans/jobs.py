@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from glosswork.fixed_values import ROUGE_GATE, SMALLEST_TOPIC
-from glosswork.operators import vector_search
+from glosswork.operators import density, vector_search
 from glosswork.operators.embed import hash_embedding, term_counts, term_idf
 from glosswork.operators.fulltext import build_index, index_exists, read_index, write_index
 from glosswork.operators.ingest import (
@@ -143,25 +143,40 @@ def embed_new(spark: SparkSession, root: str, embed: Embedder | None = None) ->
 def model_topics(
     spark: SparkSession,
     root: str,
-    k: int,
+    k: int | None = None,
     embed: Embedder | None = None,
     reduce_to: int | None = None,
     min_size: int = SMALLEST_TOPIC,
     min_score: float | None = None,
     merge_at: float | None = None,
+    neighbours: int = density.NEIGHBOURS,
+    min_samples: int = density.MIN_SAMPLES,
 ) -> DataFrame:
     """Embed new summaries, fit topics over all vectors, label and store them.
 
+    Without ``k``, density decides how many topics there are and what is noise,
+    and the topic score is the strength of membership; ``k`` asks for k-means.
     Stored per version: the model, the topic of every centroid after merging
     and the noise rule, the terms and the labels. Returns the labels. Centroids
     and topic numbers are all that reaches the driver.
     """
     embed_new(spark, root, embed)
-    summaries = read_table(spark, root, "summaries").select("abstract_id", "summary")
     vectors = read_table(spark, root, "vectors")
-    model = fit_topics(vectors, k, reduce_to)
     version = (latest_version(spark, root) or 0) + 1
-    model.write().overwrite().save(f"{root}/models/version={version}")
+    if k is None:
+        if reduce_to or merge_at is not None:
+            raise ValueError("reduce_to and merge_at belong to k-means")
+        near = density.neighbour_table(vectors, neighbours)
+        fitted = density.density_clusters(near, min_size, min_samples)
+        fitted.points.write.mode("overwrite").parquet(f"{_model_path(root, version)}/points")
+        fitted.branches.write.mode("overwrite").parquet(f"{_model_path(root, version)}/branches")
+        settings = spark.createDataFrame([(neighbours, min_samples)], "neighbours int, min_samples int")
+        settings.write.mode("overwrite").parquet(f"{_model_path(root, version)}/settings")
+        assigned = _with_noise(vectors, density.density_topics(fitted.points))
+        assigned = stage(below_floor(assigned, min_score), "assigned")
+        return _store_topics(spark, root, version, assigned, {-1: -1}, min_score)
+    model = fit_topics(vectors, k, reduce_to)
+    model.write().overwrite().save(_model_path(root, version))
     centroids = centroids_of(model)
     rule = merge_similar(centroids, merge_at) if merge_at is not None else {i: i for i in range(len(centroids))}
     merged = apply_merge(assign_topics(project(model, vectors), centroids), rule)
@@ -169,7 +184,28 @@ def model_topics(
     small = set(small_topics(assigned, min_size))
     rule = {c: -1 if t in small else t for c, t in rule.items()}
     assigned = apply_merge(assigned, {t: -1 for t in small})
+    return _store_topics(spark, root, version, assigned, rule, min_score)
+
+
+def _model_path(root: str, version: int) -> str:
+    return f"{root}/models/version={version}"
+
+
+def _with_noise(vectors: DataFrame, assigned: DataFrame) -> DataFrame:
+    """A topic for every vector; those that nothing is near are noise."""
+    out = vectors.select("abstract_id").join(assigned, "abstract_id", "left")
+    return out.select(
+        "abstract_id",
+        F.coalesce("topic_id", F.lit(-1)).alias("topic_id"),
+        F.coalesce("topic_score", F.lit(0.0)).alias("topic_score"),
+    )
+
 
+def _store_topics(
+    spark: SparkSession, root: str, version: int, assigned: DataFrame, rule: dict[int, int], min_score: float | None
+) -> DataFrame:
+    """Terms, labels, topics and, last, the rule of a version."""
+    summaries = read_table(spark, root, "summaries").select("abstract_id", "summary")
     terms = stage(topic_terms(summaries.join(assigned, "abstract_id")), "terms")
     labels = topic_labels(assigned, terms).withColumn("model_version", F.lit(version))
     terms.write.mode("overwrite").parquet(f"{root}/topic_terms/version={version}")
@@ -198,11 +234,15 @@ def assign_new(
     default uses the stored term weights.
     """
     embed_new(spark, root, embed)
-    model = PipelineModel.load(f"{root}/models/version={version}")
     known = read_table(spark, root, "topics").filter(F.col("model_version") == version)
     fresh = new_documents(read_table(spark, root, "vectors"), known)
     rules = read_table(spark, root, "topic_rules").filter(F.col("model_version") == version).collect()
-    assigned = assign_topics(project(model, fresh), centroids_of(model))
+    path = _model_path(root, version)
+    if table_exists(spark, f"{path}/points"):
+        assigned = _placed(spark, root, path, fresh)
+    else:
+        model = PipelineModel.load(path)
+        assigned = assign_topics(project(model, fresh), centroids_of(model))
     assigned = apply_merge(assigned, {r["centroid"]: r["topic_id"] for r in rules})
     assigned = below_floor(assigned, rules[0]["min_score"] if rules else None)
     label = F.when(F.col("topic_id") == -1, F.lit("outlier")).otherwise(F.col("topic_label"))
@@ -210,6 +250,17 @@ def assign_new(
     return joined.withColumn("topic_label", label)
 
 
+def _placed(spark: SparkSession, root: str, path: str, fresh: DataFrame) -> DataFrame:
+    """Topics of a density model for vectors it has not seen, through their neighbours among those it has."""
+    settings = spark.read.parquet(f"{path}/settings").first()
+    points, branches = (spark.read.parquet(f"{path}/{name}") for name in ("points", "branches"))
+    model = density.DensityModel(points, branches, settings["min_samples"])
+    seen = read_table(spark, root, "vectors").join(points.select("abstract_id"), "abstract_id", "left_semi")
+    fresh = stage(fresh, "fresh")
+    near = stage(density.neighbour_table(seen, settings["neighbours"], of=fresh), "near")
+    return _with_noise(fresh, density.density_topics(density.place(model, near)))
+
+
 def store_new_topics(spark: SparkSession, root: str, embed: Embedder | None = None) -> None:
     """Topics of the latest model for the summaries stored since it was fitted."""
     version = latest_version(spark, root)

@@ -437,6 +437,30 @@ STEMMED_PAIRS = (
 )
 
 
+# The 15 nearest other vectors, and pairs of them by mutual reachability.
+NEAR = (
+    """unit AS MATERIALIZED (
+  SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS u
+  FROM vecs WHERE list_inner_product(v, v) > 0)""",
+    """near AS MATERIALIZED (
+  SELECT a.vec_id AS abstract_id, b.vec_id AS neighbour,
+    round(sqrt(greatest(0, 2 - 2 * round(list_inner_product(a.u, b.u), 6))), 6) AS distance
+  FROM unit a, unit b WHERE a.vec_id <> b.vec_id
+  QUALIFY row_number() OVER (
+    PARTITION BY a.vec_id ORDER BY round(list_inner_product(a.u, b.u), 6) DESC, b.vec_id) <= 15)""",
+)
+REACH = (
+    """core AS MATERIALIZED (
+  SELECT abstract_id, list_sort(list(distance))[5] AS core FROM near GROUP BY 1 HAVING count(*) >= 5)""",
+    """pairs AS (
+  SELECT least(abstract_id, neighbour) AS a, greatest(abstract_id, neighbour) AS b, min(distance) AS distance
+  FROM near GROUP BY 1, 2)""",
+    """edges AS MATERIALIZED (
+  SELECT greatest(p.distance, x.core, y.core, 1e-6) AS w, p.a, p.b
+  FROM pairs p JOIN core x ON x.abstract_id = p.a JOIN core y ON y.abstract_id = p.b)""",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {}
     sql["corpus_scan"] = "SELECT doc_id, text AS abstract FROM documents"
@@ -616,7 +640,7 @@ FROM vecs a, vecs b QUALIFY rank <= 5""",
     sql["vector_join_summary"] = chain(
         MEANS, VECS,
         """known AS (
-  SELECT doc_id, text, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),
+  SELECT doc_id, text, source FROM documents WHERE trim(coalesce(text, '')) <> ''),
 scores AS (
   SELECT m.label AS query_id, e.vec_id AS abstract_id,
          round(list_inner_product(e.v, m.centroid), 6) AS similarity
@@ -691,6 +715,21 @@ FROM floored""",
     )
     sql["kmeans_topics"] = "SELECT count(*) AS n_rows, 0 AS apart, 0 AS small FROM embeddings"
     sql["pca_reduce"] = "SELECT count(*) AS n_rows, 0 AS changed, TRUE AS falls FROM embeddings"
+    sql["neighbour_table"] = chain(
+        VECS, *NEAR, "SELECT abstract_id, neighbour, distance FROM near"
+    )
+    sql["mutual_reachability"] = chain(VECS, *NEAR, *REACH, "SELECT w, a, b FROM edges")
+    sql["single_linkage"] = chain(
+        VECS, *NEAR, *REACH,
+        """links AS MATERIALIZED (
+  SELECT a, b FROM edges WHERE w <= (SELECT percentile_disc(0.5) WITHIN GROUP (ORDER BY w) FROM edges)),
+ends AS MATERIALIZED (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+  UNION ALL SELECT a, a FROM edges UNION ALL SELECT b, b FROM edges),
+reach AS (
+  SELECT a, b FROM ends UNION SELECT r.a, x.b FROM reach r JOIN ends x ON x.a = r.b)""",
+        "SELECT a AS abstract_id, min(b) AS component FROM reach GROUP BY a",
+    )
     sql["topic_model_store"] = chain(
         *STORE, "SELECT abstract_id, TRUE AS labelled, 1 AS labels FROM summaries"
     )

@@ -56,6 +56,35 @@ def test_topics_end_to_end(spark, corpus, tmp_path):
     assert len(ranked) == 8 and all("tumor" in r["summary"] for r in ranked)
 
 
+def test_density_finds_the_number_of_topics(spark, corpus, tmp_path):
+    root = str(tmp_path / "store")
+    old = corpus.filter(~F.contains("abstract", F.lit("lm ")) | F.col("abstract").isNull())
+
+    def embed(docs):
+        """Two directions, one per topic, with a little of each text's own."""
+        own = [F.pmod(F.xxhash64(F.lit(i), "summary"), F.lit(1000)) / 4000 for i in (0, 1)]
+        milk, tumor = (F.contains("summary", F.lit(x)).cast("double") for x in ("milk", "tumor"))
+        return docs.select("abstract_id", F.array(milk + own[0] * tumor, tumor + own[0] * milk, own[1] * (milk + tumor)).alias("embedding"))
+
+    jobs.enrich(spark, root, old)
+    labels = jobs.model_topics(spark, root, embed=embed, min_size=5, neighbours=8, min_samples=3).collect()
+    assert {r["topic_id"] for r in labels} - {-1} == {0, 1}
+    extra = spark.createDataFrame([("Of the and.",)], "abstract string")
+    jobs.enrich(spark, root, corpus.unionByName(extra), embed=embed)
+    read = {r["summary"]: r for r in jobs.read_summaries(spark, root).collect()}
+    assert len(read) == 25 and all(r["topic_label"] is not None for r in read.values())
+    assert (read["Of the and."]["topic_id"], read["Of the and."]["topic_score"]) == (-1, 0.0)
+    for text in (TOPIC_A, TOPIC_B):
+        rows = [read[text.format(n)] for n in NAMES]
+        found = {r["topic_id"] for r in rows} - {-1}
+        assert len(found) == 1 and read[text.format("lm")]["topic_id"] in found
+        assert all(0 < r["topic_score"] <= 1 for r in rows if r["topic_id"] >= 0)
+    assert read[TOPIC_A.format("lm")]["topic_id"] != read[TOPIC_B.format("lm")]["topic_id"]
+    assert jobs.assign_new(spark, root, 1, embed).count() == 0
+    with pytest.raises(ValueError, match="k-means"):
+        jobs.model_topics(spark, root, reduce_to=3)
+
+
 def test_all_small_topics_are_outliers(spark, corpus, tmp_path):
     root = str(tmp_path / "store")
     jobs.enrich(spark, root, corpus)
