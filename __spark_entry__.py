@@ -19,6 +19,7 @@ from glosswork.operators import (  # noqa: E402
     density,
     embed,
     fulltext,
+    graph_search,
     ingest,
     quality,
     retrieval,
@@ -451,6 +452,38 @@ def vector_cells_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vs.recall(found, exact).select((F.col("recall") >= 0.9).alias("found_nine_of_ten"))
 
 
+def _graph(spark: SparkSession, sf_dir: str) -> graph_search.Graph:
+    def make(path: str) -> str:
+        vectors = _vectors(spark, sf_dir).select("abstract_id", "embedding")
+        cells = max(4, int(vectors.count() ** 0.5) // 2)
+        later = F.col("abstract_id") % 10 == 3
+        graph_search.build_graph(vectors.filter(~later), path, cells)
+        graph_search.insert_vectors(graph_search.read_graph(spark, path), vectors.filter(later), path)
+        return path
+
+    return graph_search.read_graph(spark, _once(spark, "graph", sf_dir, make))
+
+
+def _graph_hits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Every vector with an id divisible by 100 is a query."""
+    queries = _vectors(spark, sf_dir).filter(F.col("abstract_id") % 100 == 0)
+    queries = queries.select(F.col("abstract_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    return queries, graph_search.graph_search(_graph(spark, sf_dir), queries, 5, ef=32)
+
+
+def graph_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate nearest vectors; a tenth of the vectors came after the graph was built."""
+    return _graph_hits(spark, sf_dir)[1]
+
+
+def graph_search_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall against exact search, and the share of all vectors that a query was compared with."""
+    queries, found = _graph_hits(spark, sf_dir)
+    vectors = _vectors(spark, sf_dir)
+    quality = graph_search.search_quality(found, vs.vector_search(vectors, queries, 5), vectors.count())
+    return quality.select(F.round("recall", 4).alias("recall"), F.round("share", 4).alias("share"))
+
+
 def vector_join_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with empty or blank texts have no summary here; every other one has."""
     docs = _table(spark, sf_dir, "documents").filter(F.trim(F.coalesce("text", F.lit(""))) != "")
@@ -613,6 +646,21 @@ def topic_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.apply_merge(assigned, mapping)
 
 
+def topic_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cosine of the words of every two sources."""
+    return topics.term_similarity(topics.topic_terms(_topic_docs(spark, sf_dir)))
+
+
+def topic_merge_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources merged where their words have a cosine of at least 0.3."""
+    return topics.merge_by_terms(topics.topic_terms(_topic_docs(spark, sf_dir)), 0.3)
+
+
+def topic_merge_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources merged where their words form a cluster."""
+    return topics.merge_by_terms(topics.topic_terms(_topic_docs(spark, sf_dir)))
+
+
 def _topic_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summaries(spark, sf_dir).select("abstract_id", "topic_id", "summary")
 
@@ -682,8 +730,10 @@ _REGISTERED = [
     fts_stored_index, fts_and_match, fts_stemmed, fts_bm25_topk, incremental_search, search_topk,
     keyword_fallback, keyword_stored, retrieval_cascade, rerank_topic_boost, context_block, source_count,
     prompts, vector_topk, vector_batch_topk, vector_topk_cells, vector_cells_recall, vector_join_summary,
+    graph_topk, graph_search_quality,
     vector_text_search, hash_embedding, normalize, vector_text_form, inner_product,
-    centroid_assign, kmeans_topics, pca_reduce, neighbour_table, mutual_reachability, single_linkage, density_topics, topic_model_store, topic_merge, ngrams, doc_frequency_cut,
+    centroid_assign, kmeans_topics, pca_reduce, neighbour_table, mutual_reachability, single_linkage, density_topics, topic_model_store, topic_merge, topic_similarity, topic_merge_terms,
+    topic_merge_auto, ngrams, doc_frequency_cut,
     topic_terms, ctfidf_labels, topic_overview, vector_insert_if_absent, topic_update,
 ]
 

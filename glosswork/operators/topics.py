@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from glosswork.fixed_values import LABEL_WORDS, SEED, SMALLEST_TOPIC, TERM_MIN_DOCS
 from glosswork.functions.text import content_tokens, topic_label, uni_and_bigrams
+from glosswork.operators import density
 from glosswork.operators.vector_search import nearest
 from glosswork.session import stage
 
@@ -196,3 +197,42 @@ def topic_labels(assigned: DataFrame, terms: DataFrame, n: int = LABEL_WORDS) ->
     ids = assigned.select("topic_id").distinct()
     named = ids.join(top_words(terms, n), "topic_id", "left")
     return named.select("topic_id", topic_label(F.col("topic_id"), F.col("words")).alias("topic_label"))
+
+
+def term_similarity(terms: DataFrame) -> DataFrame:
+    """``a, b, cosine`` of the term weights of two topics that share a term, a < b.
+
+    Products are added up by term, merged per task. A term of all topics gives
+    a sum for every two of them: their number is that of topics, not of rows.
+    """
+    of_topic = terms.groupBy("topic_id").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
+    left = terms.select("term", F.col("topic_id").alias("a"), F.col("weight").alias("x"))
+    right = terms.select("term", F.col("topic_id").alias("b"), F.col("weight").alias("y"))
+    dots = left.join(right, "term").filter("a < b").groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
+    for end in ("a", "b"):
+        dots = dots.join(of_topic.select(F.col("topic_id").alias(end), F.col("norm").alias(f"norm_{end}")), end)
+    cosine = F.least(F.lit(1.0), F.round(F.try_divide(F.col("dot"), F.col("norm_a") * F.col("norm_b")), 6))
+    return dots.select("a", "b", cosine.alias("cosine")).filter("cosine IS NOT NULL")
+
+
+def merge_by_terms(terms: DataFrame, threshold: float | None = None) -> DataFrame:
+    """``topic_id, merged``: topics with similar words, under the lowest number among them.
+
+    With a ``threshold``, chains of topics with that cosine merge. Without one
+    the data choose the cut: topics that form a density cluster of two or more
+    by their words merge, all others stay. Noise is never merged.
+    """
+    terms = terms.filter("topic_id >= 0")
+    pairs = stage(term_similarity(terms), "topic-pairs")
+    ids = terms.select("topic_id").distinct()
+    if threshold is not None:
+        edges = pairs.select((1 - F.col("cosine")).alias("w"), "a", "b")
+        grouped = density.single_linkage(edges.filter(F.col("w") <= 1 - threshold + 1e-9), 2.0)
+        grouped = grouped.select(F.col("abstract_id").alias("topic_id"), F.col("component").alias("merged"))
+    else:
+        near = pairs.select(F.col("a").alias("abstract_id"), F.col("b").alias("neighbour"), density.distance("cosine"))
+        near = near.unionByName(near.select(F.col("neighbour").alias("abstract_id"), F.col("abstract_id").alias("neighbour"), "distance"))
+        found = density.density_clusters(near, min_size=2, min_samples=1).points.filter("topic_id >= 0")
+        least = F.min("abstract_id").over(Window.partitionBy("topic_id"))
+        grouped = found.select(F.col("abstract_id").alias("topic"), least.alias("merged")).withColumnRenamed("topic", "topic_id")
+    return ids.join(grouped, "topic_id", "left").select("topic_id", F.coalesce("merged", "topic_id").alias("merged"))

@@ -134,9 +134,35 @@ def _search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return _rank(met.mapInPandas(score, out), k)
 
 
+def _scan(vectors: DataFrame, queries: DataFrame, asked: list, k: int) -> DataFrame:
+    """One block of queries goes to the tasks that read the vectors; these are not shuffled."""
+    query_ids = np.array([q["query_id"] for q in asked], dtype=object)
+    matrix = _matrix([q["query_vector"] for q in asked])
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = None
+        for batch in batches:
+            if len(batch):
+                ids = batch["abstract_id"].to_numpy(dtype=object)
+                rows = _block_top_k(ids, _matrix(batch["embedding"]), query_ids, matrix, k)
+                best = rows if best is None else _best(pd.concat([best, rows]), k)
+        if best is not None:
+            yield best
+
+    return _rank(vectors.mapInPandas(score, _result_type(vectors, queries)), k)
+
+
 def vector_search(vectors: DataFrame, queries: DataFrame, k: int = VECTOR_TOP_K) -> DataFrame:
-    """Exact best ``k`` vectors per query: ``query_id, abstract_id, similarity, rank``."""
-    return _search(vectors.select("abstract_id", "embedding"), queries.select("query_id", "query_vector"), k)
+    """Exact best ``k`` vectors per query: ``query_id, abstract_id, similarity, rank``.
+
+    Up to ``QUERY_BLOCK`` queries travel through the driver to the vectors, a
+    few megabytes; more of them meet the vectors in blocks.
+    """
+    vectors, queries = vectors.select("abstract_id", "embedding"), queries.select("query_id", "query_vector")
+    asked = queries.limit(QUERY_BLOCK + 1).collect()
+    if 0 < len(asked) <= QUERY_BLOCK:
+        return _scan(vectors, queries, asked, k)
+    return _search(vectors, queries, k)
 
 
 def summary_search(

@@ -28,6 +28,7 @@ from glosswork.operators.topics import (
     below_floor,
     centroids_of,
     fit_topics,
+    merge_by_terms,
     merge_similar,
     project,
     small_topics,
@@ -151,11 +152,13 @@ def model_topics(
     merge_at: float | None = None,
     neighbours: int = density.NEIGHBOURS,
     min_samples: int = density.MIN_SAMPLES,
+    merge_terms: bool = False,
 ) -> DataFrame:
     """Embed new summaries, fit topics over all vectors, label and store them.
 
     Without ``k``, density decides how many topics there are and what is noise,
     and the topic score is the strength of membership; ``k`` asks for k-means.
+    With ``merge_terms``, topics whose words form a cluster become one.
     Stored per version: the model, the topic of every centroid after merging
     and the noise rule, the terms and the labels. Returns the labels. Centroids
     and topic numbers are all that reaches the driver.
@@ -174,7 +177,7 @@ def model_topics(
         settings.write.mode("overwrite").parquet(f"{_model_path(root, version)}/settings")
         assigned = _with_noise(vectors, density.density_topics(fitted.points))
         assigned = stage(below_floor(assigned, min_score), "assigned")
-        return _store_topics(spark, root, version, assigned, {-1: -1}, min_score)
+        return _store_topics(spark, root, version, assigned, {-1: -1}, min_score, merge_terms)
     model = fit_topics(vectors, k, reduce_to)
     model.write().overwrite().save(_model_path(root, version))
     centroids = centroids_of(model)
@@ -184,7 +187,7 @@ def model_topics(
     small = set(small_topics(assigned, min_size))
     rule = {c: -1 if t in small else t for c, t in rule.items()}
     assigned = apply_merge(assigned, {t: -1 for t in small})
-    return _store_topics(spark, root, version, assigned, rule, min_score)
+    return _store_topics(spark, root, version, assigned, rule, min_score, merge_terms)
 
 
 def _model_path(root: str, version: int) -> str:
@@ -202,10 +205,21 @@ def _with_noise(vectors: DataFrame, assigned: DataFrame) -> DataFrame:
 
 
 def _store_topics(
-    spark: SparkSession, root: str, version: int, assigned: DataFrame, rule: dict[int, int], min_score: float | None
+    spark: SparkSession,
+    root: str,
+    version: int,
+    assigned: DataFrame,
+    rule: dict[int, int],
+    min_score: float | None,
+    merge_terms: bool,
 ) -> DataFrame:
     """Terms, labels, topics and, last, the rule of a version."""
     summaries = read_table(spark, root, "summaries").select("abstract_id", "summary")
+    if merge_terms:
+        found = merge_by_terms(topic_terms(summaries.join(assigned, "abstract_id")))
+        merged = {r["topic_id"]: r["merged"] for r in found.collect()}  # one row per topic
+        assigned = apply_merge(assigned, merged)
+        rule = merged | {c: merged.get(t, t) for c, t in rule.items()}
     terms = stage(topic_terms(summaries.join(assigned, "abstract_id")), "terms")
     labels = topic_labels(assigned, terms).withColumn("model_version", F.lit(version))
     terms.write.mode("overwrite").parquet(f"{root}/topic_terms/version={version}")

@@ -437,6 +437,16 @@ STEMMED_PAIRS = (
 )
 
 
+# Cosine of the term weights of two topics.
+TOPIC_COSINES = """norms AS (
+  SELECT topic_id, sqrt(sum(weight * weight)) AS norm FROM tterms GROUP BY 1),
+cosines AS MATERIALIZED (
+  SELECT x.topic_id AS a, y.topic_id AS b,
+    least(1.0, round(sum(x.weight * y.weight) / any_value(m.norm * n.norm), 6)) AS cosine
+  FROM tterms x JOIN tterms y ON x.term = y.term AND x.topic_id < y.topic_id
+    JOIN norms m ON m.topic_id = x.topic_id JOIN norms n ON n.topic_id = y.topic_id
+  GROUP BY 1, 2)"""
+
 # The 15 nearest other vectors, and pairs of them by mutual reachability.
 NEAR = (
     """unit AS MATERIALIZED (
@@ -748,6 +758,16 @@ FROM embeddings e JOIN (SELECT a, min(b) AS topic_id FROM reach GROUP BY 1) g ON
     sql["topic_terms"] = chain(
         *base, NGRAMS, CTFIDF, "SELECT topic_id, term, round(weight, 6) AS weight FROM tterms"
     )
+    sql["topic_similarity"] = chain(*base, NGRAMS, CTFIDF, TOPIC_COSINES, "SELECT a, b, cosine FROM cosines")
+    sql["topic_merge_terms"] = chain(
+        *base, NGRAMS, CTFIDF, TOPIC_COSINES,
+        """close AS MATERIALIZED (
+  SELECT a, b FROM cosines WHERE cosine >= 0.3 UNION SELECT b, a FROM cosines WHERE cosine >= 0.3
+  UNION SELECT topic_id, topic_id FROM tterms),
+reach AS (
+  SELECT a, b FROM close UNION SELECT r.a, c.b FROM reach r JOIN close c ON c.a = r.b)""",
+        "SELECT a AS topic_id, min(b) AS merged FROM reach WHERE a >= 0 AND b >= 0 GROUP BY a",
+    )
     noisy = (DOCS, NOISY, NGRAMS, CTFIDF, LABELS)
     sql["ctfidf_labels"] = chain(*noisy, "SELECT topic_id, topic_label FROM labels_out")
     sql["topic_overview"] = chain(

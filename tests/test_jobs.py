@@ -92,6 +92,19 @@ def test_all_small_topics_are_outliers(spark, corpus, tmp_path):
     assert [tuple(r) for r in labels] == [(-1, "outlier")]
 
 
+def test_topics_with_the_same_words_become_one(spark, corpus, tmp_path):
+    root = str(tmp_path / "store")
+    old = corpus.filter(~F.contains("abstract", F.lit("lm ")) | F.col("abstract").isNull())
+    jobs.enrich(spark, root, old)
+    labels = jobs.model_topics(spark, root, 4, min_size=1, merge_terms=True).collect()
+    assert len(labels) == 2
+    jobs.enrich(spark, root, corpus)
+    read = {r["summary"]: r["topic_id"] for r in jobs.read_summaries(spark, root).collect()}
+    for text in (TOPIC_A, TOPIC_B):
+        assert len({read[text.format(n)] for n in NAMES}) == 1
+    assert len(set(read.values())) == 2
+
+
 def test_new_rows_get_topics_after_a_merge(spark, corpus, tmp_path):
     root = str(tmp_path / "store")
     old = corpus.filter(~F.contains("abstract", F.lit("lm ")) | F.col("abstract").isNull())

@@ -151,8 +151,18 @@ def test_exact_search(space, monkeypatch, query_block, vector_block):
     assert got == brute(points, range(20), 4)
 
 
-def test_vectors_are_shuffled_once_and_not_repeated(space, plan):
+def test_few_queries_leave_the_vectors_where_they_are(spark, space, plan, tmp_path):
+    points, vectors, queries = space
+    vectors.write.parquet(str(tmp_path / "v"))
+    stored = spark.read.parquet(str(tmp_path / "v"))
+    text = plan(vs.vector_search(stored, queries, 4))
+    assert "Exchange" not in text[text.index("MapInPandas") :]
+    assert ranked(vs.vector_search(stored.repartition(50), queries, 4)) == brute(points, range(20), 4)
+
+
+def test_vectors_are_shuffled_once_and_not_repeated(space, plan, monkeypatch):
     _, vectors, queries = space
+    monkeypatch.setattr(vs, "QUERY_BLOCK", 4)  # 20 queries are many
     text = plan(vs.vector_search(vectors, queries, 4))
     start = text.index("MapInPandas")
     assert text[start:].count("Generate explode(sequence") == 1  # query blocks only
@@ -286,6 +296,27 @@ def test_merge_chains():
     assert topics.merge_similar(centroids, 0.9, [7, 5, 9, 2]) == {7: 5, 5: 5, 9: 5, 2: 2}
 
 
+def test_topics_merge_by_their_words(spark):
+    shared = {0: "abcd", 1: "abce", 2: "abcf", 3: "pqrs", 4: "pqrt", 5: "xyz", -1: "abcd"}
+    rows = [(t, w, 1.0 + 0.1 * i + 0.01 * t) for t, words in shared.items() for i, w in enumerate(words)]
+    terms = spark.createDataFrame(rows, "topic_id int, term string, weight double")
+    weights = {t: {w: x for own, w, x in rows if own == t} for t in shared}
+    norm = {t: sum(x * x for x in v.values()) ** 0.5 for t, v in weights.items()}
+    want = {}
+    for a in weights:
+        for b in weights:
+            dot = sum(x * weights[b].get(w, 0) for w, x in weights[a].items())
+            if a < b and dot:
+                want[a, b] = dot / norm[a] / norm[b]
+    got = {(r.a, r.b): r.cosine for r in topics.term_similarity(terms).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+    merged = lambda **how: {r.topic_id: r.merged for r in topics.merge_by_terms(terms, **how).collect()}
+    assert merged(threshold=0.5) == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 5}
+    assert merged(threshold=1.0) == {t: t for t in range(6)}
+    assert merged() == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 5}
+    assert topics.merge_by_terms(terms.limit(0)).count() == 0
+
+
 def test_topic_words(spark):
     rows = [("1", 0, "lung cancer lung cancer"), ("2", 0, "lung cancer"), ("3", 1, "milk lung"), ("4", 1, "milk")]
     docs = spark.createDataFrame(rows, "abstract_id string, topic_id int, summary string")
