@@ -254,6 +254,19 @@ def rouge_l_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rouge_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user turn against the reply to it; turns without one meet a null text."""
+    turns = _table(spark, sf_dir, "conversations")
+    asked = turns.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("a"))
+    reply = turns.filter(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("b")
+    )
+    pairs = asked.join(reply, ["conv_id", "turn"], "left")
+    return pairs.withColumn("rouge_score", rouge_l(F.col("a"), F.col("b"), stemmed=False)).select(
+        "conv_id", "turn", _r6("rouge_score")
+    )
+
+
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_gate(_scored(spark, sf_dir)).select("abstract_id", _r6("rouge_score"))
 
@@ -646,6 +659,12 @@ def topic_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.apply_merge(assigned, mapping)
 
 
+def membership_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squares of a unit vector add up to one: the largest is the score."""
+    shares = F.transform("embedding", lambda x: x.cast("double") * x.cast("double"))
+    return _vectors(spark, sf_dir).select("abstract_id", tx.topic_score(shares).alias("topic_score"))
+
+
 def topic_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cosine of the words of every two sources."""
     return topics.term_similarity(topics.topic_terms(_topic_docs(spark, sf_dir)))
@@ -725,6 +744,7 @@ def topic_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 _REGISTERED = [
     corpus_scan, content_ids, distinct_documents, incremental_new, ingest_accounting,
     ingest_stream, extractive_summary, lead_summary, rouge_scores, rouge_l_pairs, rouge_l_stemmed,
+    rouge_null_safe, membership_score,
     quality_gate, gate_accounting, enrich_store, enrich_contents, gated_topic_stats, corpus_stats, topic_histogram,
     topic_stats, verify_report, query_terms, detect_topic, postings, term_stats,
     fts_stored_index, fts_and_match, fts_stemmed, fts_bm25_topk, incremental_search, search_topk,

@@ -118,6 +118,12 @@ PAIRS = f"""pairs AS (
   FROM conversations u JOIN conversations v ON v.conv_id = u.conv_id AND v.turn = u.turn + 1
   WHERE u.role = 'user' AND v.role = 'assistant')"""
 
+ALL_TURNS = f"""pairs AS (
+  SELECT u.conv_id, u.turn, {words('u.text')} AS a, {words("coalesce(v.text, '')")} AS b
+  FROM conversations u
+    LEFT JOIN conversations v ON v.conv_id = u.conv_id AND v.turn = u.turn + 1 AND v.role = 'assistant'
+  WHERE u.role = 'user')"""
+
 LCS = """lcs AS (
   SELECT conv_id, turn, 0 AS i, list_transform(range(0, len(b) + 1), lambda j: 0) AS row
   FROM pairs
@@ -533,6 +539,9 @@ UNION ALL SELECT 2, 'nothing new', loaded, loaded, 0, 0, 0, 0 FROM sizes""",
 FROM scored WHERE rouge_score::DOUBLE >= 0.15::DOUBLE GROUP BY 1, 2""",
     )
     sql["rouge_l_pairs"] = chain(PAIRS, LCS, LCS_RESULT)
+    sql["rouge_null_safe"] = chain(ALL_TURNS, LCS, LCS_RESULT)
+    sql["membership_score"] = """SELECT vec_id AS abstract_id,
+  round(list_max(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)), 4) AS topic_score FROM embeddings"""
     sql["rouge_l_stemmed"] = chain(*STEMMED_PAIRS, LCS, LCS_RESULT)
 
     base = (DOCS, SUMMARIES)
