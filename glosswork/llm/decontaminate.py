@@ -2,7 +2,8 @@
 
 Benchmark items are cut into windows of ``window`` characters every ``stride``
 (short items are one window). A window of m characters counts as present with
-at most k = floor(rate * m) edits. By the q-gram lemma such an occurrence shares
+at most k = floor(rate * m) edits, and q must be short enough for that (an
+error says so). By the q-gram lemma such an occurrence shares
 at least m + 1 - q - k * q character q-grams with the window, all on diagonals
 (text position minus window position) that differ by at most 2k. Shared q-grams
 are therefore counted in overlapping bands of diagonals, twice as wide as that
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from glosswork.llm import words as w
 
-Q = 12
+Q = 10  # at a rate of 0.05, short enough for every length that allows edits
 RATE = 0.05
 WINDOW, STRIDE = 80, 40
 BLOCK_CHARS = 1 << 21
@@ -102,7 +103,9 @@ def build_index(items: list[tuple], q: int = Q, rate: float = RATE, window: int
             shift.append(s)
             per_item.append(len(starts))
     size = np.array([len(x) for x in windows], np.int64)
-    edits = np.minimum((size * rate).astype(np.int64), np.maximum(0, (size - q) // q))
+    edits = (size * rate).astype(np.int64)
+    if (edits > np.maximum(0, (size - q) // q)).any():
+        raise ValueError("q is too long for the edits that short windows allow")
     keys, window_of, place = [], [], []
     for number, points in enumerate(windows):
         grams = _grams(points, min(q, len(points)))

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from glosswork.llm import decontaminate as d
 
 
@@ -30,7 +32,7 @@ def brute(rows, items):
     for i, text in rows:
         for item, passage in items:
             for piece in windows(fold(passage or "")) if passage else []:
-                budget = min(int(len(piece) * d.RATE), max(0, (len(piece) - d.Q) // d.Q))
+                budget = int(len(piece) * d.RATE)
                 if text and edit_distance_in(piece, fold(text)) <= budget:
                     out.add((i, item))
     return out
@@ -113,3 +115,16 @@ def test_empty(spark, docs):
     assert d.find_passages(docs([]), items_frame(spark, [(1, "y" * 90)])).count() == 0
     assert d.find_passages(some, items_frame(spark, [])).count() == 0
     assert d.drop_contaminated(some, items_frame(spark, [])).count() == 1
+
+
+def test_short_passages_have_their_full_budget(spark, docs):
+    rng = random.Random(3)
+    items = [(n, words(rng, 12)[:n].strip().ljust(n, "q")) for n in range(18, 46)]
+    rows = [(n, f"zz {t[: n // 2]}#{t[n // 2 + 1 :]} zz") for n, t in items]
+    found = {(r.doc_id, r.item_id) for r in d.find_passages(docs(rows), items_frame(spark, items)).collect()}
+    assert found == brute(rows, items) and {(n, n) for n in range(20, 46)} <= found and (19, 19) not in found
+
+
+def test_grams_too_long_for_the_budget_are_told():
+    with pytest.raises(ValueError, match="too long"):
+        d.build_index([(0, "abcdefghijklmnopqrst")], q=12)
