@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F, types as T
 
 from glosswork.fixed_values import BM25_B, BM25_K1, CANDIDATES, KEYWORD_MIN_LENGTH
 from glosswork.functions.stemming import stem_terms
@@ -20,23 +21,29 @@ from glosswork.functions.text import (
     query_terms,
     tokens,
 )
+from glosswork.session import delete_folder
 
-# Tokens per term bucket of a stored index; the number of buckets follows.
+# Tokens per term bucket of a stored batch; the number of buckets follows.
 BUCKET_TOKENS = 1 << 26
+# So many batches of about one size become one.
+FAN = 8
 SALTS = 8
 
 
 @dataclass
 class TermIndex:
-    """Inverted index as four tables and what they were built with."""
+    """Inverted index as tables and what they were built with."""
 
     postings: DataFrame  # term, abstract_id, tf, doc_len
-    terms: DataFrame  # term, df
-    totals: DataFrame  # one row: n_docs, mean_len, buckets
+    terms: DataFrame  # term, df; of a stored index one row per term and batch
+    totals: DataFrame  # one row: n_docs, mean_len
     word_top: DataFrame  # term, abstract_id, rouge_score: best documents of whole words, stop words too
+    grams: DataFrame  # gram, term: the words of word_top by the runs of four characters they hold
     documents: DataFrame  # abstract_id of the documents in the index
     stemmed: bool
     kept: int  # documents per word in word_top
+    gram_sizes: DataFrame | None = None  # gram, n: stored indexes only
+    buckets: tuple[int, ...] = ()  # numbers of buckets in use: stored indexes only
 
 
 def document_frequencies(postings: DataFrame) -> DataFrame:
@@ -66,71 +73,127 @@ def build_index(docs: DataFrame, stemmed: bool = True, kept: int = CANDIDATES) -
             .agg(F.sum("p.tf").cast("int").alias("tf"))
         )
     postings = rows.select("term", "abstract_id", "tf", "doc_len")
+    word_top = best_per_word(docs, kept)
     return TermIndex(
         postings,
         document_frequencies(postings),
-        words.agg(F.count("*").alias("n_docs"), F.avg(F.size("words")).alias("mean_len"), F.lit(1).alias("buckets")),
-        best_per_word(docs, kept),
+        words.agg(F.count("*").alias("n_docs"), F.avg(F.size("words")).alias("mean_len")),
+        word_top,
+        word_grams(word_top),
         docs.select("abstract_id"),
         stemmed,
         kept,
     )
 
 
-def term_bucket(term: Column, buckets: Column) -> Column:
-    return F.pmod(F.xxhash64(term), buckets).cast("int")
+def term_bucket(term: Column, buckets: int) -> Column:
+    """The bucket of a term among ``buckets``, a power of two.
+
+    Buckets are numbered from ``buckets`` on, so that batches cut into
+    different numbers of buckets share no bucket number.
+    """
+    return (F.lit(buckets) + F.pmod(F.xxhash64(term), F.lit(buckets))).cast("int")
+
+
+def _bucket_keys(index: TermIndex, column: str) -> list[str]:
+    return ["term_bucket", column] if index.buckets else [column]
+
+
+def _with_buckets(index: TermIndex, rows: DataFrame, column: str) -> DataFrame:
+    """A row for each bucket of a stored index in which ``column`` may lie."""
+    if not index.buckets:
+        return rows
+    numbers = F.array(*[term_bucket(F.col(column), b) for b in index.buckets])
+    return rows.withColumn("term_bucket", F.explode(numbers))
 
 
 def write_index(index: TermIndex, path: str) -> None:
     """Add an index of new documents to the index stored at ``path``.
 
-    The first batch fixes the number of term buckets from its number of tokens,
-    and later batches follow. Rows are rebalanced by bucket, so a bucket with a
-    term of a third of all documents is written by many tasks. A batch becomes
-    visible with its row in ``totals``, which is written last.
+    A batch has as many term buckets as its own tokens need. It becomes visible
+    with the list of batches that names it, which is written last.
     """
     spark = index.postings.sparkSession
-    batch = uuid.uuid4().hex
     own = index.totals.first()
     published = _published(spark, path)
-    if published:
-        if (index.stemmed, index.kept) != (published[0]["stemmed"], published[0]["kept"]):
-            raise ValueError("the stored index was built with other settings")
-        buckets = published[0]["buckets"]
-    else:
-        buckets = 1 + int(own["n_docs"] * (own["mean_len"] or 0) // BUCKET_TOKENS)
-    for name, rows in (("postings", index.postings), ("word_top", index.word_top), ("terms", index.terms)):
+    if published and (index.stemmed, index.kept) != (published[0]["stemmed"], published[0]["kept"]):
+        raise ValueError("the stored index was built with other settings")
+    n_tokens = (own["mean_len"] or 0.0) * own["n_docs"]
+    batch, buckets = _write_batch(path, n_tokens, index.postings, index.word_top, index.documents)
+    row = (batch, own["n_docs"], n_tokens, buckets, index.stemmed, index.kept)
+    _publish(spark, path, [*map(tuple, published), row])
+
+
+def _write_batch(
+    path: str, n_tokens: float, postings: DataFrame, word_top: DataFrame, documents: DataFrame
+) -> tuple[str, int]:
+    """Write the tables of one batch; returns its name and number of buckets.
+
+    Rows are rebalanced by bucket, so a bucket with a term of a third of all
+    documents is written by many tasks. Frequencies and grams come from the
+    rows just written.
+    """
+    spark = postings.sparkSession
+    batch, buckets = f"b{uuid.uuid4().hex}", 1 << int(n_tokens // BUCKET_TOKENS).bit_length()
+    target = lambda name: f"{path}/{name}/batch={batch}"
+
+    def written(rows: DataFrame, name: str) -> DataFrame:
+        fields = [*rows.schema.fields, T.StructField("term_bucket", T.IntegerType())]
+        return spark.read.schema(T.StructType(fields)).parquet(target(name)).drop("term_bucket")
+
+    def write(name: str, rows: DataFrame, key: str) -> DataFrame:
         (
-            rows.withColumn("term_bucket", term_bucket(F.col("term"), F.lit(buckets)))
-            .withColumn("batch", F.lit(batch))
+            rows.withColumn("term_bucket", term_bucket(F.col(key), buckets))
             .hint("rebalance", "term_bucket")
-            .sortWithinPartitions("term_bucket", "term")
-            .write.mode("append")
-            .partitionBy("batch", "term_bucket")
-            .parquet(f"{path}/{name}")
+            .sortWithinPartitions("term_bucket", key)
+            .write.partitionBy("term_bucket")
+            .parquet(target(name))
         )
-    index.documents.withColumn("batch", F.lit(batch)).write.mode("append").partitionBy("batch").parquet(
-        f"{path}/documents"
-    )
-    row = (batch, own["n_docs"], (own["mean_len"] or 0.0) * own["n_docs"], buckets, index.stemmed, index.kept)
-    spark.createDataFrame([row], _TOTALS).coalesce(1).write.mode("append").parquet(f"{path}/totals")
+        return written(rows, name)
+
+    write("terms", document_frequencies(write("postings", postings, "term")), "term")
+    grams = write("grams", word_grams(write("word_top", word_top, "term")), "gram")
+    write("gram_sizes", grams.groupBy("gram").agg(F.count("*").alias("n")), "gram")
+    documents.write.parquet(target("documents"))
+    return batch, buckets
 
 
+_STORED = ("postings", "terms", "word_top", "grams", "gram_sizes", "documents")
 _TOTALS = "batch string, n_docs long, sum_len double, buckets int, stemmed boolean, kept int"
+_TERMS = "term string, df long, batch string, term_bucket int"
+_GRAMS = "gram string, term string, batch string, term_bucket int"
+_GRAM_SIZES = "gram string, n long, batch string, term_bucket int"
 
 
 def index_exists(spark: SparkSession, path: str) -> bool:
     return bool(_published(spark, path))
 
 
-def _published(spark: SparkSession, path: str) -> list[Row]:
-    """One row per batch of a stored index."""
+def _versions(spark: SparkSession, path: str) -> dict[int, list[Row]]:
+    """The stored lists of batches by version; one row per batch."""
     try:
-        return spark.read.schema(_TOTALS).parquet(f"{path}/totals").collect()
+        rows = spark.read.schema(f"{_TOTALS}, version int").parquet(f"{path}/totals").collect()
     except AnalysisException as missing:
         if missing.getCondition() == "PATH_NOT_FOUND":
-            return []
+            return {}
         raise
+    found: dict[int, list[Row]] = {}
+    for r in rows:
+        found.setdefault(r["version"], []).append(Row(**{c: v for c, v in r.asDict().items() if c != "version"}))
+    return found
+
+
+def _published(spark: SparkSession, path: str) -> list[Row]:
+    """The newest list of batches."""
+    versions = _versions(spark, path)
+    return versions[max(versions)] if versions else []
+
+
+def _publish(spark: SparkSession, path: str, batches: list[tuple]) -> None:
+    """Write the next list of batches, one file; fails if another writer was faster."""
+    version = max(_versions(spark, path), default=0) + 1
+    rows = spark.createDataFrame(batches, _TOTALS).coalesce(1)
+    rows.write.mode("errorifexists").parquet(f"{path}/totals/version={version}")
 
 
 def read_index(spark: SparkSession, path: str) -> TermIndex:
@@ -138,20 +201,78 @@ def read_index(spark: SparkSession, path: str) -> TermIndex:
     published = _published(spark, path)
     if not published:
         raise ValueError(f"no index at {path}")
-    batches = [r["batch"] for r in published]
-    part = lambda name: spark.read.parquet(f"{path}/{name}").filter(F.col("batch").isin(batches)).drop("batch")
     totals = spark.createDataFrame(published, _TOTALS).agg(
         F.sum("n_docs").alias("n_docs"),
         F.try_divide(F.sum("sum_len"), F.sum("n_docs")).alias("mean_len"),
         F.max("buckets").alias("buckets"),
     )
-    terms = part("terms").groupBy("term_bucket", "term").agg(F.sum("df").alias("df")).select("term", "df")
+    part = partial(_batches, spark, path, [r["batch"] for r in published])
     return TermIndex(
-        part("postings"), terms, totals, part("word_top"), part("documents"),
-        published[0]["stemmed"], published[0]["kept"],
+        part("postings"),
+        part("terms", _TERMS),
+        totals,
+        part("word_top"),
+        part("grams", _GRAMS),
+        part("documents"),
+        published[0]["stemmed"],
+        published[0]["kept"],
+        part("gram_sizes", _GRAM_SIZES),
+        tuple(sorted({r["buckets"] for r in published})),
     )
 
 
+def _batches(spark: SparkSession, path: str, batches: list[str], name: str, schema: str | None = None) -> DataFrame:
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{path}/{name}").filter(F.col("batch").isin(batches)).drop("batch")
+
+
+def merge_index(spark: SparkSession, path: str, fan: int = FAN) -> int:
+    """Merge stored batches until fewer than ``fan`` of about one size are left.
+
+    Sizes count as alike between two powers of ``fan`` tokens, so a posting is
+    rewritten once per power, and the number of batches grows with the
+    logarithm of the index. A merged batch is cut into the buckets its tokens
+    need. Searches give the same before and after: terms keep their summed
+    frequencies, words their best documents. Merged batches are deleted by the
+    next call, so that running searches end. Returns the number of batches.
+    """
+    versions = _versions(spark, path)
+    if not versions:
+        return 0
+    live = versions.pop(max(versions))
+    _drop_versions(spark, path, versions, {r["batch"] for r in live})
+    while group := _alike(live, fan):
+        part = partial(_batches, spark, path, [r["batch"] for r in group])
+        kept, n_tokens = group[0]["kept"], sum(r["sum_len"] for r in group)
+        postings, top = part("postings").drop("term_bucket"), part("word_top").drop("term_bucket")
+        batch, buckets = _write_batch(path, n_tokens, postings, _best_of_words(top, kept), part("documents"))
+        n_docs = sum(r["n_docs"] for r in group)
+        merged = Row(batch=batch, n_docs=n_docs, sum_len=n_tokens, buckets=buckets, stemmed=group[0]["stemmed"], kept=kept)
+        live = [r for r in live if r not in group] + [merged]
+        _publish(spark, path, [tuple(r) for r in live])
+    return len(live)
+
+
+def _alike(batches: list[Row], fan: int) -> list[Row]:
+    """The batches of the lowest size that has ``fan`` of them, or none."""
+    sizes: dict[int, list[Row]] = {}
+    for r in batches:
+        size = 0
+        while r["sum_len"] >= fan ** (size + 1):
+            size += 1
+        sizes.setdefault(size, []).append(r)
+    return next((group for _, group in sorted(sizes.items()) if len(group) >= fan), [])
+
+
+def _drop_versions(spark: SparkSession, path: str, versions: dict[int, list[Row]], live: set[str]) -> None:
+    """Delete old lists of batches and the batches that only they name."""
+    for batch in {r["batch"] for rows in versions.values() for r in rows} - live:
+        for name in _STORED:
+            delete_folder(spark, f"{path}/{name}/batch={batch}")
+    for version in versions:
+        delete_folder(spark, f"{path}/totals/version={version}")
+
+
 def analyzed_terms(queries: DataFrame, stemmed: bool = True) -> DataFrame:
     """Distinct ``query_id, term`` after stop words (and stemming)."""
     words = F.filter(query_terms(F.col("query")), lambda t: ~is_stop_word(t))
@@ -173,7 +294,9 @@ def _asked_sets(index: TermIndex, terms: DataFrame) -> tuple[DataFrame, DataFram
     """
     sets = terms.groupBy("query_id").agg(F.sort_array(F.collect_set("term")).alias("set"))
     asked = sets.select("set").distinct().select("set", F.size("set").alias("n_terms"), F.explode("set").alias("term"))
-    known = index.terms.join(terms.select("term").distinct(), "term", "left_semi")
+    wanted = _with_buckets(index, terms.select("term").distinct(), "term")
+    held = index.terms.join(wanted, _bucket_keys(index, "term"))
+    known = held.groupBy("term").agg(F.sum("df").alias("df"))
     of_set = Window.partitionBy("set")
     found = (
         asked.join(known, "term")
@@ -182,24 +305,29 @@ def _asked_sets(index: TermIndex, terms: DataFrame) -> tuple[DataFrame, DataFram
         .withColumn("place", F.row_number().over(of_set.orderBy("df", "term")))
         .select("set", "term", "df", "n_terms", "place")
     )
-    if "term_bucket" in index.postings.columns:
-        buckets = index.totals.select("buckets").scalar()
-        found = found.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
     return sets, found
 
 
 def rarest_term_hits(index: TermIndex, found: DataFrame) -> DataFrame:
-    """``set, abstract_id`` for the documents of each set's rarest term.
+    """``set, abstract_id`` for the documents of each set's rarest term, with
+    the number of buckets of their batch where the index is stored.
 
     The salt splits a term that a third of all documents hold.
     """
-    keys = [c for c in ("term_bucket", "term") if c in index.postings.columns]
+    keys = _bucket_keys(index, "term")
     salt = F.pmod(F.xxhash64("abstract_id"), F.lit(SALTS)).cast("int")
-    first = found.filter("place = 1").select(
+    first = _with_buckets(index, found.filter("place = 1"), "term").select(
         "set", *keys, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     )
     rows = index.postings.select(*keys, "abstract_id", salt.alias("salt"))
-    return rows.join(first, [*keys, "salt"]).select("set", "abstract_id")
+    hits = rows.join(first, [*keys, "salt"])
+    level = [_level(F.col("term_bucket")).alias("level")] if index.buckets else []
+    return hits.select("set", "abstract_id", *level)
+
+
+def _level(bucket: Column) -> Column:
+    """Equal for the buckets of equally cut batches."""
+    return F.length(F.bin(bucket))
 
 
 def match_all_terms(index: TermIndex, terms: DataFrame) -> DataFrame:
@@ -214,10 +342,12 @@ def match_all_terms(index: TermIndex, terms: DataFrame) -> DataFrame:
     n_docs = totals.select("n_docs").scalar()
     mean_len = totals.select("mean_len").scalar()
     part = bm25(F.col("tf"), F.col("df"), F.col("doc_len"), n_docs, mean_len)
-    keys = [c for c in ("term_bucket", "term") if c in index.postings.columns]
-    wanted = rarest_term_hits(index, found).join(found.drop("place"), "set")
+    asked, keys = _with_buckets(index, found.drop("place"), "term"), ["set"]
+    if index.buckets:
+        asked, keys = asked.withColumn("level", _level(F.col("term_bucket"))), ["set", "level"]
+    wanted = rarest_term_hits(index, found).join(asked, keys)
     hits = (
-        index.postings.join(wanted, [*keys, "abstract_id"])
+        index.postings.join(wanted, [*_bucket_keys(index, "term"), "abstract_id"])
         .groupBy("set", "abstract_id")
         .agg(F.count("*").alias("n"), F.first("n_terms").alias("n_terms"), F.sum(part).alias("relevance"))
         .filter(F.col("n") == F.col("n_terms"))
@@ -267,8 +397,17 @@ def best_per_word(docs: DataFrame, k: int = CANDIDATES) -> DataFrame:
         "abstract_id",
         "rouge_score",
     ).filter(F.length("term") >= KEYWORD_MIN_LENGTH)
+    return _best_of_words(words, k)
+
+
+def _best_of_words(rows: DataFrame, k: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("term").orderBy(*by_quality()))
-    return words.withColumn("place", rank).filter(F.col("place") <= k).drop("place")
+    return rows.withColumn("place", rank).filter(F.col("place") <= k).drop("place")
+
+
+def word_grams(word_top: DataFrame) -> DataFrame:
+    """``gram, term``: every run of four characters of every word."""
+    return word_top.select("term").distinct().select(F.explode(_grams(F.col("term"))).alias("gram"), "term")
 
 
 def query_keywords(queries: DataFrame) -> DataFrame:
@@ -278,17 +417,26 @@ def query_keywords(queries: DataFrame) -> DataFrame:
     )
 
 
-def keyword_terms(vocabulary: DataFrame, keywords: DataFrame) -> DataFrame:
-    """Distinct ``keyword, term``: vocabulary words that contain a keyword.
+def keyword_terms(index: TermIndex, keywords: DataFrame) -> DataFrame:
+    """Distinct ``keyword, term``: words of the index that contain a keyword.
 
     A keyword holds only letters and digits, so it occurs in a text exactly if
-    it occurs inside one word of it. Words and keywords meet on the keyword's
-    first four characters, not pair by pair, and each keyword once.
+    it occurs inside one word of it. Words and keywords meet on a run of four
+    characters, not pair by pair, and each keyword once: on its rarest run
+    where the index is stored, and then only the buckets of that run are read.
     """
-    asked = keywords.select("keyword", F.substring("keyword", 1, KEYWORD_MIN_LENGTH).alias("gram")).distinct()
+    asked = keywords.select("keyword").distinct()
+    keys = _bucket_keys(index, "gram")
+    if index.gram_sizes is None:
+        met = asked.withColumn("gram", F.substring("keyword", 1, KEYWORD_MIN_LENGTH))
+    else:
+        runs = asked.withColumn("gram", F.explode(_grams(F.col("keyword"))))
+        sizes = _with_buckets(index, runs, "gram").join(index.gram_sizes, keys)
+        per_run = sizes.groupBy("keyword", "gram").agg(F.sum("n").alias("n"))
+        rarest = per_run.groupBy("keyword").agg(F.count("*").alias("held"), F.min(F.struct("n", "gram")).alias("rarest"))
+        met = rarest.filter(F.col("held") == F.size(_grams(F.col("keyword")))).select("keyword", "rarest.gram")
     return (
-        vocabulary.select("term", F.explode(_grams(F.col("term"))).alias("gram"))
-        .join(asked, "gram")
+        index.grams.join(_with_buckets(index, met, "gram"), keys)
         .filter(F.contains(F.col("term"), F.col("keyword")))
         .select("keyword", "term")
         .distinct()
@@ -317,12 +465,8 @@ def keyword_candidates(index: TermIndex, queries: DataFrame, k: int = CANDIDATES
     if k > index.kept:
         raise ValueError(f"the index keeps {index.kept} documents per word, not {k}")
     asked = query_keywords(queries)
-    wanted = keyword_terms(index.word_top.select("term").distinct(), asked)
-    keys = ["term"]
-    if "term_bucket" in index.word_top.columns:
-        wanted = wanted.withColumn("term_bucket", term_bucket(F.col("term"), index.totals.select("buckets").scalar()))
-        keys = ["term_bucket", "term"]
-    per_keyword = _best_documents(index.word_top.join(wanted, keys), "keyword", k)
+    wanted = _with_buckets(index, keyword_terms(index, asked), "term")
+    per_keyword = _best_documents(index.word_top.join(wanted, _bucket_keys(index, "term")), "keyword", k)
     return _best_documents(per_keyword.join(asked, "keyword"), "query_id", k)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from glosswork.fixed_values import ROUGE_GATE, SMALLEST_TOPIC
 from glosswork.operators import density, vector_search
 from glosswork.operators.embed import hash_embedding, term_counts, term_idf
-from glosswork.operators.fulltext import build_index, index_exists, read_index, write_index
+from glosswork.operators.fulltext import build_index, index_exists, merge_index, read_index, write_index
 from glosswork.operators.ingest import (
     distinct_documents,
     ingest_accounting,
@@ -84,7 +84,8 @@ def enrich(
 
 
 def index_new(spark: SparkSession, root: str, stemmed: bool = True) -> DataFrame:
-    """Add the summaries that the stored full-text index lacks. Returns their number."""
+    """Add the summaries that the stored full-text index lacks, and merge small
+    batches of it. Returns the number of summaries."""
     path = f"{root}/index"
     fresh = read_table(spark, root, "summaries").select("abstract_id", "summary", "rouge_score")
     if index_exists(spark, path):
@@ -93,6 +94,7 @@ def index_new(spark: SparkSession, root: str, stemmed: bool = True) -> DataFrame
     added = fresh.count()
     if added:
         write_index(build_index(fresh, stemmed), path)
+        merge_index(spark, path)
     drop_staged(fresh)
     return spark.createDataFrame([(added,)], "indexed long")
 

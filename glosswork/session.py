@@ -54,5 +54,9 @@ def drop_staged(*frames: DataFrame) -> None:
         spark, path = frame.sparkSession, getattr(frame, "staged_at", None)
         if path is None or not path.startswith(staging_root(spark)):
             raise ValueError("not a staged table")
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+        delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
