@@ -30,7 +30,7 @@ from glosswork.operators import (  # noqa: E402
     vector_search as vs,
 )
 from glosswork.plans import jobs  # noqa: E402
-from glosswork.session import ship, stage, staging_root  # noqa: E402
+from glosswork.session import drop_staged, ship, stage, staging_root  # noqa: E402
 from glosswork.sources.tables import append_table, read_table  # noqa: E402
 from glosswork.streaming.ingest_stream import append_new, start_ingest  # noqa: E402
 import oracles  # noqa: E402
@@ -354,6 +354,34 @@ def fts_stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("query_id", "abstract_id", _r6("relevance"))
 
 
+def _merged_index(spark: SparkSession, sf_dir: str) -> fulltext.TermIndex:
+    """An index that came in four batches by id, of which three were merged."""
+
+    def make(path: str) -> str:
+        docs = stage(_summaries(spark, sf_dir), "merging")
+        for digits in ("0", "1234", "5678", "9abcdef"):
+            batch = docs.filter(F.substring("abstract_id", 1, 1).isin(*digits))
+            fulltext.write_index(fulltext.build_index(batch, stemmed=False), path)
+        fulltext.merge_index(spark, path, fan=3)
+        drop_staged(docs)
+        return path
+
+    return fulltext.read_index(spark, _once(spark, "merged", sf_dir, make))
+
+
+def fts_merged_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All-terms match on merged batches."""
+    index = _merged_index(spark, sf_dir)
+    hits = fulltext.match_all_terms(index, fulltext.analyzed_terms(_queries(spark, sf_dir), index.stemmed))
+    return hits.select("query_id", "abstract_id", _r6("relevance"))
+
+
+def keyword_merged_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword matches on merged batches."""
+    hits = fulltext.keyword_candidates(_merged_index(spark, sf_dir), _queries(spark, sf_dir))
+    return hits.select("query_id", "abstract_id", _r6("rouge_score"))
+
+
 def fts_and_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = fulltext.analyzed_terms(_queries(spark, sf_dir), False)
     hits = fulltext.match_all_terms(fulltext.build_index(_summaries(spark, sf_dir), stemmed=False), terms)
@@ -747,7 +775,7 @@ _REGISTERED = [
     rouge_null_safe, membership_score,
     quality_gate, gate_accounting, enrich_store, enrich_contents, gated_topic_stats, corpus_stats, topic_histogram,
     topic_stats, verify_report, query_terms, detect_topic, postings, term_stats,
-    fts_stored_index, fts_and_match, fts_stemmed, fts_bm25_topk, incremental_search, search_topk,
+    fts_stored_index, fts_merged_index, keyword_merged_index, fts_and_match, fts_stemmed, fts_bm25_topk, incremental_search, search_topk,
     keyword_fallback, keyword_stored, retrieval_cascade, rerank_topic_boost, context_block, source_count,
     prompts, vector_topk, vector_batch_topk, vector_topk_cells, vector_cells_recall, vector_join_summary,
     graph_topk, graph_search_quality,

@@ -584,7 +584,7 @@ FROM turns""",
     sql["term_stats"] = chain(DOCS, SUMMARIES, POSTINGS, "SELECT term, df FROM terms")
     sql["fts_and_match"] = chain(*FTS, "SELECT query_id, abstract_id, round(relevance, 6) AS relevance FROM matches")
     sql["fts_stemmed"] = chain(*STEMMED_FTS, "SELECT query_id, abstract_id, round(relevance, 6) AS relevance FROM matches")
-    sql["fts_stored_index"] = sql["fts_and_match"]
+    sql["fts_stored_index"] = sql["fts_merged_index"] = sql["fts_and_match"]
     sql["fts_bm25_topk"] = chain(
         *FTS, FOUND,
         "SELECT query_id, abstract_id, round(relevance, 6) AS relevance, round(rouge_score, 6) AS rouge_score FROM found",
@@ -617,6 +617,7 @@ FROM hints LEFT JOIN (SELECT * FROM merged WHERE rank <= 5) USING (query_id)""",
         DOCS, SUMMARIES, QUERIES, KEYWORDS,
         "SELECT query_id, abstract_id, round(rouge_score, 6) AS rouge_score FROM keyword_top",
     )
+    sql["keyword_merged_index"] = sql["keyword_fallback"]
     sql["keyword_stored"] = chain(
         *STORE, QUERIES, KEYWORDS,
         "SELECT query_id, abstract_id, round(rouge_score, 6) AS rouge_score FROM keyword_top",

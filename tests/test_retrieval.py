@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from glosswork.fixed_values import STOP_WORDS, TOPIC_KEYWORDS
 from glosswork.operators import fulltext, retrieval
@@ -285,3 +285,60 @@ def test_null_scores_sort_last(data):
     order = [r["rouge_score"] for r in fulltext.quality_top(docs.select("abstract_id", "rouge_score"), 60).collect()]
     assert order[-1] is None and order[0] == max(x for x in order if x is not None)
     assert docs.filter(F.col("rouge_score").isNull()).count() == 1
+
+
+def keyword_hits(index, queries):
+    return sorted(map(tuple, fulltext.keyword_candidates(index, queries).collect()), key=str)
+
+
+def test_merged_batches_give_the_same_hits(spark, data, tmp_path, monkeypatch):
+    docs, queries = data
+    monkeypatch.setattr(fulltext, "BUCKET_TOKENS", 50)
+    path, whole = str(tmp_path / "index"), fulltext.build_index(docs)
+    folders = lambda name: {p.name for p in (tmp_path / "index" / name).glob("batch=*")}
+    for low, high in (("d00", "d03"), ("d03", "d20"), ("d20", "d40"), ("d40", "e")):
+        part = docs.filter((F.col("abstract_id") >= low) & (F.col("abstract_id") < high))
+        fulltext.write_index(fulltext.build_index(part), path)
+    before = fulltext.read_index(spark, path)
+    assert len(before.buckets) > 1 and before.buckets[0] == 1
+    assert fulltext.merge_index(spark, path, fan=3) == 2
+    after = fulltext.read_index(spark, path)
+    assert after.buckets[-1] > before.buckets[-1]
+    assert hits_of(before, queries) == hits_of(after, queries) == hits_of(whole, queries) != []
+    assert keyword_hits(before, queries) == keyword_hits(after, queries) == keyword_hits(whole, queries) != []
+    assert sorted(after.documents.collect()) == sorted(docs.select("abstract_id").collect())
+    # Searches that began before the merge still find their batches; the next call deletes them.
+    assert len(folders("postings")) == 5
+    assert fulltext.merge_index(spark, path, fan=3) == 2
+    assert all(len(folders(name)) == 2 for name in fulltext._STORED)
+    assert hits_of(fulltext.read_index(spark, path), queries) == hits_of(whole, queries)
+
+
+def test_batches_stay_few():
+    batch = lambda i, n: Row(batch=i, n_docs=1, sum_len=float(n), buckets=1, stemmed=True, kept=16)
+    live, rewritten, most = [], 0, 0
+    for i in range(1000):
+        live.append(batch(i, 100 + i % 7))
+        while group := fulltext._alike(live, 8):
+            rewritten += sum(r.sum_len for r in group)
+            live = [r for r in live if r not in group] + [batch(f"{i}m", sum(r.sum_len for r in group))]
+        most = max(most, len(live))
+    assert most <= 7 * 4 and rewritten <= 4 * sum(100 + i % 7 for i in range(1000))
+
+
+def test_keywords_meet_words_on_their_rarest_run(spark, plan, tmp_path):
+    rows = [(f"d{i}", f"common{chr(97 + i % 26)}{chr(97 + i // 26)} {'uncommonly' if i == 5 else 'x'}", 0.5) for i in range(60)]
+    docs = spark.createDataFrame(rows, "abstract_id string, summary string, rouge_score double")
+    asked = [(1, "commonly"), (2, "common"), (3, "commonzz"), (4, "zzzz")]
+    keywords = spark.createDataFrame(asked, "query_id int, keyword string")
+    path = str(tmp_path / "index")
+    for low in (True, False):
+        part = docs.filter((F.col("abstract_id") < "d3") == F.lit(low))
+        fulltext.write_index(fulltext.build_index(part), path)
+    stored = fulltext.read_index(spark, path)
+    found = fulltext.keyword_terms(stored, keywords)
+    want = {(k, w) for _, k in asked for _, text, _ in rows for w in text.split() if k in w}
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert set(map(tuple, fulltext.keyword_terms(fulltext.build_index(docs), keywords).collect())) == want
+    assert "word_top" not in plan(found)
