@@ -31,6 +31,7 @@ from glosswork.operators import (  # noqa: E402
 )
 from glosswork.plans import jobs  # noqa: E402
 from glosswork.session import drop_staged, ship, stage, staging_root  # noqa: E402
+from glosswork.sources import changes  # noqa: E402
 from glosswork.sources.tables import append_table, read_table  # noqa: E402
 from glosswork.streaming.ingest_stream import append_new, start_ingest  # noqa: E402
 import oracles  # noqa: E402
@@ -752,8 +753,8 @@ def vector_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new.select("abstract_id", F.size("embedding").alias("dims"))
 
 
-def topic_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels' quality replaces the topic of the documents they cover."""
+def _topic_labels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Documents with their source as label, and the labels' quality as new topic."""
     docs = _table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("abstract_id"),
         F.lit(None).cast("int").alias("topic_id"),
@@ -764,11 +765,32 @@ def topic_update(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("quality").alias("topic_id"),
         F.concat(F.lit("q"), F.col("quality").cast("string")).alias("topic_label"),
     )
+    return docs, labels
+
+
+def topic_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels' quality replaces the topic of the documents they cover."""
+    docs, labels = _topic_labels(spark, sf_dir)
     # Ids repeat: the row with values wins.
     labels = labels.unionByName(labels.withColumn("topic_id", F.lit(None).cast("int")))
     return upsert.update_by_key(docs, labels, ["topic_id", "topic_label"])
 
 
+def topic_update_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through files of changes: newest first, folded, then a late and a repeated one."""
+
+    def make(path: str) -> str:
+        docs, labels = _topic_labels(spark, sf_dir)
+        changes.create_table(docs, path, ["topic_id", "topic_label"])
+        changes.append_changes(labels, path, F.lit(2))
+        changes.fold_changes(spark, path)
+        changes.append_changes(labels.withColumn("topic_label", F.lit("late")), path, F.lit(1))
+        changes.append_changes(labels, path, F.lit(2))
+        return path
+
+    return changes.read_current(spark, _once(spark, "changes", sf_dir, make))
+
+
 _REGISTERED = [
     corpus_scan, content_ids, distinct_documents, incremental_new, ingest_accounting,
     ingest_stream, extractive_summary, lead_summary, rouge_scores, rouge_l_pairs, rouge_l_stemmed,
@@ -782,7 +804,7 @@ _REGISTERED = [
     vector_text_search, hash_embedding, normalize, vector_text_form, inner_product,
     centroid_assign, kmeans_topics, pca_reduce, neighbour_table, mutual_reachability, single_linkage, density_topics, topic_model_store, topic_merge, topic_similarity, topic_merge_terms,
     topic_merge_auto, ngrams, doc_frequency_cut,
-    topic_terms, ctfidf_labels, topic_overview, vector_insert_if_absent, topic_update,
+    topic_terms, ctfidf_labels, topic_overview, vector_insert_if_absent, topic_update, topic_update_changes,
 ]
 
 

@@ -10,7 +10,6 @@ import uuid
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F, types as T
 
 from glosswork.fixed_values import BM25_B, BM25_K1, CANDIDATES, KEYWORD_MIN_LENGTH
@@ -22,6 +21,7 @@ from glosswork.functions.text import (
     tokens,
 )
 from glosswork.session import delete_folder
+from glosswork.sources import manifest
 
 # Tokens per term bucket of a stored batch; the number of buckets follows.
 BUCKET_TOKENS = 1 << 26
@@ -169,31 +169,13 @@ def index_exists(spark: SparkSession, path: str) -> bool:
     return bool(_published(spark, path))
 
 
-def _versions(spark: SparkSession, path: str) -> dict[int, list[Row]]:
-    """The stored lists of batches by version; one row per batch."""
-    try:
-        rows = spark.read.schema(f"{_TOTALS}, version int").parquet(f"{path}/totals").collect()
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return {}
-        raise
-    found: dict[int, list[Row]] = {}
-    for r in rows:
-        found.setdefault(r["version"], []).append(Row(**{c: v for c, v in r.asDict().items() if c != "version"}))
-    return found
-
-
 def _published(spark: SparkSession, path: str) -> list[Row]:
-    """The newest list of batches."""
-    versions = _versions(spark, path)
-    return versions[max(versions)] if versions else []
+    """One row per batch of a stored index."""
+    return manifest.newest(spark, f"{path}/totals", _TOTALS)
 
 
 def _publish(spark: SparkSession, path: str, batches: list[tuple]) -> None:
-    """Write the next list of batches, one file; fails if another writer was faster."""
-    version = max(_versions(spark, path), default=0) + 1
-    rows = spark.createDataFrame(batches, _TOTALS).coalesce(1)
-    rows.write.mode("errorifexists").parquet(f"{path}/totals/version={version}")
+    manifest.publish(spark, f"{path}/totals", _TOTALS, batches)
 
 
 def read_index(spark: SparkSession, path: str) -> TermIndex:
@@ -236,7 +218,7 @@ def merge_index(spark: SparkSession, path: str, fan: int = FAN) -> int:
     frequencies, words their best documents. Merged batches are deleted by the
     next call, so that running searches end. Returns the number of batches.
     """
-    versions = _versions(spark, path)
+    versions = manifest.versions(spark, f"{path}/totals", _TOTALS)
     if not versions:
         return 0
     live = versions.pop(max(versions))

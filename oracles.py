@@ -791,4 +791,5 @@ FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM labels)"""
     sql["topic_update"] = """SELECT d.doc_id AS abstract_id, l.quality AS topic_id,
   CASE WHEN l.doc_id IS NULL THEN d.source ELSE 'q' || l.quality END AS topic_label
 FROM documents d LEFT JOIN labels l USING (doc_id)"""
+    sql["topic_update_changes"] = sql["topic_update"]
     return sql
