@@ -37,34 +37,65 @@ TOKEN = "(?<![A-Za-z0-9/+=_-])(?=[A-Za-z/+=_-]*+[0-9])(?=[0-9/+=_-]*+[A-Za-z])[A
 ENDPOINT = "(?:https?|s3|jdbc:[a-z]+|[a-z]+\\+ssh)://[A-Za-z0-9._~:@/?&=%+-]{4,}+"
 KINDS = ("assign", "access", "hex", "token", "endpoint")
 REACH = 400
+# Matches added up at a time.
+GROUP = 128
 
 _SPAN = "struct<start:int,end:int>"
 
 
-def spans(text: Column, pattern: str, size: Column | None = None) -> Column:
+def spans(text: Column, pattern: str) -> Column:
     """Code-point spans of all matches of ``pattern``.
 
-    The texts between matches give the positions. ``size`` takes part of a
-    match for the filter in ``base_spans``.
+    The texts between matches give the positions. They add up in groups of
+    matches, then over groups: an array that grows with every match of a text
+    would be copied for each of them.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    start = lambda s, m: s["at"] + F.length(m["gap"])
-    run = F.aggregate(
-        F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, g: F.struct(m.alias("m"), g.alias("gap"))),
-        F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out")),
+    between = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+    steps = F.zip_with(found, between, lambda m, g: F.struct(F.length(g).alias("gap"), F.length(m).alias("size")))
+    return _bound(steps, _located)
+
+
+def _bound(value: Column, then) -> Column:
+    """``then`` of a value that is computed once, though lambdas use it."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _located(steps: Column) -> Column:
+    firsts = F.when(F.size(steps) > 0, F.sequence(F.lit(1), F.size(steps), F.lit(GROUP))).otherwise(
+        F.array().cast("array<int>")
+    )
+    groups = F.transform(firsts, lambda i: _running(F.slice(steps, i, F.lit(GROUP))))
+    moved = lambda part, at: F.transform(
+        part["out"], lambda s: F.struct((s["start"] + at).alias("start"), (s["end"] + at).alias("end"))
+    )
+    return _bound(groups, lambda g: F.flatten(F.zip_with(g, _offsets(g), moved)))
+
+
+def _running(steps: Column) -> Column:
+    """Spans of a group from its own beginning, and its length."""
+    return F.aggregate(
+        steps,
+        F.struct(F.lit(0).alias("at"), _none().alias("out")),
         lambda s, m: F.struct(
-            (start(s, m) + F.length(m["m"])).alias("at"),
+            (s["at"] + m["gap"] + m["size"]).alias("at"),
             F.concat(
                 s["out"],
                 F.array(
-                    F.struct(start(s, m).alias("start"), (start(s, m) + F.length(m["m"])).alias("end"))
+                    F.struct((s["at"] + m["gap"]).alias("start"), (s["at"] + m["gap"] + m["size"]).alias("end"))
                 ),
             ).alias("out"),
         ),
+    )
+
+
+def _offsets(groups: Column) -> Column:
+    return F.aggregate(
+        groups,
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+        lambda s, g: F.struct((s["at"] + g["at"]).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
         lambda s: s["out"],
     )
-    return run
 
 
 def _none() -> Column:
@@ -108,13 +139,13 @@ def _parts(scanned: DataFrame, *kinds: str) -> DataFrame:
     return scanned.filter(F.size(found) > 0).select("key", F.inline(found)).distinct()
 
 
-def near(candidates: DataFrame, parts: DataFrame, reach: int = REACH) -> DataFrame:
+def near(candidates: DataFrame, parts: DataFrame, reach: int = REACH, block: int = REACH) -> DataFrame:
     """The candidates that overlap the scope of some part: an interval semi join.
 
     A scope is the part and ``reach`` code points on either side. Scopes enter
     every block they touch; a candidate enters the blocks it touches.
     """
-    blocks = lambda lo, hi: F.explode(F.sequence(F.floor(lo / reach), F.floor(hi / reach)))
+    blocks = lambda lo, hi: F.explode(F.sequence(F.floor(lo / block), F.floor(hi / block)))
     scopes = parts.select(
         F.col("key").alias("p_key"), (F.col("start") - reach).alias("lo"), (F.col("end") + reach).alias("hi")
     ).select("*", blocks(F.greatest(F.col("lo"), F.lit(0)), F.col("hi")).alias("p_block"))
@@ -132,11 +163,8 @@ def linked_spans(scanned: DataFrame, reach: int = REACH) -> DataFrame:
     """``key, kind, start, end`` of the weak candidates that have a partner."""
     tokens, endpoints = _parts(scanned, "token"), _parts(scanned, "endpoint")
     base = _parts(scanned, "assign", "access", "hex")
-    inside = (
-        (F.col("key") == F.col("b_key")) & (F.col("start") < F.col("b_end")) & (F.col("end") > F.col("b_start"))
-    )
-    as_base = base.select(F.col("key").alias("b_key"), F.col("start").alias("b_start"), F.col("end").alias("b_end"))
-    tokens = tokens.join(as_base, inside, "left_anti")  # already reported as a base span
+    covered = near(tokens, base, 0)
+    tokens = tokens.join(covered, ["key", "start", "end"], "left_anti")  # already reported as a base span
     identifiers, assigned = _parts(scanned, "access"), _parts(scanned, "assign")
     served = near(endpoints, assigned, reach)
     tokens = near(tokens, identifiers.unionByName(served), reach)

@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from glosswork.llm import credentials as c
 
 ASSIGN = re.compile(
@@ -80,3 +82,15 @@ def test_interval_join_is_exact(spark):
     got = c.near(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), 100).collect()
     want = {x for x in a if any(x[0] == y[0] and x[1] < y[2] + 100 and x[2] > y[1] - 100 for y in b)}
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_texts_with_many_matches(spark):
+    """More matches than are added up at a time, and as many tokens as base spans."""
+    filler = ["é", "\U0001f600 x", "", "wort"]
+    parts = [f"{filler[i % 4]} {'abcdef0123456789' * 2}{i % 10}\n" for i in range(3 * c.GROUP + 1)]
+    text = "".join(parts)
+    want = [m.span() for m in re.finditer("[0-9a-f]{24,}", text)]
+    df = spark.createDataFrame([(text,), ("",), (parts[0] * c.GROUP,)], "text string")
+    got = [r[0] for r in df.select(c.spans(F.col("text"), c.HEX_RUN)).collect()]
+    assert [(s["start"], s["end"]) for s in got[0]] == want and len(want) == 3 * c.GROUP + 1
+    assert got[1] == [] and len(got[2]) == c.GROUP
