@@ -3,33 +3,40 @@
 Alternating large-star and small-star steps: every step links nodes to the
 smallest neighbour they know, by a minimum per node (merged per task before the
 shuffle) and a join back, so no node gathers its neighbours in one place. Steps
-are written to the staging folder, which cuts the plan; rounds grow with the
-logarithm of a component's size.
+are written to the staging folder, which cuts the plan, and counted as they are
+written; rounds grow with the logarithm of a component's size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from glosswork.session import stage
+from glosswork.session import drop_staged, stage
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def measured(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """``df`` as a staged table, and aggregates over its rows, taken while it is written."""
+    seen = Observation()
+    staged = stage(df.observe(seen, *[column.alias(key) for key, column in measures.items()]), name)
+    return staged, seen.get
+
+
+def _step(edges: DataFrame) -> tuple[DataFrame, dict]:
+    edges_hash = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    return measured(edges, "links", n=F.count(F.lit(1)), h=edges_hash)
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    up = both.filter("v > u").join(least, "u")
+    up = both.filter("v > u").join(least.hint("merge"), "u")
     return up.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = down.join(least.hint("merge"), "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -39,11 +46,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Links with a null end and links of a node to itself are ignored.
     """
     edges = links.filter(F.col(a) != F.col(b)).select(F.col(a).alias("u"), F.col(b).alias("v"))
-    edges = stage(_small_star(edges), "links")
-    state = _state(edges)
+    edges, state = _step(_small_star(edges))
     while True:
-        edges = stage(_small_star(_large_star(edges)), "links")
-        after = _state(edges)
+        before = edges
+        edges, after = _step(_small_star(_large_star(before)))
+        drop_staged(before)
         if after == state:
             break
         state = after

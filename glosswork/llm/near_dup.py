@@ -29,9 +29,11 @@ Joins whose sides grow with the corpus are sort-merge joins at every size, and
 adaptive execution splits their hot keys.
 
 All candidate pairs of one task first shrink to a spanning forest of the most
-similar ones. When some of its links fail on the full sets, all candidates
-between the resulting components are confirmed in a second round, so the forest
-loses no link; the number of these candidates per row is bounded by LEAF per node.
+similar ones. When some of its links fail on the full sets, the members of small
+nodes that still have a candidate in another component meet once more, with
+their full sets in the same task, so the forest loses no link: what is shuffled
+follows the members of nodes, not their pairs, and only confirmed links leave.
+Large nodes need no such round, as their groups are compared whole.
 
 Defined results: null or empty texts and texts without words have no shingles
 and are linked with nothing; texts with fewer words than a shingle have the
@@ -51,8 +53,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from glosswork.llm import words as w
-from glosswork.llm.components import components
-from glosswork.session import stage
+from glosswork.llm.components import components, measured
+from glosswork.session import drop_staged, stage
 
 TOKENS = 128  # of which paths choose
 SKETCH = 256  # tokens of the sketch, four bits each
@@ -226,17 +228,19 @@ def nodes(
         rows = stage(rows, "paths")
         sized = rows.groupBy("path").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
         sized = rows.join(sized.hint("merge"), "path").withColumn("still", F.when(kept, F.col("still") + 1).otherwise(0))
-        sized = stage(sized, "sized")
+        ended = (F.col("still") >= STILL) | F.lit(level == levels)
+        count = lambda which: F.count(F.when((F.col("members") > leaf) & which, 1))
+        sized, seen = measured(sized, "sized", ended=count(ended), going=count(~ended))
+        drop_staged(rows)
         leaves.append(sized.filter(F.col("members") <= leaf).select("path", "id", "tree"))
         large = sized.filter(F.col("members") > leaf)
-        ended = (F.col("still") >= STILL) | F.lit(level == levels)
-        dense.append(large.filter(ended).select("path", "id", "tree"))
-        large = large.filter(~ended).select("path", "id", "tree", F.col("members").alias("was"), "still")
-        if large.isEmpty():
+        if seen["ended"]:
+            dense.append(large.filter(ended).select("path", "id", "tree"))
+        if not seen["going"]:
             break
+        large = large.filter(~ended).select("path", "id", "tree", F.col("members").alias("was"), "still")
         rows = _branch(large.join(tokens.hint("merge"), "id"), threshold, None)
-    dense = _union(dense)
-    return _union(leaves), None if dense.isEmpty() else dense
+    return _union(leaves), _union(dense) if dense else None
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -273,14 +277,14 @@ def _least(threshold: float) -> float:
     return SKETCH * (agree - SURE * (agree * (1 - agree) / SKETCH) ** 0.5)
 
 
-def _similar(path, ids, sizes, sketch, label, new, threshold: float, leaf: int) -> list[tuple]:
-    """(agreeing tokens, a, b) of rows of one path that may reach the threshold.
+def _similar(path, code, sizes, sketch, label, new, threshold: float, leaf: int) -> tuple[np.ndarray, ...]:
+    """Rows ``left, right`` of one path that may reach the threshold, and their agreeing tokens.
 
-    Rows before ``new`` were compared with each other before. ``label`` rules
-    out pairs inside one component.
+    Rows before ``new`` were compared with each other before. ``code`` numbers
+    the ids; ``label`` rules out pairs inside one component.
     """
     least = _least(threshold)
-    found = []
+    found = [(np.zeros(0, np.int64),) * 3]
     for step in range(1, leaf + 1):
         if step >= len(path):
             break
@@ -290,6 +294,7 @@ def _similar(path, ids, sizes, sketch, label, new, threshold: float, leaf: int)
         left = left[left + step >= new]
         right = left + step
         fit = np.minimum(sizes[left], sizes[right]) >= threshold * np.maximum(sizes[left], sizes[right])
+        fit &= code[left] != code[right]
         if label is not None:
             fit &= label[left] != label[right]
         left, right = left[fit], right[fit]
@@ -297,45 +302,83 @@ def _similar(path, ids, sizes, sketch, label, new, threshold: float, leaf: int)
             a, b = left[lo : lo + 8192], right[lo : lo + 8192]
             apart = sketch[a] ^ sketch[b]
             same = ((apart & 0xF0) == 0).sum(axis=1) + ((apart & 0x0F) == 0).sum(axis=1)
-            for i in np.flatnonzero(same >= least):
-                x, y = ids[a[i]], ids[b[i]]
-                if x != y:
-                    found.append((int(same[i]), min(x, y), max(x, y)))
-    return found
-
-
-def candidates(members: DataFrame, threshold: float, forest: bool, leaf: int = LEAF) -> DataFrame:
-    """Pairs ``a, b`` of the rows of equal paths, read in the order given."""
+            hit = same >= least
+            found.append((a[hit], b[hit], same[hit]))
+    return tuple(np.concatenate(parts) for parts in zip(*found, strict=True))
+
+
+def _spanning(a: np.ndarray, b: np.ndarray, n: int) -> list[int]:
+    """Numbers of the links of a forest over nodes 0 to n - 1; earlier links come first."""
+    up, taken = np.arange(n), []
+    for start in range(0, len(a), max(n, 1)):
+        while ((above := up[up]) != up).any():
+            up = above
+        run = slice(start, start + n)
+        open_ = np.flatnonzero(up[a[run]] != up[b[run]]) + start
+        for i in open_:
+            x, y = a[i], b[i]
+            while up[x] != x:
+                x = up[x]
+            while up[y] != y:
+                y = up[y]
+            if x != y:
+                up[y] = x
+                taken.append(int(i))
+    return taken
+
+
+def _members(batches: Iterator[pa.RecordBatch], leaf: int) -> Iterator[tuple]:
+    """Runs of rows sorted by path with the number of rows that were in the run before.
+
+    The last rows of a run's last path, ``leaf`` at most, come again with the next.
+    """
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        new = held.num_rows if held is not None else 0
+        if held is not None:
+            rows = pa.concat_tables([held, rows]).combine_chunks()
+        path = rows["path"].to_numpy()
+        yield rows, path, _rows(rows["sketch"].combine_chunks(), np.uint8, SKETCH // 2), new
+        tail = min(leaf, len(path))
+        while path[len(path) - tail] != path[-1]:
+            tail -= 1
+        held = rows.slice(len(path) - tail)
+
+
+def candidates(members: DataFrame, threshold: float, leaf: int = LEAF) -> DataFrame:
+    """A forest of pairs ``a, b`` of the rows of equal paths, read in the order given."""
     id_type = members.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = pa.Table.from_batches([batch])
-            new = held.num_rows if held is not None else 0
-            if held is not None:
-                rows = pa.concat_tables([held, rows]).combine_chunks()
-            path = rows["path"].to_numpy()
-            ids = rows["id"].to_pylist()
-            sketch = _rows(rows["sketch"].combine_chunks(), np.uint8, SKETCH // 2)
-            label = rows["label"].to_numpy() if "label" in rows.column_names else None
-            found = _similar(path, ids, rows["n"].to_numpy(), sketch, label, new, threshold, leaf)
-            if forest:
-                trees = _Forest()
-                found = [x for x in sorted(found, key=lambda x: (-x[0], x[1], x[2])) if trees.link(x[1], x[2])]
-            pairs = list({(a, b) for _, a, b in found})
-            tail = min(leaf, len(path))
-            while path[len(path) - tail] != path[-1]:
-                tail -= 1
-            held = rows.slice(len(path) - tail)
-            schema = pa.schema([("a", rows.schema.field("id").type), ("b", rows.schema.field("id").type)])
-            yield pa.RecordBatch.from_pydict({"a": [p[0] for p in pairs], "b": [p[1] for p in pairs]}, schema=schema)
+        for rows, path, sketch, new in _members(batches, leaf):
+            ids, code = np.unique(rows["id"].to_numpy(), return_inverse=True)
+            left, right, same = _similar(path, code, rows["n"].to_numpy(), sketch, None, new, threshold, leaf)
+            a, b = np.minimum(code[left], code[right]), np.maximum(code[left], code[right])
+            order = np.lexsort((b, a, -same))
+            a, b = a[order], b[order]
+            taken = _spanning(a, b, len(ids))
+            kind = rows.schema.field("id").type
+            columns = [pa.array(ids[side[taken]], kind) for side in (a, b)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
     return members.mapInArrow(run, f"a {id_type}, b {id_type}")
 
 
+def _open(members: DataFrame, threshold: float, leaf: int = LEAF) -> DataFrame:
+    """``path, id, n, label, sketch`` of the rows with a candidate of another label in their path."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, path, sketch, new in _members(batches, leaf):
+            code = [np.unique(rows[name].to_numpy(), return_inverse=True)[1] for name in ("id", "label")]
+            left, right, _ = _similar(path, code[0], rows["n"].to_numpy(), sketch, code[1], new, threshold, leaf)
+            yield from rows.take(pa.array(np.unique(np.concatenate([left, right])))).to_batches()
+
+    return members.mapInArrow(run, members.schema)
+
+
 def confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """``a, b, linked`` with the exact similarity of the full sets, row by row in Spark."""
     left = full.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
@@ -390,7 +433,8 @@ def _blocks(members: DataFrame, block: int) -> DataFrame:
 def _linked(blocks: DataFrame, threshold: float, percent: int) -> DataFrame:
     """Links ``a, b`` between different labels, confirmed on the full sets: a forest per task.
 
-    Rows ``grp, u, v, side, id, label, n, sketch, shingles``, sorted by the first four.
+    Rows ``grp, u, v, side, id, label, n, sketch, shingles``, sorted by the first
+    four. Rows of side 1 meet those of side 0, rows of side 2 all before them.
     """
     id_type = blocks.schema["id"].dataType.simpleString()
     least = _least(threshold)
@@ -410,9 +454,11 @@ def _linked(blocks: DataFrame, threshold: float, percent: int) -> DataFrame:
                     left.append((ids[i], label[i], sizes[i], sketch[i], sets[i].values.to_numpy()))
                     packed = None
                     continue
-                if not left:
+                if side[i] == 2:
+                    left.append((ids[i], label[i], sizes[i], sketch[i], sets[i].values.to_numpy()))
+                if len(left) < side[i]:
                     continue
-                if packed is None:
+                if packed is None or side[i] == 2:
                     packed = np.stack([x[3] for x in left]), np.array([x[2] for x in left])
                 apart = packed[0] ^ sketch[i]
                 same = ((apart & 0xF0) == 0).sum(axis=1) + ((apart & 0x0F) == 0).sum(axis=1)
@@ -462,34 +508,29 @@ def near_duplicates(
     leaves = stage(leaves.join(sketches.hint("merge"), "id").select("path", "id", "n", "sketch"), "leaves")
     dense = stage(_ordered(dense, chosen), "dense") if dense is not None else None
 
-    def found(labels: DataFrame | None) -> DataFrame:
-        parts = []
-        for frame in [f for f in (leaves, dense) if f is not None]:
-            if labels is not None:
-                named = labels.select(F.col("node").alias("id"), F.col("component").alias("label"))
-                frame = frame.join(named.hint("merge"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-            if "place" in frame.columns:
-                frame = frame.repartitionByRange("path", "place", "id").sortWithinPartitions("path", "place", "id")
-            else:
-                frame = frame.repartition("path").sortWithinPartitions("path", "id")
-            keep = ["path", "id", "n", "sketch"] + (["label"] if labels is not None else [])
-            parts.append(candidates(frame.select(*keep), threshold, labels is None, leaf))
-        return _union(parts).distinct()
-
-    pairs = stage(found(None), "pairs")
+    pairs = candidates(leaves.repartition("path").sortWithinPartitions("path", "id"), threshold, leaf)
+    if dense is not None:
+        ordered = dense.repartitionByRange("path", "place", "id").sortWithinPartitions("path", "place", "id")
+        pairs = pairs.unionByName(candidates(ordered.select("path", "id", "n", "sketch"), threshold, leaf))
+    pairs = stage(pairs.distinct(), "pairs")
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    full = stage(_full_sets(docs, id_col, text_col, width, ids), "full")
-    checked = stage(confirm(pairs, full, percent), "checked")
-    links = checked.filter("linked")
+    full = _full_sets(docs, id_col, text_col, width, ids)
+    checked, seen = measured(confirm(pairs, stage(full, "full"), percent), "checked", failed=F.count_if(~F.col("linked")))
+    links = checked.filter("linked").select("a", "b")
     named = components(links)
-    if not checked.filter("NOT linked").isEmpty():
-        more = found(named).join(checked, ["a", "b"], "left_anti")
-        more = stage(confirm(stage(more, "pairs"), full, percent), "checked").filter("linked")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            named = components(links)
+    label = named.select(F.col("node").alias("id"), F.col("component").alias("label"))
+    more: list[DataFrame] = []
+    if seen["failed"]:
+        rows = leaves.join(label.hint("merge"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+        rows = rows.select("path", "id", "n", "label", "sketch").repartition("path").sortWithinPartitions("path", "id")
+        rows = stage(_open(rows, threshold, leaf), "open")
+        sets_of = _full_sets(docs, id_col, text_col, width, rows.select("id").distinct()).distinct()
+        rows = rows.join(sets_of.hint("merge"), "id")
+        none = F.lit(0)
+        rows = rows.select(F.col("path").alias("grp"), none.alias("u"), none.alias("v"), F.lit(2).alias("side"), "id", "label", "n", "sketch", "shingles")
+        rows = rows.repartition("grp").sortWithinPartitions("grp", "u", "v", "side", "id")
+        more.append(stage(_linked(rows, threshold, percent), "linked"))
     if dense is not None:
-        label = named.select(F.col("node").alias("id"), F.col("component").alias("label"))
         members = stage(_groups(dense), "groups").join(label.hint("merge"), "id", "left")
         members = stage(members.withColumn("label", F.coalesce("label", "id")), "members")
         blocks = stage(_blocks(members, block), "blocks")
@@ -498,9 +539,10 @@ def near_duplicates(
         blocks = blocks.join(sides.hint("merge"), "id")
         blocks = blocks.select("grp", "u", "v", "side", "id", "label", "n", "sketch", "shingles")
         blocks = blocks.repartition("grp", "u", "v").sortWithinPartitions("grp", "u", "v", "side", "id")
-        more = stage(_linked(blocks, threshold, percent), "linked")
-        if not more.isEmpty():
-            named = components(links.select("a", "b").unionByName(more))
+        more.append(stage(_linked(blocks, threshold, percent), "linked"))
+    if more:
+        known = named.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        named = components(_union([known, *more]))
 
     named = classes.join(named, classes.rep == named.node, "left").select(
         "digest", F.coalesce("component", "rep").alias("component")
