@@ -22,6 +22,7 @@ from glosswork.operators import (  # noqa: E402
     graph_search,
     ingest,
     quality,
+    reduction,
     retrieval,
     stats,
     summarize,
@@ -657,6 +658,40 @@ def single_linkage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return density.single_linkage(edges, cut)
 
 
+def fuzzy_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of all linked pairs, by the rate of each row."""
+    return reduction.fuzzy_graph(_neighbours(spark, sf_dir)).withColumn("weight", F.round("weight", 5))
+
+
+def _layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    make = lambda _: reduction.graph_layout(_neighbours(spark, sf_dir))
+    return _once(spark, "layout", sf_dir, make)
+
+
+def graph_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five coordinates of every vector from its neighbours."""
+    return _layout(spark, sf_dir)
+
+
+def layout_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far near rows are near vectors, in the graph layout and in principal components.
+
+    Every vector with an id divisible by 100 is asked, against all vectors.
+    """
+    vectors = _vectors(spark, sf_dir).select("abstract_id", "embedding")
+    of = vectors.filter(F.col("abstract_id") % 100 == 0)
+    graph = reduction.trustworthiness(vectors, _layout(spark, sf_dir), of)
+    components = stage(topics.reduce_dimensions(vectors, 5), "components")
+    flat = reduction.trustworthiness(vectors, components, of)
+    return graph.select(F.round("trust", 4).alias("layout"), F.round(flat.select("trust").scalar(), 4).alias("components"))
+
+
+def layout_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Density topics of the coordinates."""
+    near = stage(reduction.layout_neighbours(_layout(spark, sf_dir), density.NEIGHBOURS), "near")
+    return density.density_topics(density.density_clusters(near).points)
+
+
 def density_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topics of all vectors, as many as density finds, with the strength of membership."""
     return density.density_topics(density.density_clusters(_neighbours(spark, sf_dir)).points)
@@ -802,7 +837,8 @@ _REGISTERED = [
     prompts, vector_topk, vector_batch_topk, vector_topk_cells, vector_cells_recall, vector_join_summary,
     graph_topk, graph_search_quality,
     vector_text_search, hash_embedding, normalize, vector_text_form, inner_product,
-    centroid_assign, kmeans_topics, pca_reduce, neighbour_table, mutual_reachability, single_linkage, density_topics, topic_model_store, topic_merge, topic_similarity, topic_merge_terms,
+    centroid_assign, kmeans_topics, pca_reduce, neighbour_table, mutual_reachability, single_linkage, density_topics,
+    fuzzy_graph, graph_layout, layout_trust, layout_topics, topic_model_store, topic_merge, topic_similarity, topic_merge_terms,
     topic_merge_auto, ngrams, doc_frequency_cut,
     topic_terms, ctfidf_labels, topic_overview, vector_insert_if_absent, topic_update, topic_update_changes,
 ]

@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from glosswork.fixed_values import ROUGE_GATE, SMALLEST_TOPIC
-from glosswork.operators import density, vector_search
+from glosswork.operators import density, reduction, vector_search
 from glosswork.operators.embed import hash_embedding, term_counts, term_idf
 from glosswork.operators.fulltext import build_index, index_exists, merge_index, read_index, write_index
 from glosswork.operators.ingest import (
@@ -160,6 +160,8 @@ def model_topics(
 
     Without ``k``, density decides how many topics there are and what is noise,
     and the topic score is the strength of membership; ``k`` asks for k-means.
+    ``reduce_to`` coordinates take the place of the vectors before: those of the
+    neighbour graph for density, principal components for k-means.
     With ``merge_terms``, topics whose words form a cluster become one.
     Stored per version: the model, the topic of every centroid after merging
     and the noise rule, the terms and the labels. Returns the labels. Centroids
@@ -169,9 +171,13 @@ def model_topics(
     vectors = read_table(spark, root, "vectors")
     version = (latest_version(spark, root) or 0) + 1
     if k is None:
-        if reduce_to or merge_at is not None:
-            raise ValueError("reduce_to and merge_at belong to k-means")
+        if merge_at is not None:
+            raise ValueError("merge_at belongs to k-means")
         near = density.neighbour_table(vectors, neighbours)
+        if reduce_to:
+            layout = reduction.graph_layout(stage(near, "near"), reduce_to)
+            layout.write.mode("overwrite").parquet(f"{_model_path(root, version)}/layout")
+            near = reduction.layout_neighbours(spark.read.parquet(f"{_model_path(root, version)}/layout"), neighbours)
         fitted = density.density_clusters(near, min_size, min_samples)
         fitted.points.write.mode("overwrite").parquet(f"{_model_path(root, version)}/points")
         fitted.branches.write.mode("overwrite").parquet(f"{_model_path(root, version)}/branches")
@@ -273,7 +279,12 @@ def _placed(spark: SparkSession, root: str, path: str, fresh: DataFrame) -> Data
     model = density.DensityModel(points, branches, settings["min_samples"])
     seen = read_table(spark, root, "vectors").join(points.select("abstract_id"), "abstract_id", "left_semi")
     fresh = stage(fresh, "fresh")
-    near = stage(density.neighbour_table(seen, settings["neighbours"], of=fresh), "near")
+    near = density.neighbour_table(seen, settings["neighbours"], of=fresh)
+    if table_exists(spark, f"{path}/layout"):
+        layout = spark.read.parquet(f"{path}/layout")
+        at = stage(reduction.place_in_layout(near, layout), "at")
+        near = reduction.layout_neighbours(layout, settings["neighbours"], of=at)
+    near = stage(near, "near")
     return _with_noise(fresh, density.density_topics(density.place(model, near)))
 
 

@@ -750,6 +750,31 @@ reach AS (
   SELECT a, b FROM ends UNION SELECT r.a, x.b FROM reach r JOIN ends x ON x.a = r.b)""",
         "SELECT a AS abstract_id, min(b) AS component FROM reach GROUP BY a",
     )
+    sql["fuzzy_graph"] = chain(
+        VECS, *NEAR,
+        """lists AS MATERIALIZED (
+  SELECT abstract_id, ns, ds, greatest(list_sum(ds) / len(ds), 1e-9) AS mean, log2(len(ds)) AS target,
+    coalesce(list_min(list_filter(ds, lambda d: d > 0)), 0.0) AS first
+  FROM (SELECT abstract_id, list(neighbour ORDER BY distance, neighbour) AS ns,
+    list(distance ORDER BY distance, neighbour) AS ds FROM near GROUP BY 1)),
+excess AS MATERIALIZED (
+  SELECT abstract_id, ns, mean, target, list_transform(ds, lambda d: greatest(d - first, 0.0)) AS xs FROM lists),
+bounds AS (
+  SELECT abstract_id, 0.0::DOUBLE AS lo, (mean * 1024)::DOUBLE AS hi, 0 AS step FROM excess
+  UNION ALL
+  SELECT abstract_id, CASE WHEN total > target THEN lo ELSE (lo + hi) / 2 END,
+    CASE WHEN total > target THEN (lo + hi) / 2 ELSE hi END, step + 1
+  FROM (SELECT b.abstract_id, lo, hi, step, target,
+      list_sum(list_transform(xs, lambda x: exp(-x / ((lo + hi) / 2)))) AS total
+    FROM bounds b JOIN excess e ON e.abstract_id = b.abstract_id WHERE step < 40)),
+one_way AS MATERIALIZED (
+  SELECT abstract_id, unnest(ns) AS neighbour, unnest(list_transform(xs, lambda x: exp(-x / rate))) AS weight
+  FROM (SELECT e.abstract_id, ns, xs, greatest(hi, mean * 1e-3) AS rate
+    FROM bounds b JOIN excess e ON e.abstract_id = b.abstract_id WHERE step = 40))""",
+        """SELECT least(abstract_id, neighbour) AS a, greatest(abstract_id, neighbour) AS b,
+  round(sum(weight) - CASE WHEN count(*) = 2 THEN min(weight) * max(weight) ELSE 0 END, 5) AS weight
+FROM one_way GROUP BY 1, 2""",
+    )
     sql["topic_model_store"] = chain(
         *STORE, "SELECT abstract_id, TRUE AS labelled, 1 AS labels FROM summaries"
     )

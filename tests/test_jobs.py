@@ -81,8 +81,17 @@ def test_density_finds_the_number_of_topics(spark, corpus, tmp_path):
         assert all(0 < r["topic_score"] <= 1 for r in rows if r["topic_id"] >= 0)
     assert read[TOPIC_A.format("lm")]["topic_id"] != read[TOPIC_B.format("lm")]["topic_id"]
     assert jobs.assign_new(spark, root, 1, embed).count() == 0
+    # The same over two coordinates of the neighbour graph; a text that comes later is placed among its neighbours.
+    jobs.model_topics(spark, root, embed=embed, min_size=5, neighbours=8, min_samples=3, reduce_to=2)
+    late = spark.createDataFrame([(TOPIC_A.format("zz"),)], "abstract string")
+    jobs.enrich(spark, root, late, embed=embed)
+    read = jobs.read_summaries(spark, root).collect()
+    assert len(read) == 26 and all(r["topic_label"] is not None for r in read)
+    families = {t: {r["topic_id"] for r in read if t in r["summary"]} - {-1} for t in ("milk", "tumor")}
+    assert families["milk"] and families["tumor"] and not families["milk"] & families["tumor"]
+    assert spark.read.parquet(f"{root}/models/version=2/layout").count() == 24
     with pytest.raises(ValueError, match="k-means"):
-        jobs.model_topics(spark, root, reduce_to=3)
+        jobs.model_topics(spark, root, merge_at=0.5)
 
 
 def test_all_small_topics_are_outliers(spark, corpus, tmp_path):
