@@ -65,6 +65,7 @@ STILL = 3
 BLOCK = 1024  # sets of a group on each side of a comparison
 ORDER = 8
 SURE = 3.5
+LIKELY = 1.5
 _U = np.uint64
 _random = np.random.default_rng(20240301)
 _XOR = _random.integers(0, 1 << 32, SKETCH, dtype=np.uint32)
@@ -271,10 +272,10 @@ class _Forest:
         return a != b
 
 
-def _least(threshold: float) -> float:
+def _least(threshold: float, margin: float = SURE) -> float:
     """Agreeing tokens of the sketches of a pair that may reach the threshold."""
     agree = threshold + (1 - threshold) / 16
-    return SKETCH * (agree - SURE * (agree * (1 - agree) / SKETCH) ** 0.5)
+    return SKETCH * (agree - margin * (agree * (1 - agree) / SKETCH) ** 0.5)
 
 
 def _similar(path, code, sizes, sketch, label, new, threshold: float, leaf: int) -> tuple[np.ndarray, ...]:
@@ -349,15 +350,20 @@ def _members(batches: Iterator[pa.RecordBatch], leaf: int) -> Iterator[tuple]:
 
 
 def candidates(members: DataFrame, threshold: float, leaf: int = LEAF) -> DataFrame:
-    """A forest of pairs ``a, b`` of the rows of equal paths, read in the order given."""
+    """A forest of pairs ``a, b`` of the rows of equal paths, read in the order given.
+
+    Pairs that most likely reach the threshold come first, in the order of
+    their ids, so that all trees link the sets of a group to the same few.
+    """
     id_type = members.schema["id"].dataType.simpleString()
+    likely = int(np.ceil(_least(threshold, -LIKELY)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, path, sketch, new in _members(batches, leaf):
             ids, code = np.unique(rows["id"].to_numpy(), return_inverse=True)
             left, right, same = _similar(path, code, rows["n"].to_numpy(), sketch, None, new, threshold, leaf)
             a, b = np.minimum(code[left], code[right]), np.maximum(code[left], code[right])
-            order = np.lexsort((b, a, -same))
+            order = np.lexsort((b, a, -np.minimum(same, likely)))
             a, b = a[order], b[order]
             taken = _spanning(a, b, len(ids))
             kind = rows.schema.field("id").type
