@@ -13,7 +13,7 @@ eight levels, far less in smaller nodes.
 
 Only (path, id) pairs take part in branching, counts per node merge per task,
 and nodes of one set leave at once. A node is branched for up to ``LEVELS``
-levels, but no further when it kept the share sqrt(threshold) of its parent
+levels, but no further when it kept the share ``threshold`` of its parent
 ``STILL`` levels in a row: its sets share that many tokens, a hot group of near
 copies. Every node is judged by itself, and ending early loses no pair, as the
 node is then compared whole. Such a node
@@ -61,7 +61,7 @@ SKETCH = 256  # tokens of the sketch, four bits each
 TREES = 16
 LEVELS = 12
 LEAF = 64
-STILL = 3
+STILL = 1
 BLOCK = 1024  # sets of a group on each side of a comparison
 ORDER = 8
 SURE = 3.5
@@ -224,7 +224,7 @@ def nodes(
     rows = _branch(tokens, threshold, trees, sets.count())
     leaves: list[DataFrame] = []
     dense: list[DataFrame] = []
-    kept = F.col("members") >= threshold**0.5 * F.col("was")
+    kept = F.col("members") >= threshold * F.col("was")
     for level in range(1, levels + 1):
         rows = stage(rows, "paths")
         sized = rows.groupBy("path").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
