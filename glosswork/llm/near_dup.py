@@ -61,7 +61,7 @@ SKETCH = 256  # tokens of the sketch, four bits each
 TREES = 16
 LEVELS = 12
 LEAF = 64
-STILL = 1
+STILL = 3
 BLOCK = 1024  # sets of a group on each side of a comparison
 ORDER = 8
 SURE = 3.5
