@@ -71,6 +71,30 @@ def is_blank(query: Column) -> Column:
     return F.coalesce(F.trim(F.regexp_replace(query, WIDE_SPACE + r"|\s", " ")), F.lit("")) == ""
 
 
+def counted(words: Column) -> Column:
+    """The distinct words of an array with their counts, ``term, n``, by sorting.
+
+    Counts inside a row need no rows per word and no memory beyond the row.
+    """
+
+    def runs(s: Column) -> Column:
+        places = F.sequence(F.lit(1), F.size(s))
+        starts = F.filter(places, lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, i - 2)))
+        return let(starts, lambda at: F.zip_with(
+            at,
+            F.concat(F.slice(at, 2, F.size(at)), F.array(F.size(s) + 1)),
+            lambda a, b: F.struct(F.get(s, a - 1).alias("term"), (b - a).alias("n")),
+        ))
+
+    none = F.array().cast("array<struct<term: string, n: int>>")
+    return F.when(F.size(words) > 0, let(F.sort_array(words), runs)).otherwise(none)
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def uni_and_bigrams(words: Column) -> Column:
     pairs = F.zip_with(
         F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),

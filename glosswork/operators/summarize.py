@@ -2,37 +2,49 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from glosswork.fixed_values import SUMMARY_MAX_WORDS
-from glosswork.functions.text import is_stop_word, segments, tokens
+from glosswork.fixed_values import STOP_WORDS, SUMMARY_MAX_WORDS
+from glosswork.functions.text import TOKEN, let, segments, tokens
 
+_TOKEN = re.compile(TOKEN)
 
-def score_segments(docs: DataFrame) -> DataFrame:
+
+def _weights(parts: Sequence[str]) -> list[dict[str, int]]:
+    """Of each lower-case segment of a text: its words, and their summed counts in the text."""
+    words = [_TOKEN.findall(part) for part in parts]
+    counts = Counter(chain.from_iterable(words))
+    for stop in STOP_WORDS:
+        counts.pop(stop, None)
+    return [{"weight": sum(counts[w] for w in ws), "words": len(ws)} for ws in words]
+
+
+def score_segments(parts: Column) -> Column:
     """Per segment: mean in-document frequency of its words, stop words as 0.
 
-    The weights (Luhn 1958) need no corpus statistics, so every step groups by
-    ``abstract_id`` plus more keys and runs where the document already is.
+    The weights (Luhn 1958) need no corpus statistics: a text is weighed by
+    itself where it is read, and no word of it becomes a row. Marked
+    nondeterministic so that the weights are not taken again for each use.
     """
-    words = docs.select(
-        "abstract_id", F.posexplode(segments(F.col("abstract"))).alias("pos", "segment")
-    ).select("abstract_id", "pos", F.explode(tokens(F.col("segment"))).alias("word"))
-    term = F.when(is_stop_word(F.col("word")), F.lit("")).otherwise(F.col("word"))
-    counts = (
-        words.withColumn("term", term)
-        .groupBy("abstract_id", "pos", "term")
-        .agg(F.count("*").alias("n"))
-        .withColumn("tf", F.sum("n").over(Window.partitionBy("abstract_id", "term")))
-    )
-    weight = F.sum(F.when(F.col("term") != "", F.col("n") * F.col("tf")).otherwise(F.lit(0)))
-    return (
-        counts.groupBy("abstract_id", "pos")
-        .agg(weight.alias("weight"), F.sum("n").cast("int").alias("words"))
-        .withColumn("score", F.col("weight").cast("double") / F.col("words"))
+
+    @F.pandas_udf("array<struct<weight: bigint, words: int>>")
+    def weights(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([_weights(p) if p is not None else None for p in batch], dtype="object")
+
+    weighed = F.transform(
+        weights.asNondeterministic()(F.transform(parts, F.lower)),
+        lambda s, i: F.struct(
+            (-(s["weight"].cast("double") / s["words"])).alias("order"), i.alias("pos"), s["words"].alias("words")
+        ),
     )
+    return F.filter(weighed, lambda s: s["words"] > 0)
 
 
 def _fill(ranked: Column, budget: int) -> Column:
@@ -57,23 +69,12 @@ def extractive_summary(docs: DataFrame, max_words: int = SUMMARY_MAX_WORDS) -> D
     A segment has at most 40 words, so the summary has at least 60 words
     wherever the text has. ``docs`` needs unique ids.
     """
-    ranked = F.sort_array(
-        F.collect_list(F.struct((-F.col("score")).alias("order"), "pos", "words"))
-    )
-    picks = (
-        score_segments(docs.select("abstract_id", "abstract"))
-        .groupBy("abstract_id")
-        .agg(ranked.alias("ranked"))
-        .select("abstract_id", _fill(F.col("ranked"), max_words).alias("picks"))
-    )
-    chosen = F.filter(
-        segments(F.col("abstract")), lambda s, i: F.array_contains(F.col("picks"), i)
-    )
-    return (
-        docs.join(picks, "abstract_id", "left")
-        .withColumn("summary", F.coalesce(F.array_join(chosen, " "), F.lit("")))
-        .drop("picks")
+    chosen = let(
+        _fill(F.sort_array("_scores"), max_words),
+        lambda picks: F.filter(segments(F.col("abstract")), lambda s, i: F.array_contains(picks, i)),
     )
+    scored = docs.withColumn("_scores", score_segments(segments(F.col("abstract"))))
+    return scored.withColumn("summary", F.coalesce(F.array_join(chosen, " "), F.lit(""))).drop("_scores")
 
 
 def lead_summary(docs: DataFrame, max_words: int = SUMMARY_MAX_WORDS) -> DataFrame:

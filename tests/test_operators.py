@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from glosswork.functions.rouge import rouge_l_f
+from glosswork.functions.text import segments
 from glosswork.operators import embed, ingest, quality, stats, summarize, topics, upsert
 from glosswork.operators import vector_search as vs
 
@@ -46,6 +47,23 @@ def test_accounting(spark):
 # --- summaries and gate ---
 
 
+def test_no_word_of_a_text_becomes_a_row(spark, plan):
+    docs = docs_of(spark, ["One two. Two three."])
+    text = plan(summarize.extractive_summary(docs))
+    assert "Generate" not in text and "Join" not in text and "Window" not in text
+
+
+def test_segments_weigh_by_the_counts_of_their_words(spark):
+    texts = ["The apple. Apple APPLE pear the. \u212aiwi kiwi! 12 a.", "", "...", "the of and."]
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    found = rows.select("t", summarize.score_segments(segments(F.col("t"))).alias("s")).collect()
+    by_text = {r["t"]: r["s"] and [(-s["order"], s["pos"], s["words"]) for s in r["s"]] for r in found}
+    assert by_text[texts[0]] == [(1.5, 0, 2), (1.75, 1, 4), (2.0, 2, 2), (0.5, 3, 2)]
+    assert by_text[""] == by_text["..."] == []
+    assert by_text["the of and."] == [(0.0, 0, 3)]
+    assert by_text[None] is None
+
+
 def test_summary_length_and_order(spark):
     sentences = [f"alpha beta{i} gamma{i} delta." for i in range(60)]
     texts = [" ".join(sentences), "Short one. Two.", "", "the of and", "x " * 500]
