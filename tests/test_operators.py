@@ -1,9 +1,11 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from glosswork.functions.rouge import rouge_l_f
-from glosswork.functions.text import segments
+from glosswork.functions.text import counted, segments
 from glosswork.operators import embed, ingest, quality, stats, summarize, topics, upsert
 from glosswork.operators import vector_search as vs
 
@@ -64,6 +66,23 @@ def test_segments_weigh_by_the_counts_of_their_words(spark):
     assert by_text[None] is None
 
 
+def test_counted_words_of_a_row(spark):
+    rows = spark.createDataFrame([(1, ["b", "a", "b"]), (2, []), (3, ["x"]), (4, None)], "id int, w array<string>")
+    found = {r["id"]: [tuple(x) for x in r["c"]] for r in rows.select("id", counted(F.col("w")).alias("c")).collect()}
+    assert found == {1: [("a", 1), ("b", 2)], 2: [], 3: [("x", 1)], 4: []}
+
+
+def test_terms_are_counted_inside_documents(spark, plan):
+    rows = [("a", 1, "red fox red"), ("a", 1, "red hen"), ("b", 1, "red fox"), (None, 2, "hen"), (None, 2, "hen"), ("c", 2, None)]
+    docs = spark.createDataFrame(rows, "abstract_id string, topic_id int, summary string")
+    found = topics.term_counts(docs)
+    assert {(r["topic_id"], r["term"]): (r["tf"], r["n_docs"]) for r in found.collect()} == {
+        (1, "red"): (4, 2), (1, "fox"): (2, 2), (1, "hen"): (1, 1), (1, "red fox"): (2, 2), (1, "fox red"): (1, 1),
+        (1, "red hen"): (1, 1), (2, "hen"): (2, 1),
+    }
+    assert not re.search(r"HashAggregate\(keys=\[abstract_id#\d+, topic_id#\d+, term", plan(found))
+
+
 def test_summary_length_and_order(spark):
     sentences = [f"alpha beta{i} gamma{i} delta." for i in range(60)]
     texts = [" ".join(sentences), "Short one. Two.", "", "the of and", "x " * 500]
