@@ -342,3 +342,10 @@ def test_keywords_meet_words_on_their_rarest_run(spark, plan, tmp_path):
     assert len(got) == len(set(got)) and set(got) == want
     assert set(map(tuple, fulltext.keyword_terms(fulltext.build_index(docs), keywords).collect())) == want
     assert "word_top" not in plan(found)
+
+
+def test_words_meet_keywords_in_a_fixed_number_of_tasks(spark, plan):
+    docs = spark.createDataFrame([("a", "nation station", 0.5)], "abstract_id string, summary string, rouge_score double")
+    queries = spark.createDataFrame([(1, "tion")], "query_id int, query string")
+    text = plan(fulltext.keyword_candidates(fulltext.build_index(docs, False), queries))
+    assert "REPARTITION_BY_NUM" in text
