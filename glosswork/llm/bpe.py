@@ -8,11 +8,12 @@ by two CRC-32 slots (a key sits in one of them), so a look-up does not depend
 on the size of the vocabulary. Bytes are carried as the 256 first code points.
 
 The fold costs about 100 microseconds a word, so it serves the distinct words
-of ``fold_words`` and the table of frequent words (at most ``FREQUENT``, from
-about ``SAMPLE`` documents chosen by hash), which is broadcast. Other words are
-merged by the same rule in the tasks that meet them and remembered there; the
-result does not depend on which words are in the table. Texts are never
-shuffled, nor are tokens.
+of ``fold_words`` and the table of frequent words (at most ``FREQUENT``, counted
+over all documents), which is broadcast. Other words are merged by the same
+rule in the tasks that meet them and remembered there; the result does not
+depend on which words are in the table. Texts are split once: runs of documents
+are staged as word numbers with the words of the run and their counts. Neither
+texts nor tokens are shuffled, only the words of the runs.
 
 Decoding is a Spark expression that concatenates the binary pieces of the ids.
 
@@ -28,14 +29,17 @@ import base64
 import heapq
 import zlib
 from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from glosswork.session import stage
+
 FREQUENT = 1 << 15
-SAMPLE = 4000
+RUN = 256  # documents that share a list of words
 LONGEST = 32  # bytes of a word in the table of frequent words
 REMEMBERED = 1 << 17  # words a task remembers
 SLOT_BITS = 17
@@ -224,19 +228,48 @@ class _Memory(dict):
         return ids
 
 
-def frequent_words(
-    docs: DataFrame, id_col: str, text_col: str, pattern: str, table: RankMap
-) -> dict[str, bytes]:
-    """Packed ids of the most frequent words of a bounded sample of documents.
+def split_words(docs: DataFrame, pattern: str, id_col: str, text_col: str) -> DataFrame:
+    """Runs of documents as numbers of words: ``ids, sizes, places, words, counts``.
 
-    A hash of id and text picks about SAMPLE documents where they are read.
+    A run has the ids of its documents, how many words each has, the number of
+    every word among the distinct ``words`` of the run, and their counts.
     """
-    rows = docs.select(F.col(text_col).cast("string").alias("t"), F.xxhash64(id_col, text_col).alias("h"))
-    share = F.lit(max(1, SAMPLE * (1 << 40) // max(1, docs.count())))
-    sample = rows.filter(F.pmod("h", F.lit(1 << 40)) < share).select("t").limit(2 * SAMPLE)
-    word = F.explode(F.regexp_extract_all("t", F.lit(f"(?U){pattern}"), F.lit(0)))
-    counts = sample.select(word.alias("word")).filter(F.octet_length("word").between(1, LONGEST)).groupBy("word").count()
-    best = counts.orderBy(F.desc("count"), "word").limit(FREQUENT).select("word")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        find = regex.compile(pattern).findall
+        for batch in batches:
+            for row in range(0, batch.num_rows, RUN):
+                part = batch.slice(row, RUN)
+                number: defaultdict[str, int] = defaultdict()
+                number.default_factory = number.__len__
+                found = [
+                    np.array([number[word] for word in find(text.as_py() or "")], np.int32) for text in part.column(1)
+                ]
+                places = np.concatenate(found)
+                counts = np.bincount(places, minlength=len(number))
+                columns = [
+                    pa.array([part.column(0)], pa.list_(part.column(0).type)),
+                    pa.array([[len(x) for x in found]], pa.list_(pa.int32())),
+                    pa.array([places], pa.list_(pa.int32())),
+                    pa.array([list(number)], pa.list_(pa.string())),
+                    pa.array([counts], pa.list_(pa.int64())),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["ids", "sizes", "places", "words", "counts"])
+
+    id_type = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(
+        run, f"ids array<{id_type}>, sizes array<int>, places array<int>, words array<string>, counts array<bigint>"
+    )
+
+
+def frequent_words(runs: DataFrame, table: RankMap) -> dict[str, bytes]:
+    """Packed ids of the most frequent words of all documents."""
+    words = runs.select(F.inline(F.arrays_zip("words", "counts"))).filter(F.octet_length("words").between(1, LONGEST))
+    counts = words.groupBy(F.col("words").alias("word")).agg(F.sum("counts").alias("n"))
+    best = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).select("word")
     return {r["word"]: _packed(r["ids"]) for r in fold_words(best, table).collect()}
 
 
@@ -245,27 +278,28 @@ def encode(
 ) -> DataFrame:
     """Per document: id and ``ids``, the tokens of its whole text."""
     context = docs.sparkSession.sparkContext
-    frequent = frequent_words(docs, id_col, text_col, pattern, RankMap(ranks))
-    shared = context.broadcast((frequent, ranks))  # at most FREQUENT words and the vocabulary
+    runs = stage(split_words(docs, pattern, id_col, text_col), "words")
+    shared = context.broadcast((frequent_words(runs, RankMap(ranks)), ranks))  # at most FREQUENT words and the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        find, memory = regex.compile(pattern).findall, _Memory(*shared.value)
+        memory = _Memory(*shared.value)
         for batch in batches:
-            for row in range(0, batch.num_rows, 256):
-                part = batch.slice(row, 256)
-                ids = [
-                    b"".join([memory[word] for word in find(text.as_py() or "")]) for text in part.column(1)
-                ]
-                offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
-                flat = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(ids))])
-                lists = pa.ListArray.from_arrays(pa.array(offsets), flat)
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["id", "ids"])
+            for row in range(batch.num_rows):
+                owners, sizes, places, words = (batch.column(c)[row] for c in range(4))
+                found = [memory[word] for word in words.as_py()]
+                length = np.array([len(x) // 4 for x in found], np.int64)
+                start, known = np.cumsum(length) - length, np.frombuffer(b"".join(found), np.int32)
+                place = places.values.to_numpy()
+                each = length[place]
+                ends = np.cumsum(each)
+                flat = known[np.repeat(start[place] - (ends - each), each) + np.arange(each.sum())]
+                offsets = np.append(0, ends)[np.append(0, np.cumsum(sizes.values.to_numpy()))].astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+                yield pa.RecordBatch.from_arrays([owners.values, lists], names=["id", "ids"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {id_type}, ids array<int>").withColumnRenamed("id", id_col)
+    wanted = runs.select("ids", "sizes", "places", "words")
+    return wanted.mapInArrow(run, f"id {id_type}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
