@@ -129,3 +129,32 @@ def test_pack():
     arrays = [np.arange(5, dtype=np.uint64), np.zeros(0, np.uint16), np.array([True, False])]
     for a, b in zip(arrays, py.unpack(py.pack(*arrays), np.uint64, np.uint16, np.bool_), strict=True):
         assert a.dtype == b.dtype and a.tolist() == b.tolist()
+
+
+def test_tokens_before_have_restaurants_of_their_own(docs):
+    """Two words whose digests share the first ten bits are told apart."""
+    from glosswork.llm import words
+
+    first = lambda x: int(words.mix(np.array([words.digest_of(x)], np.uint64))[0]) >> 54
+    names = {}
+    for i in range(200):
+        if (a := names.setdefault(first(f"a{i}"), f"a{i}")) != f"a{i}":
+            b = f"a{i}"
+            break
+    rows = [(i, f"{a} x" if i % 2 else f"{b} y") for i in range(200)]
+    rows += [(1000, f"{a} x"), (1001, f"{a} y"), (1002, f"{b} x"), (1003, f"{b} y")]
+    got = {r.doc_id: r.score for r in py.score(docs(rows), F.col("doc_id") >= 1000).collect()}
+    assert got[1000] > got[1001] + 1 and got[1003] > got[1002] + 1
+
+
+def test_frequent_words_are_scored_alike_on_every_way(docs, monkeypatch):
+    """Words counted apart, by the token before, or with all their tokens have about the same probabilities."""
+    rows = corpus(random.Random(5), 400)
+    by_way = []
+    for hot in (512, 40, 2):
+        monkeypatch.setattr(py, "HOT", hot)
+        got = py.score(docs(rows), remainder() == 2).collect()
+        by_way.append((len(py.hot_words(docs(rows).selectExpr("doc_id AS id", "text", "false AS held"))), sum(r.score for r in got)))
+        assert {r.doc_id: (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got} == base(rows)
+    assert by_way[0][0] > by_way[1][0] > by_way[2][0] == 2
+    assert all(score == pytest.approx(by_way[0][1], rel=0.01) for _, score in by_way)
