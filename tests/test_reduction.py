@@ -122,3 +122,15 @@ def test_unseen_rows_go_between_their_neighbours(spark):
 def test_empty_table(spark):
     near = spark.createDataFrame([], "abstract_id long, neighbour long, distance double")
     assert red.graph_layout(near, 2, rounds=2, cycles=1).collect() == []
+
+
+def test_rows_and_links_never_go_through_the_driver(near, plan, monkeypatch):
+    """However small they are, the tables of a layout and of its clusters are not broadcast."""
+    plans = []
+    for module in (red, density):
+        real = module.stage
+        monkeypatch.setattr(module, "stage", lambda df, name, real=real: (plans.append(plan(df)), real(df, name))[1])
+    red.graph_layout(near, rounds=1, cycles=1)
+    density.density_clusters(near, min_size=5)
+    joins = [p for p in plans if "Join" in p]
+    assert len(joins) > 10 and sum("BroadcastHashJoin" in p for p in joins) <= 1  # one row per topic
