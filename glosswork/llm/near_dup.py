@@ -11,12 +11,14 @@ confirmed on the full sets. Independent trees repeat this: with 16 trees a pair
 at the threshold is missed about once in 1,000 times when its nodes branch
 eight levels, far less in smaller nodes.
 
-Only (path, id) pairs take part in branching, counts per node merge per task,
-and nodes of one set leave at once. A node is branched for up to ``LEVELS``
-levels, but no further when it kept the share ``threshold`` of its parent
-``STILL`` levels in a row: its sets share that many tokens, a hot group of near
-copies. Every node is judged by itself, and ending early loses no pair, as the
-node is then compared whole. Such a node
+Only (path, id, signs) rows take part in branching, counts per node merge per
+task, and nodes of one set leave at once. Large nodes are measured before they
+are branched: the signs are ``SIGNS`` bits of the tokens, and the squares of
+their sums give the mean similarity of two sets of the node. Copies that each
+share the part ``threshold`` of one text have that squared; near it (``ALIKE``)
+the node is a hot group of near copies, which more branching would only repeat
+in every child: it ends, by itself and at any level. Ending early loses no
+pair, as the node is then compared whole. Such a node
 is ordered by further tokens, dealt over tasks by range, and every set is
 compared with the ``LEAF`` that follow it, in another order in every tree. That
 only joins most of a group cheaply: afterwards large nodes that share sets form
@@ -61,7 +63,8 @@ SKETCH = 256  # tokens of the sketch, four bits each
 TREES = 16
 LEVELS = 12
 LEAF = 64
-STILL = 3
+SIGNS = 64
+ALIKE = 0.85  # of the threshold squared; strangers in a node and the estimate take the rest
 BLOCK = 1024  # sets of a group on each side of a comparison
 ORDER = 8
 SURE = 3.5
@@ -181,11 +184,14 @@ def _children(path: np.ndarray, tokens: np.ndarray, threshold: float) -> tuple[n
     return w.mix(path[rows] * _PLACE[1] + token * _PLACE[2] + at.astype(np.uint64) * _PLACE[3]), rows
 
 
-def _branch(rows: DataFrame, threshold: float, trees: int | None, total: int = 0) -> DataFrame:
-    """Children of nodes ``path, id, tree, was, still, tokens``, or of the root of every tree.
+def _signs(tokens: np.ndarray) -> np.ndarray:
+    """One bit of each of the first SIGNS tokens, as a number per set."""
+    bits = ((tokens[:, :SIGNS] * np.uint32(0x9E3779B1)) >> np.uint32(31)).astype(np.uint8)
+    return np.packbits(bits, axis=1).view(">i8")[:, 0].astype(np.int64)
 
-    ``was`` is the number of sets of the parent, ``still`` for how many levels it hardly shrank.
-    """
+
+def _branch(rows: DataFrame, threshold: float, trees: int | None) -> DataFrame:
+    """Children of nodes ``path, id, tree, tokens``, or of the root of every tree."""
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,25 +201,38 @@ def _branch(rows: DataFrame, threshold: float, trees: int | None, total: int = 0
             named = lambda name: batch.column(batch.schema.get_field_index(name))  # noqa: B023, E731
             ids, tokens = named("id"), _rows(named("tokens"), np.uint32, TOKENS)
             n = len(ids)
+            signs = _signs(tokens)
             if trees is None:
-                path = named("path").to_numpy().view(np.uint64)
-                each = [(path, *(named(name).to_numpy() for name in ("tree", "was", "still")))]
+                each = [(named("path").to_numpy().view(np.uint64), named("tree").to_numpy())]
             else:
                 roots = w.mix(np.arange(1, trees + 1, dtype=np.uint64) * _PLACE[4])
-                same = np.full(n, total), np.zeros(n, np.int64)
-                each = [(np.full(n, root), np.full(n, t), *same) for t, root in enumerate(roots)]
-            for path, tree, was, still in each:
+                each = [(np.full(n, root), np.full(n, t)) for t, root in enumerate(roots)]
+            for path, tree in each:
                 made, taken = _children(path, tokens, threshold)
                 columns = [
                     pa.array(made.view(np.int64)),
                     ids.take(pa.array(taken)),
                     pa.array(tree[taken].astype(np.int32)),
-                    pa.array(was[taken].astype(np.int64)),
-                    pa.array(still[taken].astype(np.int32)),
+                    pa.array(signs[taken]),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["path", "id", "tree", "was", "still"])
+                yield pa.RecordBatch.from_arrays(columns, names=["path", "id", "tree", "signs"])
+
+    return rows.mapInArrow(run, f"path bigint, id {id_type}, tree int, signs bigint")
 
-    return rows.mapInArrow(run, f"path bigint, id {id_type}, tree int, was bigint, still int")
+
+def _likeness(large: DataFrame) -> DataFrame:
+    """``path, like``: the mean similarity of two sets of a node, estimated from sums of signs.
+
+    The product of two signs is 1 where the tokens agree and 0 on average
+    elsewhere; over all pairs it is the square of the sum of the signs.
+    """
+    sums = [F.sum(F.getbit("signs", F.lit(i)).cast("long")).alias(f"s{i}") for i in range(SIGNS)]
+    n = F.col("n").cast("double")
+    square = F.aggregate(
+        F.array(*[F.col(f"s{i}") for i in range(SIGNS)]), F.lit(0.0), lambda sum_, x: sum_ + (2 * x - n) * (2 * x - n)
+    )
+    nodes_ = large.groupBy("path").agg(F.count(F.lit(1)).alias("n"), *sums)
+    return nodes_.select("path", ((square / SIGNS - n) / (n * (n - 1))).alias("like"))
 
 
 def nodes(
@@ -221,26 +240,31 @@ def nodes(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows ``path, id, tree`` of the leaves, and of large nodes that are branched no further."""
     tokens = sets.select("id", "tokens")
-    rows = _branch(tokens, threshold, trees, sets.count())
+    rows = _branch(tokens, threshold, trees)
     leaves: list[DataFrame] = []
     dense: list[DataFrame] = []
-    kept = F.col("members") >= threshold * F.col("was")
     for level in range(1, levels + 1):
         rows = stage(rows, "paths")
         sized = rows.groupBy("path").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-        sized = rows.join(sized.hint("merge"), "path").withColumn("still", F.when(kept, F.col("still") + 1).otherwise(0))
-        ended = (F.col("still") >= STILL) | F.lit(level == levels)
-        count = lambda which: F.count(F.when((F.col("members") > leaf) & which, 1))
-        sized, seen = measured(sized, "sized", ended=count(ended), going=count(~ended))
+        sized = rows.join(sized.hint("merge"), "path")
+        sized, seen = measured(sized, "sized", large=F.count_if(F.col("members") > leaf))
         drop_staged(rows)
         leaves.append(sized.filter(F.col("members") <= leaf).select("path", "id", "tree"))
+        if not seen["large"]:
+            break
         large = sized.filter(F.col("members") > leaf)
-        if seen["ended"]:
-            dense.append(large.filter(ended).select("path", "id", "tree"))
+        if level == levels:
+            dense.append(large.select("path", "id", "tree"))
+            break
+        hot = F.col("like") >= ALIKE * threshold * threshold
+        large = large.join(_likeness(large).hint("merge"), "path").select("path", "id", "tree", hot.alias("hot"))
+        large, seen = measured(large, "large", hot=F.count_if("hot"), going=F.count_if(~F.col("hot")))
+        if seen["hot"]:
+            dense.append(large.filter("hot").select("path", "id", "tree"))
         if not seen["going"]:
             break
-        large = large.filter(~ended).select("path", "id", "tree", F.col("members").alias("was"), "still")
-        rows = _branch(large.join(tokens.hint("merge"), "id"), threshold, None)
+        going = large.filter(~F.col("hot")).select("path", "id", "tree")
+        rows = _branch(going.join(tokens.hint("merge"), "id"), threshold, None)
     return _union(leaves), _union(dense) if dense else None
 
 

@@ -157,3 +157,21 @@ def test_components(spark):
     linked = {x for a, b in links if a is not None and a != b for x in (a, b)}
     assert got == {x: find(x) for x in linked}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_a_hot_group_is_branched_no_further_than_its_first_nodes(docs):
+    """Its copies come once per tree and position, not again for every level."""
+    rng = random.Random(17)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for i in range(300):
+        text = list(base)
+        for at in rng.sample(range(200), rng.choice((1, 2, 4))):
+            text[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    rows += [(1000 + i, " ".join(f"y{rng.randrange(10**6)}" for _ in range(60))) for i in range(700)]
+    sets = describe(docs(rows), "doc_id", "text", 3).select("id", "tokens")
+    leaves, dense = nodes(sets, 0.85, trees=16, leaf=32)
+    copies = dense.filter("id < 1000").count() + leaves.filter("id < 1000").count()
+    assert dense.filter("id >= 1000").count() == 0
+    assert 300 * 16 / 2 < copies < 300 * 16 * 1.25
