@@ -349,3 +349,18 @@ def test_words_meet_keywords_in_a_fixed_number_of_tasks(spark, plan):
     queries = spark.createDataFrame([(1, "tion")], "query_id int, query string")
     text = plan(fulltext.keyword_candidates(fulltext.build_index(docs, False), queries))
     assert "REPARTITION_BY_NUM" in text
+
+
+def test_rows_per_document_do_not_carry_the_terms_of_a_set(spark):
+    docs = spark.createDataFrame(
+        [("a", "red green blue cat", 0.5), ("b", "red green dog", 0.4)], "abstract_id string, summary string, rouge_score double"
+    )
+    index = fulltext.build_index(docs, stemmed=False)
+    asked = [(1, "red"), (1, "green"), (2, "green"), (2, "red"), (3, "cat"), (None, "blue"), (None, "red"), (4, "red"), (4, "cow")]
+    terms = spark.createDataFrame(asked, "query_id int, term string")
+    found = fulltext._asked_sets(index, terms)[1]
+    assert "array" not in fulltext.rarest_term_hits(index, found).schema["set"].dataType.simpleString()
+    got = fulltext.match_all_terms(index, terms).select("query_id", "abstract_id").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(1, "a"), (1, "b"), (2, "a"), (2, "b"), (3, "a"), (None, "a")], key=str
+    )
