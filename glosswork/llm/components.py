@@ -1,10 +1,14 @@
 """Connected components of a table of links.
 
-Alternating large-star and small-star steps: every step links nodes to the
-smallest neighbour they know, by a minimum per node (merged per task before the
-shuffle) and a join back, so no node gathers its neighbours in one place. Steps
-are written to the staging folder, which cuts the plan, and counted as they are
-written; rounds grow with the logarithm of a component's size.
+Links lead from a node to a smaller one. Every round finds the smallest
+neighbour each node leads to (a minimum per node, merged per task before the
+shuffle); by joins with it, a node's other neighbours are linked to the smallest
+instead, and every link is led on to the smallest neighbour of its end. Adaptive
+execution splits the joins' hot keys, so no node gathers its neighbours in one
+place. A round makes as many links as it read, is
+written to the staging folder, which cuts the plan, and counts its changes as it
+is written; chains halve, so rounds grow with the logarithm of a component's
+size.
 """
 
 from __future__ import annotations
@@ -21,23 +25,14 @@ def measured(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, d
     return staged, seen.get
 
 
-def _step(edges: DataFrame) -> tuple[DataFrame, dict]:
-    edges_hash = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-    return measured(edges, "links", n=F.count(F.lit(1)), h=edges_hash)
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    up = both.filter("v > u").join(least.hint("merge"), "u")
-    return up.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least.hint("merge"), "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+def _step(links: DataFrame, least: DataFrame) -> DataFrame:
+    """Links ``u, v`` from nodes to smaller ones, after a round; ``moved`` marks changes."""
+    other = F.col("v") > F.col("m")
+    star = links.select("u", "v").join(least.hint("merge"), "u")
+    star = star.select(F.when(other, F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"), other.alias("moved"))
+    ends = least.select(F.col("u").alias("v"), F.col("m").alias("further"))
+    led = star.join(ends.hint("merge"), "v", "left")
+    return led.select("u", F.coalesce("further", "v").alias("v"), (F.col("moved") | F.col("further").isNotNull()).alias("moved"))
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -45,14 +40,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Links with a null end and links of a node to itself are ignored.
     """
-    edges = links.filter(F.col(a) != F.col(b)).select(F.col(a).alias("u"), F.col(b).alias("v"))
-    edges, state = _step(_small_star(edges))
+    ends = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
+    edges = links.filter(F.col(a) != F.col(b)).select(*ends).distinct()
+    edges = stage(edges, "links")
     while True:
         before = edges
-        edges, after = _step(_small_star(_large_star(before)))
-        drop_staged(before)
-        if after == state:
+        # A table of its own: joins of plain tables have their hot keys split.
+        least = stage(before.groupBy("u").agg(F.min("v").alias("m")), "least")
+        edges, seen = measured(_step(before, least), "links", moved=F.count_if("moved"))
+        drop_staged(before, least)
+        if not seen["moved"]:
             break
-        state = after
-    named = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    named = edges.select(F.col("u").alias("node"), F.col("v").alias("component")).distinct()
     return named.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

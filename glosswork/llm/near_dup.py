@@ -12,7 +12,9 @@ at the threshold is missed about once in 1,000 times when its nodes branch
 eight levels, far less in smaller nodes.
 
 Only (path, id, signs) rows take part in branching, counts per node merge per
-task, and nodes of one set leave at once. Large nodes are measured before they
+task, and nodes of one set leave at once. Nodes of at most ``WHOLE`` sets get
+their tokens and are branched to the end in one task each, as nothing outside a
+node decides what is below it; only larger ones need a shuffle per level. Large nodes are measured before they
 are branched: the signs are ``SIGNS`` bits of the tokens, and the squares of
 their sums give the mean similarity of two sets of the node. Copies that each
 share the part ``threshold`` of one text have that squared; near it (``ALIKE``)
@@ -65,6 +67,7 @@ LEVELS = 12
 LEAF = 64
 SIGNS = 64
 ALIKE = 0.85  # of the threshold squared; strangers in a node and the estimate take the rest
+WHOLE = 16384  # sets of a node that one task branches to its end, at 512 bytes each
 BLOCK = 1024  # sets of a group on each side of a comparison
 ORDER = 8
 SURE = 3.5
@@ -235,24 +238,101 @@ def _likeness(large: DataFrame) -> DataFrame:
     return nodes_.select("path", ((square / SIGNS - n) / (n * (n - 1))).alias("like"))
 
 
+def _alike(signs: np.ndarray) -> float:
+    """The same estimate over the sets of one node."""
+    n = len(signs)
+    ones = np.unpackbits(signs.astype(">i8").view(np.uint8).reshape(n, -1), axis=1).sum(axis=0, dtype=np.int64)
+    return (((2 * ones - n) ** 2).sum() / SIGNS - n) / (n * (n - 1))
+
+
+def _grown(
+    path: np.ndarray, tokens: np.ndarray, threshold: float, level: int, levels: int, leaf: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The nodes below one node: their paths, rows and whether they are large.
+
+    ``path`` is that of the node, once for every row of ``tokens``.
+    """
+    signs = _signs(tokens)
+    open_ = [(path, np.arange(len(path)))]
+    while open_:
+        ended, going = [], []
+        for own, rows in open_:
+            if level >= levels or _alike(signs[rows]) >= ALIKE * threshold * threshold:
+                yield own, rows, np.ones(len(rows), bool)
+            else:
+                going.append((own, rows))
+        open_, level = [], level + 1
+        for own, rows in going:
+            made, taken = _children(own, tokens[rows], threshold)
+            order = np.argsort(made, kind="stable")
+            made, taken = made[order], rows[taken[order]]
+            cut = np.append(np.flatnonzero(np.concatenate([[True], made[1:] != made[:-1]])), len(made))
+            size = np.repeat(np.diff(cut), np.diff(cut))
+            small = (size > 1) & (size <= leaf)
+            ended.append((made[small], taken[small]))
+            open_ += [(made[a:b], taken[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True) if b - a > leaf]
+        if ended:
+            own, rows = (np.concatenate(x) for x in zip(*ended, strict=True))
+            yield own, rows, np.zeros(len(rows), bool)
+
+
+def _below(middle: DataFrame, threshold: float, levels: int, leaf: int) -> DataFrame:
+    """Rows ``path, id, tree, dense`` of the nodes below those of ``path, id, tree, level, tokens``, each in one task."""
+    id_type = middle.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(node: pa.Table) -> Iterator[pa.RecordBatch]:
+            node = node.combine_chunks()
+            path, tokens = node["path"].to_numpy().view(np.uint64), _rows(node["tokens"].combine_chunks(), np.uint32, TOKENS)
+            for made, rows, dense in _grown(path, tokens, threshold, node["level"][0].as_py(), levels, leaf):
+                taken = node.select(["id", "tree"]).take(pa.array(rows)).combine_chunks()
+                columns = [pa.array(made.view(np.int64)), *(c.combine_chunks() for c in taken.columns), pa.array(dense)]
+                yield pa.RecordBatch.from_arrays(columns, names=["path", "id", "tree", "dense"])
+
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            path = rows["path"].to_numpy()
+            cut = np.append(np.flatnonzero(np.concatenate([[True], path[1:] != path[:-1]])), len(path))
+            for a, b in zip(cut[:-2], cut[1:-1], strict=True):
+                yield from done(rows.slice(a, b - a))
+            held = rows.slice(cut[-2])
+        if held is not None:
+            yield from done(held)
+
+    together = middle.repartition("path").sortWithinPartitions("path")
+    return together.mapInArrow(run, f"path bigint, id {id_type}, tree int, dense boolean")
+
+
 def nodes(
-    sets: DataFrame, threshold: float, trees: int = TREES, levels: int = LEVELS, leaf: int = LEAF
+    sets: DataFrame, threshold: float, trees: int = TREES, levels: int = LEVELS, leaf: int = LEAF, whole: int = WHOLE
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Rows ``path, id, tree`` of the leaves, and of large nodes that are branched no further."""
+    """Rows ``path, id, tree`` of the leaves, and of large nodes that are branched no further.
+
+    Nodes of more than ``whole`` sets are branched level by level over all
+    tasks; smaller ones, with all below them, in one task each.
+    """
     tokens = sets.select("id", "tokens")
     rows = _branch(tokens, threshold, trees)
     leaves: list[DataFrame] = []
+    middle: list[DataFrame] = []
     dense: list[DataFrame] = []
     for level in range(1, levels + 1):
         rows = stage(rows, "paths")
         sized = rows.groupBy("path").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
         sized = rows.join(sized.hint("merge"), "path")
-        sized, seen = measured(sized, "sized", large=F.count_if(F.col("members") > leaf))
+        fits = (F.col("members") > leaf) & (F.col("members") <= whole)
+        sized, seen = measured(sized, "sized", large=F.count_if(F.col("members") > max(leaf, whole)), fits=F.count_if(fits))
         drop_staged(rows)
         leaves.append(sized.filter(F.col("members") <= leaf).select("path", "id", "tree"))
+        if seen["fits"]:
+            middle.append(sized.filter(fits).select("path", "id", "tree", F.lit(level).alias("level")))
         if not seen["large"]:
             break
-        large = sized.filter(F.col("members") > leaf)
+        large = sized.filter(F.col("members") > max(leaf, whole))
         if level == levels:
             dense.append(large.select("path", "id", "tree"))
             break
@@ -265,6 +345,12 @@ def nodes(
             break
         going = large.filter(~F.col("hot")).select("path", "id", "tree")
         rows = _branch(going.join(tokens.hint("merge"), "id"), threshold, None)
+    if middle:
+        below = _below(_union(middle).join(tokens.hint("merge"), "id"), threshold, levels, leaf)
+        below, seen = measured(below, "below", dense=F.count_if("dense"))
+        leaves.append(below.filter(~F.col("dense")).select("path", "id", "tree"))
+        if seen["dense"]:
+            dense.append(below.filter("dense").select("path", "id", "tree"))
     return _union(leaves), _union(dense) if dense else None
 
 
@@ -549,7 +635,7 @@ def near_duplicates(
     links = checked.filter("linked").select("a", "b")
     named = components(links)
     label = named.select(F.col("node").alias("id"), F.col("component").alias("label"))
-    more: list[DataFrame] = []
+    more: list[tuple[DataFrame, dict]] = []
     if seen["failed"]:
         rows = leaves.join(label.hint("merge"), "id", "left").withColumn("label", F.coalesce("label", "id"))
         rows = rows.select("path", "id", "n", "label", "sketch").repartition("path").sortWithinPartitions("path", "id")
@@ -559,7 +645,7 @@ def near_duplicates(
         none = F.lit(0)
         rows = rows.select(F.col("path").alias("grp"), none.alias("u"), none.alias("v"), F.lit(2).alias("side"), "id", "label", "n", "sketch", "shingles")
         rows = rows.repartition("grp").sortWithinPartitions("grp", "u", "v", "side", "id")
-        more.append(stage(_linked(rows, threshold, percent), "linked"))
+        more.append(measured(_linked(rows, threshold, percent), "linked", n=F.count(F.lit(1))))
     if dense is not None:
         members = stage(_groups(dense), "groups").join(label.hint("merge"), "id", "left")
         members = stage(members.withColumn("label", F.coalesce("label", "id")), "members")
@@ -569,10 +655,11 @@ def near_duplicates(
         blocks = blocks.join(sides.hint("merge"), "id")
         blocks = blocks.select("grp", "u", "v", "side", "id", "label", "n", "sketch", "shingles")
         blocks = blocks.repartition("grp", "u", "v").sortWithinPartitions("grp", "u", "v", "side", "id")
-        more.append(stage(_linked(blocks, threshold, percent), "linked"))
-    if more:
+        more.append(measured(_linked(blocks, threshold, percent), "linked", n=F.count(F.lit(1))))
+    found = [links for links, seen in more if seen["n"]]
+    if found:
         known = named.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        named = components(_union([known, *more]))
+        named = components(_union([known, *found]))
 
     named = classes.join(named, classes.rep == named.node, "left").select(
         "digest", F.coalesce("component", "rep").alias("component")

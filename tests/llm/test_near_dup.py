@@ -4,6 +4,7 @@ from itertools import combinations
 
 import pytest
 
+from glosswork.llm import near_dup
 from glosswork.llm.components import components
 from glosswork.llm.near_dup import describe, near_duplicates, nodes
 
@@ -175,3 +176,42 @@ def test_a_hot_group_is_branched_no_further_than_its_first_nodes(docs):
     copies = dense.filter("id < 1000").count() + leaves.filter("id < 1000").count()
     assert dense.filter("id >= 1000").count() == 0
     assert 300 * 16 / 2 < copies < 300 * 16 * 1.25
+
+
+def test_small_nodes_are_branched_in_one_task_with_the_same_nodes(docs, monkeypatch):
+    """No shuffle per level: what is below a node is the same wherever it is branched."""
+    rng = random.Random(23)
+    shared = [f"s{i}" for i in range(100)]
+    rows = [(i, " ".join(shared + [f"o{rng.randrange(10**6)}" for _ in range(60)])) for i in range(80)]
+    rows += [(1000 + i, " ".join([f"b{j}" for j in range(150)] + [f"h{i}"])) for i in range(40)]
+    sets = describe(docs(rows), "doc_id", "text", 3).select("id", "tokens").cache()
+    staged = []
+    monkeypatch.setattr(near_dup, "stage", lambda df, name, stage=near_dup.stage: staged.append(name) or stage(df, name))
+
+    def found(whole):
+        staged.clear()
+        parts = nodes(sets, 0.85, trees=4, levels=6, leaf=8, whole=whole)
+        return [sorted(map(tuple, x.select("path", "id", "tree").collect())) for x in parts], staged.count("paths")
+
+    (by_level, levels), (in_tasks, once) = found(8), found(1000)
+    assert by_level == in_tasks and by_level[0] and by_level[1]
+    assert levels > 3 and once == 1
+
+
+def test_rounds_of_components_are_few_and_short(spark, monkeypatch):
+    """A round is two joins of stored tables, whose hot keys Spark can split, and chains halve in it."""
+    from glosswork.llm import components as module
+
+    plans = []
+
+    def kept(df, name, stage=module.stage):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return stage(df, name)
+
+    monkeypatch.setattr(module, "stage", kept)
+    links = [(i, i + 1) for i in range(256)] + [(1000, 1001 + i) for i in range(300)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert got == {i: 0 for i in range(257)} | {1000 + i: 1000 for i in range(301)}
+    rounds = [plan for name, plan in plans if name == "links"][1:]
+    assert 1 < len(rounds) <= 11
+    assert all(plan.count("Join ") == 2 and "Aggregate" not in plan for plan in rounds)
