@@ -53,7 +53,7 @@ from glosswork.session import delete_folder, drop_staged, stage, staging_root
 
 FINE = 1024  # contexts, where no other number is given
 HOT = 512
-RUN_BYTES = 16 << 20
+RUN_BYTES = 8 << 20
 STRENGTH = 1.0
 BURN_IN, SAMPLES, MOVES = 1, 3, 4
 _U = np.uint64
@@ -109,10 +109,22 @@ def runs(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np
         held.append((token, before, (owner + rows).astype(np.uint32)))
         size, rows = size + len(data), rows + n
         if size >= RUN_BYTES:
-            yield first, rows, *(np.concatenate(x) for x in zip(*held, strict=True))
-            held, size, first, rows = [], 0, row + n, 0
+            yield first, rows, *_taken(held)
+            size, first, rows = 0, row + n, 0
+        del token, owner, before, starts, ends, doc, at
     if held:
-        yield first, rows, *(np.concatenate(x) for x in zip(*held, strict=True))
+        yield first, rows, *_taken(held)
+
+
+def _taken(held: list[tuple]) -> list[np.ndarray]:
+    """The parts of a run, each joined; ``held`` is empty afterwards."""
+    columns = [list(x) for x in zip(*held, strict=True)]
+    held.clear()
+    out = []
+    for i in range(len(columns)):
+        out.append(np.concatenate(columns[i]))
+        columns[i] = None
+    return out
 
 
 def bucket_of(token: np.ndarray, buckets: int) -> np.ndarray:
@@ -161,7 +173,9 @@ def _packed(rows: DataFrame, hot: list[int], buckets: int, keys: list[int]) -> D
         for batch in batches:
             for first, n, token, before, doc in runs(batch.column(1)):
                 ids = batch.column(0).slice(first, n)
-                name = hashlib.blake2b(token.tobytes() + str(ids.to_pylist()).encode(), digest_size=16).digest()
+                name = hashlib.blake2b(token, digest_size=16)
+                name.update(str(ids.to_pylist()).encode())
+                name = name.digest()
                 owner = int.from_bytes(name[:4], "little") % buckets
                 held = batch.column(2).slice(first, n).to_numpy(zero_copy_only=False)
                 (place, is_hot), (above, follows) = _find(common, token), _find(common, before)
@@ -170,11 +184,14 @@ def _packed(rows: DataFrame, hot: list[int], buckets: int, keys: list[int]) -> D
                 pair, times = np.unique(place[learnt] * len(common) + above[learnt], return_counts=True)
                 hot_word, hot_before = common[pair // len(common)], common[pair % len(common)]
                 hot_bucket = bucket_of(hot_before, buckets)
+                del place, above, follows, learnt
                 token, before, doc, is_hot = token[~both], before[~both], doc[~both], is_hot[~both]
-                target = bucket_of(np.where(is_hot, before, token), buckets)
+                target = bucket_of(np.where(is_hot, before, token), buckets).astype(np.int32)
+                del both, is_hot
                 order = np.lexsort((token, target))
                 token, before, doc, target = token[order], before[order], doc[order], target[order]
                 cut = np.searchsorted(target, np.arange(buckets + 1))
+                del order, target
                 out: dict[str, list] = {"key": [], "ids": [], "tokens": [], "counts": []}
                 for b in range(buckets):
                     part = slice(cut[b], cut[b + 1])

@@ -158,3 +158,25 @@ def test_frequent_words_are_scored_alike_on_every_way(docs, monkeypatch):
         assert {r.doc_id: (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got} == base(rows)
     assert by_way[0][0] > by_way[1][0] > by_way[2][0] == 2
     assert all(score == pytest.approx(by_way[0][1], rel=0.01) for _, score in by_way)
+
+
+def test_memory_of_a_run_of_documents():
+    """Runs are short, and the arrays they are made of are gone when a run is handed on."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array(["ab cde f " * 10_000] * 200)  # 18 MB
+    list(py.runs(texts.slice(0, 1)))
+    tracemalloc.start()
+    n = most = 0
+    for _, rows, token, before, doc in py.runs(texts):
+        n += rows
+        most = max(most, len(token))
+        held = tracemalloc.get_traced_memory()[0]
+        assert held < 1.5 * (token.nbytes + before.nbytes + doc.nbytes)
+        del token, before, doc
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 200 and most < 3_500_000
+    assert peak < 150e6
