@@ -27,6 +27,7 @@ from glosswork.llm import (
 from glosswork.session import ship, staging_root
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+BATCH_ROWS = 2000
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +50,8 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    # Whole texts: a batch is held by the JVM, on its way and by the task at once.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return pitman_yor.score(_table(spark, sf_dir, "documents"), remainder == 2)
 
 
