@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from glosswork.fixed_values import STOP_WORDS, SUMMARY_MAX_WORDS
-from glosswork.functions.text import TOKEN, let, segments, tokens
+from glosswork.functions.text import TOKEN, segments, tokens
 
 _TOKEN = re.compile(TOKEN)
 
@@ -69,12 +69,18 @@ def extractive_summary(docs: DataFrame, max_words: int = SUMMARY_MAX_WORDS) -> D
     A segment has at most 40 words, so the summary has at least 60 words
     wherever the text has. ``docs`` needs unique ids.
     """
-    chosen = let(
-        _fill(F.sort_array("_scores"), max_words),
-        lambda picks: F.filter(segments(F.col("abstract")), lambda s, i: F.array_contains(picks, i)),
-    )
+    picks = _fill(F.sort_array("_scores"), max_words)
+    start = F.struct(picks.alias("picks"), F.lit(0).alias("pos"), F.array().cast("array<string>").alias("taken"))
+
+    # Not a filter inside a lambda of the picks: a scorer that takes the summary stays unevaluated over that.
+    def take(acc: Column, s: Column) -> Column:
+        picked = F.array_contains(acc["picks"], acc["pos"])
+        taken = F.when(picked, F.concat(acc["taken"], F.array(s))).otherwise(acc["taken"])
+        return F.struct(acc["picks"].alias("picks"), (acc["pos"] + 1).alias("pos"), taken.alias("taken"))
+
+    chosen = F.aggregate(segments(F.col("abstract")), start, take, lambda acc: F.array_join(acc["taken"], " "))
     scored = docs.withColumn("_scores", score_segments(segments(F.col("abstract"))))
-    return scored.withColumn("summary", F.coalesce(F.array_join(chosen, " "), F.lit(""))).drop("_scores")
+    return scored.withColumn("summary", F.coalesce(chosen, F.lit(""))).drop("_scores")
 
 
 def lead_summary(docs: DataFrame, max_words: int = SUMMARY_MAX_WORDS) -> DataFrame:

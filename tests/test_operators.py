@@ -127,6 +127,19 @@ def test_gate_runs_the_scorer_once(spark, plan):
     assert plan(quality.quality_gate(quality.with_rouge(df))).count("ArrowEvalPython") == 1
 
 
+def test_extracts_are_scored_without_being_kept(spark):
+    """Only the score is asked for, so the summary is computed inside the scorer's argument."""
+    texts = [" ".join(f"alpha beta{i} gamma{i} delta." for i in range(60)), "Short one. Two.", "", "the of and", "x " * 900]
+    rows = summarize.extractive_summary(docs_of(spark, texts)).collect()
+    expected = sorted(rouge_l_f(r["abstract"], r["summary"]) for r in rows)
+    scored = quality.with_rouge(summarize.extractive_summary(docs_of(spark, texts)))
+    found = sorted(r["rouge_score"] for r in scored.select("abstract_id", "rouge_score").collect())
+    assert found == pytest.approx(expected)
+    kept = sum(x >= 0.15 for x in expected)
+    assert quality.quality_gate(scored).select("abstract_id").count() == kept
+    assert tuple(quality.gate_accounting(scored).first()) == (5, kept, 5 - kept)
+
+
 # --- statistics ---
 
 
