@@ -150,6 +150,44 @@ def test_search_starts_from_the_rarest_term(spark):
     assert [x[:2] for x in hits_of(index, queries) if x[0] < 3] == [(1, "d001"), (2, "d001")]
 
 
+def test_equal_stems_meet_inside_their_document(spark, plan):
+    rows = [("d1", "cats cat running runs run the", 0.5), ("d2", "cat", 0.5), ("d3", None, 0.5), ("d4", "the of", 0.5)]
+    docs = spark.createDataFrame(rows, "abstract_id string, summary string, rouge_score double")
+    postings = fulltext.build_index(docs.repartition("abstract_id")).postings
+    assert plan(postings).count("Exchange hashpartitioning") == 1  # that of the documents
+    got = sorted((r["abstract_id"], r["term"], r["tf"], r["doc_len"]) for r in postings.collect())
+    assert got == [("d1", "cat", 2, 6), ("d1", "run", 3, 6), ("d2", "cat", 1, 1)]
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_postings_of_other_terms_stay_out_of_the_shuffle(spark, data, plan, tmp_path, monkeypatch, stored):
+    docs, queries = data
+    index = fulltext.build_index(docs)
+    if stored:
+        fulltext.write_index(index, str(tmp_path / "index"))
+        index = fulltext.read_index(spark, str(tmp_path / "index"))
+    terms = fulltext.analyzed_terms(queries, index.stemmed)
+    assert plan(fulltext.match_all_terms(index, terms)).count("LeftSemi") >= 2
+    few = hits_of(index, queries)
+    monkeypatch.setattr(fulltext, "SENT_TERMS", 1)
+    assert "LeftSemi" not in plan(fulltext.match_all_terms(index, terms))
+    assert hits_of(index, queries) == few != []
+
+
+def test_an_index_write_leaves_no_shuffle_files(spark, data, tmp_path):
+    docs, _ = data
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    seen, real = [], fulltext.document_frequencies
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(fulltext, "document_frequencies", lambda p: (seen.append(spark.conf.get(key)), real(p))[1])
+        index = fulltext.build_index(docs)
+        fulltext.write_index(index, str(tmp_path / "index"))
+    assert seen[-1] == "true" and spark.conf.get(key, None) == before
+    files = list((tmp_path / "index" / "postings").rglob("*.parquet"))
+    assert files and all(".zstd." in f.name for f in files)
+
+
 def test_candidates_are_cut_per_task(data, plan):
     docs, queries = data
     text = plan(fulltext.fulltext_candidates(fulltext.build_index(docs), docs, queries))
