@@ -201,6 +201,22 @@ def test_exact_search(space, monkeypatch, query_block, vector_block):
     assert got == brute(points, range(20), 4)
 
 
+def test_only_near_scores_are_rounded(monkeypatch):
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(5000, 8))
+    points[70] = points[10]  # equal vectors: ties go to the lower id
+    ids, rounded, real = np.arange(5000).astype(object), [], np.round
+    monkeypatch.setattr(vs.np, "round", lambda a, *d: (rounded.append(np.size(a)), real(a, *d))[1])
+    rows = vs._block_top_k(ids, points, ids[:40], points[:40], 4)
+    monkeypatch.undo()
+    got = {q: list(r["abstract_id"]) for q, r in rows.groupby("query_id")}
+    assert got == brute(points, range(40), 4)
+    assert sum(rounded) < 40 * 5000 / 50
+    points[33, 0] = np.nan  # no number: nobody's neighbour
+    rows = vs._block_top_k(ids, points, ids[:40], points[:40], 4)
+    assert 33 not in set(rows["abstract_id"]) | set(rows["query_id"])
+
+
 def test_few_queries_leave_the_vectors_where_they_are(spark, space, plan, tmp_path):
     points, vectors, queries = space
     vectors.write.parquet(str(tmp_path / "v"))

@@ -124,6 +124,18 @@ def test_empty_table(spark):
     assert red.graph_layout(near, 2, rounds=2, cycles=1).collect() == []
 
 
+def test_links_are_worked_on_without_lambdas(near, plan, monkeypatch):
+    """Lambdas over arrays are interpreted for each link."""
+    plans, real = [], red.stage
+    monkeypatch.setattr(red, "stage", lambda df, name: (plans.append(plan(df)), real(df, name))[1])
+    red.spectral_layout(red.fuzzy_graph(near), 2, cycles=1, depth=2)
+    steps = [p for p in plans if "Join" in p and "sum(" in p]
+    assert len(steps) == 2 and not any("lambda" in p for p in steps)
+    at = real(red.spectral_layout(red.fuzzy_graph(near), 2, cycles=1).withColumnRenamed("embedding", "y"), "at")
+    moved = plan(red._moved(at, red._both_ways(real(red.fuzzy_graph(near), "graph")), 2, 1, 0, 1.0))
+    assert "sum(" in moved and not any("lambda" in line for line in moved.splitlines() if "sum(" in line or "gap0" in line)
+
+
 def test_rows_and_links_never_go_through_the_driver(near, plan, monkeypatch):
     """However small they are, the tables of a layout and of its clusters are not broadcast."""
     plans = []
